@@ -21,9 +21,8 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from .common import arrow_map
+from .common import arrow_map, struct
 from .tokencount import PATTERN
 
 #: Pieces in a recursive query; squared bytes of a chunk's pieces (the recursion keeps the rows of each round);
@@ -257,12 +256,12 @@ def _pick(docs: DataFrame, id_col: str, col: str, kind: str) -> DataFrame:
 
 def encode(docs: DataFrame, ranks: str, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id and ids (array of int) of every row. A null text counts as empty and has no ids; see digests()."""
-    return arrow_map(_pick(docs, id_col, text_col, "string"), _ids, T.StructType.fromDDL("doc_id long, ids array<int>"), path=ranks)
+    return arrow_map(_pick(docs, id_col, text_col, "string"), _ids, struct("doc_id long, ids array<int>"), path=ranks)
 
 
 def decode(encoded: DataFrame, ranks: str, *, id_col: str = "doc_id", ids_col: str = "ids") -> DataFrame:
     """doc_id and bytes of every row of ids. Null ids count as none. An id outside the vocabulary has no bytes."""
-    return arrow_map(_pick(encoded, id_col, ids_col, "array<int>"), _texts, T.StructType.fromDDL("doc_id long, bytes binary"), path=ranks)
+    return arrow_map(_pick(encoded, id_col, ids_col, "array<int>"), _texts, struct("doc_id long, bytes binary"), path=ranks)
 
 
 def digests(docs: DataFrame, ranks: str, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -271,5 +270,5 @@ def digests(docs: DataFrame, ranks: str, *, id_col: str = "doc_id", text_col: st
     A null text counts as empty: 0 tokens and the digests of nothing. Repeated rows and null ids give a row each, an empty
     table none. Other columns are not read, so their names cannot clash.
     """
-    schema = T.StructType.fromDDL("doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string")
+    schema = struct("doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string")
     return arrow_map(_pick(docs, id_col, text_col, "string"), _digests, schema, path=ranks)

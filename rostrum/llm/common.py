@@ -15,6 +15,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..session import ship
+
 #: Rows and bytes of an Arrow batch that is handed to Python, where the session has not set its own.
 BATCH_ROWS, BATCH_BYTES = "1024", str(8 << 20)
 
@@ -77,7 +79,7 @@ class Atomic:
         ctx = TaskContext.get()
         self.tmp = f"{self.path}.part-{ctx.taskAttemptId() if ctx else 0}-{uuid.uuid4().hex[:8]}"
         self.fs.create_dir(self.path.rpartition("/")[0], recursive=True)
-        self.out = self.fs.open_output_stream(self.tmp)
+        self.out = self.fs.open_output_stream(self.tmp, compression=None)
         self.size = 0
 
     def write(self, data) -> None:
@@ -96,11 +98,12 @@ class Atomic:
 
 def opened(uri: str):
     fs, path = split_uri(uri)
-    return fs.open_input_stream(path, buffer_size=1 << 20)
+    return fs.open_input_stream(path, compression=None, buffer_size=1 << 20)
 
 
 def arrow_map(df: DataFrame, fn: Callable[..., Iterator[pa.RecordBatch]], schema: T.StructType, **fixed) -> DataFrame:
     """mapInArrow of a module-level function with fixed arguments."""
+    ship(df.sparkSession)
     small_batches(df.sparkSession)
     return df.mapInArrow(partial(fn, **fixed), schema)
 
@@ -112,3 +115,21 @@ def crc(text: str) -> int:
 def spread(df: DataFrame, *keys: str) -> DataFrame:
     """Deal rows out by keys, so that Python work on a few input splits uses every core."""
     return df.repartition(*[F.col(k) for k in keys])
+
+
+#: Spark and Arrow types by the names that struct() takes.
+KINDS = {"int": (T.IntegerType(), pa.int32()), "long": (T.LongType(), pa.int64()), "double": (T.DoubleType(), pa.float64()), "string": (T.StringType(), pa.string()), "boolean": (T.BooleanType(), pa.bool_()), "binary": (T.BinaryType(), pa.binary())}
+
+
+def struct(ddl: str) -> T.StructType:
+    """A schema from "name type, ..." without a session, so that workers can load modules that declare one."""
+    fields = []
+    for part in ddl.split(", "):
+        name, kind = part.split(" ")
+        inner = kind.removeprefix("array<").removesuffix(">")
+        fields.append(T.StructField(name, T.ArrayType(KINDS[inner][0]) if kind != inner else KINDS[kind][0]))
+    return T.StructType(fields)
+
+
+def arrow_schema(ddl: str) -> pa.Schema:
+    return pa.schema([(n, pa.list_(KINDS[k[6:-1]][1]) if k.startswith("array<") else KINDS[k][1]) for n, k in (x.split(" ") for x in ddl.split(", "))])

@@ -5,10 +5,19 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bytebpe, tokencount
+from . import bytebpe, repair, tokencount, warc
 from .common import table
 
 
+def op1_warc_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.records(warc.read_chunks(warc.write_archives(table(spark, sf_dir, "pages")), payload=False))
+
+
+def op2_repair_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
+    manifest = repair.write_shards(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"), end_id=2)
+    return repair.read_shards(manifest)
+
+
 def op7_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bytebpe.digests(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_multi_50k.tiktoken"))
 
@@ -17,4 +26,4 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokencount.token_counts(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
 
-QUERIES = {f.__name__: f for f in (op7_byte_bpe, op10_token_counts)}
+QUERIES = {f.__name__: f for f in (op1_warc_records, op2_repair_tokens, op7_byte_bpe, op10_token_counts)}
