@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bytebpe, repair, tokencount, warc
+from . import bytebpe, decontam, jaccard, nra, repair, tokencount, warc
 from .common import table
 
 
@@ -18,6 +18,18 @@ def op2_repair_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repair.read_shards(manifest)
 
 
+def op3_nra_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return nra.top_k(table(spark, sf_dir, "embeddings"), k=20, query_every=20, scale=64)
+
+
+def op4_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontam.hits(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), window=10)
+
+
+def op5_jaccard_components(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.jaccard_components(table(spark, sf_dir, "documents"), k=4, percent=85)
+
+
 def op7_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bytebpe.digests(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_multi_50k.tiktoken"))
 
@@ -26,4 +38,4 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokencount.token_counts(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
 
-QUERIES = {f.__name__: f for f in (op1_warc_records, op2_repair_tokens, op7_byte_bpe, op10_token_counts)}
+QUERIES = {f.__name__: f for f in (op1_warc_records, op2_repair_tokens, op3_nra_topk, op4_decontaminate, op5_jaccard_components, op7_byte_bpe, op10_token_counts)}
