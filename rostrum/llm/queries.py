@@ -4,8 +4,9 @@ from __future__ import annotations
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import bytebpe, decontam, jaccard, nra, repair, tokencount, warc
+from . import bytebpe, decontam, jaccard, nra, pii, repair, tokencount, urlfilter, warc
 from .common import table
 
 
@@ -30,12 +31,26 @@ def op5_jaccard_components(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.jaccard_components(table(spark, sf_dir, "documents"), k=4, percent=85)
 
 
+#: The rules of op6: host, path, verdict.
+RULES = (("org", "/", "allow"), ("example.org", "/es/", "block"), ("example.org", "/en/1", "block"), ("com", "/fr/", "allow"), ("com", "/de/", "block"))
+
+
+def op6_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    listed = F.array(*[F.struct(*[F.lit(v).alias(n) for n, v in zip(("host", "path", "verdict"), r)]) for r in RULES])
+    rules = spark.range(1).select(F.inline(listed))
+    return urlfilter.judge(table(spark, sf_dir, "pages"), rules)
+
+
 def op7_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bytebpe.digests(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_multi_50k.tiktoken"))
 
 
+def op8_pii_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.spans(table(spark, sf_dir, "documents"))
+
+
 def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokencount.token_counts(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
 
-QUERIES = {f.__name__: f for f in (op1_warc_records, op2_repair_tokens, op3_nra_topk, op4_decontaminate, op5_jaccard_components, op7_byte_bpe, op10_token_counts)}
+QUERIES = {f.__name__: f for f in (op1_warc_records, op2_repair_tokens, op3_nra_topk, op4_decontaminate, op5_jaccard_components, op6_url_filter, op7_byte_bpe, op8_pii_spans, op10_token_counts)}
