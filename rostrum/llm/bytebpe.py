@@ -11,7 +11,7 @@ from __future__ import annotations
 
 import base64
 import hashlib
-from collections.abc import Iterable, Iterator
+from collections.abc import Iterator
 from functools import lru_cache
 from heapq import heapify, heappop, heappush
 
@@ -22,41 +22,47 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import arrow_map, struct
+from .common import Numbering, arrow_map, gather, struct
 from .tokencount import PATTERN
 
 #: Pieces in a recursive query; squared bytes of a chunk's pieces (the recursion keeps the rows of each round);
 #: bytes from which a piece is merged by a heap, with the same result, since its rounds would be too many.
 CHUNK_PIECES, CHUNK_SQUARES, LONG = 50_000, 8_000_000, 512
-#: Pieces that a worker remembers at a time, and the length in characters of one that is remembered.
-MEMORY, MEMORY_CHARS = 400_000, 64
+#: Pieces and ids that a worker remembers, before it starts anew.
+MEMORY, MEMORY_IDS = 1_200_000, 12_000_000
 #: Tokens of a decoding query.
 CHUNK_TOKENS = 500_000
 
 PLACES = 1 << 20
 
 ENCODE = f"""
-WITH RECURSIVE state(round, piece, place, id, rank) AS (
-    SELECT 0, s.piece, s.place, s.id, m.rank
-    FROM (SELECT piece, place, id, lead(id) OVER (PARTITION BY piece ORDER BY place) AS right_id FROM symbols) s
-    LEFT JOIN merges m ON m.pair = s.id::BIGINT * {PLACES} + s.right_id
-    UNION ALL
-    SELECT s.round + 1, s.piece, s.place, s.id, m.rank
+WITH RECURSIVE state(round, piece, place, id, next_place, next_id, rank) AS (
+    SELECT 0, s.piece, s.place, s.id, s.next_place, s.next_id, m.rank
     FROM (
-        SELECT round, piece, place, id, lead(id) OVER (PARTITION BY piece ORDER BY place) AS right_id
-        FROM (
-            SELECT state.round, state.piece, state.place, best.place AS spot,
-                   CASE WHEN state.place = best.place THEN best.rank ELSE state.id END AS id,
-                   lag(state.place) OVER (PARTITION BY state.piece ORDER BY state.place) AS left_place
-            FROM state
-            JOIN (
-                SELECT piece, (key % {PLACES})::INT AS place, (key // {PLACES})::INT AS rank
-                FROM (SELECT piece, min(rank::BIGINT * {PLACES} + place) AS key FROM state WHERE rank IS NOT NULL GROUP BY piece)
-            ) best ON state.piece = best.piece
-        )
-        WHERE left_place IS DISTINCT FROM spot
+        SELECT piece, place, id, lead(place) OVER w AS next_place, lead(id) OVER w AS next_id
+        FROM symbols WINDOW w AS (PARTITION BY piece ORDER BY place)
     ) s
-    LEFT JOIN merges m ON m.pair = s.id::BIGINT * {PLACES} + s.right_id
+    LEFT JOIN merges m ON m.pair = s.id::BIGINT * {PLACES} + s.next_id
+    UNION ALL
+    SELECT u.round + 1, u.piece, u.place, u.id, u.next_place, u.next_id, CASE WHEN u.changed THEN m.rank ELSE u.rank END
+    FROM (
+        SELECT s.round, s.piece, s.place, s.rank,
+               CASE WHEN s.place = b.spot THEN b.made ELSE s.id END AS id,
+               CASE WHEN s.place = b.spot THEN r.next_place ELSE s.next_place END AS next_place,
+               CASE WHEN s.place = b.spot THEN r.next_id WHEN s.next_place = b.spot THEN b.made ELSE s.next_id END AS next_id,
+               s.place = b.spot OR coalesce(s.next_place = b.spot, false) AS changed
+        FROM state s
+        JOIN (
+            SELECT piece, (key % {PLACES})::INT AS spot, (key // {PLACES})::INT AS made, gone
+            FROM (
+                SELECT piece, min(rank::BIGINT * {PLACES} + place) AS key, arg_min(next_place, rank::BIGINT * {PLACES} + place) AS gone
+                FROM state WHERE rank IS NOT NULL GROUP BY piece
+            )
+        ) b ON s.piece = b.piece
+        LEFT JOIN state r ON r.piece = s.piece AND r.place = CASE WHEN s.place = b.spot THEN s.next_place END
+        WHERE s.place <> b.gone
+    ) u
+    LEFT JOIN merges m ON m.pair = CASE WHEN u.changed THEN u.id::BIGINT * {PLACES} + u.next_id END
 )
 SELECT state.piece, state.id
 FROM state JOIN (SELECT piece, max(round) AS round FROM state GROUP BY piece) ended USING (piece, round)
@@ -93,7 +99,11 @@ class Coder:
         self.con.execute("CREATE TABLE vocabulary AS SELECT * FROM given")
         self.con.unregister("given")
         self.split = regex.compile(PATTERN)
-        self.known: dict[str, np.ndarray] = {}
+        self.forget()
+
+    def forget(self) -> None:
+        self.index, self.names = Numbering(), []
+        self.ids, self.sizes, self.starts, self.used = np.empty(1 << 16, np.int32), np.empty(1 << 14, np.int64), np.empty(1 << 14, np.int64), 0
 
     def _heap(self, piece: bytes) -> list[int]:
         """The ids of a long piece: lowest rank first, leftmost first, with lists of neighbours."""
@@ -136,19 +146,19 @@ class Coder:
         cuts = np.searchsorted(np.asarray(got["piece"]), np.arange(1, len(pieces)))
         return np.split(np.asarray(got["id"]).astype(np.int32), cuts)
 
-    def learn(self, pieces: Iterable[str]) -> dict[str, np.ndarray]:
-        """The ids of pieces."""
-        out: dict[str, np.ndarray] = {}
-        todo: list[tuple[str, bytes]] = []
-        for p in pieces:
+    def learn(self, pieces: list[str]) -> list[np.ndarray]:
+        """The ids of each piece."""
+        out: list = [None] * len(pieces)
+        todo: list[tuple[int, bytes]] = []
+        for i, p in enumerate(pieces):
             raw = p.encode()
             rank = self.ranks.get(raw)
             if rank is not None:
-                out[p] = np.array([rank], np.int32)
+                out[i] = np.array([rank], np.int32)
             elif len(raw) > LONG:
-                out[p] = np.array(self._heap(raw), np.int32)
+                out[i] = np.array(self._heap(raw), np.int32)
             else:
-                todo.append((p, raw))
+                todo.append((i, raw))
         todo.sort(key=lambda x: len(x[1]))  # pieces of like length need like numbers of rounds
         at = 0
         while at < len(todo):
@@ -156,26 +166,35 @@ class Coder:
             while end < len(todo) and end - at < CHUNK_PIECES and squares < CHUNK_SQUARES:
                 squares += len(todo[end][1]) ** 2
                 end += 1
-            for (p, _), ids in zip(todo[at:end], self._recursive([raw for _, raw in todo[at:end]])):
-                out[p] = ids
+            for (i, _), ids in zip(todo[at:end], self._recursive([raw for _, raw in todo[at:end]])):
+                out[i] = ids
             at = end
         return out
 
+    def numbers(self, texts: list[str]) -> list[list[int]]:
+        """The numbers of each text's pieces; new pieces are encoded. Numbers hold until the next call."""
+        if len(self.index) > MEMORY or self.used > MEMORY_IDS:
+            self.forget()
+        get, findall = self.index.__getitem__, self.split.findall
+        out = [list(map(get, findall(t))) for t in texts]
+        new, self.index.new = self.index.new, []
+        if new:
+            arrays = self.learn(new)
+            n, m = len(self.names), len(self.index)
+            flat, sizes = np.concatenate(arrays), np.fromiter(map(len, arrays), np.int64, len(arrays))
+            self.ids, self.sizes, self.starts = _room(self.ids, self.used + len(flat)), _room(self.sizes, m), _room(self.starts, m)
+            self.ids[self.used : self.used + len(flat)] = flat
+            self.sizes[n:m] = sizes
+            self.starts[n:m] = self.used + np.cumsum(sizes) - sizes
+            self.used += len(flat)
+            self.names += (",".join(map(str, a.tolist())) for a in arrays)
+        return out
+
+    def ids_of(self, numbers: list[int]) -> np.ndarray:
+        return gather(self.ids, self.sizes, np.array(numbers, np.int64), self.starts)
+
     def encode(self, texts: list[str]) -> list[np.ndarray]:
-        split = [self.split.findall(t) for t in texts]
-        if len(self.known) > MEMORY:
-            self.known = {}
-        known, new = self.known, set()
-        for pieces in split:
-            new.update(pieces)
-        new = [p for p in new if p not in known]
-        fresh = self.learn(new)
-        kept = {p: i for p, i in fresh.items() if len(p) <= MEMORY_CHARS}
-        known.update(kept)
-        if len(kept) < len(fresh):
-            known = known | fresh
-        none = np.empty(0, np.int32)
-        return [np.concatenate([known[p] for p in pieces]) if pieces else none for pieces in split]
+        return [self.ids_of(n) for n in self.numbers(texts)]
 
     def decode(self, docs: list[np.ndarray]) -> list[bytes]:
         """The bytes of each document's ids; parts of a long document are put together one after the other."""
@@ -202,6 +221,11 @@ class Coder:
         return [b"".join(x) for x in out]
 
 
+def _room(a: np.ndarray, n: int) -> np.ndarray:
+    """The array, or a longer one that begins with it, with room for n."""
+    return a if n <= len(a) else np.concatenate([a, np.empty(max(n, 2 * len(a)) - len(a), a.dtype)])
+
+
 @lru_cache(maxsize=2)
 def coder(path: str) -> Coder:
     return Coder(path)
@@ -225,9 +249,10 @@ def _digests(batches: Iterator[pa.RecordBatch], *, path: str) -> Iterator[pa.Rec
     for b in batches:
         n, ids_sha, out_sha = [], [], []
         for texts in _groups([x or "" for x in b.column(1).to_pylist()]):
-            docs = c.encode(texts)
+            numbers = c.numbers(texts)
+            docs = [c.ids_of(x) for x in numbers]
             n += map(len, docs)
-            ids_sha += (hashlib.sha256(",".join(map(str, d.tolist())).encode()).hexdigest() for d in docs)
+            ids_sha += (hashlib.sha256(",".join(map(c.names.__getitem__, x)).encode()).hexdigest() for x in numbers)
             out_sha += (hashlib.sha256(x).hexdigest() for x in c.decode(docs))
         yield pa.RecordBatch.from_arrays([b.column(0), pa.array(n, pa.int64()), pa.array(ids_sha, pa.string()), pa.array(out_sha, pa.string())], names=["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
 

@@ -8,6 +8,7 @@ import zlib
 from collections.abc import Callable, Iterator
 from functools import partial
 
+import numpy as np
 import pyarrow as pa
 import pyarrow.fs as pafs
 from pyspark import TaskContext
@@ -133,3 +134,22 @@ def struct(ddl: str) -> T.StructType:
 
 def arrow_schema(ddl: str) -> pa.Schema:
     return pa.schema([(n, pa.list_(KINDS[k[6:-1]][1]) if k.startswith("array<") else KINDS[k][1]) for n, k in (x.split(" ") for x in ddl.split(", "))])
+
+
+class Numbering(dict):
+    """Numbers keys in the order in which they are first asked for."""
+
+    def __init__(self):
+        self.new: list = []
+
+    def __missing__(self, key) -> int:
+        n = self[key] = len(self)
+        self.new.append(key)
+        return n
+
+
+def gather(flat: np.ndarray, sizes: np.ndarray, which: np.ndarray, starts: np.ndarray | None = None) -> np.ndarray:
+    """The runs of flat that which names, one after the other."""
+    starts, n = (np.cumsum(sizes) - sizes if starts is None else starts)[which], sizes[which]
+    ends = np.cumsum(n)
+    return flat[np.repeat(starts - (ends - n), n) + np.arange(ends[-1] if len(ends) else 0)]
