@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bytebpe, decontam, jaccard, nra, pii, repair, tokencount, urlfilter, warc
+from . import bytebpe, decontam, jaccard, nra, pii, ranker, repair, tokencount, urlfilter, warc
 from .common import table
 
 
@@ -49,8 +49,12 @@ def op8_pii_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.spans(table(spark, sf_dir, "documents"))
 
 
+def op9_quality_ranker(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ranker.quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), threshold=0.7)
+
+
 def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokencount.token_counts(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
 
-QUERIES = {f.__name__: f for f in (op1_warc_records, op2_repair_tokens, op3_nra_topk, op4_decontaminate, op5_jaccard_components, op6_url_filter, op7_byte_bpe, op8_pii_spans, op10_token_counts)}
+QUERIES = {f.__name__: f for f in (op1_warc_records, op2_repair_tokens, op3_nra_topk, op4_decontaminate, op5_jaccard_components, op6_url_filter, op7_byte_bpe, op8_pii_spans, op9_quality_ranker, op10_token_counts)}
