@@ -2,5 +2,14 @@
 
 from __future__ import annotations
 
+from importlib import import_module
+
+#: The modules of plans, in the order of their operators' ids.
+PLANS = ("aggregates", "relational")
+
 QUERIES: dict = {}
 ORACLES: dict[str, str] = {}
+for _name in PLANS:
+    _plan = import_module(f"rostrum.plans.{_name}")
+    QUERIES |= _plan.QUERIES
+    ORACLES |= _plan.ORACLES
