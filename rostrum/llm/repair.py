@@ -27,7 +27,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import Atomic, arrow_map, arrow_schema, opened, scratch, struct, written
+from .common import Atomic, Numbering, arrow_map, arrow_schema, gather, opened, scratch, struct, written
 
 MAGIC = b"RSTPAIR1"
 #: A shard is closed after so many tokens. A pair becomes a rule if it occurs so often; at most so many rules a round.
@@ -42,6 +42,8 @@ def tokenizer(path: str):
     return Tokenizer.from_file(path)
 
 
+#: Segments that a worker remembers from shard to shard, before it starts anew.
+MEMORY = 800_000
 #: Symbols of a shard at most, so that each takes two bytes, unless the vocabulary alone is larger.
 MAX_SYMBOLS = 1 << 16
 #: Below this character, letters stay letters when the tokenizer normalises them, but for the dotted capital I.
@@ -58,25 +60,17 @@ def word_ends(path: str) -> np.ndarray:
     return out
 
 
-class Numbering(dict):
-    """Numbers keys in the order in which they are first asked for."""
-
-    def __init__(self):
-        self.new: list[bytes] = []
-
-    def __missing__(self, key: bytes) -> int:
-        n = self[key] = len(self)
-        self.new.append(key)
-        return n
-
-
 class Segments:
-    """Distinct segments of a shard: their ids one after the other, their ends, and their occurrences."""
+    """Distinct segments that a worker has met: their ids one after the other. Numbers hold until forget()."""
 
     def __init__(self, path: str):
-        self.path, self.tok, self.index = path, tokenizer(path), Numbering()
-        self.ids: list[np.ndarray] = []
-        self.sizes: list[np.ndarray] = []
+        self.path, self.tok = path, tokenizer(path)
+        self.forget()
+
+    def forget(self) -> None:
+        self.index = Numbering()
+        self.ids: list[np.ndarray] = [np.empty(0, np.int32)]
+        self.sizes: list[np.ndarray] = [np.empty(0, np.int64)]
 
     def numbers(self, text: str) -> np.ndarray:
         words = text.encode().split()
@@ -85,7 +79,7 @@ class Segments:
     def encode_new(self) -> None:
         """Encode the segments that are new. Latin words are one piece each, so a run of them is encoded as one text and cut after each id that ends a word."""
         new, self.index.new = [w.decode() for w in self.index.new], []
-        one = np.fromiter((w.isalpha() and max(w) < LATIN_END and DOTTED not in w for w in new), bool, len(new))
+        one = np.fromiter((w.isalpha() and (w.isascii() or max(w) < LATIN_END and DOTTED not in w) for w in new), bool, len(new))
         ids, sizes = [np.empty(0, np.int32)], np.zeros(len(new), np.int64)
         # plain words first, then the others; put into the order of new below
         order = np.argsort(~one, kind="stable")
@@ -110,7 +104,13 @@ class Segments:
         return np.array(e.ids, np.int32), np.bincount(np.array(e.word_ids, np.int64), minlength=len(words)) if len(e.ids) else np.zeros(len(words), np.int64)
 
     def flat(self) -> tuple[np.ndarray, np.ndarray]:
-        return (np.concatenate(self.ids), np.concatenate(self.sizes)) if self.ids else (np.empty(0, np.int32), np.empty(0, np.int64))
+        self.ids, self.sizes = [np.concatenate(self.ids)], [np.concatenate(self.sizes)]
+        return self.ids[0], self.sizes[0]
+
+
+@lru_cache(maxsize=1)
+def segments(path: str) -> Segments:
+    return Segments(path)
 
 
 def grammar(flat: np.ndarray, sizes: np.ndarray, weights: np.ndarray, base: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -123,17 +123,20 @@ def grammar(flat: np.ndarray, sizes: np.ndarray, weights: np.ndarray, base: int)
         owner = np.repeat(np.arange(len(sizes)), sizes)
         inside = owner[1:] == owner[:-1]
         keys = np.where(inside, flat[:-1].astype(np.int64) << 32 | flat[1:], -1)
-        pairs, which = np.unique(keys, return_inverse=True)
-        count = np.bincount(which, weights=weights[owner[:-1]])
-        if pairs[0] == -1:
-            count[0] = 0
+        # segments that occur once seldom make a pair frequent: they follow the rules, but are not sorted to find them
+        often = inside & (weights[owner[:-1]] > 1)
+        pairs, which = np.unique(keys[often], return_inverse=True)
+        count = np.bincount(which, weights=weights[owner[:-1][often]], minlength=len(pairs))
         order = np.argsort(-count, kind="stable")[: min(ROUND_RULES, MAX_SYMBOLS - base - made)]
         order = order[count[order] >= MIN_PAIR]
         if not len(order):
             break
-        rank = np.full(len(pairs) + 1, 1 << 30, np.int64)
-        rank[order] = np.arange(len(order))
-        r = np.concatenate([[1 << 30], rank[which], [1 << 30]])
+        by_key = np.argsort(pairs[order])
+        sides = pairs[order]
+        place = np.searchsorted(sides[by_key], keys)
+        place[place == len(order)] = 0
+        rank = np.where(sides[by_key][place] == keys, by_key[place], 1 << 30)
+        r = np.concatenate([[1 << 30], rank, [1 << 30]])
         mid = r[1:-1]
         chosen = (mid < 1 << 30) & (mid < r[:-2]) & (mid <= r[2:])
         use = np.bincount(mid[chosen], weights=weights[owner[:-1][chosen]], minlength=len(order))
@@ -143,7 +146,7 @@ def grammar(flat: np.ndarray, sizes: np.ndarray, weights: np.ndarray, base: int)
         at = at[keep[mid[at]]]
         if not len(at):
             break
-        sides = pairs[order[keep]]
+        sides = sides[keep]
         rules.append(np.stack([sides >> 32, sides & 0xFFFFFFFF], 1))
         flat = flat.copy()
         flat[at] = base + made + number[mid[at]]
@@ -155,13 +158,6 @@ def grammar(flat: np.ndarray, sizes: np.ndarray, weights: np.ndarray, base: int)
     return flat, sizes, np.concatenate(rules).astype(np.uint32) if rules else np.empty((0, 2), np.uint32)
 
 
-def gather(flat: np.ndarray, sizes: np.ndarray, which: np.ndarray, starts: np.ndarray | None = None) -> np.ndarray:
-    """The runs of flat that which names, one after the other."""
-    starts, n = (np.cumsum(sizes) - sizes if starts is None else starts)[which], sizes[which]
-    ends = np.cumsum(n)
-    return flat[np.repeat(starts - (ends - n), n) + np.arange(ends[-1] if len(ends) else 0)]
-
-
 class Writer:
     """Collects documents and writes a shard when it is full."""
 
@@ -170,7 +166,9 @@ class Writer:
         self.clear()
 
     def clear(self) -> None:
-        self.segments, self.ids, self.docs, self.words = Segments(self.path), [], [], 0
+        self.segments, self.ids, self.docs, self.words = segments(self.path), [], [], 0
+        if len(self.segments.index) > MEMORY:
+            self.segments.forget()
 
     def add(self, ids: list, texts: list[str]) -> None:
         self.ids += ids
@@ -183,15 +181,20 @@ class Writer:
         return self.words * 2 >= SHARD_TOKENS
 
     def flush(self) -> dict:
-        flat, sizes = self.segments.flat()
+        known, known_sizes = self.segments.flat()
         numbers, per_doc = np.concatenate([np.empty(0, np.int32), *self.docs]), np.fromiter(map(len, self.docs), np.int64, len(self.docs))
-        weights = np.bincount(numbers, minlength=len(sizes)).astype(np.float64)
+        # the shard's own segments, numbered anew
+        weights = np.bincount(numbers, minlength=len(known_sizes)).astype(np.float64)
+        used = np.flatnonzero(weights)
+        weights, sizes, flat = weights[used], known_sizes[used], gather(known, known_sizes, used)
+        place = np.zeros(len(known_sizes), np.int64)
+        place[used] = np.arange(len(used))
         short, now, rules = grammar(flat, sizes, weights, self.base)
         # the end id is one more segment, after each document's own
         end = len(sizes)
         flat_end, now_end, size_end = np.append(short, self.end_id), np.append(now, 1), np.append(sizes, 1)
         ends = np.cumsum(per_doc)
-        which = np.insert(numbers.astype(np.int64), ends, end)
+        which = np.insert(place[numbers], ends, end)
         symbols = gather(flat_end, now_end, which)
         doc_ends = ends + np.arange(1, len(ends) + 1)
         to = lambda n: np.concatenate([[0], np.cumsum(n[which])])[doc_ends]
