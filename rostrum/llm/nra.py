@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import arrow_map, struct, written
+from .common import arrow_map, remove, struct, written
 
 #: Queries and candidates of a block, and the depths (parts of a list) to which lists are read before all is read.
 QUERY_BLOCK, CANDIDATE_BLOCK, DEPTHS = 512, 4096, (0.35, 0.6)
@@ -127,13 +127,23 @@ def top_k(vectors: DataFrame, *, k: int = 20, query_every: int = 20, scale: int
     Blocks have a fixed number of rows, whatever the ids, so that no key is hot.
     """
     v = quantised(vectors, scale=scale, id_col=id_col, vector_col=vector_col)
-    pack = lambda df, rows: arrow_map(df, _pack, struct(BLOCK), rows=rows)
-    x = written(pack(v.dropDuplicates(["vec_id", "x"]), candidate_block), "nra-candidates")
-    q = written(pack(v.where(F.pmod("vec_id", F.lit(query_every)) == 0).dropDuplicates(["vec_id", "x"]), query_block), "nra-queries")
+
+    def pack(df: DataFrame, rows: int, name: str) -> DataFrame:
+        kept = written(df.dropDuplicates(["vec_id", "x"]), f"{name}-rows")
+        # as few tasks as there are full blocks, so that blocks are full however the input is dealt
+        full = kept.coalesce(max(1, -(-kept.count() // rows)))
+        out = written(arrow_map(full, _pack, struct(BLOCK), rows=rows), name)
+        remove(df.sparkSession, kept.rostrum_path)
+        return out
+
+    x = pack(v, candidate_block, "nra-candidates")
+    q = pack(v.where(F.pmod("vec_id", F.lit(query_every)) == 0), query_block, "nra-queries")
     # every block of queries meets every block of candidates of its length: an equi join of a few large rows
     named = lambda df, s: df.select("dims", F.col("n").alias(f"{s}_n"), F.col("ids").alias(f"{s}_ids"), F.col("values").alias(f"{s}_values"))
     n = max(1, int(vectors.sparkSession.conf.get("spark.sql.shuffle.partitions")))
-    met = named(x, "x").repartition(n).join(F.broadcast(named(q, "q")) if q.count() * query_block <= 65_536 else named(q, "q"), "dims")
+    # a block of candidates goes to one of n places, a block of queries to all
+    salted = named(x, "x").withColumn("salt", F.pmod(F.xxhash64("x_ids"), F.lit(n)))
+    met = salted.join(named(q, "q").withColumn("salt", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(n - 1).cast("long")))), ["dims", "salt"])
     found = arrow_map(met, _search, struct("query_id long, vec_id long, score long"), k=k)
     found = found.groupBy("query_id", "vec_id").agg(F.max("score").alias("score"))
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), F.asc("vec_id"))
