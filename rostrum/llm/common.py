@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import tempfile
 import uuid
 import zlib
@@ -63,6 +64,12 @@ def remove(spark: SparkSession, path: str | None) -> None:
         p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
 
 
+def tidy(spark: SparkSession) -> None:
+    """Let Spark drop the shuffle files of steps that are done; it does so once nothing refers to them."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 def within(df: DataFrame, rows: int) -> bool:
     """Whether df has at most that many rows; counts no more of it than needed."""
     return df.limit(rows + 1).count() <= rows

@@ -4,7 +4,7 @@
 2. Two sets that link share a shingle of their prefixes: the part of a set that comes first in one order of all shingles
    and is one longer than what a partner may lack. The order is by hash, but shingles that are frequent in prefixes come last. Any
    order is exact; this one keeps a common passage or line from drawing all its documents together.
-3. Classes that share a prefix shingle gather around the smallest of them, in chunks of a fixed number of documents.
+3. Classes that share a prefix shingle and are of like size gather around the smallest of them, in chunks of a fixed number of documents.
 4. In a chunk, each document searches those before it: of the inverted lists of its shingles, the short ones are merged by a heap, the
    long ones are probed by bisection, and what reaches the required overlap links. Documents already known to be connected
    are not compared again, so that a group of near copies costs about one comparison a document.
@@ -29,11 +29,11 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import arrow_map, remove, struct, written
+from .common import arrow_map, remove, struct, tidy, written
 from .graph import components, join_small
 
 #: Documents of a chunk. A shingle in more prefixes than FREQUENT comes last in the order; at most ORDER_LIMIT such shingles are broadcast.
-CHUNK, FREQUENT, ORDER_LIMIT = 256, 256, 500_000
+CHUNK, FREQUENT, ORDER_LIMIT = 256, 4, 500_000
 #: DivideSkip's parameter: the larger, the fewer lists count as long.
 MU = 0.01
 #: Word hashes that a worker remembers.
@@ -249,11 +249,11 @@ def jaccard_components(docs: DataFrame, *, k: int = 5, percent: int = 80, id_col
     copies = written(classes(sketch.drop("prefix")).where("n > 1").drop("n"), "copies")
 
     def buckets(s: DataFrame) -> tuple[DataFrame, DataFrame]:
-        """Rows (h, doc_id) of the classes' prefixes, and the shingles that several have, with the smallest of those."""
+        """Rows (h, doc_id, n_shingles) of the classes' prefixes, and the shingles that several of them have."""
         one = join_small(s.where("print IS NOT NULL AND doc_id IS NOT NULL"), copies, "print", "left").where("rep IS NULL OR rep = doc_id")
-        rows = one.select("doc_id", F.explode("prefix").alias("h"))
-        many = rows.groupBy("h").agg(F.min("doc_id").alias("pivot"), F.max("doc_id").alias("top"), F.count(F.lit(1)).alias("n")).where("pivot < top")
-        return rows, written(many.drop("top"), "buckets")
+        rows = one.select("doc_id", "n_shingles", F.explode("prefix").alias("h"))
+        many = rows.groupBy("h").agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("top"), F.count(F.lit(1)).alias("n")).where("low < top")
+        return rows, written(many.select("h", "n"), "buckets")
 
     rows, many = buckets(sketch)
     limit = frequent
@@ -264,10 +264,21 @@ def jaccard_components(docs: DataFrame, *, k: int = 5, percent: int = 80, id_col
         late_sketch = written(arrow_map(d, _sketch, schema, k=k, percent=percent, last=spark.sparkContext.broadcast(order)), "sketch")
         remove(spark, sketch.rostrum_path)
         remove(spark, many.rostrum_path)
+        del rows, many
+        tidy(spark)
         sketch = late_sketch
         rows, many = buckets(sketch)
 
-    gather = written(join_small(rows, many.select("h", "pivot"), "h").where("doc_id <> pivot").select("pivot", "doc_id").distinct(), "gatherings")
+    # sets that link differ in size by less than one band, so each goes to its own band and the next
+    shared = written(join_small(rows, many.select("h"), "h"), "shared")
+    tidy(spark)
+    band = F.floor(F.log(F.col("n_shingles").cast("double")) / (math.log(100 / percent) * (1 + 1e-9) if percent < 100 else 1e-9)).cast("long")
+    banded = shared.select("h", "doc_id", F.explode(F.array(band, band + 1)).alias("band"))
+    pivots = written(banded.groupBy("h", "band").agg(F.min("doc_id").alias("pivot"), F.max("doc_id").alias("top")).where("pivot < top").drop("top"), "pivots")
+    gather = written(join_small(banded, pivots, ["h", "band"]).where("doc_id <> pivot").select("pivot", "doc_id").distinct(), "gatherings")
+    for x in (many, shared, pivots):
+        remove(spark, x.rostrum_path)
+    tidy(spark)
     large = written(gather.groupBy("pivot").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > chunk).select("pivot", F.ceil(F.col("n") / chunk).cast("int").alias("chunks")), "large")
     put = join_small(gather, large, "pivot", "left").select("pivot", "doc_id", F.pmod(F.xxhash64("doc_id"), F.coalesce("chunks", F.lit(1))).cast("int").alias("chunk"))
     # the pivot is in every chunk of its gathering
