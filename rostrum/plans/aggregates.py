@@ -130,9 +130,9 @@ def a2_distributions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "orders").groupBy("o_orderpriority", F.year("o_orderdate").alias("yr")).agg(F.count(F.lit(1)).alias("n"), F.median("o_totalprice").alias("median"), F.avg((F.col("o_orderstatus") == "F").cast("double")).alias("done_share"))
 
 
-@query(f"WITH {_RATES} SELECT lang, source, round(avg(northern), 2) AS northern, round(avg(southern), 2) AS southern, count(*) AS n FROM r GROUP BY GROUPING SETS ((lang), (source))")
+@query(f"WITH {_RATES} SELECT lang, source, round(avg(northern), 6) AS northern, round(avg(southern), 6) AS southern, count(*) AS n FROM r GROUP BY GROUPING SETS ((lang), (source))")
 def a4_grouping_sets(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return A.means_by(_rates(spark, sf_dir), ["lang", "source"], ["northern", "southern"])
+    return A.means_by(_rates(spark, sf_dir), ["lang", "source"], ["northern", "southern"], 6)
 
 
 @query("SELECT lang, quality, count(*) AS n, round(avg(n_chars), 3) AS mean FROM documents JOIN labels USING (doc_id) GROUP BY CUBE (lang, quality)")
