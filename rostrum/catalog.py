@@ -5,7 +5,7 @@ from __future__ import annotations
 from importlib import import_module
 
 #: The modules of plans, in the order of their operators' ids.
-PLANS = ("aggregates", "relational", "text", "analysis")
+PLANS = ("aggregates", "relational", "text", "analysis", "reports")
 
 QUERIES: dict = {}
 ORACLES: dict[str, str] = {}

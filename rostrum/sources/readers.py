@@ -85,3 +85,12 @@ def rating(df: DataFrame, html: str, fields: dict[str, str]) -> DataFrame:
     """df with the fields of a rating page: the first match of each pattern's group, tags and entities off."""
     plain = F.replace(F.replace(F.regexp_replace(F.regexp_replace(F.col(html), r"<[^>]+>", " "), r"\s+", " "), F.lit("&amp;"), F.lit("&")), F.lit("&#8217;"), F.lit("’"))
     return df.withColumn("_p", plain).select(*df.columns, *[F.nullif(F.btrim(F.regexp_extract("_p", p, 1)), F.lit("")).alias(n) for n, p in fields.items()])
+
+
+def aliased(df: DataFrame, aliases: dict[str, str], required: list[str]) -> DataFrame:
+    """df with its headers made alike (trimmed, lower case) and renamed by an alias table; an error if a required column is missing."""
+    names = {c: aliases.get(c.strip().lower(), c.strip().lower()) for c in df.columns}
+    missing = [r for r in required if r not in names.values()]
+    if missing:
+        raise ValueError(f"columns are missing: {missing}")
+    return df.withColumnsRenamed(names).select(*required)
