@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..sources.tables import stored
+
 
 def token_table(df: DataFrame, doc: str, tokens: Column, keep: Sequence[str] = ()) -> DataFrame:
     """doc, pos (from 0), token of every token of an array column."""
@@ -42,7 +44,8 @@ def tfidf(df: DataFrame, doc: str, tokens: Column, *, min_df: int = 2, max_df: f
 
     Tokens in fewer than min_df documents or more than the max_df share of them are left out; n counts all documents.
     """
-    tf = df.select(doc, F.explode(tokens).alias("token")).groupBy(doc, "token").agg(F.count(F.lit(1)).alias("tf"))
+    # used three times: texts are split into tokens once
+    tf = stored(df.select(doc, F.explode(tokens).alias("token")).groupBy(doc, "token").agg(F.count(F.lit(1)).alias("tf")))
     n = df.agg(F.count(F.lit(1)).alias("docs"))
     dfs = tf.groupBy("token").agg(F.count(F.lit(1)).alias("df"))
     kept = dfs.join(F.broadcast(n), F.lit(True)).where((F.col("df") >= min_df) & (F.col("df") <= max_df * F.col("docs")))
@@ -73,7 +76,7 @@ def cosine_pairs(weights: DataFrame, doc: str, least: float) -> DataFrame:
 
 def log_odds(df: DataFrame, group: str, tokens: Column, *, least_prior: int = 10, least: int = 5, k: int = 10) -> DataFrame:
     """group, token, n, z, place: each group's k most distinctive tokens by weighted log-odds with the corpus as prior; ties to the larger token."""
-    c = df.select(group, F.explode(tokens).alias("token")).groupBy(group, "token").agg(F.count(F.lit(1)).alias("y"))
+    c = stored(df.select(group, F.explode(tokens).alias("token")).groupBy(group, "token").agg(F.count(F.lit(1)).alias("y")))
     totals = c.groupBy(group).agg(F.sum("y").alias("n_g"))
     prior = c.groupBy("token").agg(F.sum("y").alias("p"))
     whole = c.agg(F.sum("y").alias("n_all"))

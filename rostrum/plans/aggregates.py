@@ -9,6 +9,7 @@ from ..functions import lexicon, numbers, rules
 from ..functions import strings as S
 from ..operators import aggregates as A
 from ..operators import attention as T
+from ..sources.tables import stored
 from .common import table
 
 QUERIES: dict = {}
@@ -220,7 +221,8 @@ def _panel(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, Data
     outlets = s.join(n, s.s_nationkey == n.n_nationkey).join(words, "s_suppkey", "left").select(F.col("n_name").alias("country"), F.col("s_suppkey").alias("outlet"), F.when(F.col("s_acctbal") > 5000, F.col("s_acctbal")).alias("reach"), "words", "reports")
     mentions = l.join(table(spark, sf_dir, "part").select("p_partkey", "p_brand"), l.l_partkey == F.col("p_partkey")).groupBy(F.col("l_suppkey").alias("outlet"), F.col("p_brand").alias("subject")).agg(F.count(F.lit(1)).alias("n"))
     own = n.select(F.col("n_name").alias("country"), F.concat(F.lit("Brand#"), (F.col("n_nationkey") % 5 + 1).cast("string"), (F.floor(F.col("n_nationkey") / 5) + 1).cast("string")).alias("subject"))
-    return T.panel(outlets), mentions, own
+    # both are small next to the tables they sum up, and are used several times
+    return stored(T.panel(outlets)), stored(mentions), own
 
 
 @query(f"WITH {_PANEL} SELECT country, outlet, round(weight, 9) AS weight, rule FROM panel")
