@@ -15,6 +15,10 @@ from rostrum.llm import bytebpe, decontam, jaccard, pii, ranker
 from rostrum.llm.common import table, written
 
 
+#: Pieces that a worker of the last stage remembers: fewer than alone, as the stages before it leave an executor's heap grown.
+CODER_MEMORY = 300_000
+
+
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the ranker, trained on the labels that are not held out, accepts."""
     labels = table(spark, sf_dir, "labels")
@@ -39,7 +43,7 @@ def redact_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 def encode_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token counts and digests of what is left, encoded and decoded again."""
-    return bytebpe.digests(docs, public_tokenizers.path("byte_bpe_multi_50k.tiktoken"))
+    return bytebpe.digests(docs, public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), memory=CODER_MEMORY)
 
 
 STAGES = [

@@ -22,14 +22,14 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Numbering, arrow_map, gather, struct
+from .common import Numbering, arrow_map, gather, held, struct
 from .tokencount import PATTERN
 
 #: Pieces in a recursive query; squared bytes of a chunk's pieces (the recursion keeps the rows of each round);
 #: bytes from which a piece is merged by a heap, with the same result, since its rounds would be too many.
-CHUNK_PIECES, CHUNK_SQUARES, LONG = 50_000, 8_000_000, 512
-#: Pieces and ids that a worker remembers, before it starts anew.
-MEMORY, MEMORY_IDS = 1_200_000, 12_000_000
+CHUNK_PIECES, CHUNK_SQUARES, LONG = 20_000, 4_000_000, 512
+#: Pieces that a worker remembers before it starts anew (about 200 bytes each), and ids in all for each of them.
+MEMORY, IDS_A_PIECE = 1_200_000, 10
 #: Tokens of a decoding query.
 CHUNK_TOKENS = 500_000
 
@@ -91,7 +91,7 @@ class Coder:
                     ids.append(rank)
         self.pairs = dict(zip(pairs, ids))
         self.byte = np.array([ranks[bytes([b])] for b in range(256)], np.int32)
-        self.con = duckdb.connect(config={"threads": 1, "memory_limit": "320MB", "temp_directory": ""})
+        self.con = duckdb.connect(config={"threads": 1, "memory_limit": "200MB", "temp_directory": ""})
         self.con.register("given", pa.table({"pair": pa.array(pairs, pa.int64()), "rank": pa.array(ids, pa.int32())}))
         self.con.execute("CREATE TABLE merges AS SELECT * FROM given")
         # one character for each byte, U+0000 to U+00FF
@@ -99,6 +99,7 @@ class Coder:
         self.con.execute("CREATE TABLE vocabulary AS SELECT * FROM given")
         self.con.unregister("given")
         self.split = regex.compile(PATTERN)
+        self.memory = MEMORY
         self.forget()
 
     def forget(self) -> None:
@@ -173,7 +174,7 @@ class Coder:
 
     def numbers(self, texts: list[str]) -> list[list[int]]:
         """The numbers of each text's pieces; new pieces are encoded. Numbers hold until the next call."""
-        if len(self.index) > MEMORY or self.used > MEMORY_IDS:
+        if len(self.index) > self.memory or self.used > IDS_A_PIECE * self.memory:
             self.forget()
         get, findall = self.index.__getitem__, self.split.findall
         out = [list(map(get, findall(t))) for t in texts]
@@ -231,6 +232,9 @@ def coder(path: str) -> Coder:
     return Coder(path)
 
 
+held(__name__, coder.cache_clear)
+
+
 def _groups(texts: list[str], chars: int = 2 << 20) -> Iterator[list[str]]:
     """Runs of texts of about so many characters, so that ids of a whole batch are never held at once."""
     run, n = [], 0
@@ -244,8 +248,9 @@ def _groups(texts: list[str], chars: int = 2 << 20) -> Iterator[list[str]]:
         yield run
 
 
-def _digests(batches: Iterator[pa.RecordBatch], *, path: str) -> Iterator[pa.RecordBatch]:
+def _digests(batches: Iterator[pa.RecordBatch], *, path: str, memory: int) -> Iterator[pa.RecordBatch]:
     c = coder(path)
+    c.memory = memory
     for b in batches:
         n, ids_sha, out_sha = [], [], []
         for texts in _groups([x or "" for x in b.column(1).to_pylist()]):
@@ -289,11 +294,13 @@ def decode(encoded: DataFrame, ranks: str, *, id_col: str = "doc_id", ids_col: s
     return arrow_map(_pick(encoded, id_col, ids_col, "array<int>"), _texts, struct("doc_id long, bytes binary"), path=ranks)
 
 
-def digests(docs: DataFrame, ranks: str, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def digests(docs: DataFrame, ranks: str, *, id_col: str = "doc_id", text_col: str = "text", memory: int = MEMORY) -> DataFrame:
     """Encode and decode every row in one pass: doc_id, n_tokens, ids_sha256 (of decimal ids joined by commas), decoded_sha256.
 
+    memory is the number of pieces that a worker remembers; fewer take less memory and more time, with the same result.
+
     A null text counts as empty: 0 tokens and the digests of nothing. Repeated rows and null ids give a row each, an empty
     table none. Other columns are not read, so their names cannot clash.
     """
     schema = struct("doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string")
-    return arrow_map(_pick(docs, id_col, text_col, "string"), _digests, schema, path=ranks)
+    return arrow_map(_pick(docs, id_col, text_col, "string"), _digests, schema, path=ranks, memory=memory)

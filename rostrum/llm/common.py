@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import gc
 import tempfile
 import uuid
@@ -109,11 +110,42 @@ def opened(uri: str):
     return fs.open_input_stream(path, compression=None, buffer_size=1 << 20)
 
 
+#: What modules hold in a worker between tasks, by module: functions that let go of it.
+_HELD: dict[str, Callable[[], None]] = {}
+
+
+def held(module: str, let_go: Callable[[], None]) -> None:
+    """Say how to free what a module remembers in a worker."""
+    _HELD[module] = let_go
+
+
+def only(module: str) -> None:
+    """At a task's start: free what other modules remember, so that a worker that serves several operators holds one memory at a time."""
+    others = [f for m, f in _HELD.items() if m != module]
+    if others and _LAST[:1] != [module]:
+        for f in others:
+            f()
+        gc.collect()
+        try:
+            ctypes.CDLL("libc.so.6").malloc_trim(0)
+        except (OSError, AttributeError):  # another C library
+            pass
+    _LAST[:] = [module]
+
+
+_LAST: list[str] = []
+
+
+def _alone(batches: Iterator[pa.RecordBatch], *, fn: Callable[..., Iterator[pa.RecordBatch]], **fixed) -> Iterator[pa.RecordBatch]:
+    only(fn.__module__)
+    yield from fn(batches, **fixed)
+
+
 def arrow_map(df: DataFrame, fn: Callable[..., Iterator[pa.RecordBatch]], schema: T.StructType, **fixed) -> DataFrame:
     """mapInArrow of a module-level function with fixed arguments."""
     ship(df.sparkSession)
     small_batches(df.sparkSession)
-    return df.mapInArrow(partial(fn, **fixed), schema)
+    return df.mapInArrow(partial(_alone, fn=fn, **fixed), schema)
 
 
 def crc(text: str) -> int:

@@ -29,15 +29,17 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import arrow_map, remove, struct, tidy, written
+from .common import arrow_map, held, only, remove, struct, tidy, written
 from .graph import components, join_small
 
 #: Documents of a chunk. A shingle in more prefixes than FREQUENT comes last in the order; at most ORDER_LIMIT such shingles are broadcast.
 CHUNK, FREQUENT, ORDER_LIMIT = 256, 4, 500_000
 #: DivideSkip's parameter: the larger, the fewer lists count as long.
 MU = 0.01
+#: Shingles of a chunk, which bound a task's memory where documents are long; a longer document is a chunk's only one or so.
+CHUNK_SHINGLES = 200_000
 #: Word hashes that a worker remembers.
-MEMORY = 1_000_000
+MEMORY = 400_000
 
 #: Odd multipliers of the splitmix64 generator.
 M1, M2, M3 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB), np.uint64(0x9E3779B97F4A7C15)
@@ -54,6 +56,7 @@ class Hashes(dict):
 
 
 HASHES = Hashes()
+held(__name__, HASHES.clear)
 
 
 def shingles(text: str | None, k: int) -> np.ndarray:
@@ -208,6 +211,7 @@ def search(sets: list[np.ndarray], known: list, percent: int) -> list[tuple[int,
 
 
 def _search(group: pa.Table, *, k: int, percent: int) -> pa.Table:
+    only(__name__)
     ids, known = group.column("doc_id").to_pylist(), group.column("known").to_pylist()
     sets = [shingles(t, k) for t in group.column("text").to_pylist()]
     first: dict = {}
@@ -273,29 +277,30 @@ def jaccard_components(docs: DataFrame, *, k: int = 5, percent: int = 80, id_col
     shared = written(join_small(rows, many.select("h"), "h"), "shared")
     tidy(spark)
     band = F.floor(F.log(F.col("n_shingles").cast("double")) / (math.log(100 / percent) * (1 + 1e-9) if percent < 100 else 1e-9)).cast("long")
-    banded = shared.select("h", "doc_id", F.explode(F.array(band, band + 1)).alias("band"))
+    banded = shared.select("h", "doc_id", "n_shingles", F.explode(F.array(band, band + 1)).alias("band"))
     pivots = written(banded.groupBy("h", "band").agg(F.min("doc_id").alias("pivot"), F.max("doc_id").alias("top")).where("pivot < top").drop("top"), "pivots")
-    gather = written(join_small(banded, pivots, ["h", "band"]).where("doc_id <> pivot").select("pivot", "doc_id").distinct(), "gatherings")
+    gather = written(join_small(banded, pivots, ["h", "band"]).where("doc_id <> pivot").select("pivot", "doc_id", "n_shingles").distinct(), "gatherings")
     for x in (many, shared, pivots):
         remove(spark, x.rostrum_path)
     tidy(spark)
-    large = written(gather.groupBy("pivot").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > chunk).select("pivot", F.ceil(F.col("n") / chunk).cast("int").alias("chunks")), "large")
-    put = join_small(gather, large, "pivot", "left").select("pivot", "doc_id", F.pmod(F.xxhash64("doc_id"), F.coalesce("chunks", F.lit(1))).cast("int").alias("chunk"))
+    many_of = F.greatest(F.ceil(F.count(F.lit(1)) / chunk), F.ceil(F.sum("n_shingles") / CHUNK_SHINGLES)).cast("int")
+    large = written(gather.groupBy("pivot").agg(many_of.alias("chunks")).where("chunks > 1"), "large")
+    put = join_small(gather, large, "pivot", "left").select("pivot", "doc_id", "n_shingles", F.pmod(F.xxhash64("doc_id"), F.coalesce("chunks", F.lit(1))).cast("int").alias("chunk"))
     # the pivot is in every chunk of its gathering
-    pivots = put.select("pivot", "chunk").distinct().select("pivot", F.col("pivot").alias("doc_id"), "chunk")
+    pivots = put.select("pivot", "chunk").distinct().select("pivot", F.col("pivot").alias("doc_id"), F.lit(0).cast("long").alias("n_shingles"), "chunk")
     groups = written(put.unionByName(pivots).withColumn("known", F.lit(None).cast("long")), "groups")
     links = written(_links(d, groups, ["pivot", "chunk"], k, percent), "links")
     labels = written(components(links), "components")
 
     if not large.isEmpty():
         wide = join_small(groups.drop("known"), large, "pivot").dropDuplicates(["pivot", "chunk", "doc_id"])
-        wide = join_small(wide, labels.withColumnRenamed("node", "doc_id"), "doc_id", "left").select("pivot", "chunk", "chunks", "doc_id", F.coalesce("component", "doc_id").alias("known"))
+        wide = join_small(wide, labels.withColumnRenamed("node", "doc_id"), "doc_id", "left").select("pivot", "chunk", "chunks", "doc_id", "n_shingles", F.coalesce("component", "doc_id").alias("known"))
         wide = written(wide, "wide")
         most = wide.groupBy("pivot", "known").agg(F.count(F.lit(1)).alias("n")).groupBy("pivot").agg(F.max_by("known", F.struct("n", "known")).alias("most"))
         rest = join_small(wide, written(most, "most"), "pivot").where("known <> most")
         if not rest.isEmpty():
             # blocks of the rest meet every other chunk of their gathering
-            parts = written(rest.groupBy("pivot").agg(F.ceil(F.count(F.lit(1)) / chunk).cast("int").alias("parts")), "parts")
+            parts = written(rest.groupBy("pivot").agg(F.greatest(many_of, F.lit(1)).alias("parts")), "parts")
             split = join_small(rest, parts, "pivot").select("pivot", "chunks", "doc_id", "known", "parts", F.pmod(F.xxhash64("doc_id", F.lit(1)), F.col("parts")).cast("int").alias("part"))
             a = split.select("pivot", "doc_id", "known", "part", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)).alias("chunk"))
             b = join_small(wide, parts, "pivot").select("pivot", "doc_id", "known", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"), "chunk")

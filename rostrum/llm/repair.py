@@ -27,7 +27,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import Atomic, Numbering, arrow_map, arrow_schema, gather, opened, scratch, struct, written
+from .common import Atomic, Numbering, arrow_map, arrow_schema, gather, held, opened, scratch, struct, written
 
 MAGIC = b"RSTPAIR1"
 #: A shard is closed after so many tokens. A pair becomes a rule if it occurs so often; at most so many rules a round.
@@ -113,6 +113,14 @@ def segments(path: str) -> Segments:
     return Segments(path)
 
 
+def _let_go() -> None:
+    segments.cache_clear()
+    tokenizer.cache_clear()
+
+
+held(__name__, _let_go)
+
+
 def grammar(flat: np.ndarray, sizes: np.ndarray, weights: np.ndarray, base: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Re-Pair over segments: their symbols, the sizes now, and the rules (n, 2)."""
     rules: list[np.ndarray] = []

@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import arrow_map
+from .common import arrow_map, held
 
 #: Pieces, and the length of a piece in characters, that a worker remembers; longer or later pieces are counted anew.
 MEMORY, MEMORY_CHARS = 600_000, 64
@@ -125,6 +125,9 @@ def counter(path: str) -> HeapCounter:
     return HeapCounter(path)
 
 
+held(__name__, counter.cache_clear)
+
+
 def _count(batches: Iterator[pa.RecordBatch], *, path: str, limit: int) -> Iterator[pa.RecordBatch]:
     c = counter(path)
     for b in batches:

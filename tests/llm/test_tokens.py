@@ -61,9 +61,9 @@ def test_encode_then_decode_tables(spark, docs):
     assert sorted(bytes(r["bytes"]) for r in back.collect()) == sorted((t or "").encode() for _, t in TEXTS)
 
 
-def test_memory_can_be_forgotten(monkeypatch):
-    monkeypatch.setattr(bytebpe, "MEMORY", 10)
+def test_memory_can_be_forgotten():
     enc, c = _tiktoken(), bytebpe.Coder(RANKS)
+    c.memory = 10
     for t in ("one two three four five six seven eight nine ten eleven twelve", "thirteen fourteen one two", "again one"):
         assert c.encode([t])[0].tolist() == enc.encode_ordinary(t)
 
