@@ -94,3 +94,37 @@ def aliased(df: DataFrame, aliases: dict[str, str], required: list[str]) -> Data
     if missing:
         raise ValueError(f"columns are missing: {missing}")
     return df.withColumnsRenamed(names).select(*required)
+
+
+def tar_texts(spark: SparkSession, path: str) -> DataFrame:
+    """iso3, session, year, text of the members ISO_session_year.txt of tar or tar.gz archives, read as streams; bad UTF-8 is replaced.
+
+    An archive is a row of its own, so it may have up to 2 GB; larger corpora are better unpacked and read by corpus_texts.
+    """
+    import io
+    import re
+    import tarfile
+    from collections.abc import Iterator
+
+    import pandas as pd
+
+    from ..session import ship
+
+    ship(spark)
+    name = re.compile(r"(?:^|/)([A-Z]{2,4})_(\d+)_(\d{4})\.txt$")
+
+    def members(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for b in batches:
+            for content in b["content"]:
+                rows = []
+                with tarfile.open(fileobj=io.BytesIO(content), mode="r|*") as t:
+                    for m in t:
+                        hit = name.search(m.name)
+                        if hit and m.isfile() and not m.name.rpartition("/")[2].startswith("."):
+                            rows.append((hit[1], int(hit[2]), int(hit[3]), t.extractfile(m).read().decode("utf-8", "replace")))
+                        if len(rows) == 256:
+                            yield pd.DataFrame(rows, columns=["iso3", "session", "year", "text"])
+                            rows = []
+                yield pd.DataFrame(rows, columns=["iso3", "session", "year", "text"])
+
+    return spark.read.format("binaryFile").load(path).select("content").mapInPandas(members, "iso3 string, session int, year int, text string")

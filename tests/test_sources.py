@@ -116,3 +116,16 @@ def test_windows_of_a_stream(spark, tmp_path):
     q.awaitTermination(60)
     assert sorted((r.n, r.total) for r in spark.sql("SELECT * FROM wins").collect()) == sorted((r.n, r.total) for r in streaming.windowed_counts(e, "ts", "kind").collect()) == [(1, 4.0), (2, 3.0)]
     assert streaming.sessions(e, "ts", "kind").count() == 2
+
+
+def test_tar_texts(spark, tmp_path):
+    import io
+    import tarfile
+
+    with tarfile.open(tmp_path / "c.tar.gz", "w:gz") as t:
+        for n, raw in (("x/USA_1_1946.txt", b"hello \xff"), ("x/._USA_1_1946.txt", b"no"), ("x/notes.txt", b"no"), ("FRA_2_1947.txt", "été".encode())):
+            i = tarfile.TarInfo(n)
+            i.size = len(raw)
+            t.addfile(i, io.BytesIO(raw))
+    got = sorted(map(tuple, readers.tar_texts(spark, f"file://{tmp_path}/c.tar.gz").collect()))
+    assert got == [("FRA", 2, 1947, "été"), ("USA", 1, 1946, "hello �")]
