@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from .common import arrow_map, remove, struct, written
 
 #: Queries and candidates of a block, and the depths (parts of a list) to which lists are read before all is read.
-QUERY_BLOCK, CANDIDATE_BLOCK, DEPTHS = 512, 4096, (0.35, 0.6)
+QUERY_BLOCK, CANDIDATE_BLOCK, DEPTHS = 512, 4096, (0.5, 0.9)
 BLOCK = "block long, n long, dims long, ids binary, values binary"
 
 
