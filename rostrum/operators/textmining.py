@@ -15,6 +15,11 @@ def token_table(df: DataFrame, doc: str, tokens: Column, keep: Sequence[str] = (
     return df.select(doc, *keep, F.posexplode(tokens).alias("pos", "token"))
 
 
+def let(value: Column, use) -> Column:
+    """use(value) with value worked out once: as a lambda's variable it is not put in again wherever it is used."""
+    return F.get(F.transform(F.array(value), use), 0)
+
+
 def ngrams(tokens: Column, n: int) -> Column:
     """Runs of n neighbouring items of an array, joined by blanks."""
     starts = F.when(F.size(tokens) >= n, F.sequence(F.lit(1), F.size(tokens) - (n - 1))).otherwise(F.array().cast("array<int>"))
@@ -90,8 +95,9 @@ def log_odds(df: DataFrame, group: str, tokens: Column, *, least_prior: int = 10
 def shingle_agreement(a: Column, b: Column, n: int = 5, digits: int = 3) -> Column:
     """Containment of distinct word n-grams in the smaller set; null if either has none. Tokens are lower-case letters, digits and underscores."""
     words = lambda t: F.regexp_extract_all(F.lower(t), F.lit(r"[\p{L}\p{N}_]+"), F.lit(0))
-    x, y = F.array_distinct(ngrams(words(a), n)), F.array_distinct(ngrams(words(b), n))
-    return F.when((F.size(x) > 0) & (F.size(y) > 0), F.round(F.size(F.array_intersect(x, y)) / F.least(F.size(x), F.size(y)), digits))
+    grams = lambda t: let(words(t), lambda w: F.array_distinct(ngrams(w, n)))
+    share = lambda p: F.when((F.size(p["x"]) > 0) & (F.size(p["y"]) > 0), F.round(F.size(F.array_intersect(p["x"], p["y"])) / F.least(F.size(p["x"]), F.size(p["y"])), digits))
+    return let(F.struct(grams(a).alias("x"), grams(b).alias("y")), share)
 
 
 def repeated_lines(df: DataFrame, doc: str, text: Column, *, least: int = 3, longest: int = 80) -> DataFrame:
