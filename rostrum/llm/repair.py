@@ -3,7 +3,8 @@
 Documents are dealt by ranges of doc_id, so shard after shard holds them in ascending order. A shard's texts are cut at
 ASCII white space, which the tokenizer drops and never merges across; each distinct segment is encoded once by the
 tokenizers library. Re-Pair then works on the shard's distinct segments, each weighted by its occurrences: round after
-round the most frequent adjacent pairs become nonterminals, until no pair is frequent. Where chosen pairs overlap, the
+round the most frequent adjacent pairs of all segments become nonterminals, until no pair occurs MIN_PAIR times or rules and
+vocabulary together fill the MAX_SYMBOLS symbols of two bytes; a vocabulary that fills them alone leaves no rules. Where chosen pairs overlap, the
 more frequent one wins and the loser is counted anew in the next round. Rules, the length that each expands to, and the
 documents' symbols go to one file.
 
@@ -31,7 +32,7 @@ from .common import Atomic, Numbering, arrow_map, arrow_schema, gather, held, op
 
 MAGIC = b"RSTPAIR1"
 #: A shard is closed after so many tokens. A pair becomes a rule if it occurs so often; at most so many rules a round.
-SHARD_TOKENS, MIN_PAIR, ROUND_RULES, ROUNDS = 8_000_000, 16, 8192, 6
+SHARD_TOKENS, MIN_PAIR, ROUND_RULES = 8_000_000, 16, 8192
 
 
 @lru_cache(maxsize=2)
@@ -125,25 +126,30 @@ def grammar(flat: np.ndarray, sizes: np.ndarray, weights: np.ndarray, base: int)
     """Re-Pair over segments: their symbols, the sizes now, and the rules (n, 2)."""
     rules: list[np.ndarray] = []
     made = 0
-    for _ in range(ROUNDS):
-        if len(flat) < 2 or base + made >= MAX_SYMBOLS:
-            break
+    while len(flat) > 1 and base + made < MAX_SYMBOLS:
         owner = np.repeat(np.arange(len(sizes)), sizes)
-        inside = owner[1:] == owner[:-1]
-        keys = np.where(inside, flat[:-1].astype(np.int64) << 32 | flat[1:], -1)
-        # segments that occur once seldom make a pair frequent: they follow the rules, but are not sorted to find them
-        often = inside & (weights[owner[:-1]] > 1)
-        pairs, which = np.unique(keys[often], return_inverse=True)
-        count = np.bincount(which, weights=weights[owner[:-1][often]], minlength=len(pairs))
+        # symbols are below MAX_SYMBOLS, so a pair takes 32 bits; no pair reaches over the end of a segment
+        keys = np.where(owner[1:] == owner[:-1], flat[:-1].astype(np.int64) << 16 | flat[1:], -1)
+        # in a run of one symbol, every other pair: the others overlap it
+        place = np.arange(len(keys))
+        start = np.maximum.accumulate(np.where(np.diff(keys, prepend=-2) != 0, place, 0))
+        at = np.flatnonzero((keys >= 0) & ((place - start) % 2 == 0))
+        if not len(at):
+            break
+        # pairs with their places, by one sort of both
+        both = np.sort(keys[at].astype(np.uint64) << np.uint64(32) | at.astype(np.uint64))
+        ordered, at = (both >> np.uint64(32)).astype(np.int64), (both & np.uint64(0xFFFFFFFF)).astype(np.int64)
+        first = np.flatnonzero(np.diff(ordered, prepend=-1))
+        count, times = np.add.reduceat(weights[owner[at]], first), np.diff(first, append=len(at))
         order = np.argsort(-count, kind="stable")[: min(ROUND_RULES, MAX_SYMBOLS - base - made)]
         order = order[count[order] >= MIN_PAIR]
         if not len(order):
             break
-        by_key = np.argsort(pairs[order])
-        sides = pairs[order]
-        place = np.searchsorted(sides[by_key], keys)
-        place[place == len(order)] = 0
-        rank = np.where(sides[by_key][place] == keys, by_key[place], 1 << 30)
+        sides = ordered[first[order]]
+        ranks = np.full(len(first), 1 << 30)
+        ranks[order] = np.arange(len(order))
+        rank = np.full(len(keys), 1 << 30)
+        rank[at] = np.repeat(ranks, times)
         r = np.concatenate([[1 << 30], rank, [1 << 30]])
         mid = r[1:-1]
         chosen = (mid < 1 << 30) & (mid < r[:-2]) & (mid <= r[2:])
@@ -152,10 +158,8 @@ def grammar(flat: np.ndarray, sizes: np.ndarray, weights: np.ndarray, base: int)
         number = np.cumsum(keep) - 1
         at = np.flatnonzero(chosen)
         at = at[keep[mid[at]]]
-        if not len(at):
-            break
         sides = sides[keep]
-        rules.append(np.stack([sides >> 32, sides & 0xFFFFFFFF], 1))
+        rules.append(np.stack([sides >> 16, sides & 0xFFFF], 1))
         flat = flat.copy()
         flat[at] = base + made + number[mid[at]]
         made += int(keep.sum())

@@ -4,6 +4,7 @@ import base64
 import hashlib
 import random
 import zlib
+from collections import Counter
 
 import numpy as np
 import public_tokenizers as P
@@ -119,3 +120,44 @@ def test_grammar_expands_to_its_input():
 def test_no_documents_make_no_shards(no_docs):
     m = repair.write_shards(no_docs, WORDS, end_id=2, partitions=2)
     assert m.count() == 0 and repair.read_shards(m).count() == 0
+
+
+def _frequent(flat, sizes, weights):
+    """Occurrences of the most frequent pair within segments; of a run of one symbol, every other pair."""
+    count, at = Counter(), 0
+    for n, w in zip(sizes.tolist(), weights.tolist()):
+        last, s = None, flat[at : at + n].tolist()
+        for i, p in enumerate(zip(s, s[1:])):
+            if last == (i - 1, p):
+                continue
+            count[p] += w
+            last = (i, p)
+        at += n
+    return max(count.values(), default=0)
+
+
+def _expanded(symbol, rules, base):
+    return [symbol] if symbol < base else [x for side in rules[symbol - base].tolist() for x in _expanded(side, rules, base)]
+
+
+@pytest.mark.parametrize("case", ["once", "run", "mixed"])
+def test_grammar_leaves_no_frequent_pair(case):
+    rng = np.random.default_rng(5)
+    if case == "once":  # a pair of segments that occur once each
+        parts = [[100 + i, 7, 8, 300 + i] for i in range(repair.MIN_PAIR)]
+    elif case == "run":  # more doublings than six rounds make
+        parts = [[3] * 4096]
+    else:
+        parts = [rng.integers(0, 5, int(n)).tolist() for n in rng.integers(0, 60, 300)]
+    weights = np.ones(len(parts)) if case != "mixed" else rng.integers(1, 4, len(parts)).astype(float)
+    sizes = np.array([len(p) for p in parts])
+    flat, now, rules = repair.grammar(np.concatenate([np.array(p, np.int32) for p in parts]), sizes, weights, 1000)
+    assert len(rules) and _frequent(flat, now, weights) < repair.MIN_PAIR
+    ends = np.cumsum(now)
+    assert [[x for s in flat[e - n : e].tolist() for x in _expanded(s, rules, 1000)] for e, n in zip(ends, now)] == parts
+
+
+def test_grammar_stops_when_symbols_are_used_up(monkeypatch):
+    monkeypatch.setattr(repair, "MAX_SYMBOLS", 1003)
+    flat, _, rules = repair.grammar(np.full(4096, 3, np.int32), np.array([4096]), np.ones(1), 1000)
+    assert len(rules) == 3 and flat.max() < 1003
