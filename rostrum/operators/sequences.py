@@ -11,6 +11,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..session import ship
+from ..sources.tables import stored
+from .textmining import let, ngrams
 
 # Marks and letter forms that Arabic files differ in, and the scripts that are compared by characters.
 MARKS = re.compile(r"[ؐ-ًؚ-ٰٟۖ-ۭـ]")
@@ -71,6 +73,61 @@ def shared_passage(df: DataFrame, a: str, b: str, context: int = 25) -> DataFram
     return df.withColumn("_c", find(F.col(a), F.col(b))).select(*df.columns, "_c.*")
 
 
+#: Words of a run that two texts must share to be compared; a shorter text is one run of its own length.
+RUN = 5
+
+
+def passage_pairs(docs: DataFrame, items: DataFrame, doc: str, item: str, text: str = "text", run: int = RUN) -> DataFrame:
+    """doc, item, a, b: every document and item, with their texts, that share a run of words, case and punctuation aside.
+
+    Runs meet by an equality join, so no pair is compared that shares none. Ids are distinct and not null.
+    """
+    ship(docs.sparkSession)
+
+    @F.pandas_udf("array<string>")
+    def bare(x: pd.Series) -> pd.Series:
+        return pd.Series([[re.sub(r"\W+", "", w).lower() for w in (t or "").split()] for t in x])
+
+    b = items.select(item, bare(F.col(text)).alias("w")).where(F.size("w") > 0).withColumn("n", F.least(F.size("w"), F.lit(run)))
+    sizes = [r.n for r in b.select("n").distinct().collect()]
+    d = docs.select(doc, bare(F.col(text)).alias("w"))
+    runs = lambda df, k, n: df.select(k, F.explode(F.array_distinct(ngrams(F.col("w"), n))).alias("run"))
+    met = None
+    for n in sizes:
+        one = runs(d, doc, n).join(runs(b.where(F.col("n") == n), item, n), "run").select(doc, item)
+        met = one if met is None else met.unionByName(one)
+    if met is None:
+        met = docs.select(doc).join(items.select(item), F.lit(False))
+    return met.distinct().join(docs.select(doc, F.col(text).alias("a")), doc).join(items.select(item, F.col(text).alias("b")), item)
+
+
+def quoted_by(items: DataFrame, docs: DataFrame, item: str, text: str = "text", run: int = RUN) -> DataFrame:
+    """item and quoted_by: in how many documents an item's whole text stands, exactly.
+
+    The words between an item's first and last are whole words of any text that holds it, so the first run of them finds the
+    candidates; items of less than three words are looked for in every document. Ids of items are distinct.
+    """
+    cut = lambda t: F.split(t, r"\s+")
+    q = items.select(item, F.col(text).alias("q")).withColumn("w", cut(F.col("q"))).withColumn("n", F.greatest(F.least(F.size("w") - 2, F.lit(run)), F.lit(0)))
+    q = q.withColumn("run", F.array_join(F.slice("w", 2, F.col("n")), " ")).drop("w")
+    sizes = [r.n for r in q.where("q IS NOT NULL").select("n").distinct().collect()]
+    # rows of documents have no key of their own that can be relied on
+    d = stored(docs.select(F.expr("uuid()").alias("_d"), F.col(text).alias("t")).where("t IS NOT NULL"))
+    found = None
+    for n in sizes:
+        mine = q.where((F.col("n") == n) & F.col("q").isNotNull())
+        if n:
+            met = d.select("_d", F.explode(F.array_distinct(let(cut(F.col("t")), lambda w: ngrams(w, n)))).alias("run")).join(mine, "run").select("_d", item, "q").join(d, "_d")
+        else:
+            met = d.join(mine, F.lit(True))
+        one = met.where(F.contains("t", "q")).select(item)
+        found = one if found is None else found.unionByName(one)
+    if found is None:
+        return items.select(item, F.lit(0).cast("long").alias("quoted_by"))
+    n = found.groupBy(item).agg(F.count(F.lit(1)).alias("quoted_by"))
+    return items.select(item).join(n, item, "left").select(item, F.coalesce("quoted_by", F.lit(0).cast("long")).alias("quoted_by"))
+
+
 def closest_name(df: DataFrame, text: str, names: dict[str, str], cutoff: float = 0.85) -> DataFrame:
     """df with code: the name's code that is closest to a text by matching blocks, if close enough. The dictionary is small and fixed."""
     from difflib import get_close_matches

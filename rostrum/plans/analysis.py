@@ -192,8 +192,9 @@ def t6_blocs(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query()
 def t9_shared_passage(spark: SparkSession, sf_dir: str) -> DataFrame:
-    d = table(spark, sf_dir, "documents").select(F.col("doc_id").alias("item_id"), F.col("text").alias("a"))
-    return sequences.shared_passage(d.join(table(spark, sf_dir, "benchmark").select("item_id", F.col("text").alias("b")), "item_id"), "a", "b").select("item_id", "passage", "n_words")
+    """The longest passage of every document and benchmark item that share a run of words."""
+    pairs = sequences.passage_pairs(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), "doc_id", "item_id")
+    return sequences.shared_passage(pairs, "a", "b").select("doc_id", "item_id", "passage", "n_words")
 
 
 @query()

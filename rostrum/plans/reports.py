@@ -234,6 +234,12 @@ def d16_context_quotes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return b.join(d, "item_id", "left").groupBy("item_id").agg(F.count_if(F.contains("text", "q")).alias("quoted_by"))
 
 
+@query()
+def d16_whole_quotes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Whole items in all documents; d16_context_quotes is bound to its SQL twin, which cuts both."""
+    return sequences.quoted_by(table(spark, sf_dir, "benchmark"), table(spark, sf_dir, "documents"), "item_id")
+
+
 QUERIES["d17_highlights"], ORACLES["d17_highlights"] = QUERIES["d16_context_quotes"], ORACLES["d16_context_quotes"]
 
 
