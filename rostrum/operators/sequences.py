@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 import re
 import unicodedata
 from difflib import SequenceMatcher
@@ -15,7 +16,7 @@ from ..sources.tables import stored
 from .textmining import let, ngrams
 
 # Marks and letter forms that Arabic files differ in, and the scripts that are compared by characters.
-MARKS = re.compile(r"[ؐ-ًؚ-ٰٟۖ-ۭـ]")
+MARKS = re.compile("[\u0610-\u061a\u064b-\u065f\u0670\u06d6-\u06ed\u0640]")
 FORMS = str.maketrans({"أ": "ا", "إ": "ا", "آ": "ا", "ٱ": "ا", "ى": "ي", "ی": "ي", "ة": "ه", "ک": "ك"})
 IDEOGRAPHS = re.compile(r"[぀-ヿ㐀-鿿]")
 NOTICE = r"(?ms)\A.*?^‏?\[.*?\][^\S\n]*$"
@@ -128,6 +129,18 @@ def quoted_by(items: DataFrame, docs: DataFrame, item: str, text: str = "text",
     return items.select(item).join(n, item, "left").select(item, F.coalesce("quoted_by", F.lit(0).cast("long")).alias("quoted_by"))
 
 
+def count_tokens(df: DataFrame, text: str, language: str) -> DataFrame:
+    """df with n_tokens and tokens_sha256, of the tokens joined by blanks."""
+    ship(df.sparkSession)
+
+    @F.pandas_udf("struct<n_tokens:long,tokens_sha256:string>")
+    def count(x: pd.Series, lang: pd.Series) -> pd.DataFrame:
+        rows = [(len(t), hashlib.sha256(" ".join(t).encode()).hexdigest()) for t in map(tokens, x, lang)]
+        return pd.DataFrame(rows, columns=["n_tokens", "tokens_sha256"])
+
+    return df.withColumn("_c", count(F.col(text), F.col(language))).select(*df.columns, "_c.*")
+
+
 def closest_name(df: DataFrame, text: str, names: dict[str, str], cutoff: float = 0.85) -> DataFrame:
     """df with code: the name's code that is closest to a text by matching blocks, if close enough. The dictionary is small and fixed."""
     from difflib import get_close_matches

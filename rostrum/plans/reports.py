@@ -137,8 +137,7 @@ def f7_honorifics(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query()
 def f13_tokens_by_language(spark: SparkSession, sf_dir: str) -> DataFrame:
-    d = table(spark, sf_dir, "documents").where("n_chars < 400").select("doc_id", "text", F.lit("x y").alias("other"), "lang")
-    return sequences.delivered(d, "text", "other", "lang").select("doc_id", "delivered")
+    return sequences.count_tokens(table(spark, sf_dir, "documents").select("doc_id", "text", "lang"), "text", "lang").select("doc_id", "lang", "n_tokens", "tokens_sha256")
 
 
 @query("SELECT doc_id, n FROM (SELECT doc_id, len(list_filter(regexp_extract_all(lower(text), '[a-z]+'), lambda w: w IN ('the', 'and', 'nation', 'algeria'))) AS n FROM documents) WHERE n > 0".replace("AS n FROM documents", "::BIGINT AS n FROM documents"))

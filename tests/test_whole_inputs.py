@@ -1,5 +1,6 @@
 """Queries that once took part of their input, against brute force over all of it."""
 
+import hashlib
 import re
 
 import pytest
@@ -50,3 +51,11 @@ def test_shared_passages_of_all_documents(tables, spark):
                 want[d, i] = most
     got = {(r.doc_id, r.item_id): r.n_words for r in analysis.t9_shared_passage(spark, sf).collect()}
     assert got == want and got[51, 1] == 5 and got[2, 3] == 120
+
+
+def test_tokens_of_whole_documents_by_language(tables, spark):
+    rows = [(1, "Word " * 500, "en"), (2, "日本語。" * 200, "ja"), (3, None, "fr"), (4, "إسلام", "ar")]
+    sf = tables(documents=([(*r, len(r[1] or "")) for r in rows], "doc_id long, text string, lang string, n_chars long"))
+    got = {r.doc_id: (r.n_tokens, r.tokens_sha256) for r in reports.f13_tokens_by_language(spark, sf).collect()}
+    want = {1: ["word"] * 500, 2: list("日本語") * 200, 3: [], 4: list("اسلام")}
+    assert got == {k: (len(w), hashlib.sha256(" ".join(w).encode()).hexdigest()) for k, w in want.items()}
