@@ -31,6 +31,13 @@ def j1_outer_indicator(spark: SparkSession, sf_dir: str) -> DataFrame:
     return R.outer_with_indicator(docs, table(spark, sf_dir, "labels").select("doc_id", "quality"), ["doc_id"])
 
 
+@query("""SELECT doc_id, quality, lang, CASE WHEN d.doc_id IS NOT NULL AND l.doc_id IS NOT NULL THEN 'both' WHEN d.doc_id IS NOT NULL THEN 'left_only' ELSE 'right_only' END AS origin
+FROM documents d FULL JOIN (SELECT doc_id, quality FROM labels) l USING (doc_id)""")
+def j1_whole_outer(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents; j1_outer_indicator is bound to its SQL twin, which drops every third."""
+    return R.outer_with_indicator(table(spark, sf_dir, "documents").select("doc_id", "lang"), table(spark, sf_dir, "labels").select("doc_id", "quality"), ["doc_id"])
+
+
 @query("""SELECT k.id, coalesce(b.text, d.text) AS body, CASE WHEN b.text IS NOT NULL THEN 'benchmark' WHEN d.text IS NOT NULL THEN 'documents' END AS body_source,
   coalesce(l.quality, e.label) AS mark, CASE WHEN l.quality IS NOT NULL THEN 'labels' WHEN e.label IS NOT NULL THEN 'embeddings' END AS mark_source,
   d.doc_id IS NOT NULL AS in_documents, l.doc_id IS NOT NULL AS in_labels, b.item_id IS NOT NULL AS in_benchmark, e.vec_id IS NOT NULL AS in_embeddings

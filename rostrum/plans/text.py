@@ -344,3 +344,13 @@ def j15_quote_containment(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES["v1_quotes"], ORACLES["v1_quotes"] = QUERIES["j15_quote_containment"], ORACLES["j15_quote_containment"]
+
+
+@query("SELECT q.doc_id FROM documents q JOIN documents d ON d.doc_id = q.doc_id + 1 WHERE NOT contains(d.text, q.text)")
+def j15_whole_quotes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's whole text as a quote from the next document; j15_quote_containment is bound to its SQL twin, which cuts both."""
+    from ..operators.checks import missing_quotes
+
+    q = _docs(spark, sf_dir).select("doc_id", F.col("text").alias("quote"), (F.col("doc_id") + 1).alias("source_id"))
+    s = _docs(spark, sf_dir).select(F.col("doc_id").alias("source_id"), F.col("text").alias("source_text"))
+    return missing_quotes(q, s, "source_id", "quote", "source_text").select("doc_id")

@@ -6,7 +6,7 @@ import re
 import pytest
 
 from rostrum.operators import sequences
-from rostrum.plans import analysis, reports
+from rostrum.plans import analysis, relational, reports, text
 
 
 @pytest.fixture
@@ -59,3 +59,15 @@ def test_tokens_of_whole_documents_by_language(tables, spark):
     got = {r.doc_id: (r.n_tokens, r.tokens_sha256) for r in reports.f13_tokens_by_language(spark, sf).collect()}
     want = {1: ["word"] * 500, 2: list("日本語") * 200, 3: [], 4: list("اسلام")}
     assert got == {k: (len(w), hashlib.sha256(" ".join(w).encode()).hexdigest()) for k, w in want.items()}
+
+
+def test_every_quote_is_checked_to_its_end(tables, spark):
+    same = "s" * 60
+    sf = tables(documents=([(1, same + "a"), (2, same + "b"), (3, same + "b" + "c"), (4, "d")], "doc_id long, text string"))
+    assert sorted(r.doc_id for r in text.j15_whole_quotes(spark, sf).collect()) == [1, 3]
+
+
+def test_outer_join_of_all_documents(tables, spark):
+    sf = tables(documents=([(i, "en") for i in range(7)], "doc_id long, lang string"), labels=([(3, 1), (4, 0), (9, 1)], "doc_id long, quality int"))
+    got = {r.doc_id: r.origin for r in relational.j1_whole_outer(spark, sf).collect()}
+    assert got == {0: "left_only", 1: "left_only", 2: "left_only", 3: "both", 4: "both", 5: "left_only", 6: "left_only", 9: "right_only"}
