@@ -148,16 +148,19 @@ def hits(docs: DataFrame, benchmark: DataFrame, *, window: int = WINDOW, part_wi
     own length. Items of a null id make words hit but are not counted; an id that several items share counts once. Repeated documents
     give a row each; an empty table gives none, an empty benchmark no hits. Other columns are not read.
     """
-    d = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
+    windows = benchmark_windows(benchmark, window=window)
+    # a digest of the text tells rows of one id apart when passes are merged
+    key = F.sha2("text", 256) if windows.count() > part_windows else F.lit(None).cast("string")
+    d = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")).select("doc_id", key.alias("text_key"), "text")
     found = None
-    for k, rows in enumerate(parts(benchmark_windows(benchmark, window=window), part_windows)):
-        one = arrow_map(d, _scan, struct("doc_id long, " + FOUND), rows=rows, drop=None, text_at=1)
+    for k, rows in enumerate(parts(windows, part_windows)):
+        one = arrow_map(d, _scan, struct("doc_id long, text_key string, " + FOUND), rows=rows, drop=None, text_at=2)
         found = one if found is None else found.unionByName(one)
     if k == 0:
         merged = found
     else:
-        # rows of one document from several passes meet by its id; repeated rows of a document have the same hits
-        merged = found.groupBy("doc_id", "n_words").agg(
+        # rows of one document from several passes meet by its id and text; repeated rows of a document have the same hits
+        merged = found.groupBy("doc_id", "text_key", "n_words").agg(
             F.flatten(F.collect_list("spans")).alias("spans"), F.array_distinct(F.flatten(F.collect_list("items"))).alias("items"), (F.count(F.lit(1)) / (k + 1)).cast("int").alias("n")
         )
         merged = merged.withColumn("n", F.explode(F.sequence(F.lit(1), "n"))).drop("n")

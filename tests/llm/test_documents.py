@@ -128,6 +128,15 @@ def test_hits_against_brute_force(spark, docs, no_docs, part):
     assert decontam.hits(docs, items.where("false")).where("contaminated").count() == 0
 
 
+def test_parts_keep_rows_of_one_id_apart(spark):
+    items = [(1, prose(1, 30)), (2, prose(3, 20))]
+    rows = [(None, prose(1, 30)), (None, prose(50, 30)), (7, prose(3, 20)), (7, prose(60, 20)), (7, prose(3, 20)), (8, None), (8, "")]
+    docs, bench = spark.createDataFrame(rows, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")
+    want = brute_hits(rows, items)
+    assert sum("True" in x for x in want) == 3
+    assert sorted(str(tuple(r)) for r in decontam.hits(docs, bench, part_windows=7).collect()) == want
+
+
 def test_decontaminate(spark, docs):
     items = spark.createDataFrame(ITEMS, "item_id long, text string")
     kept = decontam.decontaminate(docs, items)
