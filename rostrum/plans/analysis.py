@@ -212,7 +212,10 @@ def t13_evidence(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query()
 def t17_themes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return topics.themes(textmining.tfidf(table(spark, sf_dir, "benchmark"), "item_id", S.word_tokens(F.col("text"), STOP), min_df=1, max_df=1.0), "item_id", parts=10)
+    """Themes of the benchmark's sentences of 12 to 60 words."""
+    b = table(spark, sf_dir, "benchmark").select("item_id", F.posexplode(S.sentences(F.col("text"))).alias("pos", "text"))
+    b = b.where(S.word_count(F.col("text")).between(12, 60)).select(F.concat_ws(":", "item_id", "pos").alias("sentence"), S.word_tokens(F.col("text"), STOP).alias("w"))
+    return topics.themes(textmining.tfidf(b, "sentence", F.concat("w", textmining.ngrams(F.col("w"), 2)), min_df=2, max_df=1.0), "sentence", items=b)
 
 
 @query("WITH p AS (SELECT doc_id, n_chars FROM documents) SELECT (SELECT max(n_chars) FROM p) AS most, (SELECT min(n_chars) FROM p) AS least, (SELECT median(n_chars) FROM p) AS typical")

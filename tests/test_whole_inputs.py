@@ -5,7 +5,7 @@ import re
 
 import pytest
 
-from rostrum.operators import sequences
+from rostrum.operators import sequences, topics
 from rostrum.plans import analysis, relational, reports, text
 
 
@@ -71,3 +71,13 @@ def test_outer_join_of_all_documents(tables, spark):
     sf = tables(documents=([(i, "en") for i in range(7)], "doc_id long, lang string"), labels=([(3, 1), (4, 0), (9, 1)], "doc_id long, quality int"))
     got = {r.doc_id: r.origin for r in relational.j1_whole_outer(spark, sf).collect()}
     assert got == {0: "left_only", 1: "left_only", 2: "left_only", 3: "both", 4: "both", 5: "left_only", 6: "left_only", 9: "right_only"}
+
+
+def test_themes_follow_weights_and_keep_all_items(spark):
+    rows = [(f"{side}{i}", t, 0.99 if (t == "x") == (side == "a") else 0.1) for side in "ab" for i in range(6) for t in ("x", "y")]
+    rows += [(r[0], f"own{r[0]}", 0.05) for r in rows[::2]]
+    w = spark.createDataFrame(rows, "item string, token string, weight double")
+    got = {r.item: r.theme for r in topics.themes(w, "item", parts=2, k=2).collect()}
+    assert len(got) == 12 and len({got[f"a{i}"] for i in range(6)}) == len({got[f"b{i}"] for i in range(6)}) == 1 and got["a0"] != got["b0"]
+    more = w.select("item").union(spark.createDataFrame([("none",)], "item string"))
+    assert topics.themes(w, "item", items=more, parts=2, k=2).count() == 13
