@@ -3,8 +3,9 @@
 Every dimension of a block of candidates is a list sorted by value. A query reads it from the top where its weight is
 positive and from the bottom where it is negative. All lists are read to one depth after another. What has been read bounds every candidate's
 score: from below by the worst value of each list not yet met, from above by the value at the reading
-place. A query stops as soon as at most k candidates, or ties, can reach its k-th lower bound; their final scores are then
-resolved from the rest of their lists. Bounds of all queries of a block are matrix products: what a list read to value t
+place. A query stops as soon as at most max(4k, a sixteenth of the block) candidates can
+reach its k-th lower bound; their scores are then worked out from their vectors. What no depth decides is read in full, and
+so are blocks of at most 4k candidates. Bounds of all queries of a block are matrix products: what a list read to value t
 says of a candidate's value x from above is max(x, t) for a positive weight and min(x, t) for a negative one, which no longer depends on the query.
 """
 
