@@ -6,7 +6,6 @@ import ctypes
 import gc
 import tempfile
 import uuid
-import zlib
 from collections.abc import Callable, Iterator
 from functools import partial
 
@@ -39,9 +38,11 @@ def small_batches(spark: SparkSession) -> None:
 
 
 def scratch(spark: SparkSession, name: str) -> str:
-    """A new folder's URI below spark.checkpoint.dir, which driver and executors share."""
+    """A new folder's URI below spark.checkpoint.dir, which driver and executors share; only a local session may do without the setting."""
     base = spark.sparkContext.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
     if not base:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         base = "file://" + tempfile.mkdtemp(prefix="rostrum-")
         spark.conf.set("spark.checkpoint.dir", base)
     if "://" not in base and not base.startswith("file:"):
@@ -81,12 +82,15 @@ def split_uri(uri: str) -> tuple[pafs.FileSystem, str]:
 
 
 class Atomic:
-    """A file that appears under its name only when complete; a task that runs twice writes the same bytes to it again."""
+    """A file that appears only when complete, under a name of its own for every attempt, so that nothing is ever renamed onto a
+    file that exists. A task that runs twice leaves two files of the same bytes; the manifest, which Spark commits once, names one (uri)."""
 
     def __init__(self, uri: str):
-        self.fs, self.path = split_uri(uri)
         ctx = TaskContext.get()
-        self.tmp = f"{self.path}.part-{ctx.taskAttemptId() if ctx else 0}-{uuid.uuid4().hex[:8]}"
+        stem, dot, ending = uri.rpartition(".")
+        self.uri = f"{stem}-{ctx.taskAttemptId() if ctx else 0}-{uuid.uuid4().hex[:8]}{dot}{ending}"
+        self.fs, self.path = split_uri(self.uri)
+        self.tmp = f"{self.path}.part"
         self.fs.create_dir(self.path.rpartition("/")[0], recursive=True)
         self.out = self.fs.open_output_stream(self.tmp, compression=None)
         self.size = 0
@@ -100,10 +104,6 @@ class Atomic:
         self.fs.move(self.tmp, self.path)
         return self.size
 
-    def drop(self) -> None:
-        self.out.close()
-        self.fs.delete_file(self.tmp)
-
 
 def opened(uri: str):
     fs, path = split_uri(uri)
@@ -148,13 +148,11 @@ def arrow_map(df: DataFrame, fn: Callable[..., Iterator[pa.RecordBatch]], schema
     return df.mapInArrow(partial(_alone, fn=fn, **fixed), schema)
 
 
-def crc(text: str) -> int:
-    return zlib.crc32(text.encode())
-
-
-def spread(df: DataFrame, *keys: str) -> DataFrame:
-    """Deal rows out by keys, so that Python work on a few input splits uses every core."""
-    return df.repartition(*[F.col(k) for k in keys])
+def unused(df: DataFrame, name: str) -> str:
+    """A column name that df does not have yet."""
+    while name.lower() in {c.lower() for c in df.columns}:
+        name = f"_{name}"
+    return name
 
 
 #: Spark and Arrow types by the names that struct() takes.

@@ -217,12 +217,11 @@ class Writer:
         kind = "<u2" if self.base + len(rules) <= 1 << 16 else "<u4"
         head = {"n_docs": len(self.ids), "n_tokens": int(token_ends[-1]), "n_symbols": len(symbols), "n_rules": len(rules), "base": self.base, "symbol": kind}
         raw = json.dumps(head).encode()
-        uri = f"{self.folder}/shard-{self.part:06d}-{self.seq:06d}.pair"
-        f = Atomic(uri)
+        f = Atomic(f"{self.folder}/shard-{self.part:06d}-{self.seq:06d}.pair")
         f.write(MAGIC + pack("<I", len(raw)) + raw)
         for x, t in ((rules[:, 0], "<u4"), (rules[:, 1], "<u4"), (lengths[self.base :], "<i8"), (np.array([x or 0 for x in self.ids], np.int64), "<i8"), (np.array([x is None for x in self.ids]), "u1"), (symbol_ends, "<i8"), (token_ends, "<i8"), (symbols, kind)):
             f.write(np.ascontiguousarray(x, t).tobytes())
-        row = {"part": self.part, "seq": self.seq, "uri": uri, **{k: head[k] for k in ("n_docs", "n_tokens", "n_symbols", "n_rules")}, "n_bytes": f.close()}
+        row = {"part": self.part, "seq": self.seq, "uri": f.uri, **{k: head[k] for k in ("n_docs", "n_tokens", "n_symbols", "n_rules")}, "n_bytes": f.close()}
         self.seq += 1
         self.clear()
         return row

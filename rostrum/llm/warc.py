@@ -57,8 +57,7 @@ def _write(batches: Iterator[pa.RecordBatch], *, folder: str) -> Iterator[pa.Rec
     for b in batches:
         for page_id, url, html, digest, refers in zip(*(c.to_pylist() for c in b.columns)):
             if f is None:
-                uri = f"{folder}/part-{part:06d}-{seq:04d}.warc.gz"
-                f, n = Atomic(uri), 0
+                f, n = Atomic(f"{folder}/part-{part:06d}-{seq:04d}.warc.gz"), 0
             payload = memoryview((html or "").encode())
             head, http = _head(page_id, url, "response" if refers is None else "revisit", refers, digest, len(payload))
             z = zlib.compressobj(1, zlib.DEFLATED, 31)
@@ -68,10 +67,10 @@ def _write(batches: Iterator[pa.RecordBatch], *, folder: str) -> Iterator[pa.Rec
             f.write(z.compress(b"\r\n\r\n") + z.flush())
             n += 1
             if f.size >= ARCHIVE:
-                done.append((uri, n, f.close()))
+                done.append((f.uri, n, f.close()))
                 f, seq = None, seq + 1
     if f is not None:
-        done.append((uri, n, f.close()))
+        done.append((f.uri, n, f.close()))
     yield pa.RecordBatch.from_arrays([pa.array([x[i] for x in done], k) for i, k in enumerate((pa.string(), pa.int64(), pa.int64()))], names=MANIFEST.names)
 
 
