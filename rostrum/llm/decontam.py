@@ -4,7 +4,8 @@ Words are runs of ASCII letters, digits and all characters beyond ASCII, after A
 windows are given to each task with the numbers of their words; a document's words are numbered by the same small
 vocabulary, its windows are hashed by a polynomial in one pass of array operations, hashes that the set has are verified word by
 word, and the words of verified windows are marked. The set is broadcast in parts of a fixed number of windows, one pass
-over the documents a part, so no task holds more than one part whatever the benchmark's size.
+over the documents a part, and each pass is written before the next, so no task holds more than one part whatever the
+benchmark's size. Several passes meet by a number that each row is given beforehand.
 """
 
 from __future__ import annotations
@@ -20,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import arrow_map, arrow_schema, struct, written
+from .common import arrow_map, arrow_schema, struct, unused, written
 
 #: Consecutive words of a window, and windows that a pass broadcasts at most (about 200 bytes each).
 WINDOW, PART_WINDOWS = 10, 200_000
@@ -75,14 +76,7 @@ class Windows:
                 if found is not None:
                     runs.append((i, i + n))
                     items.update(found)
-        runs.sort()
-        joined: list[tuple[int, int]] = []
-        for a, b in runs:
-            if joined and a <= joined[-1][1]:
-                joined[-1] = (joined[-1][0], max(b, joined[-1][1]))
-            else:
-                joined.append((a, b))
-        return len(w), joined, items
+        return len(w), _joined(runs), items
 
 
 def _hashes(ids: np.ndarray, n: int) -> np.ndarray:
@@ -97,20 +91,44 @@ def _hashes(ids: np.ndarray, n: int) -> np.ndarray:
 FOUND = "n_words long, spans array<long>, items array<long>, had_items boolean"
 
 
-def _scan(batches: Iterator[pa.RecordBatch], *, rows, drop: str | None, text_at: int) -> Iterator[pa.RecordBatch]:
+def _scan(batches: Iterator[pa.RecordBatch], *, rows, drop: str | None, text_at: int, only_hits: bool = False) -> Iterator[pa.RecordBatch]:
     part = Windows(rows.value)
     for b in batches:
         texts = b.column(text_at).to_pylist()
         found = [part.scan(t or "") for t in texts]
         if drop == "spans":
-            kept = pa.array([_without(t, f[1]) for t, f in zip(texts, found)], pa.string())
-            cols = [kept if i == text_at else c for i, c in enumerate(b.columns)]
-            yield pa.RecordBatch.from_arrays(cols, names=b.schema.names)
+            yield _put(b, text_at, [_without(t, f[1]) for t, f in zip(texts, found)])
         elif drop == "documents":
-            yield b.filter(pa.array([not f[1] for f in found]))
+            yield b.filter(pa.array([not f[1] for f in found], pa.bool_()))
         else:
             more = [[f[0] for f in found], [[x for run in f[1] for x in run] for f in found], [[x for x in f[2] if x is not None] for f in found], [bool(f[2]) for f in found]]
-            yield pa.RecordBatch.from_arrays([*b.columns[:-1], *(pa.array(v, t) for v, t in zip(more, arrow_schema(FOUND).types))], names=[*b.schema.names[:-1], *arrow_schema(FOUND).names])
+            kept = [c for i, c in enumerate(b.columns) if i != text_at]
+            names = [n for i, n in enumerate(b.schema.names) if i != text_at]
+            out = pa.RecordBatch.from_arrays([*kept, *(pa.array(v, t) for v, t in zip(more, arrow_schema(FOUND).types))], names=[*names, *arrow_schema(FOUND).names])
+            yield out.filter(pa.array([bool(f[1]) for f in found], pa.bool_())) if only_hits else out
+
+
+def _cut(batches: Iterator[pa.RecordBatch], *, text_at: int) -> Iterator[pa.RecordBatch]:
+    """The rows' texts without the runs of words in the last column, which goes."""
+    for b in batches:
+        runs = [_joined(list(zip(s[::2], s[1::2]))) if s else [] for s in b.column(b.num_columns - 1).to_pylist()]
+        rest = pa.RecordBatch.from_arrays(b.columns[:-1], names=b.schema.names[:-1])
+        yield _put(rest, text_at, [_without(t, r) for t, r in zip(b.column(text_at).to_pylist(), runs)])
+
+
+def _put(b: pa.RecordBatch, at: int, texts: list) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(texts, pa.string()) if i == at else c for i, c in enumerate(b.columns)], names=b.schema.names)
+
+
+def _joined(runs: list[tuple[int, int]]) -> list[tuple[int, int]]:
+    """Runs in order, those that touch or overlap made one."""
+    out: list[tuple[int, int]] = []
+    for a, b in sorted(runs):
+        if out and a <= out[-1][1]:
+            out[-1] = (out[-1][0], max(b, out[-1][1]))
+        else:
+            out.append((a, b))
+    return out
 
 
 def _without(text: str | None, runs: list[tuple[int, int]]) -> str | None:
@@ -132,13 +150,35 @@ def benchmark_windows(benchmark: DataFrame, *, window: int = WINDOW, item_col: s
     return written(rows.groupBy("window").agg(F.collect_set("item_id").alias("items")), "benchmark-windows")
 
 
-def parts(windows: DataFrame, size: int = PART_WINDOWS) -> Iterator:
-    """Broadcasts of at most so many windows each; at least one, which may be empty."""
-    spark = windows.sparkSession
-    n = max(1, -(-windows.count() // size))
+def parts(windows: DataFrame, size: int = PART_WINDOWS) -> int:
+    """Into how many parts of about that many windows each the benchmark goes; at least one, which may be empty."""
+    return max(1, -(-windows.count() // size))
+
+
+def sent(windows: DataFrame, k: int = 0, n: int = 1):
+    """Part k of n of the windows, broadcast."""
+    mine = windows if n == 1 else windows.where(F.pmod(F.xxhash64("window"), F.lit(n)) == k)
+    return windows.sparkSession.sparkContext.broadcast([(r.window, r.items) for r in mine.toLocalIterator()])
+
+
+def _numbered(docs: DataFrame, name: str) -> DataFrame:
+    """docs with a number for every row, in a written table, so that the number stays the row's own in every pass."""
+    return written(docs.select(F.monotonically_increasing_id().alias(name), *[F.col(f"`{c}`") for c in docs.columns]), "numbered")
+
+
+def _passes(rows: DataFrame, windows: DataFrame, n: int) -> DataFrame:
+    """Hits over n passes of rows (key columns, text last): a row each. The first pass gives every row, later ones only those with hits; they meet by the keys."""
+    keys = rows.columns[:-1]
+    found = None
     for k in range(n):
-        mine = windows if n == 1 else windows.where(F.pmod(F.xxhash64("window"), F.lit(n)) == k)
-        yield spark.sparkContext.broadcast([(r.window, r.items) for r in mine.toLocalIterator()])
+        part = sent(windows, k, n)
+        schema = struct(", ".join(f"{c} long" for c in keys) + ", " + FOUND)
+        one = written(arrow_map(rows, _scan, schema, rows=part, drop=None, text_at=len(keys), only_hits=k > 0), "window-hits")
+        part.destroy()
+        found = one if found is None else found.unionByName(one)
+    return found.groupBy(*keys).agg(
+        F.max("n_words").alias("n_words"), F.flatten(F.collect_list("spans")).alias("spans"), F.array_distinct(F.flatten(F.collect_list("items"))).alias("items")
+    )
 
 
 def hits(docs: DataFrame, benchmark: DataFrame, *, window: int = WINDOW, part_windows: int = PART_WINDOWS, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -146,24 +186,15 @@ def hits(docs: DataFrame, benchmark: DataFrame, *, window: int = WINDOW, part_wi
 
     A document or item without text has no words and no hits; an item of fewer words than a window is one window of its
     own length. Items of a null id make words hit but are not counted; an id that several items share counts once. Repeated documents
-    give a row each; an empty table gives none, an empty benchmark no hits. Other columns are not read.
+    give a row each, as do rows of one id or of a null id, whatever the number of passes; an empty table gives none, an empty benchmark no hits. Other columns are not read.
     """
     windows = benchmark_windows(benchmark, window=window)
-    # a digest of the text tells rows of one id apart when passes are merged
-    key = F.sha2("text", 256) if windows.count() > part_windows else F.lit(None).cast("string")
-    d = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")).select("doc_id", key.alias("text_key"), "text")
-    found = None
-    for k, rows in enumerate(parts(windows, part_windows)):
-        one = arrow_map(d, _scan, struct("doc_id long, text_key string, " + FOUND), rows=rows, drop=None, text_at=2)
-        found = one if found is None else found.unionByName(one)
-    if k == 0:
-        merged = found
+    n = parts(windows, part_windows)
+    d = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
+    if n == 1:
+        merged = arrow_map(d, _scan, struct("doc_id long, " + FOUND), rows=sent(windows), drop=None, text_at=1)
     else:
-        # rows of one document from several passes meet by its id and text; repeated rows of a document have the same hits
-        merged = found.groupBy("doc_id", "text_key", "n_words").agg(
-            F.flatten(F.collect_list("spans")).alias("spans"), F.array_distinct(F.flatten(F.collect_list("items"))).alias("items"), (F.count(F.lit(1)) / (k + 1)).cast("int").alias("n")
-        )
-        merged = merged.withColumn("n", F.explode(F.sequence(F.lit(1), "n"))).drop("n")
+        merged = _passes(_numbered(d, "row"), windows, n)
     pairs = F.array_sort(F.transform(F.sequence(F.lit(0), F.greatest(F.size("spans") - 2, F.lit(0)), F.lit(2)), lambda i: F.struct(F.get("spans", i).alias("a"), F.get("spans", i + 1).alias("b"))))
     covered = F.aggregate(pairs, F.struct(F.lit(0).cast("long").alias("n"), F.lit(0).cast("long").alias("end")), lambda s, p: F.struct((s.n + F.greatest(p.b - F.greatest(p.a, s.end), F.lit(0))).alias("n"), F.greatest(s.end, p.b).alias("end")), lambda s: s.n)
     n_hit = F.when(F.size("spans") > 0, covered).otherwise(F.lit(0).cast("long"))
@@ -174,11 +205,21 @@ def hits(docs: DataFrame, benchmark: DataFrame, *, window: int = WINDOW, part_wi
 def decontaminate(docs: DataFrame, benchmark: DataFrame, *, remove: str = "documents", window: int = WINDOW, part_windows: int = PART_WINDOWS, text_col: str = "text") -> DataFrame:
     """docs, all columns, without the documents that hold a window ("documents") or without the words of windows ("spans").
 
-    Rows without text stay as they are. With several parts, spans are removed part after part.
+    Rows without text stay as they are. Spans are found over the whole benchmark before any is removed, so that the result
+    does not depend on the number of passes.
     """
     if remove not in ("documents", "spans"):
         raise ValueError(f"remove is documents or spans, not {remove}")
     at = docs.columns.index(text_col)
-    for rows in parts(benchmark_windows(benchmark, window=window), part_windows):
-        docs = arrow_map(docs, _scan, docs.schema, rows=rows, drop=remove, text_at=at)
-    return docs
+    windows = benchmark_windows(benchmark, window=window)
+    n = parts(windows, part_windows)
+    if n == 1:
+        return arrow_map(docs, _scan, docs.schema, rows=sent(windows), drop=remove, text_at=at)
+    row, spans = unused(docs, "row"), unused(docs, "spans")
+    numbered = _numbered(docs, row)
+    found = _passes(numbered.select(F.col(f"`{row}`").alias("row"), F.col(f"`{text_col}`").alias("text")), windows, n).where(F.size("spans") > 0)
+    found = found.select(F.col("row").alias(row), F.col("spans").alias(spans))
+    if remove == "documents":
+        return numbered.join(found, row, "left_anti").drop(row)
+    rows = numbered.join(found, row, "left").drop(row)
+    return arrow_map(rows, _cut, docs.schema, text_at=at)
