@@ -137,6 +137,22 @@ def test_parts_keep_rows_of_one_id_apart(spark):
     assert sorted(str(tuple(r)) for r in decontam.hits(docs, bench, part_windows=7).collect()) == want
 
 
+@pytest.mark.parametrize("part", [1, 3, 7])
+def test_the_number_of_passes_changes_nothing(spark, part):
+    items = [(1, prose(1, 20)), (2, prose(2, 12)), (3, "short item")]
+    same = prose(70, 10) + " "
+    rows = [(7, same + prose(1, 20)), (7, same + prose(71, 20)), (None, same + prose(1, 20)), (None, same + prose(72, 20)), (8, prose(1, 20)), (9, prose(2, 12) + " and a short item"), (10, None), (10, ""), (8, prose(1, 20))]
+    docs = spark.createDataFrame([(i, t, f"x{k}") for k, (i, t) in enumerate(rows)], "doc_id long, text string, row string").selectExpr("*", "1 AS spans")
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    assert sorted(str(tuple(r)) for r in decontam.hits(docs, bench, part_windows=part).collect()) == brute_hits(rows, items)
+    for mode in ("documents", "spans"):
+        whole, cut = (decontam.decontaminate(docs, bench, remove=mode, part_windows=n) for n in (200_000, part))
+        assert whole.columns == cut.columns == docs.columns
+        assert sorted(map(str, whole.collect())) == sorted(map(str, cut.collect()))
+    left = {r.row: r.text for r in cut.collect()}
+    assert left["x4"] == "" and left["x0"] == same and left["x1"] == rows[1][1] and left["x6"] is None
+
+
 def test_decontaminate(spark, docs):
     items = spark.createDataFrame(ITEMS, "item_id long, text string")
     kept = decontam.decontaminate(docs, items)
@@ -214,6 +230,90 @@ def test_quality_tells_prose_from_junk(spark):
     assert all(abs(again[i] - got[i].score) < 1e-9 for i in got)
 
 
+def brute_features(text):
+    """The ranker's features, worked out character by character and word by word."""
+    raw = list((text or "").encode())
+    words = bytes(raw).split()
+    if not words:
+        return [float(n == "empty") for n in ranker.NAMES]
+    symbols = set(b"#$%&*+/<=>@[\\]^_`{|}~")
+    n = max(1, sum(c not in b" \n" for c in raw))
+    k = len(words)
+    letters = max(1, n - sum(c in symbols or c in b"0123456789!?.,;:'\"()-" for c in raw))
+    upper, lower = sum(65 <= c <= 90 for c in raw) / letters, sum(97 <= c <= 122 for c in raw) / letters
+    lines = [x for x in bytes(raw).split(b"\n") if x.strip()]
+    badness = [sum(c in symbols or c == 33 for c in x) / len(x) + max(0, sum(65 <= c <= 90 for c in x) / len(x) - 0.3) for x in lines]
+    stops = sum(bytes(raw[i : i + 2]) in (b". ", b".\n") for i in range(len(raw)))
+    return [
+        min(1, 10 * sum(c in symbols and c != 124 for c in raw) / n), min(1, 10 * sum(c == 124 for c in raw) / n), min(1, 10 * sum(c == 33 for c in raw) / n),
+        upper, sum(48 <= c <= 57 for c in raw) / n, sum(len(x) for x, b in zip(lines, badness) if b > 0.03) / len(raw),
+        min(1, 5 * max([b for x, b in zip(lines, badness) if len(x) >= 40], default=0)), 1 - len(set(lines)) / len(lines), sum(words[i] == words[i + 1] for i in range(k - 1)) / k,
+        max(0, 1 - len(set(words)) / min(k, 40 + k**0.85)), sum(chr(w[-1]) in ".,;:" or w[-1] >= 128 or chr(w[-1]).isalpha() for w in words) / k,
+        min(1, n / k / 20), sum(len(w) > 20 for w in words) / k, 1 / (1 + k / 10), min(1, 5 * stops / k), 0, min(1, np.log(1 + k) / 12), max(0, 0.6 - lower),
+    ]
+
+
+def brute_scores(rows, labels):
+    """Bradley-Terry scores by plain gradient ascent on all pairs."""
+    x = np.array([brute_features(t) for _, t in rows], float)
+    at = {i: k for k, (i, _) in enumerate(rows)}
+    train = [(at[i], q) for i, q in labels if i in at and zlib.crc32(str(i).encode()) % 4 != 2]
+    sample, y = x[[k for k, _ in train]], np.array([q for _, q in train])
+    mean, scale = sample.mean(axis=0), sample.std(axis=0) + 1e-9
+    z = (sample - mean) / scale
+    d = np.array([g - b for g in z[y == 1] for b in z[y == 0]])
+    w = np.zeros(x.shape[1])
+    rate = 1 / (np.linalg.eigvalsh(d.T @ d / len(d)).max() / 4 + ranker.RIDGE)
+    for _ in range(60_000):
+        step = d.T @ (1 - 1 / (1 + np.exp(-d @ w))) / len(d) - ranker.RIDGE * w
+        w += rate * step
+        if np.abs(step).max() < 1e-10:
+            break
+    s = z @ w
+    places = np.linspace(0.002, 0.998, 499)
+    best = max(range(499), key=lambda i: (round(((s >= np.quantile(s, places[i])) == (y == 1)).mean() + 1e-9 * (s[y == 1] >= np.quantile(s, places[i])).mean(), 12), -i))
+    c = np.quantile(s, places[best])
+    cut = (s[s < c].max(initial=s.min()) + s[s >= c].min(initial=s.max())) / 2
+    all_s = ((x - mean) / scale) @ w
+    return 1 / (1 + np.exp(-((all_s - cut) / s[y == 1].std() + np.log(7 / 3))))
+
+
+def test_scores_against_brute_force(spark):
+    r = random.Random(8)
+    rows = [(i, t) for i, t in TEXTS if i is not None and i not in (10, 12)] + [(12, prose(4, 80))]
+    for i in range(100, 190):
+        good = r.random() < 0.6
+        t = prose(i, r.randrange(5, 60)) + "."
+        if not good and r.random() < 0.8:
+            t = r.choice((t.upper(), t.replace(" ", " $ "), (t + "\n") * 4, t.replace(" ", " | ") + "!!"))
+        rows.append((i, t))
+    labels = [(i, int(r.random() < 0.1 or not set(t or "") & set("$|!\n")) if t else 0) for i, t in rows]
+    got = {x.doc_id: x.score for x in ranker.quality(spark.createDataFrame(rows, "doc_id long, text string"), spark.createDataFrame(labels, "doc_id long, quality int")).collect()}
+    for (i, _), want in zip(rows, brute_scores(rows, labels)):
+        assert abs(got[i] - want) < 2e-4, (i, got[i], want)
+
+
+def test_a_long_line_is_one_line():
+    line = "abc " * 65_536
+    assert ranker.features(line) == pytest.approx(brute_features(line)) and ranker.features(line)[ranker.NAMES.index("repeated_lines")] == 0
+
+
+def test_repeated_ids_are_one_example(spark):
+    d = spark.createDataFrame([(i, prose(i, 20)) for i in range(12)] + [(1, prose(99, 20))] * 300, "doc_id long, text string")
+    l = spark.createDataFrame([(i, i % 2) for i in range(12)], "doc_id long, quality int")
+    once = spark.createDataFrame([(i, prose(i, 20)) for i in range(12)] + [(1, prose(99, 20))], "doc_id long, text string")
+    assert (ranker.train(d, l).w == ranker.train(once, l).w).all()
+
+
+def test_keep_good_of_odd_rows(spark, docs, no_docs):
+    labels = spark.createDataFrame([(1, 1), (4, 1), (10, 1), (13, 0), (6, 0), (14, 0)], "doc_id long, quality int")
+    ranks = ranker.train(docs, labels)
+    kept = ranker.keep_good(docs, ranks)
+    want = [i for i, t in TEXTS if ranks.scores(np.array([ranker.features(t)]))[0] >= 0.7]
+    assert kept.columns == docs.columns and sorted(map(str, (r.doc_id for r in kept.collect()))) == sorted(map(str, want)) and len(want) not in (0, len(TEXTS))
+    assert ranker.keep_good(no_docs, ranks).count() == 0
+
+
 def test_labels_of_held_out_rows_are_not_used(spark):
     rows = [(i, prose(i, 20), int(i % 2)) for i in range(60)]
     d = spark.createDataFrame([(i, t) for i, t, _ in rows], "doc_id long, text string")
