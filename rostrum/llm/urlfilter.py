@@ -2,11 +2,13 @@
 
 A rule is a host and a path prefix. A url's candidate rules are its host and every parent domain, each with the first characters
 of its path as long as some rule's path. The filter says which candidates may be listed; only those are joined with the list,
-which removes what the filter let through by mistake. The longest listed rule decides; a url that no rule fits is allowed.
+which removes what the filter let through by mistake; urls without a possible hit leave their tasks judged, and are never shuffled.
+The longest listed rule decides; a url that no rule fits is allowed.
 
-The filter has blocks of 512 bits, and a rule sets BITS bits of one block, so that a test touches one block. Its size is fixed by
-the number of rules up to MAX_BLOCKS; beyond, it lets more through, and the join stays exact. Since only the filter's words
-are sent along, a list of any length can be joined by shuffle.
+The filter has blocks of 512 bits, BITS_A_RULE bits for every rule, and a rule sets BITS bits of one block, so that a test touches
+one block. It goes along as one literal of the plan, up to MAX_BLOCKS blocks (16 MB, over eight million rules); a longer list
+still has all its rules in the filter, which then lets more through to the join. The list itself is joined by broadcast if it is
+short by count, else by shuffle, where AQE splits skewed keys.
 """
 
 from __future__ import annotations
@@ -14,10 +16,14 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .common import within
+
 #: Bits a rule sets, bits of the filter a rule gets, and blocks at most (64 bytes each).
-BITS, BITS_A_RULE, MAX_BLOCKS = 4, 16, 512
+BITS, BITS_A_RULE, MAX_BLOCKS = 4, 16, 1 << 18
 #: Words of 64 bits in a block.
 WORDS = 8
+#: Rules that are broadcast at most, about 100 bytes each.
+BROADCAST_RULES = 200_000
 
 
 def url_host(url: Column) -> Column:
@@ -51,12 +57,15 @@ class BlockedBloom:
         set_bits = keys.select(block.alias("block"), F.explode(F.array(*bits)).alias("bit"))
         word = (F.col("block") * WORDS + F.shiftright("bit", 6)).cast("int").alias("word")
         rows = set_bits.select(word, F.expr("shiftleft(1L, cast(bit % 64 as int))").alias("mask")).groupBy("word").agg(F.bit_or("mask").alias("mask"))
-        found = {r.word: r.mask for r in rows.collect()}  # MAX_BLOCKS * WORDS numbers at most
-        self.words = [found.get(i, 0) for i in range(self.blocks * WORDS)]
+        # the words in order, as one string of 16 hexadecimal digits each: MAX_BLOCKS * WORDS at most
+        every = keys.sparkSession.range(self.blocks * WORDS).join(rows, F.col("id") == F.col("word"), "left")
+        text = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("id", F.coalesce("mask", F.lit(0).cast("long")).alias("mask")))), lambda x: x["mask"].cast("string")), ",")
+        self.words = every.agg(text.alias("words")).first().words
 
     def may_have(self, key: Column) -> Column:
         """False only for keys that are not listed."""
-        words = F.array(*[F.lit(w).cast("long") for w in self.words])
+        # of constants, so the optimiser makes it one array before any row is read
+        words = F.split(F.lit(self.words), ",").cast("array<long>")
         block, bits = _bits(key, self.blocks)
         out = F.lit(True)
         for bit in bits:
@@ -87,18 +96,18 @@ def judge(pages: DataFrame, rules: DataFrame, *, default: str = "allow", id_col:
     shape = r.agg(F.array_sort(F.collect_set(F.length("key") - F.col("host_length"))).alias("paths"), F.max("host_length").alias("host")).first()
     p = pages.select(F.col(id_col).cast("long").alias("page_id"), F.col(url_col).cast("string").alias("url"))
     p = p.select("page_id", url_host(F.col("url")).alias("host"), url_path(F.col("url")).alias("path"))
-    # equal rows are judged once and counted
-    p = p.groupBy("page_id", "host", "path").agg(F.count(F.lit(1)).alias("copies"))
+    best = F.lit(None).cast("struct<rule:string,verdict:string>").alias("best")
     if not shape.paths:
-        found = p.withColumn("best", F.lit(None).cast("struct<rule:string,verdict:string>"))
+        found = p.select("page_id", "host", "path", best)
     else:
         bloom = BlockedBloom(r, "key")
-        possible = F.filter(candidates(shape.paths, shape.host), lambda x: bloom.may_have(x["key"]))
-        tried = p.select("page_id", "copies", "host", "path", F.explode_outer(possible).alias("x")).select("page_id", "copies", "host", "path", "x.key", "x.host_length")
-        met = tried.join(r, ["key", "host_length"], "left")
+        p = p.withColumn("possible", F.filter(candidates(shape.paths, shape.host), lambda x: bloom.may_have(x["key"])))
+        clear = p.where(F.size("possible") == 0).select("page_id", "host", "path", best)
+        # a number for every row, made before any shuffle, keeps repeated rows apart
+        tried = p.where(F.size("possible") > 0).withColumn("row", F.monotonically_increasing_id()).select("row", "page_id", "host", "path", F.explode("possible").alias("x"))
+        met = tried.select("row", "page_id", "host", "path", "x.key", "x.host_length").join(F.broadcast(r) if within(r, BROADCAST_RULES) else r, ["key", "host_length"], "left")
         rank = F.struct(F.length("key"), F.col("host_length"))
-        best = F.max_by(F.struct(F.col("key").alias("rule"), F.col("listed").alias("verdict")), F.when(F.col("listed").isNotNull(), rank))
-        found = met.groupBy("page_id", "copies", "host", "path").agg(best.alias("best"))
-    many = found.withColumn("copy", F.explode(F.sequence(F.lit(1).cast("long"), "copies")))
+        longest = F.max_by(F.struct(F.col("key").alias("rule"), F.col("listed").alias("verdict")), F.when(F.col("listed").isNotNull(), rank))
+        found = met.groupBy("row", "page_id", "host", "path").agg(longest.alias("best")).drop("row").unionByName(clear)
     listed = F.col("best.verdict").isNotNull()
-    return many.select("page_id", "host", "path", F.when(listed, F.col("best.rule")).alias("rule"), F.when(listed, F.col("best.verdict")).otherwise(F.lit(default)).alias("verdict"))
+    return found.select("page_id", "host", "path", F.when(listed, F.col("best.rule")).alias("rule"), F.when(listed, F.col("best.verdict")).otherwise(F.lit(default)).alias("verdict"))

@@ -91,3 +91,19 @@ def test_the_filter_has_every_key(spark):
     b = urlfilter.BlockedBloom(keys, "key")
     assert keys.where(~b.may_have(F.col("key"))).count() == 0
     assert spark.range(3000).selectExpr("concat('other', id) AS key").where(b.may_have(F.col("key"))).count() < 300
+
+
+def test_the_filter_grows_with_the_list(spark):
+    keys = spark.range(200_000).selectExpr("concat('site', id, '.org/') AS key")
+    b = urlfilter.BlockedBloom(keys, "key")
+    assert keys.where(~b.may_have(F.col("key"))).count() == 0
+    wrong = spark.range(200_000).selectExpr("concat('other', id, '.org/') AS key").where(b.may_have(F.col("key"))).count()
+    assert wrong < 0.02 * 200_000
+
+
+def test_only_possible_hits_are_shuffled(spark, monkeypatch):
+    monkeypatch.setattr(urlfilter, "BROADCAST_RULES", 0)
+    p = spark.createDataFrame([(i, f"http://{'a.com' if i % 50 == 0 else f'h{i}.net'}/x") for i in range(2000)], "page_id long, url string")
+    r = spark.createDataFrame([("a.com", "/", "block")], "host string, path string, verdict string")
+    got = urlfilter.judge(p, r)
+    assert got.where("verdict = 'block' AND rule = 'a.com/'").count() == 40 and got.count() == 2000
