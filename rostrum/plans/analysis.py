@@ -227,10 +227,9 @@ def t18_extremes(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query()
 def r1_sentence_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
-    d = table(spark, sf_dir, "documents")
-    s = F.col("s")
-    rows = wording.sentence_rows(d, "doc_id", F.col("text"), s.rlike(r"(?iu)\bthat\b"))
-    return wording.classify(rows, "doc_id", [wording.Rule("licensed", s.rlike("(?i)licen[sc]e|rights")), wording.Rule("personal", s.rlike("@"), "wide"), wording.Rule("from", s.rlike(r"(?iu)\bfrom\b"), "on")], "names it", "does not name it", d)
+    rows = wording.sentence_rows(table(spark, sf_dir, "documents"), "doc_id", F.col("text"), lambda s: s.rlike(r"(?iu)\bthat\b"))
+    rules = [wording.Rule("licensed", lambda s: s.rlike("(?i)licen[sc]e|rights")), wording.Rule("personal", lambda s: s.rlike("@"), "wide"), wording.Rule("from", lambda s: s.rlike(r"(?iu)\bfrom\b"), "on")]
+    return wording.classify(rows, "doc_id", rules, "names it", "does not name it")
 
 
 _WAR = ("Russia must end its war of aggression against Ukraine. ", "The war in Gaza is a genocide. ", "We condemn the Hamas attack of 7 October on Israel. ", "Let us speak of Ukraine and peace. ")
