@@ -16,23 +16,43 @@ from rostrum.streaming import history as streaming
 LONG = "This paragraph tells the story of the day in more than sixty characters, "
 
 
-def test_article_in_a_wrapping_nav():
+def story_of(spark, page):
+    r = html.articles(spark.createDataFrame([(page,)], "h string"), F.col("h")).first()
+    return r.title, r.paragraphs
+
+
+def test_article_in_a_wrapping_nav(spark):
     story = "".join(f"<p>{LONG} part {i}.</p>" for i in range(20))
-    title, ps = html.article(f"<html><head><meta property='og:title' content='The  title'></head><body><nav><article>{story}</article></nav><footer><p>{LONG} foot.</p></footer></body></html>")
+    title, ps = story_of(spark, f"<html><head><meta property='og:title' content='The  title'></head><body><nav><article>{story}</article></nav><footer><p>{LONG} foot.</p></footer></body></html>")
     assert title == "The title" and len(ps) == 20 and ps[3].endswith("part 3.")
 
 
-def test_article_prefers_the_story_to_a_teaser():
+def test_article_prefers_the_story_to_a_teaser(spark):
     t = f"<body><article><p>{LONG} teaser.</p></article><article>" + "".join(f"<p>{LONG} {i}.</p>" for i in range(9)) + f"<p>Sign up to read {LONG}</p><li><a href=x>{LONG} link.</a></li><p>{LONG} 1.</p></article></body>"
-    assert len(html.article(t)[1]) == 9
+    assert len(story_of(spark, t)[1]) == 9
 
 
-def test_article_falls_back_to_structured_data():
+def test_article_falls_back_to_structured_data(spark):
     data = {"@graph": [{"articleBody": " ".join(f"Sentence number {i} of the structured story is long enough." for i in range(9))}]}
-    _, ps = html.article(f"<script type='application/ld+json'>{json.dumps(data)}</script><body><p>short</p></body>")
+    _, ps = story_of(spark, f"<script type='application/ld+json'>{json.dumps(data)}</script><body><p>short</p></body>")
     assert len(ps) == 3 and ps[0].startswith("Sentence number 0")
 
 
+def test_article_leaves_furniture_menus_and_bare_links_out(spark):
+    page = (
+        f"<body><main><p>{LONG} one.</p><aside><p>{LONG} beside.</p></aside><ul><li><a href=x>{LONG} a related story.</a></li><li>{LONG} <a href=x>in part</a> a link.</li></ul>"
+        "<p>World Politics Business Opinion Science Health Sports Arts Books Style Food Travel Magazine</p></main></body>"
+    )
+    assert [p.split()[-1] for p in story_of(spark, page)[1]] == ["one.", "link."]
+
+
+def test_json_ld_values_in_order(spark):
+    a = {"@graph": [{"headline": "a", "mainEntity": {"headline": "b"}}, [{"headline": "c"}], {"headline": 4}], "headline": "top", "other": {"headline": "hidden"}}
+    page = f"<script type='application/ld+json'>{json.dumps(a)}</script><script type='application/ld+json'>{{broken</script><script>{json.dumps(a)}</script>"
+    d = spark.createDataFrame([(page,), (None,)], "h string")
+    assert [r["values"] for r in html.json_ld(d, F.col("h"), "headline").collect()] == [["top", "a", "b", "c"], []]
+
+
 def test_odd_pages(spark):
     d = spark.createDataFrame([(1, None), (2, ""), (3, "<p><b>open"), (4, "<" * 3000), (5, "<div>" * 3000 + "x")], "i int, h string")
     assert html.articles(d, F.col("h")).count() == 5
