@@ -350,11 +350,47 @@ def test_top_k_against_brute_force(spark):
     assert nra.top_k(df.where("false")).count() == 0
 
 
-def test_reading_stops_early():
+class Counted(nra.Lists):
+    """Lists that note which places are read; nothing else of the vectors is kept."""
+
+    def __init__(self, x):
+        super().__init__(x)
+        self.reads = []
+
+    def lowest(self, a, b):
+        self.reads.append(("lowest", a, b))
+        return super().lowest(a, b)
+
+    def highest(self, a, b):
+        self.reads.append(("highest", a, b))
+        return super().highest(a, b)
+
+
+@pytest.mark.parametrize("alike", [True, False])
+def test_lists_are_read_in_order_and_no_further_than_needed(alike):
     r = np.random.default_rng(0)
-    x = np.rint(np.where(r.random((2000, 6)) < 0.01, 60, 0) + r.normal(size=(2000, 6)))
-    q = np.abs(np.rint(r.normal(size=(3, 6)) * 5))
-    i, j, s = nra.search(q, np.full(3, -1), x, np.arange(2000), 20)
+    x = np.rint(r.pareto(2, size=(2000, 1)) * 90 * alike + r.normal(size=(2000, 6)) * 9)
+    q = np.rint(np.abs(r.normal(size=(3, 6))) * 5 + 1) if alike else np.rint(r.normal(size=(3, 6)) * 5)
+    lists = Counted(x)
+    i, j, s, depth = nra.search(q, np.full(3, -1), lists, np.arange(2000), 20)
     for n in range(3):
         best = np.sort(x @ q[n])[-20:]
-        assert sorted(s[i == n])[-20:] == best.tolist() and (i == n).sum() < 2000
+        assert sorted(s[i == n])[-20:] == best.tolist() and (s[i == n] == x[j[i == n]] @ q[n]).all()
+    for side in ("lowest", "highest"):
+        places = [(a, b) for name, a, b in lists.reads if name == side][1:]  # the first states the list's far end
+        assert places[0][0] == 0 and all(b == c for (_, b), (c, _) in zip(places, places[1:]))
+        assert places[-1][1] == round(depth.max() * 2000)
+    assert not alike or depth.max() <= 0.25
+    # a query is done only when its members' scores are read, and not a step later
+    for n in range(3):
+        steps = [d for d in nra.DEPTHS if d < depth[n]]
+        early = nra.search(q[n : n + 1], np.full(1, -1), nra.Lists(x), np.arange(2000), 20, depths=tuple(steps))
+        assert len(early[0]) == 0
+
+
+def test_ties_at_the_last_place_and_rows_of_one_id(spark):
+    rows = [(0, [1.0, 0.0])] + [(100 + i, [2.0, float(i)]) for i in range(5)] + [(200 - i, [1.0, 0.5]) for i in range(40)]
+    rows += [(300, [3.0, float(i)]) for i in range(30)] + [(300, [0.5, 0.0]), (301, [2.0, 0.0]), (301, [-1.0, 0.0])]
+    got = nra.top_k(spark.createDataFrame(rows, "vec_id long, embedding array<double>"), k=20, candidate_block=64).where("query_id = 0").orderBy("rank").collect()
+    want = [(300, 3 * 64 * 64)] + [(i, 2 * 64 * 64) for i in (100, 101, 102, 103, 104, 301)] + [(161 + i, 64 * 64) for i in range(13)]
+    assert [(r.vec_id, r.score) for r in got] == want
