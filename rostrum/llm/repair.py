@@ -2,15 +2,17 @@
 
 Documents are dealt by ranges of doc_id, so shard after shard holds them in ascending order. A shard's texts are cut at
 ASCII white space, which the tokenizer drops and never merges across; each distinct segment is encoded once by the
-tokenizers library. Re-Pair then works on the shard's distinct segments, each weighted by its occurrences: round after
-round the most frequent adjacent pairs of all segments become nonterminals, until no pair occurs MIN_PAIR times or rules and
-vocabulary together fill the MAX_SYMBOLS symbols of two bytes; a vocabulary that fills them alone leaves no rules. Where chosen pairs overlap, the
-more frequent one wins and the loser is counted anew in the next round. Rules, the length that each expands to, and the
-documents' symbols go to one file.
-
-File, little-endian: 8 bytes b"RSTPAIR1"; uint32 length of a JSON head; the head (n_docs, n_tokens, n_symbols, n_rules,
-base, symbol: numpy type); then arrays: left and right side of each rule (uint32), its expansion length (int64), doc_id
-(int64) and whether it is null (uint8), end of each document in symbols and in tokens (int64), symbols. Symbols from base on are rules.
+tokenizers library. Re-Pair then works on the shard: round after round the frequent adjacent pairs become nonterminals, until no pair
+within a document occurs MIN_PAIR times. It does so first on the distinct segments, each weighted by its occurrences, which is Re-Pair on
+what words share, and then on the documents themselves, where pairs reach across segments but not across documents. Neither the rounds nor the symbols
+are limited. Where pairs of a round overlap, the more frequent one wins, and the loser is counted anew in the next round. Rules, the length that each
+expands to, and the documents' symbols go to one file.
+
+File, little-endian: 8 bytes b"RSTPAIR2"; uint32 length of a JSON head; the head (n_docs, n_tokens, n_symbols, n_rules,
+base, high: bits of a symbol above 16); then arrays: left and right side of each rule (uint32), its expansion length (int64), doc_id
+(int64) and whether it is null (uint8), end of each document in symbols and in tokens (int64), the lower 16 bits of all symbols (uint16), and for each
+higher bit, lowest first, that bit of all symbols, eight a byte. Symbols from base on are rules.
+A reader loads the rules and the documents' ends, seeks a document's symbols, and expands these alone.
 """
 
 from __future__ import annotations
@@ -28,11 +30,11 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import Atomic, Numbering, arrow_map, arrow_schema, gather, held, opened, scratch, struct, written
+from .common import Atomic, Numbering, arrow_map, arrow_schema, gather, held, scratch, split_uri, struct, written
 
-MAGIC = b"RSTPAIR1"
-#: A shard is closed after so many tokens. A pair becomes a rule if it occurs so often; at most so many rules a round.
-SHARD_TOKENS, MIN_PAIR, ROUND_RULES = 8_000_000, 16, 8192
+MAGIC = b"RSTPAIR2"
+#: A shard is closed after so many tokens. A pair becomes a rule if it occurs so often.
+SHARD_TOKENS, MIN_PAIR = 8_000_000, 16
 
 
 @lru_cache(maxsize=2)
@@ -45,8 +47,8 @@ def tokenizer(path: str):
 
 #: Segments that a worker remembers from shard to shard, before it starts anew.
 MEMORY = 800_000
-#: Symbols of a shard at most, so that each takes two bytes, unless the vocabulary alone is larger.
-MAX_SYMBOLS = 1 << 16
+#: Bits of the table of counts by hash, which tells most rare pairs before any sorting.
+HASH_BITS = 21
 #: Below this character, letters stay letters when the tokenizer normalises them, but for the dotted capital I.
 LATIN_END, DOTTED = "\u0250", "\u0130"
 
@@ -122,52 +124,126 @@ def _let_go() -> None:
 held(__name__, _let_go)
 
 
-def grammar(flat: np.ndarray, sizes: np.ndarray, weights: np.ndarray, base: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Re-Pair over segments: their symbols, the sizes now, and the rules (n, 2)."""
-    rules: list[np.ndarray] = []
-    made = 0
-    while len(flat) > 1 and base + made < MAX_SYMBOLS:
-        owner = np.repeat(np.arange(len(sizes)), sizes)
-        # symbols are below MAX_SYMBOLS, so a pair takes 32 bits; no pair reaches over the end of a segment
-        keys = np.where(owner[1:] == owner[:-1], flat[:-1].astype(np.int64) << 16 | flat[1:], -1)
+def _groups(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The order that brings equal pairs together, in order of place, and where each pair's group begins in it."""
+    bits, n = int(max(a.max(), b.max())).bit_length(), len(a)
+    if 2 * bits + n.bit_length() <= 64:  # pairs with their places, by one sort of both
+        low = np.uint64(n.bit_length())
+        both = (a.astype(np.uint64) << np.uint64(bits) | b.astype(np.uint64)) << low | np.arange(n, dtype=np.uint64)
+        both.sort()
+        order, key = (both & ((np.uint64(1) << low) - np.uint64(1))).astype(np.int64), both >> low
+    else:
+        key = a.astype(np.int64) << 32 | b
+        order = np.argsort(key, kind="stable")
+        key = key[order]
+    return order, np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
+
+
+class Sequence:
+    """Symbols in segments, as a linked list, whose frequent pairs are replaced in place.
+
+    Only places whose pair may be frequent are looked at again: a pair once found rare stays rare, since replacements make
+    new pairs of new symbols alone.
+    """
+
+    def __init__(self, flat: np.ndarray, sizes: np.ndarray, weights: np.ndarray | None = None):
+        n = len(flat)
+        self.symbol = np.append(flat, -1).astype(np.int32)
+        self.after, self.before = np.arange(1, n + 2, dtype=np.int32), np.arange(-1, n, dtype=np.int32)
+        self.last = np.zeros(n + 1, bool)  # whether a symbol ends its segment
+        self.last[np.cumsum(sizes)[sizes > 0] - 1] = True
+        self.gone = np.zeros(n, bool)
+        self.weight = None if weights is None else np.repeat(weights, sizes)
+        self.sizes = sizes
+        self.rank = np.full(n + 2, NEVER, np.int32)  # the last entry is that of no place
+        self.open = np.flatnonzero(~self.last[:n]).astype(np.int32)
+
+    def count(self, of: np.ndarray, at: np.ndarray, n: int) -> np.ndarray:
+        """Occurrences of each number in of, which belongs to the places at."""
+        return np.bincount(of, weights=None if self.weight is None else self.weight[at], minlength=n)
+
+    def round(self, made: int) -> np.ndarray:
+        """Replace the frequent pairs of a round; new symbols are numbered from made on. Returns the rules (n, 2), none when nothing is frequent."""
+        at = self.open
+        a, b = self.symbol[at], self.symbol[self.after[at]]
         # in a run of one symbol, every other pair: the others overlap it
-        place = np.arange(len(keys))
-        start = np.maximum.accumulate(np.where(np.diff(keys, prepend=-2) != 0, place, 0))
-        at = np.flatnonzero((keys >= 0) & ((place - start) % 2 == 0))
+        same = np.flatnonzero(a == b)
+        if len(same):
+            run = at[same]
+            begins = np.append(True, (self.after[run[:-1]] != run[1:]) | self.last[run[:-1]])
+            place = np.arange(len(run))
+            odd = (place - np.maximum.accumulate(np.where(begins, place, 0))) % 2 == 1
+            counted = np.ones(len(at), bool)
+            counted[same[odd]] = False
+            at, a, b, spare = at[counted], a[counted], b[counted], at[~counted]
+        else:
+            spare = at[:0]
+        h = (a.astype(np.uint32) * FACTOR_A + b.astype(np.uint32) * FACTOR_B) >> np.uint32(32 - HASH_BITS)
+        may = (self.count(h, at, 1 << HASH_BITS) >= MIN_PAIR)[h]
+        at, a, b = at[may], a[may], b[may]
         if not len(at):
+            return np.empty((0, 2), np.uint32)
+        order, first = _groups(a, b)
+        times = np.diff(first, append=len(order))
+        uses = times if self.weight is None else np.add.reduceat(self.weight[at[order]], first)
+        frequent = uses >= MIN_PAIR
+        ranks = np.full(len(first), NEVER, np.int32)
+        best = np.argsort(-uses[frequent], kind="stable")
+        ranks[np.flatnonzero(frequent)[best]] = np.arange(len(best), dtype=np.int32)
+        mine = np.empty(len(at), np.int32)
+        mine[order] = np.repeat(ranks, times)
+        inside = mine < NEVER
+        at, a, b, mine = at[inside], a[inside], b[inside], mine[inside]
+        if not len(at):
+            return np.empty((0, 2), np.uint32)
+        # a place wins over its neighbours if its pair is the more frequent one, of the same pair the first
+        self.rank[at] = mine
+        wins = (mine < self.rank[self.before[at]]) & (mine <= self.rank[self.after[at]])
+        self.rank[at] = NEVER
+        keep = self.count(mine[wins], at[wins], len(best)) >= MIN_PAIR
+        won = wins & keep[mine]
+        number = (np.cumsum(keep) - 1).astype(np.int32)
+        sides = np.empty((int(keep.sum()), 2), np.uint32)
+        spots, which = at[won], number[mine[won]]
+        sides[which, 0], sides[which, 1] = a[won], b[won]
+        second = self.after[spots]
+        third = self.after[second]
+        self.symbol[spots] = made + which
+        self.last[spots] = self.last[second]
+        self.after[spots], self.before[third] = third, spots
+        self.gone[second] = True
+        # left to look at: what is frequent and stands, and the pairs of the new symbols
+        still = at[~won]
+        near = self.before[spots]
+        near = near[near >= 0]
+        found = np.concatenate([still, spare, spots, near])
+        found = found[~self.gone[found] & ~self.last[found]]
+        self.open = np.unique(found)
+        return sides
+
+    def result(self) -> tuple[np.ndarray, np.ndarray]:
+        """The symbols left, and how many are left of each segment."""
+        kept = ~self.gone
+        upto = np.concatenate([[0], np.cumsum(kept)])
+        ends = np.cumsum(self.sizes)
+        return self.symbol[:-1][kept], upto[ends] - upto[ends - self.sizes]
+
+
+#: No rank, and odd multipliers of a hash (fixed values).
+NEVER = 1 << 30
+FACTOR_A, FACTOR_B = np.uint32(0x9E3779B1), np.uint32(0x85EBCA6B)
+
+
+def grammar(flat: np.ndarray, sizes: np.ndarray, weights: np.ndarray | None, base: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Re-Pair over segments: their symbols, the sizes now, and the rules (n, 2), whose symbols begin at base. weights: how often each segment occurs, once if None."""
+    s, rules, made = Sequence(flat, sizes, weights), [np.empty((0, 2), np.uint32)], base
+    while len(s.open):
+        new = s.round(made)
+        if not len(new):
             break
-        # pairs with their places, by one sort of both
-        both = np.sort(keys[at].astype(np.uint64) << np.uint64(32) | at.astype(np.uint64))
-        ordered, at = (both >> np.uint64(32)).astype(np.int64), (both & np.uint64(0xFFFFFFFF)).astype(np.int64)
-        first = np.flatnonzero(np.diff(ordered, prepend=-1))
-        count, times = np.add.reduceat(weights[owner[at]], first), np.diff(first, append=len(at))
-        order = np.argsort(-count, kind="stable")[: min(ROUND_RULES, MAX_SYMBOLS - base - made)]
-        order = order[count[order] >= MIN_PAIR]
-        if not len(order):
-            break
-        sides = ordered[first[order]]
-        ranks = np.full(len(first), 1 << 30)
-        ranks[order] = np.arange(len(order))
-        rank = np.full(len(keys), 1 << 30)
-        rank[at] = np.repeat(ranks, times)
-        r = np.concatenate([[1 << 30], rank, [1 << 30]])
-        mid = r[1:-1]
-        chosen = (mid < 1 << 30) & (mid < r[:-2]) & (mid <= r[2:])
-        use = np.bincount(mid[chosen], weights=weights[owner[:-1][chosen]], minlength=len(order))
-        keep = use >= 2
-        number = np.cumsum(keep) - 1
-        at = np.flatnonzero(chosen)
-        at = at[keep[mid[at]]]
-        sides = sides[keep]
-        rules.append(np.stack([sides >> 16, sides & 0xFFFF], 1))
-        flat = flat.copy()
-        flat[at] = base + made + number[mid[at]]
-        made += int(keep.sum())
-        stay = np.ones(len(flat), bool)
-        stay[at + 1] = False
-        sizes = sizes - np.bincount(owner[at], minlength=len(sizes))
-        flat = flat[stay]
-    return flat, sizes, np.concatenate(rules).astype(np.uint32) if rules else np.empty((0, 2), np.uint32)
+        rules.append(new)
+        made += len(new)
+    return *s.result(), np.concatenate(rules)
 
 
 class Writer:
@@ -204,22 +280,25 @@ class Writer:
         short, now, rules = grammar(flat, sizes, weights, self.base)
         # the end id is one more segment, after each document's own
         end = len(sizes)
-        flat_end, now_end, size_end = np.append(short, self.end_id), np.append(now, 1), np.append(sizes, 1)
+        flat_end, now_end, size_end = np.append(short, np.int32(self.end_id)), np.append(now, 1), np.append(sizes, 1)
         ends = np.cumsum(per_doc)
         which = np.insert(place[numbers], ends, end)
-        symbols = gather(flat_end, now_end, which)
         doc_ends = ends + np.arange(1, len(ends) + 1)
         to = lambda n: np.concatenate([[0], np.cumsum(n[which])])[doc_ends]
-        symbol_ends, token_ends = to(now_end), to(size_end)
-        lengths = np.ones(self.base + len(rules), np.int64)
-        for k, (a, b) in enumerate(rules.tolist()):
-            lengths[self.base + k] = lengths[a] + lengths[b]
-        kind = "<u2" if self.base + len(rules) <= 1 << 16 else "<u4"
-        head = {"n_docs": len(self.ids), "n_tokens": int(token_ends[-1]), "n_symbols": len(symbols), "n_rules": len(rules), "base": self.base, "symbol": kind}
+        token_ends, word_ends_ = to(size_end), to(now_end)
+        symbols, per_doc, more = grammar(gather(flat_end, now_end, which), np.diff(word_ends_, prepend=0), None, self.base + len(rules))
+        rules = np.concatenate([rules, more])
+        symbol_ends = np.cumsum(per_doc)
+        lengths = [1] * self.base
+        for x, y in rules.tolist():
+            lengths.append(lengths[x] + lengths[y])
+        lengths = np.array(lengths, np.int64)
+        high = max(0, int(self.base + len(rules) - 1).bit_length() - 16)
+        head = {"n_docs": len(self.ids), "n_tokens": int(token_ends[-1]), "n_symbols": len(symbols), "n_rules": len(rules), "base": self.base, "high": high}
         raw = json.dumps(head).encode()
         f = Atomic(f"{self.folder}/shard-{self.part:06d}-{self.seq:06d}.pair")
         f.write(MAGIC + pack("<I", len(raw)) + raw)
-        for x, t in ((rules[:, 0], "<u4"), (rules[:, 1], "<u4"), (lengths[self.base :], "<i8"), (np.array([x or 0 for x in self.ids], np.int64), "<i8"), (np.array([x is None for x in self.ids]), "u1"), (symbol_ends, "<i8"), (token_ends, "<i8"), (symbols, kind)):
+        for x, t in ((rules[:, 0], "<u4"), (rules[:, 1], "<u4"), (lengths[self.base :], "<i8"), (np.array([x or 0 for x in self.ids], np.int64), "<i8"), (np.array([x is None for x in self.ids]), "u1"), (symbol_ends, "<i8"), (token_ends, "<i8"), (symbols & 0xFFFF, "<u2"), *((np.packbits(symbols >> 16 + k & 1), "u1") for k in range(high))):
             f.write(np.ascontiguousarray(x, t).tobytes())
         row = {"part": self.part, "seq": self.seq, "uri": f.uri, **{k: head[k] for k in ("n_docs", "n_tokens", "n_symbols", "n_rules")}, "n_bytes": f.close()}
         self.seq += 1
@@ -243,65 +322,95 @@ def _write(batches: Iterator[pa.RecordBatch], *, folder: str, path: str, end_id:
 
 
 class Shard:
-    """A shard file; documents, or parts of them, are decoded one at a time."""
+    """A shard file: rules and the documents' ends in memory, symbols by seeking; what is decoded is what is asked for."""
 
     def __init__(self, uri: str):
-        with opened(uri) as f:
-            raw = f.read()
+        fs, path = split_uri(uri)
+        self.file = fs.open_input_file(path)
+        raw = self.file.read(12)
         if raw[:8] != MAGIC:
             raise ValueError(f"{uri} is no token shard")
         (n,) = unpack_from("<I", raw, 8)
-        self.head = h = json.loads(raw[12 : 12 + n])
-        at = 12 + n
-
-        def take(kind: str, count: int) -> np.ndarray:
-            nonlocal at
-            out = np.frombuffer(raw, kind, count, at)
-            at += out.nbytes
-            return out
-
-        left, right, self.lengths = take("<u4", h["n_rules"]), take("<u4", h["n_rules"]), take("<i8", h["n_rules"])
+        self.head = h = json.loads(self.file.read(n))
+        self.base = h["base"]
+        take = lambda kind, count: np.frombuffer(self.file.read(np.dtype(kind).itemsize * count), kind)
+        self.left, self.right, self.lengths = take("<u4", h["n_rules"]), take("<u4", h["n_rules"]), take("<i8", h["n_rules"])
         ids, null = take("<i8", h["n_docs"]), take("u1", h["n_docs"])
         self.doc_ids = [None if x else i for i, x in zip(ids.tolist(), null.tolist())]
-        self.symbol_ends, self.token_ends = take("<i8", h["n_docs"]), take("<i8", h["n_docs"])
-        self.symbols = take(h["symbol"], h["n_symbols"])
-        base = h["base"]
-        self.sizes = np.concatenate([np.ones(base, np.int64), self.lengths])
-        runs: list[np.ndarray] = []
-        for a, b in zip(left.tolist(), right.tolist()):
-            runs.append(np.concatenate([np.array([x], np.uint32) if x < base else runs[x - base] for x in (a, b)]))
-        self.flat = np.concatenate([np.arange(base, dtype=np.uint32), *runs])
-        self.starts = np.cumsum(self.sizes) - self.sizes
+        self.symbol_ends, self.token_ends = (np.append(0, take("<i8", h["n_docs"])) for _ in range(2))
+        self.at = self.file.tell()
+
+    def symbols(self, first: int, end: int) -> np.ndarray:
+        """Symbols of documents first to end (exclusive), by seeking."""
+        a, b = (int(self.symbol_ends[i]) for i in (first, end))
+        n = self.head["n_symbols"]
+        out = np.frombuffer(self._bytes(2 * a, 2 * b), "<u2").astype(np.uint32)
+        for k in range(self.head["high"]):
+            plane = 2 * n + k * -(-n // 8)
+            bits = np.unpackbits(np.frombuffer(self._bytes(plane + a // 8, plane + -(-b // 8)), np.uint8))
+            out |= bits[a % 8 : a % 8 + b - a].astype(np.uint32) << np.uint32(16 + k)
+        return out
+
+    def _bytes(self, a: int, b: int) -> bytes:
+        self.file.seek(self.at + a)
+        return self.file.read(b - a)
+
+    def sizes(self, symbols: np.ndarray) -> np.ndarray:
+        """Ids that each symbol expands to."""
+        out = np.ones(len(symbols), np.int64)
+        rule = symbols >= self.base
+        out[rule] = self.lengths[symbols[rule] - self.base]
+        return out
+
+    def expand(self, symbols: np.ndarray, start: int = 0, stop: int | None = None) -> np.ndarray:
+        """Ids start to stop of what symbols expand to: rules give way to their sides, each at its place, as far as they reach into the part."""
+        size = self.sizes(symbols)
+        ends = np.cumsum(size)
+        total = int(ends[-1]) if len(ends) else 0
+        stop = total if stop is None else min(stop, total)
+        out = np.empty(max(0, stop - start), np.uint32)
+        place, n = ends - size - start, len(out)
+        while len(symbols):
+            if start or stop < total:
+                reach = (place < n) & (place + size > 0)
+                symbols, place = symbols[reach], place[reach]
+            rule = symbols >= self.base
+            out[place[~rule]] = symbols[~rule]
+            which, place = symbols[rule] - self.base, place[rule]
+            left, right = self.left[which], self.right[which]
+            size_left, size_right = self.sizes(left), self.sizes(right)
+            symbols, place, size = np.concatenate([left, right]), np.concatenate([place, place + size_left]), np.concatenate([size_left, size_right])
+        return out
 
     def document(self, i: int) -> np.ndarray:
         """All ids of document i."""
-        return gather(self.flat, self.sizes, self.symbols[self.symbol_ends[i - 1] if i else 0 : self.symbol_ends[i]], self.starts)
+        return self.expand(self.symbols(i, i + 1))
 
     def tokens(self, i: int, start: int, stop: int) -> np.ndarray:
-        """Ids start to stop of document i: only the symbols that cover them are expanded."""
-        s = self.symbols[self.symbol_ends[i - 1] if i else 0 : self.symbol_ends[i]]
-        ends = np.cumsum(self.sizes[s])
-        a, b = np.searchsorted(ends, start, "right"), np.searchsorted(ends, stop, "left") + 1
-        before = ends[a - 1] if a else 0
-        return gather(self.flat, self.sizes, s[a:b], self.starts)[start - before : stop - before]
+        """Ids start to stop of document i: only the rules that reach into them are expanded."""
+        return self.expand(self.symbols(i, i + 1), start, stop)
+
+    def close(self) -> None:
+        self.file.close()
+
+
+#: Ids that are decoded at once, unless a document alone has more.
+READ_TOKENS = 500_000
 
 
 def _read(batches: Iterator[pa.RecordBatch], *, ids: bool) -> Iterator[pa.RecordBatch]:
+    kinds = [pa.int64()] * 4 + [pa.list_(pa.int64())] * ids
     for b in batches:
         for uri, start in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
-            s = Shard(uri)
-            at = 0
+            s, at = Shard(uri), 0
+            ends = s.token_ends
             while at < s.head["n_docs"]:
-                rows, n = [], 0
-                while at < s.head["n_docs"] and len(rows) < 4096 and n < 1_000_000:
-                    got = s.document(at).astype("<u4")
-                    first = int(s.token_ends[at - 1]) if at else 0
-                    rows.append((s.doc_ids[at], start + first, len(got), zlib.crc32(got.tobytes()), got.tolist() if ids else None))
-                    n += len(got)
-                    at += 1
-                cols = list(zip(*rows))
-                kinds = [pa.int64()] * 4 + [pa.list_(pa.int64())] * ids
+                to = max(at + 1, int(np.searchsorted(ends, ends[at] + READ_TOKENS, "right")) - 1)
+                parts = np.split(s.expand(s.symbols(at, to)).astype("<u4"), ends[at + 1 : to] - ends[at])
+                cols = [s.doc_ids[at:to], (start + ends[at:to]).tolist(), np.diff(ends[at : to + 1]).tolist(), [zlib.crc32(x.tobytes()) for x in parts], [x.tolist() for x in parts]]
                 yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds)], names=["doc_id", "start", "n_tokens", "ids_crc32", "ids"][: len(kinds)])
+                at = to
+            s.close()
 
 
 def write_shards(docs: DataFrame, tokenizer_path: str, *, end_id: int, folder: str | None = None, partitions: int | None = None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -14,7 +14,7 @@ from tokenizers import Tokenizer
 
 from rostrum.llm import bytebpe, repair, tokencount
 
-from .conftest import TEXTS
+from .conftest import TEXTS, prose
 
 JSON, RANKS, WORDS = P.path("byte_bpe_50k.json"), P.path("byte_bpe_multi_50k.tiktoken"), P.path("word_bpe_49k.json")
 
@@ -157,7 +157,85 @@ def test_grammar_leaves_no_frequent_pair(case):
     assert [[x for s in flat[e - n : e].tolist() for x in _expanded(s, rules, 1000)] for e, n in zip(ends, now)] == parts
 
 
-def test_grammar_stops_when_symbols_are_used_up(monkeypatch):
-    monkeypatch.setattr(repair, "MAX_SYMBOLS", 1003)
-    flat, _, rules = repair.grammar(np.full(4096, 3, np.int32), np.array([4096]), np.ones(1), 1000)
-    assert len(rules) == 3 and flat.max() < 1003
+def _strict(parts, least, base):
+    """Plain Re-Pair: the most frequent pair alone, again and again; the symbols that are left, and the number of rules."""
+    parts, made = [list(p) for p in parts], base
+    while True:
+        count = Counter()
+        for p in parts:
+            i, last = 0, None
+            for i, pair in enumerate(zip(p, p[1:])):
+                if last == (i - 1, pair):
+                    continue
+                count[pair] += 1
+                last = (i, pair)
+        if not count or max(count.values()) < least:
+            return sum(map(len, parts)), made - base
+        best = max(count, key=lambda x: (count[x], -x[0], -x[1]))
+        for p in parts:
+            i = 0
+            while i + 1 < len(p):
+                if (p[i], p[i + 1]) == best:
+                    p[i : i + 2] = [made]
+                i += 1
+        made += 1
+
+
+def test_grammar_is_about_as_small_as_strict_re_pair():
+    rng = np.random.default_rng(3)
+    phrases = [rng.integers(0, 40, int(n)).tolist() for n in rng.integers(2, 9, 30)]
+    parts = [sum((phrases[int(i)] if rng.random() < 0.8 else [int(rng.integers(0, 40))] for i in rng.zipf(1.3, 60) % 30), []) for _ in range(40)]
+    sizes = np.array([len(p) for p in parts])
+    flat, now, rules = repair.grammar(np.concatenate([np.array(p, np.int32) for p in parts]), sizes, None, 1000)
+    left, made = _strict(parts, repair.MIN_PAIR, 1000)
+    assert len(flat) + 2 * len(rules) <= 1.05 * (left + 2 * made)
+    ends = np.cumsum(now)
+    assert [[x for s in flat[e - n : e].tolist() for x in _expanded(s, rules, 1000)] for e, n in zip(ends, now)] == parts
+
+
+def test_pairs_reach_across_words_and_many_shards_hold_all(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(repair, "SHARD_TOKENS", 3000)
+    lib, phrase = Tokenizer.from_file(WORDS), "the quick brown fox jumps over the lazy dog and runs away from it all"
+    texts = [f"{prose(i, 30)} {phrase} {prose(i + 500, 10)}" for i in range(120)]
+    w, rows = repair.Writer(f"file://{tmp_path}", WORDS, 2, lib.get_vocab_size(), 0), []
+    for at in range(0, 120, 10):
+        w.add(list(range(at, at + 10)), texts[at : at + 10])
+        if w.full():
+            rows.append(w.flush())
+    if w.ids:
+        rows.append(w.flush())
+    assert len(rows) > 2
+    at = 0
+    for r in rows:
+        s = repair.Shard(r["uri"])
+        per_doc = np.diff(s.symbol_ends)
+        every = s.symbols(0, s.head["n_docs"])
+        assert _frequent(every, per_doc, np.ones(len(per_doc))) < repair.MIN_PAIR
+        if s.head["n_docs"] >= repair.MIN_PAIR:  # the whole phrase is one symbol
+            assert s.lengths.max() >= len(lib.encode(phrase, add_special_tokens=False).ids)
+        for i in range(s.head["n_docs"]):
+            assert s.document(i).tolist() == lib.encode(texts[at], add_special_tokens=False).ids + [2] and s.doc_ids[i] == at
+            at += 1
+    assert at == 120
+
+
+def test_symbols_beyond_sixteen_bits_are_read_back(tmp_path):
+    lib = Tokenizer.from_file(WORDS)
+    w = repair.Writer(f"file://{tmp_path}", WORDS, 2, 70_000, 0)  # rules begin above 2**16
+    texts = [prose(i % 7, 50) for i in range(200)]
+    w.add(list(range(200)), texts)
+    s = repair.Shard(w.flush()["uri"])
+    assert s.head["high"] >= 1 and len(s.lengths) and (s.symbols(0, 200) >= 70_000).any()
+    for i in (0, 3, 199):
+        assert s.document(i).tolist() == lib.encode(texts[i], add_special_tokens=False).ids + [2]
+
+
+def test_a_document_is_read_without_the_others(tmp_path):
+    w = repair.Writer(f"file://{tmp_path}", WORDS, 2, Tokenizer.from_file(WORDS).get_vocab_size(), 0)
+    w.add(list(range(300)), [prose(i, 80) for i in range(300)])
+    s = repair.Shard(w.flush()["uri"])
+    read = []
+    real = s._bytes
+    s._bytes = lambda a, b: (read.append(b - a), real(a, b))[1]
+    s.document(150)
+    assert sum(read) < 0.02 * 2 * s.head["n_symbols"]
