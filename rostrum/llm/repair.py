@@ -68,6 +68,9 @@ class Segments:
 
     def __init__(self, path: str):
         self.path, self.tok = path, tokenizer(path)
+        ids = lambda t: self.tok.encode(t, add_special_tokens=False).ids
+        if ids(" \n") or ids(" one\ttwo 3 ") != ids("one") + ids("two") + ids("3"):
+            raise ValueError(f"{path} does not drop white space, so texts cannot be cut there")
         self.forget()
 
     def forget(self) -> None:

@@ -35,11 +35,23 @@ def byte_letters() -> list[str]:
     return [chr(b) if b in plain else chr(next(spare)) for b in range(256)]
 
 
+def check(spec: dict) -> None:
+    """Raise unless a tokenizer file asks for just what is done here: byte-level pieces by PATTERN, plain merges, special strings taken as they stand."""
+    model, before = spec["model"], spec.get("pre_tokenizer") or {}
+    wrong = [k for k in ("dropout", "continuing_subword_prefix", "end_of_word_suffix", "byte_fallback", "ignore_merges") if model.get(k)]
+    wrong += [k for k in ("normalizer", "truncation", "padding") if spec.get(k)]
+    wrong += ["model"] * (model.get("type") != "BPE") + ["pre_tokenizer"] * (before.get("type") != "ByteLevel" or before.get("add_prefix_space", True) or not before.get("use_regex", True))
+    wrong += [t["content"] for t in spec.get("added_tokens", []) if any(t.get(k) for k in ("single_word", "lstrip", "rstrip", "normalized"))]
+    if wrong:
+        raise ValueError(f"this tokenizer file is not counted rightly here, because of: {', '.join(wrong)}")
+
+
 class HeapCounter:
     """Counts tokens by a byte-level BPE file of the tokenizers library."""
 
     def __init__(self, path: str):
         spec = json.load(open(path, encoding="utf-8"))
+        check(spec)
         model = spec["model"]
         vocab = model["vocab"]
         self.width = max(vocab.values()).bit_length() + 1
@@ -143,7 +155,7 @@ def token_counts(docs: DataFrame, tokenizer: str, *, id_col: str = "doc_id", tex
     """One row per input row: doc_id, n_bytes (UTF-8), n_tokens, over_limit.
 
     A null text counts as empty: 0 bytes, 0 tokens. Repeated rows and null ids give a row each; an empty table gives none.
-    Other columns of docs are not read, so their names cannot clash. Long texts are split into pieces as they stand;
+    A file that asks for a normaliser, a prefix blank, other pieces or other merging raises an error. Other columns of docs are not read, so their names cannot clash. Long texts are split into pieces as they stand;
     a piece of n bytes takes n log n steps.
     """
     cols = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))

@@ -2,6 +2,7 @@
 
 import base64
 import hashlib
+import json
 import random
 import zlib
 from collections import Counter
@@ -239,3 +240,13 @@ def test_a_document_is_read_without_the_others(tmp_path):
     s._bytes = lambda a, b: (read.append(b - a), real(a, b))[1]
     s.document(150)
     assert sum(read) < 0.02 * 2 * s.head["n_symbols"]
+
+
+def test_tokenizers_that_need_more_are_refused(spark, docs, tmp_path):
+    spec = json.load(open(P.path("byte_bpe_50k.json"), encoding="utf-8"))
+    for change in ({"normalizer": {"type": "Lowercase"}}, {"pre_tokenizer": spec["pre_tokenizer"] | {"add_prefix_space": True}}, {"model": spec["model"] | {"dropout": 0.1}}):
+        with pytest.raises(ValueError):
+            tokencount.check(spec | change)
+    tokencount.check(spec)
+    with pytest.raises(ValueError):
+        repair.Segments(P.path("byte_bpe_50k.json"))
