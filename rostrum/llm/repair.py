@@ -26,6 +26,7 @@ from struct import pack, unpack_from
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -48,9 +49,10 @@ def tokenizer(path: str):
 #: Segments that a worker remembers from shard to shard, before it starts anew.
 MEMORY = 800_000
 #: Bits of the table of counts by hash, which tells most rare pairs before any sorting.
-HASH_BITS = 21
-#: Below this character, letters stay letters when the tokenizer normalises them, but for the dotted capital I.
-LATIN_END, DOTTED = "\u0250", "\u0130"
+HASH_BITS = 20
+#: Words of Latin letters up to U+024F, which stay letters when the tokenizer normalises them; the dotted capital I does not.
+PLAIN = r"^[A-Za-zªµºÀ-ÖØ-öø-įı-ɏ]+$"
+MARKED = PLAIN.removesuffix("$") + r"[!-/:-@\[-`{-~]$"
 
 
 @lru_cache(maxsize=2)
@@ -71,6 +73,7 @@ class Segments:
         ids = lambda t: self.tok.encode(t, add_special_tokens=False).ids
         if ids(" \n") or ids(" one\ttwo 3 ") != ids("one") + ids("two") + ids("3"):
             raise ValueError(f"{path} does not drop white space, so texts cannot be cut there")
+        self.lowers = all(ids(w) == ids(w.lower()) for w in ("A", "WORDS", "MiXeD", "É'S", "THE1ST"))
         self.forget()
 
     def forget(self) -> None:
@@ -78,26 +81,52 @@ class Segments:
         self.ids: list[np.ndarray] = [np.empty(0, np.int32)]
         self.sizes: list[np.ndarray] = [np.empty(0, np.int64)]
 
-    def numbers(self, text: str) -> np.ndarray:
-        words = text.encode().split()
-        return np.fromiter(map(self.index.__getitem__, words), np.int32, len(words))
+    def numbers(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """The numbers of the segments of all texts, one after the other, and how many each text has.
+
+        Where the tokenizer lower-cases, ASCII capitals are lower-cased first, so that segments differ less; texts that may hold a special string stay as they are.
+        """
+        if self.lowers:
+            texts = pc.if_else(pc.match_substring(texts, "<|"), texts, pc.ascii_lower(texts))
+        lists = pc.ascii_split_whitespace(texts)
+        words = lists.flatten().dictionary_encode()
+        names = pc.binary_join(pa.ListArray.from_arrays(pa.array([0, len(words.dictionary)], pa.int32()), words.dictionary), " ")[0].as_py().split(" ")
+        # the ends of a text may give empty words, which are segments without ids
+        number = np.fromiter(map(self.index.__getitem__, names), np.int32, len(names))
+        return number[words.indices.to_numpy(zero_copy_only=False)], np.diff(lists.offsets.to_numpy())
 
     def encode_new(self) -> None:
-        """Encode the segments that are new. Latin words are one piece each, so a run of them is encoded as one text and cut after each id that ends a word."""
-        new, self.index.new = [w.decode() for w in self.index.new], []
-        one = np.fromiter((w.isalpha() and (w.isascii() or max(w) < LATIN_END and DOTTED not in w) for w in new), bool, len(new))
-        ids, sizes = [np.empty(0, np.int32)], np.zeros(len(new), np.int64)
-        # plain words first, then the others; put into the order of new below
-        order = np.argsort(~one, kind="stable")
-        plain = int(one.sum())
-        for is_plain, part in ((True, order[:plain]), (False, order[plain:])):
+        """Encode the segments that are new. Latin words are one piece each, so a run of them is encoded as one text and cut after each id that ends a word;
+        of a Latin word with one ASCII mark after it, word and mark are segments of their own, and it has the ids of both."""
+        given = pa.array(self.index.new, pa.string())
+        ended = pc.match_substring_regex(given, MARKED).to_numpy(zero_copy_only=False)
+        parts = given.filter(pa.array(ended))
+        # words and marks that are not known yet become new segments too
+        of = lambda texts: np.fromiter(map(self.index.__getitem__, texts.to_pylist()), np.int64, len(texts))
+        both = np.stack([of(pc.utf8_slice_codeunits(parts, 0, -1)), of(pc.utf8_slice_codeunits(parts, -1))], 1).reshape(-1)
+        new, self.index.new = self.index.new, []
+        ended = np.append(ended, np.zeros(len(new) - len(ended), bool))
+        one = pc.match_substring_regex(pa.array(new, pa.string()), PLAIN).to_numpy(zero_copy_only=False)
+        flat, sizes = [], np.zeros(len(new), np.int64)
+        order = []
+        for is_plain, part in ((True, np.flatnonzero(one)), (False, np.flatnonzero(~one & ~ended))):
             for at in range(0, len(part), 4096):
                 some = part[at : at + 4096]
                 got, sizes[some] = self._encode([new[i] for i in some], is_plain)
-                ids.append(got)
-        flat, by = np.concatenate(ids), sizes[order]
-        back = np.argsort(order)
-        self.ids.append(gather(flat, by, back).astype(np.int32))
+                flat.append(got)
+            order.append(part)
+        marked = np.flatnonzero(ended)
+        order = np.concatenate([*order, marked])
+        known, known_sizes = self.flat()
+        # ids by number, the new ones in the order in which they were made; marked words have none yet
+        starts = np.zeros(len(new), np.int64)
+        starts[order] = np.cumsum(sizes[order]) - sizes[order] + len(known)
+        ids = np.concatenate([known, *flat]).astype(np.int32)
+        every, at = np.append(known_sizes, sizes), np.append(np.cumsum(known_sizes) - known_sizes, starts)
+        flat.append(gather(ids, every, both, at).astype(np.int32))
+        sizes[marked] = every[both].reshape(-1, 2).sum(axis=1)
+        starts[order] = np.cumsum(sizes[order]) - sizes[order]
+        self.ids.append(gather(np.concatenate(flat), sizes, np.arange(len(new)), starts).astype(np.int32))
         self.sizes.append(sizes)
 
     def _encode(self, words: list[str], plain: bool) -> tuple[np.ndarray, np.ndarray]:
@@ -221,7 +250,8 @@ class Sequence:
         near = near[near >= 0]
         found = np.concatenate([still, spare, spots, near])
         found = found[~self.gone[found] & ~self.last[found]]
-        self.open = np.unique(found)
+        found.sort()
+        self.open = found[np.append(True, found[1:] != found[:-1])] if len(found) else found
         return sides
 
     def result(self) -> tuple[np.ndarray, np.ndarray]:
@@ -257,15 +287,16 @@ class Writer:
         self.clear()
 
     def clear(self) -> None:
-        self.segments, self.ids, self.docs, self.words = segments(self.path), [], [], 0
+        self.segments, self.ids, self.docs, self.lens, self.words = segments(self.path), [], [], [], 0
         if len(self.segments.index) > MEMORY:
             self.segments.forget()
 
-    def add(self, ids: list, texts: list[str]) -> None:
+    def add(self, ids: list, texts: pa.Array) -> None:
+        numbers, lens = self.segments.numbers(texts)
         self.ids += ids
-        for t in texts:
-            self.docs.append(self.segments.numbers(t))
-            self.words += len(self.docs[-1]) + 1
+        self.docs.append(numbers)
+        self.lens.append(lens)
+        self.words += len(numbers) + len(lens)
         self.segments.encode_new()
 
     def full(self) -> bool:
@@ -273,7 +304,7 @@ class Writer:
 
     def flush(self) -> dict:
         known, known_sizes = self.segments.flat()
-        numbers, per_doc = np.concatenate([np.empty(0, np.int32), *self.docs]), np.fromiter(map(len, self.docs), np.int64, len(self.docs))
+        numbers, per_doc = np.concatenate(self.docs), np.concatenate(self.lens)
         # the shard's own segments, numbered anew
         weights = np.bincount(numbers, minlength=len(known_sizes)).astype(np.float64)
         used = np.flatnonzero(weights)
@@ -316,7 +347,7 @@ def _write(batches: Iterator[pa.RecordBatch], *, folder: str, path: str, end_id:
     w = Writer(folder, path, end_id, tokenizer(path).get_vocab_size(), TaskContext.get().partitionId())
     rows = []
     for b in batches:
-        w.add(b.column(0).to_pylist(), [x or "" for x in b.column(1).to_pylist()])
+        w.add(b.column(0).to_pylist(), pc.fill_null(b.column(1), ""))
         if w.full():
             rows.append(w.flush())
     if w.ids:

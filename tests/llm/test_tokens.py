@@ -9,6 +9,7 @@ from collections import Counter
 
 import numpy as np
 import public_tokenizers as P
+import pyarrow as pa
 import pytest
 import tiktoken
 from tokenizers import Tokenizer
@@ -101,7 +102,7 @@ def test_shards_read_parts_of_documents(manifest):
 def test_segments_equal_the_whole_text(tmp_path):
     lib, texts = Tokenizer.from_file(WORDS), odd_texts(300)
     w = repair.Writer(f"file://{tmp_path}", WORDS, 2, lib.get_vocab_size(), 0)
-    w.add(list(range(len(texts))), texts)
+    w.add(list(range(len(texts))), pa.array(texts))
     s = repair.Shard(w.flush()["uri"])
     assert [s.document(i).tolist() for i in range(len(texts))] == [x.ids + [2] for x in lib.encode_batch(texts, add_special_tokens=False)]
 
@@ -200,7 +201,7 @@ def test_pairs_reach_across_words_and_many_shards_hold_all(spark, tmp_path, monk
     texts = [f"{prose(i, 30)} {phrase} {prose(i + 500, 10)}" for i in range(120)]
     w, rows = repair.Writer(f"file://{tmp_path}", WORDS, 2, lib.get_vocab_size(), 0), []
     for at in range(0, 120, 10):
-        w.add(list(range(at, at + 10)), texts[at : at + 10])
+        w.add(list(range(at, at + 10)), pa.array(texts[at : at + 10]))
         if w.full():
             rows.append(w.flush())
     if w.ids:
@@ -224,7 +225,7 @@ def test_symbols_beyond_sixteen_bits_are_read_back(tmp_path):
     lib = Tokenizer.from_file(WORDS)
     w = repair.Writer(f"file://{tmp_path}", WORDS, 2, 70_000, 0)  # rules begin above 2**16
     texts = [prose(i % 7, 50) for i in range(200)]
-    w.add(list(range(200)), texts)
+    w.add(list(range(200)), pa.array(texts))
     s = repair.Shard(w.flush()["uri"])
     assert s.head["high"] >= 1 and len(s.lengths) and (s.symbols(0, 200) >= 70_000).any()
     for i in (0, 3, 199):
@@ -233,7 +234,7 @@ def test_symbols_beyond_sixteen_bits_are_read_back(tmp_path):
 
 def test_a_document_is_read_without_the_others(tmp_path):
     w = repair.Writer(f"file://{tmp_path}", WORDS, 2, Tokenizer.from_file(WORDS).get_vocab_size(), 0)
-    w.add(list(range(300)), [prose(i, 80) for i in range(300)])
+    w.add(list(range(300)), pa.array([prose(i, 80) for i in range(300)]))
     s = repair.Shard(w.flush()["uri"])
     read = []
     real = s._bytes
