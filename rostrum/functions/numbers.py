@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..sources.tables import stored
+
 
 def z_scores(df: DataFrame, columns: list[str], by: list[str] = ()) -> DataFrame:
     """(value - mean) / population standard deviation of each column, as z_<column>; a deviation of 0 counts as 1.
@@ -29,12 +33,27 @@ def histogram(df: DataFrame, column: str, width: float, start: float = 0) -> Dat
     return grid.join(counted, "i", "left").select((F.col("i") * width + start).alias("bin"), F.coalesce("n", F.lit(0)).cast("long").alias("n"))
 
 
-def spread(df: DataFrame, column: str, low: float = 0.03, high: float = 0.97) -> DataFrame:
-    """The column between two of its quantiles (values at those places of the order), clipped to 0 and 1, as spread_<column>."""
-    q = df.agg(F.percentile_approx(column, [low, high], 100_000).alias("_q"))
+def at_places(df: DataFrame, column: str, places: list[Callable[[Column], Column]]) -> DataFrame:
+    """One row with _q: the values at places (from 0, given the number of values) of the ascending order, exactly.
+
+    Equal values are counted first, values are dealt by range, and each partition's count tells where its places begin, so no
+    task holds all values; only counts per partition reach one place.
+    """
+    counted = stored(df.where(F.col(column).isNotNull()).groupBy(F.col(column).alias("v")).agg(F.count(F.lit(1)).alias("n")).repartitionByRange(F.col("v")).withColumn("_p", F.spark_partition_id()))
+    before = counted.groupBy("_p").agg(F.sum("n").alias("m")).withColumn("_before", F.sum("m").over(Window.orderBy("_p")) - F.col("m"))
+    run = F.sum("n").over(Window.partitionBy("_p").orderBy("v"))
+    placed = counted.join(F.broadcast(before), "_p").withColumn("_to", F.col("_before") + run).withColumn("_from", F.col("_to") - F.col("n"))
+    total = counted.agg(F.sum("n").alias("total"))
+    hit = lambda at: F.max(F.when((F.col("_from") <= at) & (at < F.col("_to")), F.col("v")))
+    return placed.join(F.broadcast(total), F.lit(True)).agg(F.array(*[hit(p(F.col("total"))) for p in places]).alias("_q"))
+
+
+def spread(df: DataFrame, column: str, inner: float = 0.97) -> DataFrame:
+    """The column between the values at places floor(n (1 - inner)) and floor(n inner) - 1 of its order, clipped to 0 and 1, as spread_<column>."""
+    ends = [lambda n: F.floor(n * (1 - inner) + 1e-9), lambda n: F.floor(n * inner + 1e-9) - 1]
     a, b = F.get("_q", 0), F.get("_q", 1)
     value = (F.col(column) - a) / F.coalesce(F.nullif(b - a, F.lit(0)), F.lit(1))
-    return df.join(F.broadcast(q), F.lit(True), "left").withColumn(f"spread_{column}", F.greatest(F.lit(0.0), F.least(F.lit(1.0), value))).drop("_q")
+    return df.join(F.broadcast(at_places(df, column, ends)), F.lit(True), "left").withColumn(f"spread_{column}", F.greatest(F.lit(0.0), F.least(F.lit(1.0), value))).drop("_q")
 
 
 def grade_level(words: Column, sentences: Column, syllables: Column) -> Column:

@@ -19,7 +19,7 @@ def collapse(text: Column) -> Column:
 
 
 @lru_cache(maxsize=1)
-def _folding() -> tuple[str, str, str]:
+def folding() -> tuple[str, str, str]:
     """Letters beyond ASCII whose decomposition is one ASCII letter, those letters, and the other marks and letters up to U+024F."""
     plain, letters, other = [], [], []
     for code in range(0x80, 0x250):
@@ -35,7 +35,7 @@ def _folding() -> tuple[str, str, str]:
 
 def fold_accents(text: Column) -> Column:
     """Latin letters without their accents; other characters beyond ASCII become nothing. Stays in the JVM, unlike a Unicode normaliser."""
-    letters, plain, _ = _folding()
+    letters, plain, _ = folding()
     return F.regexp_replace(F.translate(text, letters, plain), r"[^\x00-\x7F]", "")
 
 

@@ -10,7 +10,7 @@ from ..functions import strings as S
 from ..operators import aggregates as A
 from ..operators import attention as T
 from ..sources.tables import stored
-from .common import table
+from .common import SENTENCES, table
 
 QUERIES: dict = {}
 ORACLES: dict[str, str] = {}
@@ -102,12 +102,14 @@ def m6_histogram(spark: SparkSession, sf_dir: str) -> DataFrame:
     return numbers.histogram(table(spark, sf_dir, "documents"), "n_chars", 500).withColumn("bin", F.col("bin").cast("long"))
 
 
-@query()
+@query("""WITH r AS (SELECT c_acctbal AS v, row_number() OVER (ORDER BY c_acctbal) - 1 AS i, count(*) OVER () AS n FROM customer), q AS (SELECT max(v) FILTER (i = floor(0.03 * n)) AS a, max(v) FILTER (i = floor(0.97 * n) - 1) AS b FROM r)
+SELECT c_custkey, c_acctbal, greatest(0, least(1, (c_acctbal - a) / coalesce(nullif(b - a, 0), 1))) AS spread_c_acctbal FROM customer, q""")
 def m8_spread(spark: SparkSession, sf_dir: str) -> DataFrame:
     return numbers.spread(table(spark, sf_dir, "customer").select("c_custkey", "c_acctbal"), "c_acctbal")
 
 
-@query()
+@query(rf"""WITH d AS (SELECT doc_id, {_WORDS} AS w0, greatest(1, len({SENTENCES})) AS s, list_sum(list_transform(list_filter(string_split_regex(lower(text), '[^\p{{L}}]+'), lambda x: x <> ''), lambda x: greatest(1, len(regexp_extract_all(regexp_replace(x, '([^aeiouy])e$', '\1'), '[aeiouyàâäéèêëîïôöùûü]+'))))) AS y0 FROM documents),
+n AS (SELECT doc_id, greatest(w0, 1) AS w, s, coalesce(y0, 0) AS y FROM d) SELECT doc_id, round(0.39::DOUBLE * w / s + 11.8::DOUBLE * y / w - 15.59::DOUBLE, 1) AS grade, round(206.835::DOUBLE - 1.015::DOUBLE * w / s - 84.6::DOUBLE * y / w, 1) AS ease, round(w / s, 1) AS words_per_sentence FROM n""")
 def m9_readability(spark: SparkSession, sf_dir: str) -> DataFrame:
     d = table(spark, sf_dir, "documents").select("doc_id", S.word_count(F.col("text")).alias("words"), F.greatest(F.lit(1), F.size(S.sentences(F.col("text")))).alias("sents"), numbers.syllable_count(F.col("text")).alias("syllables"))
     w, s, y = F.greatest(F.col("words"), F.lit(1)), F.col("sents"), F.col("syllables")

@@ -11,7 +11,7 @@ from ..sources import html, readers, writers
 from ..sources.tables import stored
 from ..streaming import history as streaming
 from .common import table
-from .text import STOP
+from .text import STOP, TITLED, TOK, evidence_sql
 
 QUERIES: dict = {}
 ORACLES: dict[str, str] = {}
@@ -116,23 +116,30 @@ def q1_chi_square(spark: SparkSession, sf_dir: str) -> DataFrame:
     return stats.chi_square(d, "lang", "quality").select(F.round("chi2", 6).alias("chi2"), "dof", "n")
 
 
-@query()
+@query("""WITH d AS (SELECT lang, toxic FROM documents JOIN labels USING (doc_id)), t AS (SELECT lang, toxic, count(*) AS n FROM d GROUP BY ALL), a AS (SELECT lang, sum(n) AS na FROM t GROUP BY 1), b AS (SELECT toxic, sum(n) AS nb FROM t GROUP BY 1), s AS (SELECT sum(n) AS total FROM t),
+x AS (SELECT sum((coalesce(n, 0) - na * nb / total) ** 2 / (na * nb / total)) AS chi2, ((SELECT count(*) FROM a) - 1) * ((SELECT count(*) FROM b) - 1) AS dof, any_value(total)::BIGINT AS n, least((SELECT count(*) FROM a), (SELECT count(*) FROM b)) - 1 AS k FROM a CROSS JOIN b CROSS JOIN s LEFT JOIN t USING (lang, toxic))
+SELECT round(chi2, 6) AS chi2, dof, n, round(sqrt(chi2 / (n * k)), 6) AS cramers_v, round(least(1, 3 * (1 - (SELECT sum(exp(-chi2 / 2 + (dof / 2 + i) * ln(chi2 / 2) - lgamma(dof / 2 + i + 1))) FROM range(400) r(i)))), 6) AS p FROM x""")
 def q1_p_value(spark: SparkSession, sf_dir: str) -> DataFrame:
     d = table(spark, sf_dir, "documents").join(table(spark, sf_dir, "labels"), "doc_id")
-    return stats.chi_square(d, "lang", "toxic", tests=3)
+    return stats.chi_square(d, "lang", "toxic", tests=3).select(F.round("chi2", 6).alias("chi2"), "dof", "n", F.round("cramers_v", 6).alias("cramers_v"), F.round("p", 6).alias("p"))
 
 
-@query()
+@query("""WITH d AS (SELECT source, sum(quality)::BIGINT AS k, count(*) AS n, 0.85 AS before FROM documents JOIN labels USING (doc_id) GROUP BY 1), i AS (SELECT source, k, n, unnest(range(n + 1)) AS i FROM d),
+l AS (SELECT source, i = k AS own, lgamma(n + 1) - lgamma(i + 1) - lgamma(n - i + 1) + i * ln(0.85) + (n - i) * ln(0.15) AS x FROM i), m AS (SELECT source, max(x) FILTER (own) AS mine FROM l GROUP BY 1),
+s AS (SELECT source, least(1, sum(exp(x)) FILTER (x <= mine + 1e-7)) AS p FROM l JOIN m USING (source) GROUP BY 1) SELECT source, k, n, before, round(p, 8) AS p_value FROM d JOIN s USING (source)""")
 def q2_binomial(spark: SparkSession, sf_dir: str) -> DataFrame:
     d = table(spark, sf_dir, "documents").join(table(spark, sf_dir, "labels"), "doc_id").groupBy("source").agg(F.sum("quality").alias("k"), F.count(F.lit(1)).alias("n")).withColumn("before", F.lit(0.85))
-    return stats.binomial_tests(d, "k", "n", "before")
+    return stats.binomial_tests(d, "k", "n", "before").withColumn("p_value", F.round("p_value", 8))
 
 
-@query()
+@query("""WITH t AS (SELECT lang, count(*) FILTER (quality = 1 AND toxic = 1) AS a, count(*) FILTER (quality = 1 AND toxic = 0) AS b, count(*) FILTER (quality = 0 AND toxic = 1) AS c, count(*) FILTER (quality = 0 AND toxic = 0) AS d FROM documents JOIN labels USING (doc_id) GROUP BY 1),
+i AS (SELECT *, a + b AS r, c + d AS s, a + c AS k, unnest(generate_series(greatest(0, a + c - (c + d)), least(a + c, a + b))) AS i FROM t),
+l AS (SELECT lang, i = a AS own, lgamma(r + 1) - lgamma(i + 1) - lgamma(r - i + 1) + lgamma(s + 1) - lgamma(k - i + 1) - lgamma(s - k + i + 1) - lgamma(r + s + 1) + lgamma(k + 1) + lgamma(r + s - k + 1) AS x FROM i), m AS (SELECT lang, max(x) FILTER (own) AS mine FROM l GROUP BY 1),
+p AS (SELECT lang, least(1, sum(exp(x)) FILTER (x <= mine + 1e-7)) AS p FROM l JOIN m USING (lang) GROUP BY 1) SELECT t.*, round(p, 8) AS p_value FROM t JOIN p USING (lang)""")
 def q3_fisher(spark: SparkSession, sf_dir: str) -> DataFrame:
     d = table(spark, sf_dir, "documents").join(table(spark, sf_dir, "labels"), "doc_id")
     c = lambda q, t: F.count_if((F.col("quality") == q) & (F.col("toxic") == t))
-    return stats.fisher_tests(d.groupBy("lang").agg(c(1, 1).alias("a"), c(1, 0).alias("b"), c(0, 1).alias("c"), c(0, 0).alias("d")), "a", "b", "c", "d")
+    return stats.fisher_tests(d.groupBy("lang").agg(c(1, 1).alias("a"), c(1, 0).alias("b"), c(0, 1).alias("c"), c(0, 0).alias("d")), "a", "b", "c", "d").withColumn("p_value", F.round("p_value", 8))
 
 
 @query()
@@ -166,10 +173,11 @@ def _weights(spark: SparkSession, sf_dir: str) -> DataFrame:
     return stored(textmining.tfidf(table(spark, sf_dir, "documents"), "doc_id", S.word_tokens(F.col("text"), STOP), min_df=20))
 
 
-@query()
+@query(f"""WITH k AS (SELECT doc_id, {TOK} AS w FROM documents), t AS (SELECT doc_id, unnest(w || list_transform(generate_series(1, len(w) - 1), lambda i: w[i] || ' ' || w[i + 1])) AS token FROM k), tf AS (SELECT doc_id, token, count(*) AS tf FROM t GROUP BY ALL), n AS (SELECT count(*) AS n FROM documents), df AS (SELECT token, count(*) AS df FROM tf GROUP BY 1),
+w AS (SELECT doc_id, token, (1 + ln(tf)) * (ln((1 + n) / (1 + df)) + 1) AS w FROM tf JOIN df USING (token), n WHERE df >= 5 AND df <= 0.5 * n) SELECT doc_id, token, round(w / sqrt(sum(w * w) OVER (PARTITION BY doc_id)), 6) AS weight FROM w""")
 def t2_tfidf_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
     d = table(spark, sf_dir, "documents").select("doc_id", S.word_tokens(F.col("text"), STOP).alias("w"))
-    return textmining.tfidf(d, "doc_id", F.concat("w", textmining.ngrams(F.col("w"), 2)), min_df=5)
+    return textmining.tfidf(d, "doc_id", F.concat("w", textmining.ngrams(F.col("w"), 2)), min_df=5).withColumn("weight", F.round("weight", 6))
 
 
 @query()
@@ -203,7 +211,7 @@ def t10_delivered(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sequences.delivered(b, "filed", "said").select("item_id", "delivered", "unscripted")
 
 
-@query()
+@query(f"SELECT *, 'rights' AS name FROM {evidence_sql('(?i)all rights')} UNION ALL SELECT *, 'license' FROM {evidence_sql('(?i)licen[sc]e')}")
 def t13_evidence(spark: SparkSession, sf_dir: str) -> DataFrame:
     d = table(spark, sf_dir, "documents")
     parts = [textmining.first_evidence(d, "doc_id", F.col("text"), p, S.SENTENCE).withColumn("name", F.lit(n)) for n, p in (("rights", "(?iu)all rights"), ("license", "(?iu)licen[sc]e"))]
@@ -225,7 +233,10 @@ def t18_extremes(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # --- rules, cleaning, pages, turns ---
 
-@query()
+@query(rf"""WITH s AS (SELECT doc_id, unnest(s) AS s, generate_subscripts(s, 1) AS pos FROM (SELECT doc_id, {TITLED.format('text')} AS s FROM documents)), o AS (SELECT *, regexp_matches(s, '(?i)\bthat\b') AS o FROM s),
+n AS (SELECT *, bool_or(o) OVER (PARTITION BY doc_id ORDER BY pos ROWS BETWEEN 1 PRECEDING AND 1 FOLLOWING) AS near, bool_or(o) OVER (PARTITION BY doc_id ORDER BY pos ROWS BETWEEN 2 PRECEDING AND 2 FOLLOWING) AS wide FROM o),
+f AS (SELECT doc_id, min_by(s, pos) FILTER (o) AS f, min_by(s, pos) FILTER (near AND regexp_matches(s, '(?i)licen[sc]e|rights')) AS a, min_by(s, pos) FILTER (wide AND contains(s, '@')) AS b, min_by(s, pos) FILTER (o AND regexp_matches(s, '(?i)\bfrom\b')) AS c FROM n GROUP BY 1)
+SELECT d.doc_id, CASE WHEN f IS NULL THEN 'does not name it' WHEN a IS NOT NULL THEN 'licensed' WHEN b IS NOT NULL THEN 'personal' WHEN c IS NOT NULL THEN 'from' ELSE 'names it' END AS class, CASE WHEN f IS NULL THEN '' ELSE coalesce(a, b, c, f) END AS evidence FROM documents d LEFT JOIN f USING (doc_id)""")
 def r1_sentence_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = wording.sentence_rows(table(spark, sf_dir, "documents"), "doc_id", F.col("text"), lambda s: s.rlike(r"(?iu)\bthat\b"))
     rules = [wording.Rule("licensed", lambda s: s.rlike("(?i)licen[sc]e|rights")), wording.Rule("personal", lambda s: s.rlike("@"), "wide"), wording.Rule("from", lambda s: s.rlike(r"(?iu)\bfrom\b"), "on")]
@@ -235,6 +246,9 @@ def r1_sentence_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 _WAR = ("Russia must end its war of aggression against Ukraine. ", "The war in Gaza is a genocide. ", "We condemn the Hamas attack of 7 October on Israel. ", "Let us speak of Ukraine and peace. ")
 
 
+_SPEECH_SQL = "(SELECT doc_id, ([" + ", ".join(f"'{x}'" for x in _WAR) + "])[doc_id % 4 + 1] || text AS text FROM documents)"
+
+
 def _speeches(spark: SparkSession, sf_dir: str) -> DataFrame:
     said = F.get(F.array(*[F.lit(x) for x in _WAR]), (F.col("doc_id") % 4).cast("int"))
     return table(spark, sf_dir, "documents").select("doc_id", F.lit(2025).alias("year"), F.concat(said, F.col("text")).alias("text"))
@@ -250,7 +264,9 @@ def r5_wording(spark: SparkSession, sf_dir: str) -> DataFrame:
     return wording.wording(_speeches(spark, sf_dir), "doc_id", "year", "text")
 
 
-@query()
+@query(rf"""WITH s AS (SELECT doc_id, unnest(s) AS s, generate_subscripts(s, 1) AS pos FROM (SELECT doc_id, {TITLED.format('text')} AS s FROM {_SPEECH_SQL})), o AS (SELECT *, regexp_matches(s, '(?i)ukraine|gaza') AS o FROM s),
+k AS (SELECT * FROM (SELECT *, bool_or(o) OVER (PARTITION BY doc_id ORDER BY pos ROWS BETWEEN 2 PRECEDING AND 2 FOLLOWING) AS keep FROM o) WHERE keep), g AS (SELECT *, coalesce(pos - lag(pos) OVER (PARTITION BY doc_id ORDER BY pos) > 1, false) AS gap FROM k)
+SELECT doc_id, string_agg(CASE WHEN gap THEN '...' || chr(10) ELSE '' END || CASE WHEN o THEN '>> ' ELSE '' END || s, chr(10) ORDER BY pos) AS passage FROM g GROUP BY 1""")
 def r6_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return wording.passage(_speeches(spark, sf_dir), "doc_id", F.col("text"), r"(?iu)ukraine|gaza")
 
@@ -293,7 +309,7 @@ def s3_xml_like(spark: SparkSession, sf_dir: str) -> DataFrame:
     return p.groupBy(F.regexp_extract("url", "/([a-z]+)/([0-9]+)", 1).alias("lang"), F.regexp_extract("url", "/([a-z]+)/([0-9]+)", 2).alias("number")).agg(F.count(F.lit(1)).alias("n"))
 
 
-@query()
+@query("SELECT n_nationkey, n_name AS brand, n_nationkey::DOUBLE AS reach FROM nation")
 def s12_chart_brands(spark: SparkSession, sf_dir: str) -> DataFrame:
     sep = F.when(F.col("n_nationkey") % 2 == 0, "\t").otherwise(",")
     text = F.concat(F.lit("Brand"), sep, F.lit("Reach\n"), F.col("n_name"), sep, F.col("n_nationkey").cast("string"), F.lit("%\n\nOther"), sep, F.lit("none\n"))
@@ -377,9 +393,11 @@ def h6_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return w.select("event_type", F.date_format("start", "yyyy-MM-dd").alias("day"), "n")
 
 
-@query()
+@query("""WITH e AS (SELECT user_id, ts, coalesce(ts >= lag(ts) OVER w + INTERVAL 6 HOUR, true)::INT AS fresh FROM events WINDOW w AS (PARTITION BY user_id ORDER BY ts)), s AS (SELECT *, sum(fresh) OVER (PARTITION BY user_id ORDER BY ts) AS k FROM e)
+SELECT user_id, strftime(min(ts), '%Y-%m-%d %H:%M:%S.%f') AS start, strftime(max(ts) + INTERVAL 6 HOUR, '%Y-%m-%d %H:%M:%S.%f') AS "end", count(*) AS n FROM s GROUP BY user_id, k""")
 def h6_sessions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return streaming.sessions(table(spark, sf_dir, "events"), "ts", "user_id")
+    moment = lambda c: F.date_format(c, "yyyy-MM-dd HH:mm:ss.SSSSSS").alias(c)
+    return streaming.sessions(table(spark, sf_dir, "events"), "ts", "user_id").select("user_id", moment("start"), moment("end"), "n")
 
 
 @query("SELECT doc_id, lang, source, n_chars FROM documents")
@@ -389,7 +407,10 @@ def k2_without_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return writers.csv_without_text(table(spark, sf_dir, "documents"), f"{shared_folder(spark)}/k2-csv")
 
 
-@query()
+_ESCAPED = r"regexp_replace(regexp_replace({}, '([\\`*_\[\]<>])', '\\\1', 'g'), '(?m)^(\s*)(#{{1,6}}\s|[-+]\s|\d+\.\s)', '\1\\\2', 'g')"
+
+
+@query(rf"""SELECT doc_id, sha256(array_to_string(['---', 'source: "' || source || '"', 'language: "' || lang || '"', '---', '', '# ' || {_ESCAPED.format("source || ' [' || doc_id || ']'")}, '', {_ESCAPED.format('text')}, ''], chr(10))) AS markdown FROM documents""")
 def k5_markdown(spark: SparkSession, sf_dir: str) -> DataFrame:
-    b = table(spark, sf_dir, "benchmark").withColumn("title", F.substring("text", 1, 30))
-    return b.select("item_id", writers.markdown(b, {"id": "title"}, "title", "text").alias("markdown"))
+    d = table(spark, sf_dir, "documents").withColumn("title", F.concat("source", F.lit(" ["), F.col("doc_id").cast("string"), F.lit("]")))
+    return d.select("doc_id", F.sha2(writers.markdown(d, {"source": "source", "language": "lang"}, "title", "text"), 256).alias("markdown"))

@@ -12,3 +12,7 @@ STOP = ("the", "and", "for", "les", "des", "der", "und", "los", "las")
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+#: Sentences in SQL: cuts are marked by U+0001, since its patterns look neither back nor ahead.
+SENTENCES = r"""list_filter(string_split_regex(regexp_replace(text, '([.!?])\s+([A-Z"“])', '\1' || chr(1) || '\2', 'g'), chr(1)), lambda x: trim(x) <> '')"""

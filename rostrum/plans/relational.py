@@ -236,7 +236,11 @@ def w10_islands(spark: SparkSession, sf_dir: str) -> DataFrame:
     return R.islands(d, ["user_id"], "day", 3).groupBy("user_id", "island").agg(F.min("day").alias("first_day"), F.max("day").alias("last_day"), F.count(F.lit(1)).alias("n"))
 
 
-@query()
+@query("""WITH m AS (SELECT user_id, (ts::DATE - DATE '2024-01-01')::BIGINT AS n, bool_or(event_type = 'purchase') AS debate, bool_and(event_type = 'error') AS special FROM events GROUP BY ALL),
+o AS (SELECT *, max((n >= 5)::INT) OVER (PARTITION BY user_id ORDER BY n) AS started FROM m), w AS (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY n) AS step FROM o WHERE started = 1 AND NOT special),
+f AS (SELECT *, coalesce(step - lag(step) OVER (PARTITION BY user_id ORDER BY step) > 8, true)::INT AS fresh FROM w WHERE debate AND step <= 70), i AS (SELECT *, sum(fresh) OVER (PARTITION BY user_id ORDER BY step) AS island FROM f),
+s AS (SELECT user_id, island, count(*) AS size, min(step) AS a, max(step) AS b FROM i GROUP BY ALL), c AS (SELECT *, max(island) OVER (PARTITION BY user_id) AS last FROM s), p AS (SELECT * FROM c WHERE size >= 3 OR island = last QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY island) = 1)
+SELECT w.user_id, n, debate FROM w JOIN p USING (user_id) WHERE step <= 70 AND step BETWEEN a AND b""")
 def w10_meeting_walk(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The debate's meetings of each user's days: a purchase marks the debate, errors are specials, days from the fifth on are autumn."""
     e = table(spark, sf_dir, "events").withColumn("n", F.datediff(F.col("ts").cast("date"), F.lit("2024-01-01").cast("date")).cast("long"))

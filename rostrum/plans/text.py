@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from ..functions import strings as S
 from ..operators import entities as E
 from ..operators import textmining as T
-from .common import table
+from .common import SENTENCES, table
 
 QUERIES: dict = {}
 ORACLES: dict[str, str] = {}
@@ -26,7 +26,7 @@ def query(sql: str | None = None):
 
 STOP = ("the", "and", "for", "les", "des", "der", "und", "los", "las")
 _STOPS = "(" + ", ".join(f"'{w}'" for w in STOP) + ")"
-_TOK = rf"list_filter(regexp_extract_all(lower(text), '\p{{L}}+(?:[-''’]\p{{L}}+)*'), lambda w: length(w) >= 3 AND w NOT IN {_STOPS} AND NOT regexp_matches(w, '[''’](?:s|t|re|ve|ll|d|m)$'))"
+TOK = rf"list_filter(regexp_extract_all(lower(text), '\p{{L}}+(?:[-''’]\p{{L}}+)*'), lambda w: length(w) >= 3 AND w NOT IN {_STOPS} AND NOT regexp_matches(w, '[''’](?:s|t|re|ve|ll|d|m)$'))"
 _PLAIN = r"regexp_extract_all(lower(text), '[\p{L}\p{N}_]+')"
 
 
@@ -49,9 +49,14 @@ def f20_domain(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "pages").select("page_id", S.site(F.regexp_extract("url", "^[a-z]+://([^/?#]+)", 1)).alias("site"))
 
 
-@query()
+#: Letters whose decomposition is one plain letter, as SQL twins need them.
+_LETTERS, _PLAIN_LETTERS, _ = S.folding()
+_NAME = rf"trim(regexp_replace(regexp_replace(lower(regexp_replace(translate(translate({{}}, '’`', repeat(chr(39), 2)), '{_LETTERS}', '{_PLAIN_LETTERS}'), '[^\x00-\x7F]', '', 'g')), '[^a-z'' -]', ' ', 'g'), '\s+', ' ', 'g'))"
+
+
+@query(f"SELECT doc_id, sha256({_NAME.format('text')}) AS name FROM documents")
 def f1_normalised_names(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _docs(spark, sf_dir).select("doc_id", S.normalise_name(F.substring_index("text", ".", 1)).alias("name"))
+    return _docs(spark, sf_dir).select("doc_id", F.sha2(S.normalise_name(F.col("text")), 256).alias("name"))
 
 
 @query(r"""WITH s AS (SELECT p_partkey, p_name, unnest(['red', 'deep red', 'blue', 'metal', 'steel', 'rose', 'blush']) AS name FROM part)
@@ -71,25 +76,27 @@ def f3_contains_longest(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES["j5_theta_as_equi"], ORACLES["j5_theta_as_equi"] = QUERIES["f3_contains_longest"], ORACLES["f3_contains_longest"]
 
 
-@query()
+@query(f"""WITH n AS (SELECT upper(n_name[1]) || lower(n_name[2:]) AS base, 'N' || n_nationkey AS code FROM nation),
+a AS (SELECT base || ' (Realm of)' AS name, code, 2 AS r FROM n UNION ALL SELECT 'Realm of ' || base, code, 2 FROM n UNION ALL SELECT base, code, 2 FROM n UNION ALL SELECT 'Old Realm', 'N0', 1 UNION ALL SELECT 'Côte d’Or', 'N1', 1)
+SELECT name, max_by(code, struct_pack(r := r, c := code)) AS code FROM (SELECT {_NAME.format('name')} AS name, code, r FROM a) WHERE name <> '' GROUP BY 1""")
 def f4_name_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     n = table(spark, sf_dir, "nation").select(F.concat(F.initcap("n_name"), F.lit(" (Realm of)")).alias("name"), F.concat(F.lit("N"), F.col("n_nationkey").cast("string")).alias("code"))
     aliases = spark.createDataFrame([("Old Realm", "N0"), ("Côte d’Or", "N1")], "name string, code string")
     return E.name_table(n, aliases)
 
 
-@query(f"SELECT doc_id, len({_TOK})::INT AS n, array_to_string({_TOK}[:5], ' ') AS head FROM documents")
+@query(f"SELECT doc_id, len({TOK})::INT AS n, array_to_string({TOK}[:5], ' ') AS head FROM documents")
 def f14_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     d = _docs(spark, sf_dir).select("doc_id", _tokens().alias("w"))
     return d.select("doc_id", F.size("w").alias("n"), F.array_join(F.slice("w", 1, 5), " ").alias("head"))
 
 
-@query(f"SELECT t AS token, count(*) AS n, count(DISTINCT doc_id) AS docs FROM (SELECT doc_id, unnest({_TOK}) AS t FROM documents) GROUP BY 1 ORDER BY n DESC, token LIMIT 30")
+@query(f"SELECT t AS token, count(*) AS n, count(DISTINCT doc_id) AS docs FROM (SELECT doc_id, unnest({TOK}) AS t FROM documents) GROUP BY 1 ORDER BY n DESC, token LIMIT 30")
 def a7_common_words(spark: SparkSession, sf_dir: str) -> DataFrame:
     return T.common(_docs(spark, sf_dir), "doc_id", _tokens(), 30)
 
 
-@query(f"""WITH w AS (SELECT doc_id, {_TOK} AS w FROM documents), g AS (SELECT doc_id, unnest(list_transform(generate_series(1, len(w) - 1), lambda i: w[i] || ' ' || w[i + 1])) AS t FROM w WHERE len(w) >= 2)
+@query(f"""WITH w AS (SELECT doc_id, {TOK} AS w FROM documents), g AS (SELECT doc_id, unnest(list_transform(generate_series(1, len(w) - 1), lambda i: w[i] || ' ' || w[i + 1])) AS t FROM w WHERE len(w) >= 2)
 SELECT t AS token, count(*) AS n, count(DISTINCT doc_id) AS docs FROM g GROUP BY 1 ORDER BY n DESC, token LIMIT 40""")
 def a7_common_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
     d = _docs(spark, sf_dir).select("doc_id", _tokens().alias("w"))
@@ -120,13 +127,20 @@ def f16_sentences(spark: SparkSession, sf_dir: str) -> DataFrame:
     return d.select("doc_id", F.size("s").alias("n"), F.get("s", 0).alias("first"))
 
 
-@query()
+#: Titles' points are hidden behind U+0002 while sentences are cut.
+_HIDDEN = r"regexp_replace(replace(regexp_replace({}, '\b(Mr|Ms|Dr|St)\.', '\1' || chr(2), 'g'), 'H.E.', 'H.E' || chr(2)), 'Mrs\.', 'Mrs' || chr(2), 'g')"
+TITLED = rf"""list_transform(list_filter(string_split_regex(regexp_replace(regexp_replace({_HIDDEN}, '([.!?])\s+([A-Z"“‘(])', '\1' || chr(1) || '\2', 'g'), '\s*[•●▪]\s*', chr(1), 'g'), chr(1)), lambda x: trim(x) <> ''), lambda x: replace(x, chr(2), '.'))"""
+#: Titles and bullets, which the driver's texts have none of, put before each text.
+_TITLES = "Mr. Smith met Dr. Lopez. Mrs. Jones came; H.E. Ms. Brown (St. Lucia) spoke! • One point ● Two points. “Quoted” end. "
+
+
+@query(f"SELECT doc_id, len(s)::INT AS n, sha256(array_to_string(s, '|')) AS digest FROM (SELECT doc_id, {TITLED.format(f"'{_TITLES}' || text")} AS s FROM documents)")
 def f17_sentences_with_titles(spark: SparkSession, sf_dir: str) -> DataFrame:
-    d = _docs(spark, sf_dir).select("doc_id", S.sentences(F.col("text"), S.SENTENCE_TITLES).alias("s"))
-    return d.select("doc_id", F.size("s").alias("n"))
+    d = _docs(spark, sf_dir).select("doc_id", S.sentences(F.concat(F.lit(_TITLES), "text"), S.SENTENCE_TITLES).alias("s"))
+    return d.select("doc_id", F.size("s").alias("n"), F.sha2(F.array_join("s", "|"), 256).alias("digest"))
 
 
-@query()
+@query(f"""WITH s AS (SELECT doc_id, {SENTENCES} AS s FROM documents) SELECT doc_id, (unnest(generate_series(0, (len(s) - 1) // 3)))::INT AS pos, array_to_string(s[3 * unnest(generate_series(0, (len(s) - 1) // 3)) + 1 : 3 * unnest(generate_series(0, (len(s) - 1) // 3)) + 3], ' ') AS chunk FROM s WHERE len(s) > 0""")
 def f18_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
     d = _docs(spark, sf_dir).select("doc_id", S.chunks(S.sentences(F.col("text")), 3).alias("c"))
     return d.select("doc_id", F.posexplode("c").alias("pos", "chunk"))
@@ -138,16 +152,20 @@ def f21_menu(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "pages").select("page_id", S.is_menu(F.regexp_extract("html", "<h1>([^<]*)", 1)).alias("menu"))
 
 
-@query()
+@query("""WITH h AS (SELECT page_id, CASE WHEN page_id % 2 = 0 THEN '<meta property="article:published_time" content="2026-09-' || lpad((page_id % 28 + 1)::VARCHAR, 2, '0') || 'T10:00">' || html ELSE html END AS h FROM pages)
+SELECT page_id, coalesce(nullif(regexp_extract(h, '(?is)<meta property="article:published_time" content="([0-9-]{10})', 1), ''), nullif(regexp_extract(h, '"datePublished"\\s*:\\s*"(20\\d\\d-\\d\\d-\\d\\d)', 1), ''), nullif(regexp_extract(h, '(?is)<time[^>]*datetime=["''][^"'']*?(20\\d\\d-\\d\\d-\\d\\d)', 1), '')) AS published FROM h""")
 def f22_published(spark: SparkSession, sf_dir: str) -> DataFrame:
     html = F.concat(F.lit('<meta property="article:published_time" content="2026-09-'), F.lpad((F.col("page_id") % 28 + 1).cast("string"), 2, "0"), F.lit('T10:00">'), F.col("html"))
     p = table(spark, sf_dir, "pages").select("page_id", F.when(F.col("page_id") % 2 == 0, html).otherwise(F.col("html")).alias("html"))
     return p.select("page_id", S.published(F.col("html")).alias("published"))
 
 
-@query()
+@query(r"""SELECT item_id, regexp_replace(regexp_replace(text, '([\\`*_\[\]<>])', '\\\1', 'g'), '(?m)^(\s*)(#{1,6}\s|[-+]\s|\d+\.\s)', '\1\\\2', 'g') AS markdown, '"' || replace(replace(text, '\', '\\'), '"', '\"') || '"' AS yaml,
+item_id || CASE WHEN item_id % 100 BETWEEN 11 AND 13 THEN 'th' WHEN item_id % 10 = 1 THEN 'st' WHEN item_id % 10 = 2 THEN 'nd' WHEN item_id % 10 = 3 THEN 'rd' ELSE 'th' END AS place
+FROM (SELECT item_id, '# a [link] *bold*' || chr(10) || '- list "x" \ y' || chr(10) || text AS text FROM benchmark)""")
 def f23_markdown(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "benchmark").select("item_id", S.escape_markdown(F.col("text")).alias("markdown"), S.yaml_scalar(F.col("text")).alias("yaml"), S.ordinal(F.col("item_id")).alias("place"))
+    b = table(spark, sf_dir, "benchmark").withColumn("text", F.concat(F.lit('# a [link] *bold*\n- list "x" \\ y\n'), "text"))
+    return b.select("item_id", S.escape_markdown(F.col("text")).alias("markdown"), S.yaml_scalar(F.col("text")).alias("yaml"), S.ordinal(F.col("item_id")).alias("place"))
 
 
 @query("SELECT item_id, item_id || CASE WHEN item_id % 100 BETWEEN 11 AND 13 THEN 'th' WHEN item_id % 10 = 1 THEN 'st' WHEN item_id % 10 = 2 THEN 'nd' WHEN item_id % 10 = 3 THEN 'rd' ELSE 'th' END AS place FROM benchmark")
@@ -155,23 +173,46 @@ def f23_ordinals(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "benchmark").select("item_id", S.ordinal(F.col("item_id")).alias("place"))
 
 
-@query()
+@query(r"""WITH h AS (SELECT doc_id, text, strpos(text, 'that') AS p FROM documents WHERE contains(text, 'that')),
+w AS (SELECT doc_id, list_filter(string_split_regex(text[: p - 1], '\s+'), lambda x: x <> '') AS b, list_filter(string_split_regex(text[p + 4 :], '\s+'), lambda x: x <> '') AS a,
+  CASE WHEN p > 1 AND regexp_matches(text[p - 1 : p - 1], '^\S$') THEN '' ELSE ' ' END AS l, CASE WHEN regexp_matches(text[p + 4 : p + 4], '^\S$') THEN '' ELSE ' ' END AS r FROM h)
+SELECT doc_id, trim(array_to_string(b[greatest(len(b) - 19, 1) :], ' ') || l || 'that' || r || array_to_string(a[: 20], ' ')) AS text, len(b) > 20 AS cut_start, len(a) > 20 AS cut_end FROM w""")
 def f24_excerpts(spark: SparkSession, sf_dir: str) -> DataFrame:
     at = F.locate("that", F.col("text")) - 1
     return _docs(spark, sf_dir).where(F.col("text").contains("that")).select("doc_id", S.excerpt(F.col("text"), at, at + 4).alias("x")).select("doc_id", "x.*")
 
 
-@query()
+#: First evidence in SQL: the first sentence with a match, with those after it until there are eight words, without a page number at its end, cut to
+#: 300 characters around the match in whole words.
+def evidence_sql(pattern: str, of: str = "documents") -> str:
+    return rf"""(WITH s AS (SELECT doc_id, string_split_regex(regexp_replace(text, '([.!?])\s+([A-Z"“])', '\1' || chr(1) || '\2', 'g'), chr(1)) AS s FROM {of}),
+a AS (SELECT doc_id, s, list_position(list_transform(s, lambda x: regexp_matches(x, '{pattern}')), true) AS i FROM s), h AS (SELECT doc_id, s[i:] AS s FROM a WHERE i > 0),
+k AS (SELECT doc_id, s, coalesce(list_min(list_filter(generate_series(1, len(s)), lambda j: list_sum(list_transform(s[:j], lambda x: len(regexp_extract_all(x, '\S+')))) >= 8)), len(s)) AS k FROM h),
+w AS (SELECT doc_id, regexp_replace(trim(array_to_string(s[:k], ' ')), '\s+\d{{1,3}}\.?$', '') AS w FROM k),
+p AS (SELECT doc_id, w, greatest(length(string_split_regex(w, '{pattern}')[1]), 0) AS hit, length(w) AS n FROM w),
+c AS (SELECT doc_id, w, n, greatest(0, least(n, greatest(0, hit - 150) + 300) - 300) AS a, least(n, greatest(0, hit - 150) + 300) AS b FROM p),
+e AS (SELECT doc_id, w, n, a - length(regexp_extract(w[:a], '\S*$')) AS a, b + length(regexp_extract(w[b + 1:], '^\S*')) AS b FROM c)
+SELECT doc_id, trim(w[a + 1:b]) AS text, a > 0 AS cut_start, b < n AS cut_end FROM e)"""
+
+
+@query(evidence_sql(r"(?i)\bthat\b")[1:-1])
 def f25_first_mention(spark: SparkSession, sf_dir: str) -> DataFrame:
     return T.first_evidence(_docs(spark, sf_dir), "doc_id", F.col("text"), r"(?iu)\bthat\b", S.SENTENCE)
 
 
-@query()
+_DENSE = rf"""WITH s AS (SELECT doc_id, unnest(s) AS sentence, generate_subscripts(s, 1) - 1 AS pos FROM (SELECT doc_id, list_transform({SENTENCES}, lambda x: trim(regexp_replace(x, '\s+', ' ', 'g'))) AS s FROM documents)),
+h AS (SELECT *, len(regexp_extract_all(sentence, '(?i)tion|ing')) AS hits FROM s WHERE length(sentence) BETWEEN 60 AND 400 AND NOT regexp_matches(sentence, '(?i)rights reserved')),
+b AS (SELECT * FROM h WHERE hits > 0 QUALIFY row_number() OVER (PARTITION BY doc_id ORDER BY hits DESC, pos) = 1)"""
+
+
+@query(_DENSE + r" SELECT doc_id, pos::INT AS pos, regexp_replace(sentence, '([\p{L}\p{N}_])[‐­] ([\p{L}\p{N}_])', '\1\2', 'g') AS sentence, hits::INT AS hits FROM b")
 def f26_densest_sentence(spark: SparkSession, sf_dir: str) -> DataFrame:
     return T.densest_sentence(_docs(spark, sf_dir), "doc_id", S.sentences(F.col("text")), r"(?iu)tion|ing", not_with="(?i)rights reserved")
 
 
-@query()
+@query(rf"""WITH s AS (SELECT doc_id, unnest(s) AS sentence, generate_subscripts(s, 1) - 1 AS pos FROM (SELECT doc_id, {SENTENCES} AS s FROM documents)),
+h AS (SELECT *, len(list_intersect(list_distinct(regexp_extract_all(lower(sentence), '\p{{L}}+')), ['that', 'with', 'from', 'pour', 'avec', 'para', 'con', 'nicht', 'auf'])) AS hits FROM s WHERE length(sentence) BETWEEN 60 AND 320)
+SELECT doc_id, pos::INT AS pos, sentence, hits::INT AS hits FROM h QUALIFY row_number() OVER (PARTITION BY doc_id ORDER BY hits DESC, pos) = 1""")
 def f27_representative_sentence(spark: SparkSession, sf_dir: str) -> DataFrame:
     words = F.array(*[F.lit(w) for w in ("that", "with", "from", "pour", "avec", "para", "con", "nicht", "auf")])
     return T.representative_sentence(_docs(spark, sf_dir), "doc_id", S.sentences(F.col("text")), words)
@@ -240,7 +281,7 @@ def m14_percent(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _docs(spark, sf_dir).groupBy("lang").agg(S.percent(F.avg((F.col("n_chars") > 2000).cast("double"))).alias("long"))
 
 
-_TF = f"""t AS (SELECT doc_id, unnest({_TOK}) AS token FROM documents), tf AS (SELECT doc_id, token, count(*) AS tf FROM t GROUP BY ALL), n AS (SELECT count(*) AS n FROM documents), df AS (SELECT token, count(*) AS df FROM tf GROUP BY 1),
+_TF = f"""t AS (SELECT doc_id, unnest({TOK}) AS token FROM documents), tf AS (SELECT doc_id, token, count(*) AS tf FROM t GROUP BY ALL), n AS (SELECT count(*) AS n FROM documents), df AS (SELECT token, count(*) AS df FROM tf GROUP BY 1),
 w AS (SELECT doc_id, token, (1 + ln(tf)) * (ln((1 + n) / (1 + df)) + 1) AS w FROM tf JOIN df USING (token), n WHERE df >= 2 AND df <= 0.5 * n), x AS (SELECT doc_id, token, w / sqrt(sum(w * w) OVER (PARTITION BY doc_id)) AS weight FROM w)"""
 
 
@@ -265,7 +306,7 @@ def t3_cosine_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES["j14_unordered_pairs"], ORACLES["j14_unordered_pairs"] = QUERIES["t3_cosine_pairs"], ORACLES["t3_cosine_pairs"]
 
 
-@query(f"""WITH t AS (SELECT lang, unnest({_TOK}) AS token FROM documents), c AS (SELECT lang, token, count(*) AS y FROM t GROUP BY ALL), g AS (SELECT lang, sum(y) AS ng FROM c GROUP BY 1), p AS (SELECT token, sum(y) AS p FROM c GROUP BY 1), j AS (SELECT lang, token, y, p, ng, (SELECT sum(y) FROM c) AS tp FROM c JOIN p USING (token) JOIN g USING (lang) WHERE p >= 10 AND y >= 5),
+@query(f"""WITH t AS (SELECT lang, unnest({TOK}) AS token FROM documents), c AS (SELECT lang, token, count(*) AS y FROM t GROUP BY ALL), g AS (SELECT lang, sum(y) AS ng FROM c GROUP BY 1), p AS (SELECT token, sum(y) AS p FROM c GROUP BY 1), j AS (SELECT lang, token, y, p, ng, (SELECT sum(y) FROM c) AS tp FROM c JOIN p USING (token) JOIN g USING (lang) WHERE p >= 10 AND y >= 5),
 z AS (SELECT lang, token, y::BIGINT AS n, (ln((y + p) / (ng + tp - (y + p))) - ln((2 * p - y) / (tp - ng + tp - (2 * p - y)))) / sqrt(1 / (y + p) + 1 / (2 * p - y)) AS z FROM j)
 SELECT lang, token, n, round(z, 6) AS z, place::INT AS place FROM (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY z DESC, token DESC) AS place FROM z) WHERE place <= 10""")
 def t8_log_odds(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -297,7 +338,10 @@ def p7_fitness(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _docs(spark, sf_dir).select("doc_id", (F.length(t) >= 300).alias("long_enough"), F.round(S.letter_share(t), 6).alias("letters"))
 
 
-@query()
+@query(r"""WITH x AS (SELECT doc_id, text, regexp_extract_all(text, '[\p{L}\p{M}]+') AS w FROM documents), f AS (SELECT doc_id, text, list_filter(w, lambda x: regexp_matches(x, '[^\P{L}\p{Latin}]')) AS f FROM x),
+m AS (SELECT doc_id, text, CASE WHEN len(f) < 50 THEN 0 ELSE len(list_filter(f, lambda x: regexp_matches(x, '\p{Latin}'))) / len(f) END AS mixed, (len(regexp_extract_all(text, '(?:^|[^\p{L}\p{M}])\p{M}'))) / nullif(length(text), 0) AS misordered,
+  len(regexp_extract_all(text, '[\p{L}\p{M}]')) / nullif(len(regexp_extract_all(text, '\S')), 0) AS letters FROM f)
+SELECT doc_id, length(text) >= 300 AND letters >= 0.6 AND misordered <= 0.01 AND mixed <= 0.01 AS usable, round(mixed, 6) AS mixed, round(misordered, 6) AS misordered FROM m""")
 def p7_usable(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _docs(spark, sf_dir).select("doc_id", S.usable_layer(F.col("text")).alias("usable"), F.round(S.mixed_script_share(F.col("text")), 6).alias("mixed"), F.round(S.misordered_mark_share(F.col("text")), 6).alias("misordered"))
 
