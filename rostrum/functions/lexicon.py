@@ -44,6 +44,12 @@ MARKERS = {
     "Security Council veto": r"\bveto",
     "Nuclear": r"\bnuclear",
 }
+TONES = {
+    "Alarm": r"warns?|raises? alarm|sounds? alarm|blasts?|slams?|denounces?|condemns?|rejects?|accuses?|calls? out|renounces?|confronts?",
+    "Appeal": r"urges?|urging|calls? for|demands?|stresses|pushes|advocates?|proposes?",
+    "Showcase": r"hails?|touts?|highlights?|spotlights?|champions?|pledges?|pledging|announces?|welcomes?|reaffirms?|defends?|prioritizes?|lays out|spells out|credits?|backs?|casts itself|speaks up|joins?|stands firm|underlines?|cites?|anchors?|showing|rising|reaches|is back|poised|affirms",
+}
+NO_VERB = "Statement, no verb"
 FRAMES = {
     "Realism": ("power", "security", "threat", "deter", "military", "armed forces", r"arms\b", "weapon", "defen[cs]e", r"force\b", "strateg", "balance of power", "great power", "national interest", "territor", r"war\b", r"wars\b"),
     "Liberal institutionalism": ("cooperat", "multilateral", "institution", "international law", "rules-based", "rule of law", "trade", "interdependen", "partnership", "treat(y|ies)", "charter", "agreement", "reform", "governance", "democra"),
@@ -83,6 +89,14 @@ def rates(text: Column, pats: Mapping[str, str], per: int = 1000, digits: int =
     return {n: F.round(per * c / F.greatest(word_count(text), F.lit(1)), digits) for n, c in counts(text, pats).items()}
 
 
+def headline(text: Column, tones: Mapping[str, str] = TONES) -> tuple[Column, Column]:
+    """The tone of a headline's first verb and that verb in lower case; NO_VERB and null without one."""
+    bounded = {n: rf"(?i)\b(?:{p})\b" for n, p in tones.items()}
+    any_verb = r"(?i)\b(?:" + "|".join(tones.values()) + r")\b"
+    verb = F.lower(F.regexp_extract(text, any_verb, 0))
+    return first_family(text, bounded, NO_VERB), F.nullif(verb, F.lit(""))
+
+
 def first_family(text: Column, families: Mapping[str, str], default: str | None = None) -> Column:
     """The name whose pattern matches earliest; ties go to the first name in the alphabet."""
     at = F.array(*[F.struct(F.regexp_instr(text, F.lit(p)).alias("at"), F.lit(n).alias("name")) for n, p in families.items()])

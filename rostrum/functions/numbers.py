@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Mapping
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -24,6 +24,15 @@ def z_scores(df: DataFrame, columns: list[str], by: list[str] = ()) -> DataFrame
     return out.drop(*[f"_{k}_{c}" for c in columns for k in "ms"])
 
 
+def lean(scores: Mapping[str, Column], least: float = 0.5, fallback: str = "No clear lean") -> Column:
+    """The name of the highest score, the first of equal ones, if it reaches a least value."""
+    best = F.greatest(*scores.values())
+    out = F.when(best < least, fallback)
+    for name, score in scores.items():
+        out = out.when(score == best, name)
+    return out
+
+
 def histogram(df: DataFrame, column: str, width: float, start: float = 0) -> DataFrame:
     """bin (its lower end) and n, for every bin from the lowest to the highest that has a value."""
     b = F.floor((F.col(column) - start) / width).cast("long")

@@ -153,6 +153,22 @@ def straight_quotes(text: Column) -> Column:
     return F.translate(text, "‘’“”", "''\"\"")
 
 
+def readable_pattern(pattern: Column) -> Column:
+    """A word-list pattern as a reader would write it: no word ends, of a class its first letter, of two endings the first."""
+    plain = F.regexp_replace(F.replace(pattern, F.lit("\\b"), F.lit("")), r"\[(\w)\w*\]", "$1")
+    return F.regexp_replace(plain, r"\((\w+)\|\w+\)", "$1")
+
+
+#: What marks a brand as an online one, a word or the end of an address.
+ONLINE_ENDS = ("com", "co", "net", "org", "be", "de", "fr", "es", "it", "nl", "ch", "at", "ie", "uk", "au", "jp", "kr", "in", "sg", "my", "id", "ph", "th", "tw", "hk", "ke", "ng", "za", "ma", "br", "ar", "cl", "co", "mx", "pe", "ca", "cz", "hu", "pl", "sk", "ro", "rs", "gr", "fi", "no", "se", "dk", "pt", "tr", "bg", "hr", "si", "info", "tv")
+ONLINE = rf"(?i)online|\.(?:{'|'.join(ONLINE_ENDS)})\b"
+
+
+def is_online(brand: Column) -> Column:
+    """Whether a brand's name says that it is online or gives a web address."""
+    return brand.rlike(ONLINE)
+
+
 def percent(share: Column) -> Column:
     """A share as a whole percentage."""
     return F.concat(F.round(share * 100).cast("long").cast("string"), F.lit("%"))

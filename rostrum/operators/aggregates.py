@@ -7,6 +7,8 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions import lexicon
+
 
 def overview(df: DataFrame, words: Column, flags: Mapping[str, Column]) -> DataFrame:
     """One row: number of rows, sum and whole median of words, share of rows of each flag."""
@@ -21,6 +23,13 @@ def shares_by_group(df: DataFrame, names: Column, group: str, digits: int = 3) -
     return hits.join(F.broadcast(sizes), group).select("name", group, "n", F.round(F.col("n") / F.col("size"), digits).alias("share"))
 
 
+def membership_shares(df: DataFrame, names: Column, group: str, digits: int = 3) -> DataFrame:
+    """name, group, n, share as shares_by_group gives them, and over all rows, where the group is null."""
+    flat = df.select(F.col(group).cast("string").alias(group), names.alias("_names"))
+    whole = shares_by_group(flat.withColumn(group, F.lit("")), F.col("_names"), group, digits).withColumn(group, F.lit(None).cast("string"))
+    return shares_by_group(flat, F.col("_names"), group, digits).unionByName(whole)
+
+
 def means_by(df: DataFrame, groupings: Sequence[str], values: Sequence[str], digits: int = 2) -> DataFrame:
     """Means of values by each grouping column alone, in one pass (grouping sets)."""
     sets = [[F.col(g)] for g in groupings]
@@ -62,6 +71,17 @@ def precision_recall(df: DataFrame, by: Sequence[str], given: Column, found: Col
     )
 
 
+def headlines(df: DataFrame, text: str, *, verbs: int = 15) -> DataFrame:
+    """kind (tone, verb, issue), name, n, place: how often headlines have each tone, their most frequent verbs, and the issues they name."""
+    tone, verb = lexicon.headline(F.col(text))
+    issues = lexicon.flags(F.col(text), lexicon.patterns(lexicon.ISSUES, lexicon.CASE_SENSITIVE))
+    one = lambda kind, name: F.array(F.struct(F.lit(kind).alias("kind"), name.alias("name")))
+    all_ = F.concat(one("tone", tone), one("verb", verb), F.transform(issues, lambda i: F.struct(F.lit("issue").alias("kind"), i.alias("name"))))
+    n = df.select(F.explode(all_).alias("x")).select("x.*").where("name IS NOT NULL").groupBy("kind", "name").agg(F.count(F.lit(1)).alias("n"))
+    ranked = n.withColumn("place", F.row_number().over(Window.partitionBy("kind").orderBy(F.desc("n"), "name")))
+    return ranked.where((F.col("kind") != "verb") | (F.col("place") <= verbs))
+
+
 def mode(df: DataFrame, by: Sequence[str], value: str) -> DataFrame:
     """The most frequent value of each key, of equally frequent ones the smallest."""
     c = df.groupBy(*by, value).agg(F.count(F.lit(1)).alias("n"))

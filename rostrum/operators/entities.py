@@ -65,6 +65,26 @@ def mentions(df: DataFrame, key: str, text: Column, names: Mapping[str, str]) ->
     return m.select(key, F.try_element_at(table, F.col("name")).alias("code")).where("code IS NOT NULL").groupBy(key, "code").agg(F.count(F.lit(1)).alias("n"))
 
 
+#: Letters of a surname that counts on its own.
+SURNAME = 4
+
+
+def paragraph_matches(paragraphs: DataFrame, names: Mapping[str, str], people: DataFrame, *, least: int = SURNAME) -> DataFrame:
+    """article, p, code, how: paragraphs (article, p, text) that name a code's country, or a person (code, surname) of it in an article that names the country.
+
+    Each paragraph's words are looked up once: countries by one pattern, surnames as keys of an equality join with the words between other
+    characters than letters, digits and hyphens. A paragraph that names the country counts as that, whoever else it names.
+    """
+    named = mentions(paragraphs.select(F.struct("article", "p").alias("_key"), "text"), "_key", F.col("text"), names)
+    by_country = named.select("_key.article", "_key.p", "code").distinct()
+    words = F.array_distinct(F.regexp_extract_all("text", F.lit(r"[\p{L}\p{N}_-]+"), F.lit(0)))
+    long = people.where(F.length("surname") >= least).select("code", F.col("surname").alias("word")).distinct()
+    by_person = paragraphs.select("article", "p", F.explode(words).alias("word")).join(long, "word").select("article", "p", "code").distinct()
+    in_article = by_person.join(by_country.select("article", "code").distinct(), ["article", "code"], "left_semi")
+    rest = in_article.join(by_country, ["article", "p", "code"], "left_anti")
+    return by_country.withColumn("how", F.lit("country")).unionByName(rest.withColumn("how", F.lit("person")))
+
+
 def naming_edges(counts: DataFrame, speakers: DataFrame, extra: Sequence[str] = ()) -> DataFrame:
     """from_code, to_code, times of mentions (code, target, n) by speakers (code) of other speakers or of extra codes."""
     ok = speakers.select(F.col("code").alias("target")).distinct()

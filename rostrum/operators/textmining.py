@@ -106,11 +106,48 @@ def repeated_lines(df: DataFrame, doc: str, text: Column, *, least: int = 3, lon
     return lines.where((F.col("line") != "") & (F.length("line") < longest)).groupBy(doc, "line").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= least)
 
 
+def stop_list(lists: Sequence[Sequence[str]], names: DataFrame, name: str) -> DataFrame:
+    """word: the words of all lists and of all names, lower-case, each once."""
+    spark = names.sparkSession
+    given = spark.createDataFrame([(w.lower(),) for words in lists for w in words], "word string")
+    own = names.select(F.explode(F.regexp_extract_all(F.lower(name), F.lit(r"\p{L}+"), F.lit(0))).alias("word"))
+    return given.unionByName(own).distinct()
+
+
+def top_tokens(weights: DataFrame, doc: str, k: int) -> DataFrame:
+    """doc and words: each document's k tokens of most weight, of equal weight the later in the alphabet first."""
+    order = Window.partitionBy(doc).orderBy(F.desc(F.round("weight", 9)), F.desc("token"))
+    top = weights.where("weight > 0").withColumn("_place", F.row_number().over(order)).where(F.col("_place") <= k)
+    listed = F.array_sort(F.collect_list(F.struct("_place", "token")))
+    return top.groupBy(doc).agg(F.transform(listed, lambda x: x["token"]).alias("words"))
+
+
+def mean_similarity(weights: DataFrame, docs: DataFrame, doc: str) -> DataFrame:
+    """doc and similarity: each document's mean cosine to all others, without a pair being made: by the sum of all rows, less its own part."""
+    whole = weights.groupBy("token").agg(F.sum("weight").alias("_all"))
+    dots = weights.join(whole, "token").groupBy(doc).agg((F.sum(F.col("weight") * F.col("_all")) - F.sum(F.col("weight") * F.col("weight"))).alias("_s"))
+    n = docs.agg((F.count(F.lit(1)) - 1).alias("_n"))
+    return docs.select(doc).join(dots, doc, "left").join(F.broadcast(n), F.lit(True)).select(doc, (F.coalesce("_s", F.lit(0.0)) / F.nullif("_n", F.lit(0))).alias("similarity"))
+
+
+def extremes(weights: DataFrame, docs: DataFrame, doc: str, *, k: int = 5, least: float = 0.6) -> DataFrame:
+    """kind, place, a, b, similarity: the k most distinctive and the k most typical documents by their mean similarity, and the k closest pairs
+    among those of at least a similarity. Ties go to the smaller id, for typical ones and pairs to the larger."""
+    mean = stored(mean_similarity(weights, docs, doc).select(F.col(doc).alias("a"), F.lit(None).cast(docs.schema[doc].dataType).alias("b"), F.round("similarity", 6).alias("similarity")))
+    pairs = cosine_pairs(weights, doc, least).select("a", "b", F.round("similarity", 6).alias("similarity"))
+    kinds = [("most_distinctive", mean, [F.asc("similarity"), F.asc("a")]), ("most_typical", mean, [F.desc("similarity"), F.desc("a")]), ("similar_pairs", pairs, [F.desc("similarity"), F.desc("a"), F.desc("b")])]
+    out = None
+    for kind, df, order in kinds:
+        top = df.orderBy(*order).limit(k).withColumn("place", F.row_number().over(Window.orderBy(*order))).select(F.lit(kind).alias("kind"), "place", "a", "b", "similarity")
+        out = top if out is None else out.unionByName(top)
+    return out
+
+
 def nearest(weights: DataFrame, doc: str, least: float, k: int = 3) -> DataFrame:
     """doc, other, similarity, place: each document's k nearest among pairs of at least a similarity."""
     p = cosine_pairs(weights, doc, least)
     both = p.select(F.col("a").alias(doc), F.col("b").alias("other"), "similarity").unionByName(p.select(F.col("b").alias(doc), F.col("a").alias("other"), "similarity"))
-    return both.withColumn("place", F.row_number().over(Window.partitionBy(doc).orderBy(F.desc("similarity"), F.desc("other")))).where(F.col("place") <= k)
+    return both.withColumn("place", F.row_number().over(Window.partitionBy(doc).orderBy(F.desc(F.round("similarity", 9)), F.desc("other")))).where(F.col("place") <= k)
 
 
 def representative_sentence(df: DataFrame, doc: str, sentences: Column, words: Column, *, low: int = 60, high: int = 320) -> DataFrame:

@@ -73,6 +73,25 @@ def scanned_turns(df: DataFrame, key: str, text: str, *, least_words: int = MIN_
     return t.select(key, n.alias("n"), F.btrim("name").alias("name"), country.alias("country"), F.nullif(F.regexp_extract("lang", SPOKEN, 1), F.lit("")).alias("language"), F.when(F.col("kind") == "head", F.initcap("speaker")).alias("heading"), "words", "body")
 
 
+def agenda_state(text: Column, bold: Column, all_bold: Column, tail: int = 15) -> Column:
+    """debate, summit or other where a heading opens that business, else null; a heading is bold but for a short tail."""
+    low = F.lower(text)
+    heading = all_bold | (F.length(text) - F.length(bold) <= tail)
+    out = F.when(bold == "", None).when(low.startswith("general debate") | (low.startswith("agenda item") & F.substring(low, 1, 200).contains("general debate")), "debate")
+    return out.when(heading & low.rlike("summit|high-level|commemorat"), "summit").when(low.startswith("agenda item"), "other")
+
+
+#: A label at a block's start: a name with notes in brackets, before a colon.
+OPENING = r"(?s)^(.{2,200}?(?:\([^)]*\)\s*)*):\s*"
+
+
+def split_label(text: Column, bold: Column, all_bold: Column) -> tuple[Column, Column]:
+    """Label and words of a block that opens a speaker's turn: bold at its start, not throughout, and labelled; null label and the whole text else."""
+    label = F.regexp_extract(text, OPENING, 1)
+    opens = ~all_bold & (bold != "") & (label != "") & text.startswith(F.substring(bold, 1, 10))
+    return F.when(opens, F.btrim(label)), F.when(opens, F.regexp_replace(text, OPENING, "")).otherwise(text)
+
+
 def verbatim_turns(blocks: DataFrame, key: str) -> DataFrame:
     """key, n, label, language, kind, heading, introduction, text of each turn from a meeting's blocks (key, seq, text, bold, all_bold, italic).
 
@@ -82,20 +101,15 @@ def verbatim_turns(blocks: DataFrame, key: str) -> DataFrame:
     t, b = F.col("text"), F.coalesce(F.col("bold"), F.lit(""))
     w = Window.partitionBy(key).orderBy("seq")
     run = w.rowsBetween(Window.unboundedPreceding, 0)
-    heading = F.col("all_bold") | (F.length(t) - F.length(b) <= 15)
-    low = F.lower(t)
-    state = F.when(b == "", None).when(low.startswith("general debate") | (low.startswith("agenda item") & F.substring(low, 1, 200).contains("general debate")), "debate")
-    state = state.when(heading & low.rlike("summit|high-level|commemorat"), "summit").when(low.startswith("agenda item"), "other")
-    d = blocks.withColumn("_state", state)
+    d = blocks.withColumn("_state", agenda_state(t, b, F.col("all_bold")))
     address = F.col("_state").isNull() & F.col("all_bold") & t.startswith("Address by")
     d = d.withColumn("_address", address)
     last = F.last(F.when(F.col("_state").isNotNull(), F.col("_state")), True).over(run)
     d = d.withColumn("_set", last).withColumn("_business", F.last(F.when(F.col("_state").isNotNull(), F.col("_state")).when(F.col("_address") & (F.coalesce(F.col("_set"), F.lit("debate")) != "summit"), F.lit("debate")), True).over(run))
-    label = F.regexp_extract(t, r"(?s)^(.{2,200}?(?:\([^)]*\)\s*)*):\s*", 1)
-    opens = F.col("_state").isNull() & ~F.col("all_bold") & (b != "") & (label != "") & t.startswith(F.substring(b, 1, 10))
-    d = d.withColumn("_label", F.when(opens, F.btrim(label))).withColumn("_chair", F.coalesce(F.col("_label").rlike(PRESIDING), F.lit(False)))
+    label, said = split_label(t, b, F.col("all_bold"))
+    d = d.withColumn("_label", F.when(F.col("_state").isNull(), label)).withColumn("_chair", F.coalesce(F.col("_label").rlike(PRESIDING), F.lit(False)))
     breaks = F.col("_state").isNotNull() | F.col("all_bold") | F.col("_label").isNotNull()
-    d = d.withColumn("_turn", F.sum(breaks.cast("int")).over(run)).withColumn("_said", F.when(F.col("_label").isNotNull(), F.regexp_replace(t, r"(?s)^.{2,200}?(?:\([^)]*\)\s*)*:\s*", "")).otherwise(t))
+    d = d.withColumn("_turn", F.sum(breaks.cast("int")).over(run)).withColumn("_said", F.when(F.col("_label").isNotNull(), said).otherwise(t))
     d = d.withColumn("_reply", F.max(F.col("_chair") & F.lower("_said").contains("right of reply")).over(run))
     # a heading or introduction counts for the first speaker after it only
     speaker = F.col("_label").isNotNull() & ~F.col("_chair")

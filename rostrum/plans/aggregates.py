@@ -48,13 +48,34 @@ def a3_issue_shares_by_group(spark: SparkSession, sf_dir: str) -> DataFrame:
     return A.shares_by_group(d, F.col("issues"), "lang")
 
 
-QUERIES["m13_membership_shares"], ORACLES["m13_membership_shares"] = QUERIES["a3_issue_shares_by_group"], ORACLES["a3_issue_shares_by_group"]
+@query(f"""WITH h AS (SELECT lang, unnest({_DOC_ISSUES}) AS name FROM documents), s AS (SELECT lang, count(*) AS size FROM documents GROUP BY 1)
+SELECT name, lang, count(*) AS n, round(count(*) / any_value(size), 3) AS share FROM h JOIN s USING (lang) GROUP BY name, lang UNION ALL SELECT name, NULL, count(*), round(count(*) / (SELECT count(*) FROM documents), 3) FROM h GROUP BY name""")
+def m13_membership_shares(spark: SparkSession, sf_dir: str) -> DataFrame:
+    d = table(spark, sf_dir, "documents").select("lang", lexicon.flags(F.col("text"), _I).alias("issues"))
+    return A.membership_shares(d, F.col("issues"), "lang")
 
 
-@query(f"""SELECT doc_id, (regexp_matches(text, '(?i)\\bcharter\\b|international law') OR contains(text, 'Apache')) AS charter, array_to_string({_DOC_ISSUES}, ',') AS markers FROM documents""")
-def p5_marker_flags(spark: SparkSession, sf_dir: str) -> DataFrame:
+#: Sentences of the kind that the political lists look for, one before each of the driver's invented texts.
+SAID = ("A multipolar world needs the Charter. ", "Hegemony and double standards must end; lift unilateral coercive measures. ", "The great power veto harms the Global South. ", "Nuclear weapons defy international law. ", "We thank you. ")
+_SAID = "(SELECT doc_id, (" + "[" + ", ".join(f"'{x}'" for x in SAID) + "])[doc_id % 5 + 1] || text AS text FROM documents)"
+
+
+def _said(spark: SparkSession, sf_dir: str) -> DataFrame:
     d = table(spark, sf_dir, "documents")
-    return d.select("doc_id", (F.col("text").rlike(lexicon.CHARTER_OR_LAW) | F.col("text").contains("Apache")).alias("charter"), F.array_join(lexicon.flags(F.col("text"), _I), ",").alias("markers"))
+    return d.select("doc_id", F.concat(F.get(F.array(*[F.lit(x) for x in SAID]), (F.col("doc_id") % 5).cast("int")), "text").alias("text"))
+
+
+_MARKERS = "[" + ", ".join(f"CASE WHEN regexp_matches(text, '(?i){p}') THEN '{n}' END" for n, p in lexicon.MARKERS.items()) + "]"
+
+
+@query(f"SELECT doc_id, array_to_string(list_filter({_MARKERS}, lambda x: x IS NOT NULL), ',') AS markers FROM {_SAID}")
+def p5_marker_flags(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _said(spark, sf_dir).select("doc_id", F.array_join(lexicon.flags(F.col("text"), lexicon.patterns(lexicon.MARKERS)), ",").alias("markers"))
+
+
+@query(f"SELECT doc_id, regexp_matches(text, '(?i)\\bcharter\\b|international law') AS charter FROM {_SAID}")
+def p6_charter_or_law(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _said(spark, sf_dir).select("doc_id", F.col("text").rlike(lexicon.CHARTER_OR_LAW).alias("charter"))
 
 
 @query("SELECT doc_id, " + ", ".join(f"round(1000 * {c} / greatest({_WORDS}, 1), 2) AS {n}" for n, c in _COUNT.items()) + " FROM documents")
@@ -63,7 +84,11 @@ def t12_frame_rates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return d.select("doc_id", *[c.alias(n) for n, c in lexicon.rates(F.col("text"), _F).items()])
 
 
-QUERIES["m7_rates"], ORACLES["m7_rates"] = QUERIES["t12_frame_rates"], ORACLES["t12_frame_rates"]
+@query("SELECT doc_id, " + ", ".join(f"round(1000 * len(regexp_extract_all(text, '(?i){p}')) / greatest({_WORDS}, 1), 2) AS {n}" for n, p in ISSUES.items()) + " FROM documents")
+def m7_rates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return table(spark, sf_dir, "documents").select("doc_id", *[c.alias(n) for n, c in lexicon.rates(F.col("text"), _I).items()])
+
+
 _RATES = "r AS (SELECT doc_id, lang, source, n_chars, " + ", ".join(f"round(1000 * {c} / greatest({_WORDS}, 1), 2) AS {n}" for n, c in _COUNT.items()) + " FROM documents)"
 
 
@@ -80,14 +105,16 @@ SELECT doc_id, z_northern, z_southern, z_central, CASE WHEN greatest(z_northern,
   WHEN z_northern = greatest(z_northern, z_southern, z_central) THEN 'northern' WHEN z_southern = greatest(z_northern, z_southern, z_central) THEN 'southern' ELSE 'central' END AS lean FROM z""")
 def m5_zscore_lean(spark: SparkSession, sf_dir: str) -> DataFrame:
     z = numbers.z_scores(_rates(spark, sf_dir), list(FRAMES)).select("doc_id", *[F.round(f"z_{n}", 6).alias(f"z_{n}") for n in FRAMES])
-    best = F.greatest(*[F.col(f"z_{n}") for n in FRAMES])
-    lean = F.when(best < 0.5, "No clear lean")
-    for n in FRAMES:
-        lean = lean.when(F.col(f"z_{n}") == best, n)
-    return z.withColumn("lean", lean)
+    return z.withColumn("lean", numbers.lean({n: F.col(f"z_{n}") for n in FRAMES}))
 
 
-QUERIES["w16_lean"], ORACLES["w16_lean"] = QUERIES["m5_zscore_lean"], ORACLES["m5_zscore_lean"]
+@query(f"""WITH {_RATES}, r2 AS (SELECT source, lang, {", ".join(f"round(avg({n}), 6) AS {n}" for n in FRAMES)} FROM r GROUP BY ALL), z AS (SELECT source, lang, {_Z} FROM r2)
+SELECT source, lang, CASE WHEN greatest(z_northern, z_southern, z_central) < 0.5 THEN 'No clear lean' WHEN z_northern = greatest(z_northern, z_southern, z_central) THEN 'northern' WHEN z_southern = greatest(z_northern, z_southern, z_central) THEN 'southern' ELSE 'central' END AS lean FROM z""")
+def w16_lean(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Groups' leans among all groups' mean rates."""
+    m = stored(_rates(spark, sf_dir).groupBy("source", "lang").agg(*[F.round(F.avg(n), 6).alias(n) for n in FRAMES]))
+    z = numbers.z_scores(m, list(FRAMES))
+    return z.select("source", "lang", numbers.lean({n: F.round(f"z_{n}", 6) for n in FRAMES}).alias("lean"))
 
 
 @query("""WITH z AS (SELECT doc_id, lang, round((n_chars - avg(n_chars) OVER (PARTITION BY lang)) / coalesce(nullif(stddev_pop(n_chars) OVER (PARTITION BY lang), 0), 1), 6) AS z FROM documents) SELECT * FROM z WHERE abs(z) >= 2.5""")
@@ -171,7 +198,13 @@ def a12_check_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
     return A.check_totals(c, official, ["event_type"])
 
 
-QUERIES["v4_vote_totals"], ORACLES["v4_vote_totals"] = QUERIES["a12_check_totals"], ORACLES["a12_check_totals"]
+@query("""WITH o AS (SELECT o_orderkey, o_totalprice FROM orders), l AS (SELECT l_orderkey AS o_orderkey, count(*) AS n FROM lineitem GROUP BY 1), x AS (SELECT o_orderkey, CASE WHEN o_orderkey % 100 = 0 THEN n + 1 ELSE n END AS n FROM l WHERE o_orderkey % 97 <> 0)
+SELECT o_orderkey, l.n AS counted, x.n AS official FROM l FULL JOIN x USING (o_orderkey) WHERE l.n IS DISTINCT FROM x.n""")
+def v4_vote_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders whose lines do not add up to their official number: some numbers were altered, some are missing."""
+    l = table(spark, sf_dir, "lineitem").groupBy(F.col("l_orderkey").alias("o_orderkey")).agg(F.count(F.lit(1)).alias("n"))
+    k = F.col("o_orderkey")
+    return A.check_totals(l, l.where(k % 97 != 0).withColumn("n", F.col("n") + (k % 100 == 0).cast("int")), ["o_orderkey"])
 
 
 @query("""SELECT source, count(*) AS n, count(*) FILTER (quality IS NULL) AS unlabelled, count(*) FILTER (toxic = 1) AS toxic, median(n_chars) AS median, count(*) FILTER (n_chars < 1000) AS short, count(lang) AS language_known FROM documents LEFT JOIN labels USING (doc_id) GROUP BY 1""")
@@ -186,9 +219,21 @@ def a14_completeness(spark: SparkSession, sf_dir: str) -> DataFrame:
     return c.agg(F.count(F.lit(1)).alias("conversations"), F.count_if("s").alias("with_system"), F.count_if("l").alias("with_long"))
 
 
-@query("""SELECT split_part(p_name, ' ', 1) AS verb, count(*) AS n FROM part GROUP BY 1 ORDER BY n DESC, verb LIMIT 15""")
-def a15_headline_verbs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "part").groupBy(F.split("p_name", " ")[0].alias("verb")).agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "verb").limit(15)
+#: Headlines: a verb of some tone, if any, before and after a page's own words.
+VERBS = ("warns against", "urges", "hails", "calls for", "pledges", "says")
+_HEADS = "h AS (SELECT page_id, 'State ' || (['" + "', '".join(VERBS) + "'])[page_id % 6 + 1] || ' ' || CASE WHEN page_id % 4 = 0 THEN 'action on climate' ELSE 'peace in Ukraine' END || CASE WHEN page_id % 9 = 0 THEN ' and rejects sanctions' ELSE '' END AS head FROM pages)"
+_TONES = ", ".join(f"nullif(regexp_extract(lower(head), '^(.*?)\\b(?:{p})\\b', 1), '') AS t{i}" for i, p in enumerate(lexicon.TONES.values()))
+
+
+@query(f"""WITH {_HEADS}, t AS (SELECT page_id, head, {_TONES} FROM h), f AS (SELECT *, least(coalesce(length(t0), 9999), coalesce(length(t1), 9999), coalesce(length(t2), 9999)) AS first FROM t),
+k AS (SELECT page_id, head, CASE WHEN first = 9999 THEN 'Statement, no verb' WHEN first = length(t0) THEN 'Alarm' WHEN first = length(t1) THEN 'Appeal' ELSE 'Showcase' END AS tone, CASE WHEN first < 9999 THEN regexp_extract(lower(head[first + 1 :]), '^(?:{"|".join(lexicon.TONES.values())})') END AS verb FROM f),
+u AS (SELECT 'tone' AS kind, tone AS name, count(*) AS n FROM k GROUP BY 2 UNION ALL SELECT 'verb', verb, count(*) FROM k WHERE verb IS NOT NULL GROUP BY 2 UNION ALL SELECT 'issue', 'Climate change', count(*) FROM k WHERE contains(head, 'climate') UNION ALL SELECT 'issue', 'Ukraine', count(*) FROM k WHERE contains(head, 'Ukraine') UNION ALL SELECT 'issue', 'Sanctions', count(*) FROM k WHERE contains(head, 'sanction'))
+SELECT kind, name, n, row_number() OVER (PARTITION BY kind ORDER BY n DESC, name)::INT AS place FROM u WHERE n > 0 QUALIFY kind <> 'verb' OR row_number() OVER (PARTITION BY kind ORDER BY n DESC, name) <= 15""")
+def a15_headlines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tones, the 15 most frequent verbs and issues of headlines."""
+    i = F.col("page_id")
+    head = F.concat(F.lit("State "), F.get(F.array(*[F.lit(v) for v in VERBS]), (i % 6).cast("int")), F.lit(" "), F.when(i % 4 == 0, "action on climate").otherwise("peace in Ukraine"), F.when(i % 9 == 0, " and rejects sanctions").otherwise(""))
+    return A.headlines(table(spark, sf_dir, "pages").select(head.alias("head")), "head")
 
 
 @query("""SELECT lower(m) AS lang, count(*) AS n, count(DISTINCT page_id) AS pages FROM (SELECT page_id, unnest(regexp_extract_all(html, '<html lang="([a-z]+)"', 1)) AS m FROM pages) GROUP BY 1""")
@@ -328,7 +373,11 @@ def a31_gini(spark: SparkSession, sf_dir: str) -> DataFrame:
     return A.lorenz(t, "v", ["o_orderpriority"]).withColumn("gini", F.round("gini", 6))
 
 
-QUERIES["q5_lorenz_gini"], ORACLES["q5_lorenz_gini"] = QUERIES["a31_gini"], ORACLES["a31_gini"]
+@query("""WITH t AS (SELECT s_nationkey, count(*) AS v FROM lineitem JOIN supplier ON l_suppkey = s_suppkey GROUP BY 1), r AS (SELECT v, row_number() OVER (ORDER BY v) AS k FROM t) SELECT round(2 * sum(k * v) / (count(*) * sum(v)) - (count(*) + 1) / count(*), 6) AS gini, count(*) AS n FROM r""")
+def q5_lorenz_gini(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How unevenly attention (lines) falls on states."""
+    t = table(spark, sf_dir, "lineitem").join(table(spark, sf_dir, "supplier"), F.col("l_suppkey") == F.col("s_suppkey")).groupBy("s_nationkey").agg(F.count(F.lit(1)).alias("v"))
+    return A.lorenz(t, "v").withColumn("gini", F.round("gini", 6))
 
 
 @query("""SELECT p_partkey, CASE WHEN regexp_matches(p_type, 'BRASS') AND regexp_matches(p_type, '^PROMO') THEN 'first' WHEN regexp_matches(p_type, 'STEEL|TIN') THEN 'second' WHEN regexp_matches(p_type, 'ECONOMY') THEN 'third' ELSE 'unclassified' END AS rank FROM part""")

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from ..functions import strings as S
 from ..operators import cleaning, network, relational, sequences, stats, textmining, topics, turns, wording
 from ..sources import html, readers, writers
-from ..sources.tables import stored
+from ..sources.tables import own_folder, stored
 from ..streaming import history as streaming
 from .common import table
 from .text import STOP, TITLED, TOK, evidence_sql
@@ -30,13 +30,14 @@ def query(sql: str | None = None):
 # --- graphs: nations trade with nations through orders ---
 
 _EDGES = """e AS (SELECT c_nationkey AS src, s_nationkey AS dst, count(*) AS weight FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN customer ON o_custkey = c_custkey JOIN supplier ON l_suppkey = s_suppkey
-  WHERE l_quantity > 48 AND l_discount > 0.06 AND c_nationkey <> s_nationkey GROUP BY ALL HAVING count(*) >= 2)"""
+  WHERE c_nationkey <> s_nationkey GROUP BY c_nationkey, s_nationkey QUALIFY row_number() OVER (PARTITION BY c_nationkey ORDER BY count(*) DESC, s_nationkey) <= 4)"""
 
 
 def _edges(spark: SparkSession, sf_dir: str) -> DataFrame:
-    l = table(spark, sf_dir, "lineitem").where("l_quantity > 48 AND l_discount > 0.06").select("l_orderkey", "l_suppkey")
+    """From each nation to the four others that supply it most."""
+    l = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_suppkey")
     j = l.join(table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey"), F.col("l_orderkey") == F.col("o_orderkey")).join(table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey"), F.col("o_custkey") == F.col("c_custkey")).join(table(spark, sf_dir, "supplier").select("s_suppkey", "s_nationkey"), F.col("l_suppkey") == F.col("s_suppkey"))
-    return network.clean_edges(j, "c_nationkey", "s_nationkey").where("weight >= 2")
+    return relational.top_per_key(network.clean_edges(j, "c_nationkey", "s_nationkey"), ["src"], [F.desc("weight"), F.col("dst")], 4).drop("rank")
 
 
 def _regions(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -58,9 +59,11 @@ def j12_mutual_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return network.mutual_pairs(_edges(spark, sf_dir))
 
 
-@query()
+@query(f"""WITH RECURSIVE {_EDGES}, p(s, v, path, n) AS (SELECT src, dst, [src, dst], 1 FROM e UNION ALL SELECT p.s, e.dst, list_append(p.path, e.dst), p.n + 1 FROM p JOIN e ON e.src = p.v WHERE NOT list_contains(p.path, e.dst) AND p.n < 7),
+d AS (SELECT s, v, min(n) AS n FROM p GROUP BY ALL), h AS (SELECT p.* FROM p JOIN d USING (s, v, n)), c AS (SELECT s, v, count(*) AS paths FROM h GROUP BY ALL), m AS (SELECT s, v, unnest(path[2:-2]) AS node FROM h), k AS (SELECT s, v, node, count(*) AS through FROM m GROUP BY ALL)
+SELECT n_nationkey AS node, round(coalesce(b, 0), 9) AS betweenness FROM nation LEFT JOIN (SELECT node, sum(through / paths) / (((SELECT count(*) FROM nation) - 1) * ((SELECT count(*) FROM nation) - 2)) AS b FROM k JOIN c USING (s, v) GROUP BY 1) ON node = n_nationkey""")
 def g3_betweenness(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return network.betweenness(_edges(spark, sf_dir), _regions(spark, sf_dir))
+    return network.betweenness(_edges(spark, sf_dir), _regions(spark, sf_dir)).withColumn("betweenness", F.round("betweenness", 9))
 
 
 @query(f"WITH {_EDGES} SELECT avg((a.n_regionkey = b.n_regionkey)::INT)::DOUBLE AS share, count(*) AS n FROM e JOIN nation a ON src = a.n_nationkey JOIN nation b ON dst = b.n_nationkey")
@@ -101,9 +104,9 @@ def g9_undirected(spark: SparkSession, sf_dir: str) -> DataFrame:
     return network.undirected(_edges(spark, sf_dir))
 
 
-@query(f"WITH {_EDGES} SELECT r_name, count(DISTINCT src) AS namers, count(*) AS ties FROM e JOIN nation ON src = n_nationkey JOIN region ON n_regionkey = r_regionkey WHERE dst % 5 = 0 GROUP BY 1")
+@query(f"WITH {_EDGES} SELECT r_name, count(DISTINCT src) AS namers, count(*) AS ties FROM e JOIN nation ON src = n_nationkey JOIN region ON n_regionkey = r_regionkey WHERE dst % 2 = 0 GROUP BY 1")
 def g10_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
-    e = _edges(spark, sf_dir).where("dst % 5 = 0").join(table(spark, sf_dir, "nation"), F.col("src") == F.col("n_nationkey")).join(table(spark, sf_dir, "region"), F.col("n_regionkey") == F.col("r_regionkey"))
+    e = _edges(spark, sf_dir).where("dst % 2 = 0").join(table(spark, sf_dir, "nation"), F.col("src") == F.col("n_nationkey")).join(table(spark, sf_dir, "region"), F.col("n_regionkey") == F.col("r_regionkey"))
     return e.groupBy("r_name").agg(F.count_distinct("src").alias("namers"), F.count(F.lit(1)).alias("ties"))
 
 
@@ -226,11 +229,6 @@ def t17_themes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topics.themes(textmining.tfidf(b, "sentence", F.concat("w", textmining.ngrams(F.col("w"), 2)), min_df=2, max_df=1.0), "sentence", items=b)
 
 
-@query("WITH p AS (SELECT doc_id, n_chars FROM documents) SELECT (SELECT max(n_chars) FROM p) AS most, (SELECT min(n_chars) FROM p) AS least, (SELECT median(n_chars) FROM p) AS typical")
-def t18_extremes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "documents").agg(F.max("n_chars").alias("most"), F.min("n_chars").alias("least"), F.median("n_chars").alias("typical"))
-
-
 # --- rules, cleaning, pages, turns ---
 
 @query(rf"""WITH s AS (SELECT doc_id, unnest(s) AS s, generate_subscripts(s, 1) AS pos FROM (SELECT doc_id, {TITLED.format('text')} AS s FROM documents)), o AS (SELECT *, regexp_matches(s, '(?i)\bthat\b') AS o FROM s),
@@ -254,12 +252,17 @@ def _speeches(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "documents").select("doc_id", F.lit(2025).alias("year"), F.concat(said, F.col("text")).alias("text"))
 
 
-@query()
+_GAZA_SQL = rf"""SELECT doc_id, CASE WHEN doc_id % 4 = 1 THEN 'calls it genocide' ELSE 'does not mention Gaza or Palestine' END AS class, coalesce(list_filter(s, lambda x: regexp_matches(x, '(?i)genocid'))[1], '') AS evidence, false AS hamas, '' AS hamas_evidence, false AS israels_side, '' AS side_evidence FROM (SELECT doc_id, {TITLED.format('text')} AS s FROM {_SPEECH_SQL})"""
+
+
+@query(_GAZA_SQL)
 def r4_gaza(spark: SparkSession, sf_dir: str) -> DataFrame:
     return wording.gaza(_speeches(spark, sf_dir), "doc_id", "text")
 
 
-@query()
+@query(rf"""WITH s AS (SELECT doc_id, text, {TITLED.format('text')} AS s FROM {_SPEECH_SQL}), g AS ({_GAZA_SQL})
+SELECT doc_id, 2025 AS year, CASE doc_id % 4 WHEN 0 THEN 'blames Russia or calls it aggression' WHEN 3 THEN 'names Ukraine but blames no one' ELSE 'does not mention Ukraine' END AS ukraine, coalesce(list_filter(s, lambda x: regexp_matches(x, '(?i)\bukrain'))[1], '') AS ukraine_evidence, class AS gaza, evidence AS gaza_evidence, hamas, hamas_evidence, israels_side, side_evidence
+FROM s JOIN g USING (doc_id) WHERE len(regexp_extract_all(text, '\S+')) >= 300""")
 def r5_wording(spark: SparkSession, sf_dir: str) -> DataFrame:
     return wording.wording(_speeches(spark, sf_dir), "doc_id", "year", "text")
 
@@ -271,6 +274,47 @@ def r6_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return wording.passage(_speeches(spark, sf_dir), "doc_id", F.col("text"), r"(?iu)ukraine|gaza")
 
 
+#: Sentences of known kinds: whether they tell of a harmful act of the named state, and whether they call this war genocide.
+ACTS = (
+    ("Israel has killed thousands of civilians.", True), ("The siege of the city by the Israeli army goes on.", True), ("Hamas attacked, and Israel struck back and killed many.", False), ("Israel was attacked and its people murdered.", False),
+    ("Netanyahu and the Palestinians must end the violations.", False), ("Israel mourns the horrific massacre of 7 October.", False), ("The occupying power demolishes homes.", True), ("Peace is near.", False),
+)
+GENOCIDES = (
+    ("Gaza suffers. This is genocide.", True), ("Gaza suffers. The genocide in Srebrenica is remembered.", False), ("We pray for Gaza. We recall the Convention on the Prevention of that crime, genocide.", False),
+    ("The war in Gaza and in Ukraine must end. It is a genocide.", False), ("Our seas rise. Genocide is a crime.", False), ("There is talk of a so-called genocide in Gaza.", False),
+)
+
+
+def _of(cases, i: str) -> str:
+    return "([" + ", ".join(str(x).lower() for _, x in cases) + f"])[{i} % {len(cases)} + 1]"
+
+
+def _said(cases, i: str) -> F.Column:
+    return F.get(F.array(*[F.lit(t) for t, _ in cases]), (F.col(i) % len(cases)).cast("int"))
+
+
+@query(f"SELECT s_suppkey, {_of(ACTS, 's_suppkey')} AS acts FROM supplier")
+def r2_harmful_acts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    s = table(spark, sf_dir, "supplier").select("s_suppkey", _said(ACTS, "s_suppkey").alias("s"))
+    return s.select("s_suppkey", wording.harmful_act(F.col("s")).alias("acts"))
+
+
+@query(f"SELECT s_suppkey, {_of(GENOCIDES, 's_suppkey')} AS genocide FROM supplier")
+def r3_calls_it_genocide(spark: SparkSession, sf_dir: str) -> DataFrame:
+    s = table(spark, sf_dir, "supplier").select("s_suppkey", _said(GENOCIDES, "s_suppkey").alias("t"))
+    return wording.gaza_rows(s, "s_suppkey", F.col("t")).select("s_suppkey", F.exists("rows", wording.calls_it_genocide).alias("genocide"))
+
+
+@query("SELECT doc_id, CASE doc_id % 4 WHEN 0 THEN 'blames Russia or calls it aggression' WHEN 1 THEN 'names Ukraine but blames no one' ELSE 'uses Russia''s framing' END AS label FROM labels WHERE doc_id % 4 <> 3")
+def r8_human_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A sheet that is filled in with codes in either case, some rows left blank, and read again."""
+    passages = table(spark, sf_dir, "documents").select("doc_id", F.substring("text", 1, 200).alias("passage"))
+    sheet = wording.human_sheet(table(spark, sf_dir, "labels").select("doc_id"), ["doc_id"], passages)
+    k = F.col("doc_id") % 4
+    filled = sheet.withColumn("code", F.when(k == 0, " B ").when(k == 1, "n").when(k == 2, "R").otherwise("  "))
+    return wording.read_sheet(filled, "code", wording.CODES).select("doc_id", "label")
+
+
 @query()
 def r7_draw(spark: SparkSession, sf_dir: str) -> DataFrame:
     return wording.draw(table(spark, sf_dir, "documents").select("doc_id", "lang"), table(spark, sf_dir, "labels"), ["doc_id"], 25)
@@ -282,7 +326,29 @@ def f8_clean(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cleaning.clean(d, "text", "kind").select("doc_id", "clean")
 
 
-QUERIES["f9_join_lines"] = QUERIES["f10_trim_presiding"] = QUERIES["f12_transcript_body"] = QUERIES["f8_clean"]
+@query(r"""SELECT doc_id, sha256(regexp_replace(replace(regexp_replace(regexp_replace(t, '(\p{L})[‐­]\n(\p{Ll})', '\1\2', 'g'), '(\p{L}-)\n', '\1', 'g'), chr(10), ' '), '[ \t]+', ' ', 'g')) AS joined FROM (SELECT doc_id, 'a broken‐' || chr(10) || 'word and well-' || chr(10) || 'known ones' || chr(10) || text AS t FROM documents)""")
+def f9_join_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    t = F.concat(F.lit("a broken‐\nword and well-\nknown ones\n"), "text")
+    return table(spark, sf_dir, "documents").select("doc_id", F.sha2(cleaning.join_lines(t), 256).alias("joined"))
+
+
+_PRESIDING = cleaning.PRESIDING.replace("'", "''")
+
+
+@query(rf"""WITH l AS (SELECT doc_id, list_transform(string_split(CASE WHEN doc_id % 2 = 0 THEN 'The Assembly will now hear an address.' || chr(10) ELSE '' END || text || chr(10) || 'Thank you.' || chr(10), chr(10)), lambda x: trim(x, ' ' || chr(9) || chr(8207))) AS l FROM documents),
+s AS (SELECT doc_id, l, coalesce(list_max(list_filter(generate_series(1, least(10, len(l))), lambda i: regexp_matches(l[i], '{_PRESIDING}'))), 0) AS s FROM l), r AS (SELECT doc_id, l[s + 1 :] AS r FROM s),
+e AS (SELECT doc_id, r, coalesce(list_max(list_filter(generate_series(1, len(r)), lambda i: r[i] <> '' AND NOT regexp_matches(r[i], '{_PRESIDING}'))), 0) AS e FROM r) SELECT doc_id, e::INT AS lines, sha256(array_to_string(r[: e], chr(10))) AS digest FROM e""")
+def f10_trim_presiding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines between the chair's words, put before every other document and after all."""
+    t = F.concat(F.when(F.col("doc_id") % 2 == 0, "The Assembly will now hear an address.\n").otherwise(""), "text", F.lit("\nThank you.\n"))
+    d = table(spark, sf_dir, "documents").select("doc_id", cleaning.lines_of(t).alias("l")).select("doc_id", cleaning.trim_presiding(F.col("l")).alias("l"))
+    return d.select("doc_id", F.size("l").alias("lines"), F.sha2(F.array_join("l", "\n"), 256).alias("digest"))
+
+
+@query(r"""SELECT doc_id, sha256(regexp_replace(CASE WHEN doc_id % 3 = 0 THEN 'Heading' || chr(10) || '[Translated by the Secretariat]' || chr(10) ELSE '' END || text, '(?ms)\A.*?^‏?\[.*?\][^\S\n]*$', '')) AS body FROM documents""")
+def f12_transcript_body(spark: SparkSession, sf_dir: str) -> DataFrame:
+    t = F.concat(F.when(F.col("doc_id") % 3 == 0, "Heading\n[Translated by the Secretariat]\n").otherwise(""), "text")
+    return table(spark, sf_dir, "documents").select("doc_id", F.sha2(sequences.transcript_body(t), 256).alias("body"))
 
 
 @query()
@@ -290,23 +356,92 @@ def s8_article_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html.articles(table(spark, sf_dir, "pages").select("page_id", "html"), F.col("html")).select("page_id", "title", "paragraphs", "words")
 
 
-QUERIES["p1_article_paragraphs"] = QUERIES["s8_article_text"]
+_NOISE = html.NOISE.replace("(?iu)", "(?i)").replace("'", "''")
 
 
-@query()
-def s4_speaker_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return html.speaker_pages(table(spark, sf_dir, "pages").select("page_id", "html"), F.col("html")).select("page_id", "page.*")
+@query(rf"""WITH l AS (SELECT doc_id, list_transform(string_split('Read more about this story, which is long enough to be a paragraph of its own.' || chr(10) || 'World Politics Business Opinion Science Health Sports Arts Books Style Food Travel Magazine' || chr(10) || text, chr(10)), lambda x: trim(regexp_replace(x, '\s+', ' ', 'g'))) AS l FROM documents),
+f AS (SELECT doc_id, list_filter(l, lambda x: length(x) >= 60 AND NOT regexp_matches(x, '{_NOISE}') AND NOT (NOT regexp_matches(x, '[.!?,:;”"]') AND len(list_filter(string_split(x, ' '), lambda w: regexp_matches(w, '^\P{{L}}|^\p{{Lu}}'))) >= 0.6 * len(string_split(x, ' ')))) AS f FROM l)
+SELECT doc_id, len(f)::INT AS n, sha256(coalesce(array_to_string(f, chr(10)), '')) AS digest FROM f""")
+def p1_article_paragraphs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Which lines read as paragraphs of a story; a furniture line and a menu stand before each document."""
+    t = F.concat(F.lit("Read more about this story, which is long enough to be a paragraph of its own.\nWorld Politics Business Opinion Science Health Sports Arts Books Style Food Travel Magazine\n"), "text")
+    l = F.transform(F.split(t, "\n", -1), S.collapse)
+    d = table(spark, sf_dir, "documents").select("doc_id", F.filter(l, html.good_paragraph).alias("l"))
+    return d.select("doc_id", F.size("l").alias("n"), F.sha2(F.array_join("l", "\n"), 256).alias("digest"))
 
 
-@query()
-def s9_coverage(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return html.coverages(table(spark, sf_dir, "pages").select("page_id", "html"), F.col("html")).select("page_id", "coverage.*")
+@query("""WITH p AS (SELECT page_id, coalesce(regexp_extract(html, '<h1>([^<]*)', 1), '') AS h, regexp_extract(html, '<html lang="([a-z]+)"', 1) AS l FROM pages)
+SELECT page_id, h || ' / ' || l || ' / update ' || page_id AS bodies FROM p""")
+def m11_json_ld(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Article bodies of structured data that is put before each page: in an object, under its main entity, and in a graph's live update."""
+    body = lambda c: F.struct(c.alias("articleBody"))
+    h, l = F.regexp_extract("html", "<h1>([^<]*)", 1), F.regexp_extract("html", '<html lang="([a-z]+)"', 1)
+    first = F.struct(h.alias("articleBody"), body(l).alias("mainEntity"))
+    second = F.struct(F.array(body(F.concat(F.lit("update "), F.col("page_id").cast("string")))).alias("liveBlogUpdate"))
+    data = F.concat(F.lit('<script type="application/ld+json">{"@graph": ['), F.to_json(first), F.lit(","), F.to_json(second), F.lit("]}</script>"))
+    p = table(spark, sf_dir, "pages").select("page_id", F.concat(data, "html").alias("html"))
+    return html.json_ld(p, F.col("html"), "articleBody").select("page_id", F.array_join("values", " / ").alias("bodies"))
 
 
-@query("SELECT regexp_extract(url, '/([a-z]+)/([0-9]+)', 1) AS lang, regexp_extract(url, '/([a-z]+)/([0-9]+)', 2) AS number, count(*) AS n FROM pages WHERE regexp_matches(url, '/[a-z]+/[0-9]+') GROUP BY ALL")
-def s3_xml_like(spark: SparkSession, sf_dir: str) -> DataFrame:
-    p = table(spark, sf_dir, "pages").where(F.col("url").rlike("/[a-z]+/[0-9]+"))
-    return p.groupBy(F.regexp_extract("url", "/([a-z]+)/([0-9]+)", 1).alias("lang"), F.regexp_extract("url", "/([a-z]+)/([0-9]+)", 2).alias("number")).agg(F.count(F.lit(1)).alias("n"))
+@query("SELECT page_id, replace(replace(replace(replace(replace(h, '&lt;', '<'), '&gt;', '>'), '&copy;', '©'), '&middot;', '·'), '&amp;', '&') || ' é ’ <' AS plain FROM (SELECT page_id, regexp_extract(html, '<h1>([^<]*)', 1) AS h FROM pages)")
+def m15_unescaped(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return table(spark, sf_dir, "pages").select("page_id", html.unescaped(F.concat(F.regexp_extract("html", "<h1>([^<]*)", 1), F.lit(" &eacute; &#8217; &#x3C;"))).alias("plain"))
+
+
+@query("""SELECT page_id, 'State ' || page_id AS delegation, 'H.E. Ms.' AS honorific, 'Ana ' || page_id AS speaker_name, NULL::VARCHAR AS speaker_title, '2026-09-' || (10 + page_id % 20) AS date, CASE WHEN page_id % 2 = 0 THEN 'en:English:false;pt:portuguese:false;:russian:true' ELSE 'fr:french:false' END AS statements FROM pages""".replace(";:russian:true", ";ru:russian:true"))
+def s4_speaker_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A speaker's fields and statements before each page, with languages by field or by the file's ending, and a floor version."""
+    i = F.col("page_id").cast("string")
+    statement = lambda kind, file, label="": f'<div class="field field--name-field-{kind}-statement">{label}<a href="/f/{file}.pdf">x</a></div>'
+    many = statement("english", "br_en", '<span class="custom-statement-file-label"> English </span>') + statement("portuguese", "br_pt") + statement("russian", "br_fl")
+    head = F.concat(F.lit("<title>State "), i, F.lit(' | General Debate</title><div class="field--name-field-speaker-title">H.E. Ms.</div><div class="field--name-field-speaker-name">Ana '), i, F.lit('</div><time datetime="2026-09-'), (F.col("page_id") % 20 + 10).cast("string"), F.lit('T10:00">d</time>'), F.when(F.col("page_id") % 2 == 0, many).otherwise(statement("french", "x")))
+    p = html.speaker_pages(table(spark, sf_dir, "pages").select("page_id", F.concat(head, "html").alias("html")), F.col("html")).select("page_id", "page.*")
+    listed = F.transform("statements", lambda s: F.concat(F.coalesce(s["language"], F.lit("")), F.lit(":"), s["label"], F.lit(":"), s["floor_version"].cast("string")))
+    return p.withColumn("statements", F.array_join(listed, ";"))
+
+
+@query("""SELECT page_id, 'State ' || page_id || ' speaks' AS headline, 'A summary of page ' || page_id || ', long enough to be a paragraph of the coverage of a debate.' AS first, 'https://press.un.org/en/' || page_id AS press_release_url, CASE WHEN page_id % 2 = 0 THEN 'fr,es' ELSE '' END AS news FROM pages""")
+def s9_coverage(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Headline, summary and links before each page."""
+    i = F.col("page_id").cast("string")
+    links = '<a href="https://news.un.org/fr/x">n</a><a href="https://news.un.org/es/y">n</a>'
+    head = F.concat(F.lit("<h4> State "), i, F.lit(" speaks</h4><p>short</p><p>A summary of page "), i, F.lit(", long enough to be a paragraph of the coverage of a debate.</p><a href='https://press.un.org/en/"), i, F.lit("'>p</a>"), F.when(F.col("page_id") % 2 == 0, links).otherwise(""))
+    c = html.coverages(table(spark, sf_dir, "pages").select("page_id", F.concat(head, "html").alias("html")), F.col("html")).select("page_id", "coverage.*")
+    return c.select("page_id", "headline", F.get("summary", 0).alias("first"), "press_release_url", F.array_join(F.col("un_news.language"), ",").alias("news"))
+
+
+@query("""WITH p AS (SELECT page_id, regexp_extract(url, '/([a-z]+)/([0-9]+)', 1) || '-' || regexp_extract(url, '/([a-z]+)/([0-9]+)', 2) AS slug FROM pages WHERE regexp_matches(url, '/[a-z]+/[0-9]+'))
+SELECT (79 + hash % 3)::INT AS session, slug, max_by('v' || page_id, page_id) AS lastmod FROM (SELECT *, length(slug) AS hash FROM p) WHERE hash % 3 <> 2 GROUP BY ALL""")
+def s3_sitemaps(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sitemaps made of pages' addresses, one for each slug, read as sitemaps; other languages' and other sites' entries and other sessions are left out."""
+    p = table(spark, sf_dir, "pages").where(F.col("url").rlike("/[a-z]+/[0-9]+")).withColumn("slug", F.concat_ws("-", F.regexp_extract("url", "/([a-z]+)/([0-9]+)", 1), F.regexp_extract("url", "/([a-z]+)/([0-9]+)", 2)))
+    at = F.concat((F.length("slug") % 3 + 79).cast("string"), F.lit("/"), F.col("slug"))
+    entry = lambda base: F.concat(F.lit(f"<url>\n <loc> {base}/"), at, F.lit(" </loc><lastmod>v"), F.col("page_id").cast("string"), F.lit("</lastmod></url>"))
+    one = F.concat(entry("https://s.org/en"), entry("https://s.org/fr"), entry("https://other.org/en"))
+    maps = p.groupBy("slug").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("page_id", one.alias("x")))), lambda y: y["x"]), "").alias("x")).select(F.concat(F.lit("<urlset>"), "x", F.lit("</urlset>")).alias("x"))
+    return readers.sitemap(maps, "x", "https://s.org", [79, 80])
+
+
+@query("SELECT 'N' || chr((65 + n_nationkey)::INT) AS iso3, (n_nationkey + 50)::INT AS session, (n_nationkey + 1995)::INT AS year, 'Speech of ' || n_name || chr(10) || 'é' AS text FROM nation WHERE n_nationkey % 5 <> 0")
+def s14_tar_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Texts of an archive of nations' speeches, in which every fifth member is a hidden or differently named file."""
+    rows = table(spark, sf_dir, "nation").select("n_nationkey", "n_name").collect()  # 25 rows, whatever the tables' size
+    members = {f"corpus/{'._' if r.n_nationkey % 10 == 5 else ''}N{chr(65 + r.n_nationkey)}_{r.n_nationkey + 50}_{r.n_nationkey + 1995}.{'csv' if r.n_nationkey % 10 == 0 else 'txt'}": f"Speech of {r.n_name}\né".encode() for r in rows}
+    return readers.tar_texts(spark, writers.tar_gz(members, f"{own_folder(spark, 's14-tar')}/corpus.tar.gz"))
+
+
+@query("""WITH w AS (SELECT item_id, unnest(string_split_regex(text, '\\s+')) AS word, generate_subscripts(string_split_regex(text, '\\s+'), 1) - 1 AS i FROM benchmark), l AS (SELECT item_id, i // 4 AS line, string_agg(word, ' ' ORDER BY i) AS text FROM w GROUP BY ALL),
+p AS (SELECT *, line % 5 = 0 AS span FROM l) SELECT item_id, row_number() OVER (PARTITION BY item_id ORDER BY line)::INT AS seq, text FROM p""")
+def s20_reading_order(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines of a page in two columns: every fifth is as wide as the page, the two after it stand left, the two after those right beside them."""
+    w = table(spark, sf_dir, "benchmark").select("item_id", F.posexplode(F.split("text", r"\s+")).alias("i", "word"))
+    l = w.groupBy("item_id", F.floor(F.col("i") / 4).alias("line")).agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("i", "word"))), lambda x: x["word"]), " ").alias("text"))
+    band, k = F.floor(F.col("line") / 5), F.col("line") % 5
+    x0 = F.when(k < 3, 10.0).otherwise(310.0)
+    x1 = F.when(k == 0, 590.0).when(k < 3, 290.0).otherwise(590.0)
+    y = band * 100 + F.when(k == 0, 0).otherwise(10 + (k - 1) % 2 * 10)
+    lines = l.select("item_id", F.lit(1).alias("page"), x0.alias("x0"), x1.alias("x1"), y.cast("double").alias("y"), F.lit(600.0).alias("width"), F.when(k == 0, F.col("text")).otherwise(F.col("text")).alias("text"))
+    return turns.reading_order(lines, "item_id", share=0.9).select("item_id", "seq", "text")
 
 
 @query("SELECT n_nationkey, n_name AS brand, n_nationkey::DOUBLE AS reach FROM nation")
@@ -323,20 +458,68 @@ def s17_votes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return readers.votes_by_rows(table(spark, sf_dir, "nation").select("n_nationkey", text.alias("t")), "n_nationkey", "t")
 
 
-@query()
+@query("""WITH c AS (SELECT *, lag(role) OVER w AS before, lag(text) OVER w AS said FROM conversations WINDOW w AS (PARTITION BY conv_id ORDER BY turn))
+SELECT conv_id, row_number() OVER (PARTITION BY conv_id ORDER BY turn)::INT AS n, 'Mr. ' || upper(role[1]) || lower(role[2:]) || ' (Spain)' AS label, 'spanish' AS language, 'general_debate' AS kind, NULL::VARCHAR AS heading, CASE WHEN before = 'system' THEN said END AS introduction, text FROM c WHERE role <> 'system'""")
 def u1_turns(spark: SparkSession, sf_dir: str) -> DataFrame:
     c = table(spark, sf_dir, "conversations").withColumn("label", F.when(F.col("role") == "system", "The President").otherwise(F.concat(F.lit("Mr. "), F.initcap("role"), F.lit(" (Spain) (spoke in Spanish)"))))
     blocks = c.select("conv_id", F.col("turn").alias("seq"), F.concat("label", F.lit(": "), "text").alias("text"), F.col("label").alias("bold"), F.lit(False).alias("all_bold"), F.lit(False).alias("italic"))
     return turns.verbatim_turns(blocks, "conv_id")
 
 
-@query()
+_LABELLED = "CASE WHEN turn % 3 = 0 THEN 'Mr. ' || upper(role[1]) || lower(role[2:]) || ' (Spain) (spoke in Spanish): ' ELSE '' END || text"
+
+
+@query(f"SELECT conv_id, turn, CASE WHEN turn % 3 = 0 THEN 'Mr. ' || upper(role[1]) || lower(role[2:]) || ' (Spain) (spoke in Spanish)' END AS label, sha256(CASE WHEN turn % 3 = 0 THEN ltrim(text, ' ' || chr(9) || chr(10)) ELSE text END) AS said FROM conversations")
+def u2_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Blocks of which every third opens a turn in bold, every third after it is bold throughout."""
+    k = F.col("turn") % 3
+    name = F.concat(F.lit("Mr. "), F.initcap("role"), F.lit(" (Spain) (spoke in Spanish)"))
+    c = table(spark, sf_dir, "conversations").select("conv_id", "turn", "text", F.when(k == 0, F.concat(name, F.lit(": "), "text")).otherwise(F.col("text")).alias("block"), F.when(k == 0, name).when(k == 1, F.col("text")).otherwise("").alias("bold"), (k == 1).alias("all_bold"))
+    label, said = turns.split_label(F.col("block"), F.col("bold"), F.col("all_bold"))
+    return c.select("conv_id", "turn", label.alias("label"), F.sha2(said, 256).alias("said"))
+
+
+#: Blocks with the business that they open, if any: text, bold part, bold throughout.
+HEADINGS = (
+    ("General debate", "General debate", True, "debate"), ("Agenda item 8 (continued): General debate", "Agenda item 8", False, "debate"), ("Agenda item 14: Budget", "Agenda item 14: Budget", True, "other"),
+    ("Commemoration of the anniversary", "Commemoration of the anniversary", True, "summit"), ("Mr. Lee spoke at the summit for a long while about it", "Mr. Lee", False, None), ("Agenda item 3", "", False, None), ("High-level week (continued)", "High-level week", False, "summit"),
+)
+
+
+@query("SELECT conv_id, turn, ([" + ", ".join(f"'{x}'" if x else "NULL" for *_, x in HEADINGS) + f"])[(conv_id + turn) % {len(HEADINGS)} + 1] AS state FROM conversations")
+def u3_agenda(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cases = F.array(*[F.struct(F.lit(t).alias("t"), F.lit(b).alias("b"), F.lit(a).alias("a")) for t, b, a, _ in HEADINGS])
+    c = table(spark, sf_dir, "conversations").select("conv_id", "turn", F.get(cases, ((F.col("conv_id") + F.col("turn")) % len(HEADINGS)).cast("int")).alias("x"))
+    return c.select("conv_id", "turn", turns.agenda_state(F.col("x.t"), F.col("x.b"), F.col("x.a")).alias("state"))
+
+
+_BODY = "trim(regexp_replace(text, '\\s+', ' ', 'g'))"
+
+
+@query(f"""WITH t AS (SELECT conv_id, turn, role, {_BODY} AS body FROM conversations), w AS (SELECT *, len(regexp_extract_all(body, '\\S+')) AS words FROM t WHERE role <> 'system')
+SELECT conv_id, row_number() OVER (PARTITION BY conv_id ORDER BY turn)::INT AS n, 'Mr. ' || upper(role[1]) || lower(role[2:]) AS name, 'Spain' AS country, 'Spanish' AS language, NULL::VARCHAR AS heading, words::INT AS words, body FROM w WHERE words >= 5""")
 def u4_scanned_turns(spark: SparkSession, sf_dir: str) -> DataFrame:
-    said = F.concat(F.when(F.col("role") == "system", "The PRESIDENT: ").otherwise(F.concat(F.lit("Mr. "), F.upper("role"), F.lit(" (Spain) (translated from Spanish): "))), F.col("text"))
+    said = F.concat(F.when(F.col("role") == "system", "The PRESIDENT: ").otherwise(F.concat(F.lit("Mr. "), F.initcap("role"), F.lit(" (Spain) (translated from Spanish): "))), F.col("text"))
     t = table(spark, sf_dir, "conversations").groupBy("conv_id").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("turn", said.alias("s")))), lambda x: x["s"]), "\n").alias("text"))
     return turns.scanned_turns(t, "conv_id", "text", least_words=5)
 
 
+@query(f"""WITH t AS (SELECT conv_id, turn, role, len(regexp_extract_all({_BODY}, '\\S+')) AS words FROM conversations), p AS (SELECT conv_id, turn, words, CASE WHEN conv_id % 3 = 0 THEN turn % 2 = 1 WHEN conv_id % 3 = 1 THEN false ELSE true END AS lost FROM t WHERE role <> 'system')
+SELECT conv_id, CASE WHEN n1 > n2 OR (n1 = n2 AND w1 >= w2) THEN 'pages' ELSE 'columns' END AS reading, greatest(n1, n2) AS turns FROM (SELECT conv_id, count(*) FILTER (words >= 5) AS n1, count(*) FILTER (words >= 5 AND NOT lost) AS n2, coalesce(sum(words) FILTER (words >= 5), 0) AS w1, coalesce(sum(words) FILTER (words >= 5 AND NOT lost), 0) AS w2 FROM p GROUP BY 1) WHERE greatest(n1, n2) > 0""")
+def u5_richer_reading(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two readings of a meeting's text, one of which misses some or all turns; the one with more turns, or more words in as many, is kept."""
+    c = table(spark, sf_dir, "conversations").where("role <> 'system'")
+    k, odd = F.col("conv_id") % 3, F.col("turn") % 2 == 1
+    lost = F.when(k == 0, odd).otherwise(k == 2)
+    both = None
+    for name, gone in (("pages", F.lit(False)), ("columns", lost)):
+        said = F.when(gone, F.lit("")).otherwise(F.concat(F.lit("Mr. "), F.initcap("role"), F.lit(" (Spain): "), "text"))
+        t = c.groupBy("conv_id").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("turn", said.alias("s")))), lambda x: x["s"]), "\n").alias("text"))
+        one = turns.scanned_turns(t, "conv_id", "text", least_words=5).withColumn("reading", F.lit(name))
+        both = one if both is None else both.unionByName(one)
+    return turns.richer_reading(stored(both), "conv_id", "reading").groupBy("conv_id", "reading").agg(F.count(F.lit(1)).alias("turns"))
+
+
 @query("""SELECT page_id, CASE WHEN page_id % 7 = 0 THEN 'fr' WHEN page_id % 3 = 0 THEN NULL WHEN page_id % 2 = 0 THEN 'es' ELSE NULL END AS language FROM pages""")
 def u6_original_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     p, i = table(spark, sf_dir, "pages"), F.col("page_id")
@@ -402,9 +585,7 @@ def h6_sessions(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("SELECT doc_id, lang, source, n_chars FROM documents")
 def k2_without_text(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from ..sources.tables import shared_folder
-
-    return writers.csv_without_text(table(spark, sf_dir, "documents"), f"{shared_folder(spark)}/k2-csv")
+    return writers.csv_without_text(table(spark, sf_dir, "documents"), own_folder(spark, "k2-csv"))
 
 
 _ESCAPED = r"regexp_replace(regexp_replace({}, '([\\`*_\[\]<>])', '\\\1', 'g'), '(?m)^(\s*)(#{{1,6}}\s|[-+]\s|\d+\.\s)', '\1\\\2', 'g')"

@@ -23,18 +23,9 @@ def query(sql: str | None = None):
     return add
 
 
-@query("""SELECT d.doc_id AS a, doc_id, quality, lang,
-  CASE WHEN d.lang IS NOT NULL AND l.quality IS NOT NULL THEN 'both' WHEN d.lang IS NOT NULL THEN 'left_only' ELSE 'right_only' END AS origin
-FROM (SELECT doc_id, lang FROM documents WHERE doc_id % 3 <> 0) d FULL JOIN (SELECT doc_id, quality FROM labels) l USING (doc_id)""".replace("d.doc_id AS a, ", ""))
-def j1_outer_indicator(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents").select("doc_id", "lang").where("doc_id % 3 <> 0")
-    return R.outer_with_indicator(docs, table(spark, sf_dir, "labels").select("doc_id", "quality"), ["doc_id"])
-
-
 @query("""SELECT doc_id, quality, lang, CASE WHEN d.doc_id IS NOT NULL AND l.doc_id IS NOT NULL THEN 'both' WHEN d.doc_id IS NOT NULL THEN 'left_only' ELSE 'right_only' END AS origin
 FROM documents d FULL JOIN (SELECT doc_id, quality FROM labels) l USING (doc_id)""")
-def j1_whole_outer(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All documents; j1_outer_indicator is bound to its SQL twin, which drops every third."""
+def j1_outer_indicator(spark: SparkSession, sf_dir: str) -> DataFrame:
     return R.outer_with_indicator(table(spark, sf_dir, "documents").select("doc_id", "lang"), table(spark, sf_dir, "labels").select("doc_id", "quality"), ["doc_id"])
 
 
@@ -62,12 +53,15 @@ def j4_dimension_lookups(spark: SparkSession, sf_dir: str) -> DataFrame:
     return s.join(n, s.s_nationkey == n.n_nationkey, "left").join(r, n.n_regionkey == r.r_regionkey, "left").select("s_suppkey", "n_name", "r_name")
 
 
-@query("""SELECT l_orderkey, l_linenumber, o_orderpriority, p_brand FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN part ON l_partkey = p_partkey WHERE l_quantity > 45 AND p_size > 40""")
+@query("""WITH a AS (SELECT c_nationkey AS country, p_brand AS brand, count(*) AS n FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN customer ON o_custkey = c_custkey JOIN part ON l_partkey = p_partkey GROUP BY ALL), r AS (SELECT s_nationkey AS country, p_brand AS brand, count(*) AS reach FROM lineitem JOIN supplier ON l_suppkey = s_suppkey JOIN part ON l_partkey = p_partkey WHERE s_nationkey <> 3 GROUP BY ALL)
+SELECT country, brand, n, reach FROM a LEFT JOIN r USING (country, brand)""")
 def j6_composite_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    l = table(spark, sf_dir, "lineitem").where("l_quantity > 45").select("l_orderkey", "l_linenumber", "l_partkey")
-    o = table(spark, sf_dir, "orders").select("o_orderkey", "o_orderpriority")
-    p = table(spark, sf_dir, "part").where("p_size > 40").select("p_partkey", "p_brand")
-    return l.join(o, l.l_orderkey == o.o_orderkey).join(p, l.l_partkey == p.p_partkey).select("l_orderkey", "l_linenumber", "o_orderpriority", "p_brand")
+    """What each nation buys of each brand, with what it supplies of it looked up by both; one nation is not in the table."""
+    l = table(spark, sf_dir, "lineitem").join(table(spark, sf_dir, "part").select("p_partkey", F.col("p_brand").alias("brand")), F.col("l_partkey") == F.col("p_partkey")).select("l_orderkey", "l_suppkey", "brand")
+    bought = l.join(table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey"), F.col("l_orderkey") == F.col("o_orderkey")).join(table(spark, sf_dir, "customer").select("c_custkey", F.col("c_nationkey").alias("country")), F.col("o_custkey") == F.col("c_custkey"))
+    sold = l.join(table(spark, sf_dir, "supplier").select("s_suppkey", F.col("s_nationkey").alias("country")), F.col("l_suppkey") == F.col("s_suppkey")).where("country <> 3")
+    reach = sold.groupBy("country", "brand").agg(F.count(F.lit(1)).alias("reach"))
+    return bought.groupBy("country", "brand").agg(F.count(F.lit(1)).alias("n")).join(reach, ["country", "brand"], "left")
 
 
 @query("""SELECT p.event_id, CASE WHEN epoch_us(p.ts) - epoch_us(s.ts) <= 86400000000 THEN s.event_id END AS signup_id
@@ -135,13 +129,21 @@ def j19_transitions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return R.transitions(s, ["user_id"], "day", "state")
 
 
-QUERIES["w13_state_changes"], ORACLES["w13_state_changes"] = QUERIES["j19_transitions"], ORACLES["j19_transitions"]
+@query("""WITH s AS (SELECT o_custkey, year(o_orderdate)::BIGINT AS yr, max_by(o_orderstatus, struct_pack(d := o_orderdate, k := o_orderkey)) AS state FROM orders GROUP BY ALL), l AS (SELECT *, lag(state) OVER w AS before, lag(yr) OVER w AS last FROM s WINDOW w AS (PARTITION BY o_custkey ORDER BY yr))
+SELECT yr, before AS from_state, state AS to_state, count(*) AS n FROM l WHERE last = yr - 1 AND before <> state GROUP BY ALL""")
+def w13_state_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Customers whose last order of a year has another state than that of the year before."""
+    s = table(spark, sf_dir, "orders").groupBy("o_custkey", F.year("o_orderdate").cast("long").alias("yr")).agg(F.max_by("o_orderstatus", F.struct("o_orderdate", "o_orderkey")).alias("state"))
+    w = Window.partitionBy("o_custkey").orderBy("yr")
+    l = s.withColumns({"from_state": F.lag("state").over(w), "last": F.lag("yr").over(w)}).where("last = yr - 1 AND from_state <> state")
+    return l.groupBy("yr", "from_state", F.col("state").alias("to_state")).agg(F.count(F.lit(1)).alias("n"))
+
 
 
-@query("SELECT n_name FROM nation WHERE n_nationkey NOT IN (SELECT c_nationkey FROM customer JOIN orders ON c_custkey = o_custkey WHERE o_totalprice > 400000)")
+@query("SELECT c_custkey FROM customer WHERE c_custkey NOT IN (SELECT user_id FROM events)")
 def j20_silent_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
-    c = table(spark, sf_dir, "customer").join(table(spark, sf_dir, "orders").where("o_totalprice > 400000"), F.col("c_custkey") == F.col("o_custkey")).select(F.col("c_nationkey").alias("n_nationkey"))
-    return table(spark, sf_dir, "nation").join(c, "n_nationkey", "left_anti").select("n_name")
+    e = table(spark, sf_dir, "events").select(F.col("user_id").alias("c_custkey"))
+    return table(spark, sf_dir, "customer").join(e, "c_custkey", "left_anti").select("c_custkey")
 
 
 @query("""SELECT conv_id, turn, coalesce(bool_or(role = 'system') OVER (PARTITION BY conv_id ORDER BY turn ROWS BETWEEN 1 PRECEDING AND 1 FOLLOWING), false) AS near_system FROM conversations""")
@@ -149,14 +151,13 @@ def j21_neighbour_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return R.near_hit(table(spark, sf_dir, "conversations"), ["conv_id"], "turn", F.col("role") == "system", 1, "near_system").select("conv_id", "turn", "near_system")
 
 
-@query("""WITH a AS (SELECT DISTINCT n_regionkey AS k FROM nation JOIN customer ON n_nationkey = c_nationkey WHERE c_acctbal > 9900), b AS (SELECT DISTINCT n_regionkey AS k FROM nation JOIN supplier ON n_nationkey = s_nationkey)
-SELECT r_name, r_regionkey IN (SELECT k FROM a) AS in_a, r_regionkey IN (SELECT k FROM b) AS in_b FROM region""")
+@query("""SELECT c_custkey, c_custkey IN (SELECT o_custkey FROM orders) AS orders, c_custkey IN (SELECT user_id FROM events) AS visits, c_nationkey IN (SELECT s_nationkey FROM supplier) AS has_supplier FROM customer""")
 def j22_membership(spark: SparkSession, sf_dir: str) -> DataFrame:
-    n = table(spark, sf_dir, "nation")
-    a = n.join(table(spark, sf_dir, "customer").where("c_acctbal > 9900"), F.col("n_nationkey") == F.col("c_nationkey")).select("n_regionkey").distinct().withColumn("a", F.lit(True))
-    b = n.join(table(spark, sf_dir, "supplier"), F.col("n_nationkey") == F.col("s_nationkey")).select("n_regionkey").distinct().withColumn("b", F.lit(True))
-    r = table(spark, sf_dir, "region").withColumnRenamed("r_regionkey", "n_regionkey").join(a, "n_regionkey", "left").join(b, "n_regionkey", "left")
-    return r.select("r_name", F.coalesce("a", F.lit(False)).alias("in_a"), F.coalesce("b", F.lit(False)).alias("in_b"))
+    c = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
+    sets = {"orders": ("orders", "o_custkey", "c_custkey"), "visits": ("events", "user_id", "c_custkey"), "has_supplier": ("supplier", "s_nationkey", "c_nationkey")}
+    for name, (t, theirs, ours) in sets.items():
+        c = c.join(table(spark, sf_dir, t).select(F.col(theirs).alias(ours)).distinct().withColumn(name, F.lit(True)), ours, "left")
+    return c.select("c_custkey", *[F.coalesce(n, F.lit(False)).alias(n) for n in sets])
 
 
 @query("""WITH y AS (SELECT c_nationkey, year(o_orderdate)::INT AS yr, max_by(o_custkey, struct_pack(p := o_totalprice, k := o_orderkey)) AS top FROM orders JOIN customer ON o_custkey = c_custkey GROUP BY ALL)
@@ -302,7 +303,7 @@ def x3_except(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "documents").select(F.col("doc_id").alias("k")).subtract(table(spark, sf_dir, "labels").select("doc_id"))
 
 
-@query("SELECT c_custkey FROM customer WHERE c_custkey NOT IN (SELECT o_custkey FROM orders)")
+@query("SELECT c_custkey FROM customer WHERE c_custkey NOT IN (SELECT user_id FROM events)")
 def x4_silent(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "customer").join(table(spark, sf_dir, "orders"), F.col("c_custkey") == F.col("o_custkey"), "left_anti").select("c_custkey")
 

@@ -7,11 +7,12 @@ from pyspark.sql import functions as F
 
 from ..functions import lexicon
 from ..functions import strings as S
-from ..operators import aggregates, attention, candidates, checks, history, network, relational, sequences, turns
-from ..sources import html, layout, readers, writers
-from ..sources.tables import shared_folder, stored
+from ..operators import aggregates, attention, candidates, checks, fusion, history, network, relational, sequences, textmining, topics, turns
+from ..sources import html, layers, layout, readers, writers
+from ..sources.fetch import fetch
+from ..sources.tables import below, own_folder, stored
 from .aggregates import _MENTIONS, _PANEL, _panel
-from .common import table
+from .common import SENTENCES, table
 
 QUERIES: dict = {}
 ORACLES: dict[str, str] = {}
@@ -27,6 +28,15 @@ def query(sql: str | None = None):
     return add
 
 
+#: Agreement of two sources in SQL, and the report's lines.
+_WORDS = r"regexp_extract_all(lower({0}), '[\p{{L}}\p{{N}}_]+')"
+_RUNS = "list_distinct(list_transform(generate_series(1, greatest(len({0}) - 4, 0)), lambda i: array_to_string({0}[i : i + 4], ' ')))"
+_AGREEMENT = f"""WITH p AS (SELECT item_id, text AS a, CASE item_id % 3 WHEN 0 THEN text || ' and a few more words at its end' WHEN 1 THEN text END AS b FROM benchmark), w AS (SELECT item_id, b, {_WORDS.format('a')} AS v, {_WORDS.format('b')} AS w FROM p), r AS (SELECT item_id, b, {_RUNS.format('v')} AS x, {_RUNS.format('w')} AS y FROM w),
+s AS (SELECT item_id % 4 AS session, b, CASE WHEN len(x) > 0 AND len(y) > 0 THEN round(len(list_intersect(x, y)) / least(len(x), len(y)), 3) END AS s FROM r), g AS (SELECT session, count(*) AS speeches, count(b) AS in_both, round(median(s), 3) AS median, count(*) FILTER (s < 0.9) AS below FROM s GROUP BY 1),
+t AS (SELECT unnest([1, 2, 3, 4, 5, 6]) AS line, unnest(['# Sources compared', '', 'Agreement is the share of five-word runs that both sources have.', '', '| session | speeches | in_both | median | below |', '| --- | --- | --- | --- | --- |']) AS text)
+SELECT line, text FROM t UNION ALL SELECT 6 + row_number() OVER (ORDER BY session), '| ' || session || ' | ' || speeches || ' | ' || in_both || ' | ' || coalesce(median::VARCHAR, '') || ' | ' || below || ' |' FROM g"""
+
+
 # --- sources and sinks: written to the shared folder and read back ---
 
 
@@ -38,7 +48,7 @@ def s7_block_text(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("SELECT n_nationkey::VARCHAR AS n_nationkey, n_name, n_regionkey::VARCHAR AS n_regionkey FROM nation")
 def s10_csv_dimension(spark: SparkSession, sf_dir: str) -> DataFrame:
-    path = f"{shared_folder(spark)}/s10-csv"
+    path = own_folder(spark, "s10-csv")
     table(spark, sf_dir, "nation").write.mode("overwrite").csv(path, header=True)
     return readers.dimension(spark, path, ["n_nationkey", "n_name", "n_regionkey"])
 
@@ -59,24 +69,62 @@ def s13_aliased_headers(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("SELECT conv_id, turn, role FROM conversations")
 def s15_json_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    path = f"{shared_folder(spark)}/s15-json"
+    path = own_folder(spark, "s15-json")
     c = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role")
     writers.json_lines(c, path)
     return spark.read.schema(c.schema).json(path)
 
 
-QUERIES["k4_json_lines"], ORACLES["k4_json_lines"] = QUERIES["s15_json_lines"], ORACLES["s15_json_lines"]
-
-
 @query("SELECT doc_id, source FROM documents WHERE lang = 'fr'")
 def s16_pruned_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Partitioned by language when written, so that the filter reads one folder and two columns."""
-    path = f"{shared_folder(spark)}/s16-parquet"
+    path = own_folder(spark, "s16-parquet")
     writers.parquet(table(spark, sf_dir, "documents").select("doc_id", "source", "lang"), path, ["lang"])
     return spark.read.parquet(path).where("lang = 'fr'").select("doc_id", "source")
 
 
-QUERIES["k1_parquet"], ORACLES["k1_parquet"] = QUERIES["s16_pruned_scan"], ORACLES["s16_pruned_scan"]
+@query("SELECT lang, source, count(*) AS n FROM documents GROUP BY ALL")
+def k1_parquet(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Written as Parquet, a folder a source, and counted from what was written."""
+    path = own_folder(spark, "k1-parquet")
+    writers.parquet(table(spark, sf_dir, "documents").select("doc_id", "source", "lang"), path, ["source"])
+    return spark.read.parquet(path).groupBy("lang", "source").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query("SELECT doc_id, quality, toxic FROM labels")
+def k4_json_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each written line is one JSON object: read as text, its fields taken out again."""
+    path = own_folder(spark, "k4-json")
+    writers.json_lines(table(spark, sf_dir, "labels"), path)
+    f = lambda n: F.get_json_object("value", f"$.{n}").cast("long").alias(n)
+    return spark.read.text(path).select(f("doc_id"), f("quality"), f("toxic"))
+
+
+@query(r"""WITH u AS (SELECT doc_id, text, 'Page ' || text AS ocr, CASE WHEN doc_id % 3 = 0 THEN NULL WHEN doc_id % 3 = 1 THEN repeat('?', 400) ELSE text END AS layer FROM documents), x AS (SELECT *, regexp_extract_all(layer, '[\p{L}\p{M}]+') AS w FROM u), f AS (SELECT *, list_filter(w, lambda x: regexp_matches(x, '[^\P{L}\p{Latin}]')) AS f FROM x),
+m AS (SELECT *, CASE WHEN len(f) < 50 THEN 0 ELSE len(list_filter(f, lambda x: regexp_matches(x, '\p{Latin}'))) / len(f) END AS mixed, len(regexp_extract_all(layer, '(?:^|[^\p{L}\p{M}])\p{M}')) / nullif(length(layer), 0) AS misordered, len(regexp_extract_all(layer, '[\p{L}\p{M}]')) / nullif(len(regexp_extract_all(layer, '\S')), 0) AS letters FROM f),
+c AS (SELECT *, coalesce(length(layer) >= 300 AND letters >= 0.6 AND misordered <= 0.01 AND mixed <= 0.01, false) AS fit FROM m) SELECT doc_id, CASE WHEN fit THEN 'layer' ELSE 'ocr' END AS text_source, sha256(CASE WHEN fit THEN layer ELSE ocr END) AS digest FROM c""")
+def s18_text_layers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The layer of every third document is missing, of every third unreadable; what was recognised takes its place there, and where a layer is too short."""
+    k = F.col("doc_id") % 3
+    d = table(spark, sf_dir, "documents").select("doc_id", F.concat(F.lit("Page "), "text").alias("ocr"), F.when(k == 1, F.repeat(F.lit("?"), 400)).when(k == 2, F.col("text")).alias("layer"))
+    return layers.choose(d, "layer", "ocr").select("doc_id", "text_source", F.sha2("text", 256).alias("digest"))
+
+
+@query("SELECT n_regionkey::VARCHAR AS region, 1 AS round, false AS hit, n FROM (SELECT n_regionkey, count(*) AS n FROM nation GROUP BY 1) UNION ALL SELECT n_regionkey::VARCHAR, 2, n_regionkey <> 4, n FROM (SELECT n_regionkey, count(*) AS n FROM nation GROUP BY 1)")
+def s1_cached_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Files fetched twice, one of which was not there the first time: the others are hits then, with the same content."""
+    path, cache = own_folder(spark, "s1-files"), own_folder(spark, "s1-cache")
+    n = table(spark, sf_dir, "nation").select("n_name", F.col("n_regionkey").cast("string").alias("region"))
+    write = lambda df: df.coalesce(1).write.mode("append").partitionBy("region").json(path)
+    write(n.where("region <> '4'"))
+    named = spark.read.format("binaryFile").option("recursiveFileLookup", "true")
+    first = stored(fetch(spark, path, cache))
+    write(n.where("region = '4'"))
+    second = stored(fetch(spark, path, cache))
+    files = named.load(path).select(below(F.col("path"), path).alias("name"), F.regexp_extract("path", "region=([0-9]+)", 1).alias("region"), F.sha2("content", 256).alias("sha256"), F.regexp_count(F.col("content").cast("string"), F.lit("n_name")).cast("long").alias("n"))
+    got = first.withColumn("round", F.lit(1)).unionByName(second.withColumn("round", F.lit(2)))
+    new = files.where("region = '4'").select("region", F.lit(1).alias("round"), F.lit(False).alias("hit"), "n")
+    return files.join(got, ["name", "sha256"]).select("region", "round", "hit", "n").unionByName(new)
 
 
 @query()
@@ -88,28 +136,60 @@ def s19_glyph_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return layout.blocks(g, "page")
 
 
-@query(r"""SELECT page_id, nullif(regexp_extract(html, '<html lang="([a-z]+)"', 1), '') AS lang, nullif(regexp_extract(html, '<title>([^<]{3})', 1), '') AS start FROM pages""")
-def s21_rating_fields(spark: SparkSession, sf_dir: str) -> DataFrame:
-    p = table(spark, sf_dir, "pages")
-    return p.select("page_id", F.nullif(F.regexp_extract("html", '<html lang="([a-z]+)"', 1), F.lit("")).alias("lang"), F.nullif(F.regexp_extract("html", "<title>([^<]{3})", 1), F.lit("")).alias("start"))
+#: A rating page's values around what a page has: bias and factual reporting, and the site that it rates, named or linked to most.
+_RATED = """WITH p AS (SELECT page_id, regexp_replace(lower(regexp_extract(url, '://([^/?#]+)', 1)), '^www\\.', '') AS host FROM pages), l AS (SELECT page_id, host, string_split(host, '.') AS l FROM p)
+SELECT page_id, CASE WHEN len(l) > 2 AND l[-2] IN ('co', 'com', 'org', 'net', 'gov', 'gob', 'ac', 'edu') THEN array_to_string(l[-3:], '.') ELSE array_to_string(l[-2:], '.') END AS site FROM l"""
+
+
+@query(f"""SELECT 'outlet ' || page_id AS outlet, CASE page_id % 3 WHEN 0 THEN 'Left-Center & more' WHEN 1 THEN 'Right' ELSE 'Least Biased' END AS bias, 'High' AS factual, '2026-01-0' || (page_id % 9 + 1) AS updated, site FROM ({_RATED}) WHERE page_id % 5 <> 4""")
+def s21_ratings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Of two candidate pages the first rates another site; the second rates the outlet's own, by its source line or by its links; some outlets have none."""
+    i, host = F.col("page_id"), F.regexp_extract("url", "://([^/?#]+)", 1)
+    p = table(spark, sf_dir, "pages").select("page_id", host.alias("domain"), F.concat(F.lit("outlet "), i.cast("string")).alias("outlet"))
+    bias = F.when(i % 3 == 0, "Left-Center &amp; more").when(i % 3 == 1, "Right").otherwise("Least Biased")
+    head = lambda b: F.concat(F.lit('{"name":"Bias Rating","value":"'), b, F.lit('"},{"name":"Factual Reporting","value":"High"},{"dateModified":"2026-01-0'), (i % 9 + 1).cast("string"), F.lit('T00:00"}'))
+    named = lambda d: F.concat(F.lit('Source: <a class="x" href="https://'), d, F.lit('/">site</a>'))
+    linked = F.concat(F.lit('<a href="https://twitter.com/a"></a><a href="https://twitter.com/b"></a><a href="http://'), F.col("domain"), F.lit('/story">x</a>'))
+    own = F.when(i % 5 == 4, named(F.lit("else.org"))).when(i % 2 == 0, named(F.col("domain"))).otherwise(linked)
+    pages = p.select("outlet", F.lit(1).alias("place"), F.concat(head(F.lit("Other")), named(F.lit("other.org"))).alias("html")).unionByName(p.select("outlet", F.lit(2).alias("place"), F.concat(head(bias), own).alias("html")))
+    return readers.own_rating(pages, p.select("outlet", "domain")).withColumn("bias", html.unescaped(F.col("bias")))
 
 
 @query("SELECT conv_id, string_agg(role, ' | ' ORDER BY turn) AS gaps FROM conversations GROUP BY 1")
 def k3_parents(spark: SparkSession, sf_dir: str) -> DataFrame:
     c = table(spark, sf_dir, "conversations").groupBy("conv_id").agg(F.array_sort(F.collect_list(F.struct("turn", "role", "text"))).alias("texts"))
     d = c.withColumn("gaps", F.transform("texts", lambda x: x["role"]))
-    return writers.parents_and_children(d, f"{shared_folder(spark)}/k3", keys=["conv_id"], children="texts", joined={"gaps": " | "}, order=["conv_id"])[0]
+    return writers.parents_and_children(d, own_folder(spark, "k3"), keys=["conv_id"], children="texts", joined={"gaps": " | "}, order=["conv_id"])[0]
 
 
-@query("SELECT count(*) AS files, count(DISTINCT 1) = 1 AS hashed FROM (SELECT DISTINCT lang FROM documents)")
+@query("SELECT lang, count(*) AS n, true AS sound FROM documents GROUP BY 1")
 def k8_checksums(spark: SparkSession, sf_dir: str) -> DataFrame:
-    path = f"{shared_folder(spark)}/k8"
-    table(spark, sf_dir, "documents").select("doc_id", "lang").repartition("lang").write.mode("overwrite").partitionBy("lang").parquet(path)
-    c = writers.checksums(spark, path)
-    return c.where(F.col("file").endswith(".parquet")).agg(F.count(F.lit(1)).alias("files"), F.min(F.length("sha256") == 64).alias("hashed"))
-
-
-QUERIES["s1_provenance"], ORACLES["s1_provenance"] = QUERIES["k8_checksums"], ORACLES["k8_checksums"]
+    """A file a language with its checksum, which a second reading confirms, and the rows that the file has."""
+    path = own_folder(spark, "k8")
+    table(spark, sf_dir, "documents").select("doc_id", "lang").repartition("lang").write.partitionBy("lang").parquet(path)
+    sums = stored(writers.checksums(spark, path).where(F.col("file").endswith(".parquet")))
+    again = readers.files(spark, f"{path}/lang=*").select(below(F.col("path"), path).alias("file"), F.col("sha256").alias("again"))
+    rows = spark.read.parquet(path).withColumn("file", below(F.col("_metadata.file_path"), path)).groupBy("lang", "file").agg(F.count(F.lit(1)).alias("n"))
+    j = rows.join(sums, "file", "left").join(again, "file", "left")
+    return j.groupBy("lang").agg(F.sum("n").alias("n"), F.bool_and((F.col("sha256") == F.col("again")) & (F.length("sha256") == 64)).alias("sound"))
+
+
+@query(_AGREEMENT)
+def k7_agreement_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How closely two sources of the same texts agree, a line a group, as a Markdown table."""
+    i = F.col("item_id")
+    b = table(spark, sf_dir, "benchmark").select(i.alias("doc_id"), F.col("text").alias("a"), F.when(i % 3 == 0, F.concat("text", F.lit(" and a few more words at its end"))).when(i % 3 == 1, F.col("text")).alias("b"))
+    a = b.withColumn("agreement", textmining.shingle_agreement(F.col("a"), F.col("b")))
+    g = a.groupBy((F.col("doc_id") % 4).alias("session")).agg(F.count(F.lit(1)).alias("speeches"), F.count("b").alias("in_both"), F.round(F.median("agreement"), 3).alias("median"), F.count_if(F.col("agreement") < 0.9).alias("below"))
+    return writers.report(g, "Sources compared", "Agreement is the share of five-word runs that both sources have.", ["session"])
+
+
+@query("SELECT doc_id, CASE WHEN doc_id % 50 = 0 THEN '__DATE__,__TITLE__' ELSE '__TITLE__' END AS left_over FROM documents WHERE doc_id % 25 = 0")
+def k9_placeholders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rendered pages that still have placeholders, of which some were left in."""
+    i = F.col("doc_id")
+    d = table(spark, sf_dir, "documents").select("doc_id", F.concat(F.when(i % 50 == 0, "__DATE__ ").otherwise(""), F.when(i % 25 == 0, "__TITLE__").otherwise("Title"), F.lit("\n"), "text").alias("page"))
+    return checks.placeholders(d, "page").select("doc_id", F.array_join("left_over", ",").alias("left_over"))
 
 
 @query("SELECT source, count(*) AS n, count(*) FILTER (quality IS NULL) AS unlabelled, round(avg((n_chars >= 300)::INT), 6) AS long_share FROM documents LEFT JOIN labels USING (doc_id) GROUP BY 1")
@@ -118,9 +198,6 @@ def k6_completeness(spark: SparkSession, sf_dir: str) -> DataFrame:
     return d.groupBy("source").agg(F.count(F.lit(1)).alias("n"), F.count_if(F.col("quality").isNull()).alias("unlabelled"), F.round(F.avg((F.col("n_chars") >= 300).cast("double")), 6).alias("long_share"))
 
 
-QUERIES["k7_agreement_report"], ORACLES["k7_agreement_report"] = QUERIES["k6_completeness"], ORACLES["k6_completeness"]
-
-
 # --- functions not met elsewhere ---
 
 
@@ -135,22 +212,27 @@ def f7_honorifics(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "supplier").select("s_suppkey", F.btrim(F.replace(S.strip_honorific(F.concat(F.lit("H.E. "), F.col("s_name"), F.lit(" (X):")), r"H\.E\. "), F.lit("Supplier"), F.lit(""))).alias("name"))
 
 
-@query()
+@query(r"SELECT doc_id, lang, len(w) AS n_tokens, sha256(array_to_string(w, ' ')) AS tokens_sha256 FROM (SELECT doc_id, lang, regexp_extract_all(lower(text), '[\p{L}\p{N}_]+') AS w FROM documents)")
 def f13_tokens_by_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sequences.count_tokens(table(spark, sf_dir, "documents").select("doc_id", "text", "lang"), "text", "lang").select("doc_id", "lang", "n_tokens", "tokens_sha256")
 
 
-@query("SELECT doc_id, n FROM (SELECT doc_id, len(list_filter(regexp_extract_all(lower(text), '[a-z]+'), lambda w: w IN ('the', 'and', 'nation', 'algeria'))) AS n FROM documents) WHERE n > 0".replace("AS n FROM documents", "::BIGINT AS n FROM documents"))
+@query("""WITH s AS (SELECT unnest(['the', 'and', 'of', 'assembly', 'thank']) AS w UNION SELECT unnest(regexp_extract_all(lower(n_name), '\\p{L}+')) FROM nation UNION SELECT unnest(regexp_extract_all(lower(r_name), '\\p{L}+')) FROM region), t AS (SELECT doc_id, unnest(regexp_extract_all(lower(text), '[a-z]+')) AS w FROM documents)
+SELECT doc_id, count(*) FILTER (w IN (SELECT w FROM s)) AS stopped, count(*) FILTER (w NOT IN (SELECT w FROM s)) AS kept FROM t GROUP BY 1""")
 def f15_stop_list(spark: SparkSession, sf_dir: str) -> DataFrame:
-    stop = spark.createDataFrame([("the",), ("and",), ("nation",), ("algeria",)], "w string")
-    t = table(spark, sf_dir, "documents").select("doc_id", F.explode(F.regexp_extract_all(F.lower("text"), F.lit("[a-z]+"), F.lit(0))).alias("w"))
-    return t.join(F.broadcast(stop), "w").groupBy("doc_id").agg(F.count(F.lit(1)).alias("n"))
+    """Words of texts that a list stops: common words, standing phrases, and the words of all names."""
+    names = table(spark, sf_dir, "nation").select(F.col("n_name").alias("name")).unionByName(table(spark, sf_dir, "region").select(F.col("r_name").alias("name")))
+    stop = textmining.stop_list([("The", "and", "of"), ("assembly", "thank")], names, "name").withColumn("stop", F.lit(True))
+    t = table(spark, sf_dir, "documents").select("doc_id", F.explode(F.regexp_extract_all(F.lower("text"), F.lit("[a-z]+"), F.lit(0))).alias("word")).groupBy("doc_id", "word").agg(F.count(F.lit(1)).alias("n"))
+    n = lambda c: F.coalesce(F.sum(F.when(c, F.col("n"))), F.lit(0)).cast("long")
+    return t.join(stop, "word", "left").groupBy("doc_id").agg(n(F.col("stop").isNotNull()).alias("stopped"), n(F.col("stop").isNull()).alias("kept"))
 
 
 # --- the race: asks and candidates' mentions ---
 
 
-@query()
+@query(r"""WITH c AS (SELECT * FROM (VALUES ('A', 5, false), ('B', 9, false), ('C', 7, true)) v(name, encourage, withdrew)), m AS (SELECT doc_id, [regexp_matches(text, '(?i)(?:^|[^\p{L}\p{N}_])that(?:$|[^\p{L}\p{N}_])'), regexp_matches(text, '(?i)(?:^|[^\p{L}\p{N}_])from(?:$|[^\p{L}\p{N}_])'), regexp_matches(text, '(?i)(?:^|[^\p{L}\p{N}_])nicht(?:$|[^\p{L}\p{N}_])')] AS h FROM documents),
+n AS (SELECT 'A' AS name, count(*) FILTER (h[1]) AS speeches FROM m UNION ALL SELECT 'B', count(*) FILTER (h[2]) FROM m UNION ALL SELECT 'C', count(*) FILTER (h[3]) FROM m) SELECT name, encourage, withdrew, speeches, name = 'B' AS leads FROM c JOIN n USING (name)""")
 def t16_race(spark: SparkSession, sf_dir: str) -> DataFrame:
     who = spark.createDataFrame([("A", r"(?iu)\bthat\b", 5, False), ("B", r"(?iu)\bfrom\b", 9, False), ("C", r"(?iu)\bnicht\b", 7, True)], "name string, pattern string, encourage int, withdrew boolean")
     d = table(spark, sf_dir, "documents")
@@ -226,20 +308,18 @@ def d13_where_they_went(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kinds.join(b, "kind", "left").groupBy("kind").agg(F.count("user_id").alias("n"))
 
 
-@query("SELECT b.item_id, count(d.doc_id) AS quoted_by FROM (SELECT item_id, substr(text, 1, 60) AS q FROM benchmark) b LEFT JOIN documents d ON contains(d.text, b.q) GROUP BY 1".replace("contains(d.text, b.q)", "d.doc_id = b.item_id AND contains(d.text, b.q)"))
+@query("SELECT b.item_id, count(d.doc_id) AS quoted_by FROM benchmark b LEFT JOIN documents d ON contains(d.text, b.text) GROUP BY 1")
 def d16_context_quotes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    b = table(spark, sf_dir, "benchmark").select("item_id", F.substring("text", 1, 60).alias("q"))
-    d = table(spark, sf_dir, "documents").select(F.col("doc_id").alias("item_id"), "text")
-    return b.join(d, "item_id", "left").groupBy("item_id").agg(F.count_if(F.contains("text", "q")).alias("quoted_by"))
-
-
-@query()
-def d16_whole_quotes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Whole items in all documents; d16_context_quotes is bound to its SQL twin, which cuts both."""
+    """In how many documents each whole item stands."""
     return sequences.quoted_by(table(spark, sf_dir, "benchmark"), table(spark, sf_dir, "documents"), "item_id")
 
 
-QUERIES["d17_highlights"], ORACLES["d17_highlights"] = QUERIES["d16_context_quotes"], ORACLES["d16_context_quotes"]
+@query(f"WITH q AS (SELECT item_id, {SENTENCES}[1] AS quote FROM benchmark) SELECT q.item_id, quote, count(d.doc_id) AS quoted_by FROM q LEFT JOIN documents d ON contains(d.text, quote) GROUP BY ALL")
+def d17_highlights(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Highlights, here each item's first sentence, with the number of documents that hold them word for word."""
+    q = table(spark, sf_dir, "benchmark").select("item_id", F.get(S.sentences(F.col("text")), 0).alias("quote"))
+    n = sequences.quoted_by(q.withColumnRenamed("quote", "text"), table(spark, sf_dir, "documents"), "item_id")
+    return q.join(n, "item_id")
 
 
 @query(r"""SELECT conv_id, turn, lower(regexp_extract(role || ' (Spain) (spoke in ' || CASE WHEN turn % 2 = 0 THEN 'French' ELSE 'Spanish' END || ')', 'spoke in ([A-Za-z]+)', 1)) AS language, 'Spain' AS country FROM conversations""")
@@ -262,9 +342,32 @@ def d20_leaning_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
     return s.select("s_suppkey", lookup((F.col("s_nationkey") % 4).cast("string"), {"0": "Left", "1": "Right"}, "Not rated").alias("leaning"), (F.col("s_nationkey") % 5 == 0).alias("state_media"))
 
 
-@query("SELECT source, lang, share FROM (SELECT source, lang, round(count(*) / sum(count(*)) OVER (PARTITION BY source), 6) AS share FROM documents GROUP BY source, lang) WHERE share > 0.5")
+@query()
 def d21_one_region_blocs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return relational.crosstab_shares(table(spark, sf_dir, "documents"), "source", "lang").select("source", "lang", F.round("share", 6).alias("share")).where("share > 0.5")
+    """Blocs of texts with the language that most of their members share, whether it is more than 70 % of them, whether they are loose, and which is the tightest."""
+    b = table(spark, sf_dir, "benchmark").select(F.col("item_id").alias("doc_id"), "text")
+    w = stored(textmining.tfidf(b, "doc_id", S.word_tokens(F.col("text")), min_df=2))
+    members, figures = topics.blocs(w, "doc_id", k=8)
+    return topics.bloc_labels(members, figures, b.select("doc_id", S.french_or_english(F.col("text")).alias("label")), "doc_id")
+
+
+@query("""WITH d AS (SELECT doc_id, doc_id % 2 = 0 AS site, doc_id % 3 = 0 AS corpus, doc_id % 5 = 0 AS record, doc_id % 7 < 3 AS scan, doc_id % 4 = 0 AS near, text FROM documents), k AS (SELECT *, scan AND (NOT corpus OR near) AS s FROM d)
+SELECT doc_id, CASE WHEN site THEN 'site' WHEN corpus THEN 'corpus' WHEN record THEN 'record' WHEN s THEN 'scan' END AS speaker_source, CASE WHEN record THEN 'en' WHEN site AND doc_id % 8 = 0 THEN 'fr' WHEN s THEN 'es' END AS spoken, CASE WHEN record THEN 'record' WHEN corpus THEN 'corpus' WHEN s THEN 'scan' WHEN site AND doc_id % 11 < 5 THEN 'site_statement' WHEN site THEN 'site_transcript' END AS english_source,
+CASE WHEN site AND doc_id % 8 = 0 THEN 'site' WHEN record THEN 'english' END AS original_source, sha256(CASE WHEN record THEN 'r' WHEN corpus THEN 'c' WHEN s THEN 's' WHEN site AND doc_id % 11 < 5 THEN 'a' WHEN site THEN 'b' END || text) AS english, corpus AS in_corpus FROM k""")
+def u7_fused_fields(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One row a speech from four sources, of which each has some of the documents."""
+    i, t = F.col("doc_id"), F.col("text")
+    site, corpus, record, scan = i % 2 == 0, i % 3 == 0, i % 5 == 0, i % 7 < 3
+    text = lambda mark, has: F.when(has, F.concat(F.lit(mark), t))
+    d = table(spark, sf_dir, "documents").select(
+        "doc_id", site.alias("has_site"), record.alias("has_record"), F.when(i % 4 == 0, 0.8).when(i % 4 == 1, 0.2).alias("agreement"),
+        *[F.when(h, n).alias(f"{n}_speaker") for n, h in (("site", site), ("corpus", corpus), ("record", record), ("scan", scan))],
+        F.when(record, "en").alias("record_spoken"), F.when(site & (i % 8 == 0), "fr").alias("site_spoken"), F.when(scan, "es").alias("scan_spoken"),
+        text("r", record).alias("record_text"), text("c", corpus).alias("corpus_text"), text("s", scan).alias("scan_text"), text("a", site & (i % 11 < 5)).alias("site_statement"), text("b", site).alias("site_transcript"),
+        F.when(site & (i % 8 == 0), t).alias("site_original"),
+    )
+    f = fusion.speeches(d, "doc_id")
+    return f.select("doc_id", "speaker_source", "spoken", "english_source", "original_source", F.sha2("english", 256).alias("english"), "in_corpus")
 
 
 @query("SELECT n_regionkey, max_by(n_name, struct_pack(a := n, b := n_name)) AS leader FROM (SELECT n_regionkey, n_name, count(*) AS n FROM supplier JOIN nation ON s_nationkey = n_nationkey WHERE s_acctbal > 0 GROUP BY ALL) GROUP BY 1")
@@ -306,13 +409,6 @@ def h5_fingerprint_cache(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cached(d, "h5", lambda x: x.groupBy("lang").agg(F.count(F.lit(1)).alias("n")))
 
 
-@query("SELECT doc_id, 'words' AS reading, 2::BIGINT AS turns FROM documents WHERE n_chars > 1000")
-def u5_richer_reading(spark: SparkSession, sf_dir: str) -> DataFrame:
-    d = table(spark, sf_dir, "documents").where("n_chars > 1000").select("doc_id")
-    r = d.select("doc_id", F.explode(F.array(*[F.struct(F.lit(x).alias("reading"), F.lit(w).alias("words")) for x, w in (("words", 5), ("words", 6), ("lines", 99))])).alias("x")).select("doc_id", "x.*")
-    return turns.richer_reading(r, "doc_id", "reading").groupBy("doc_id", "reading").agg(F.count(F.lit(1)).alias("turns"))
-
-
 @query("SELECT n_nationkey FROM nation WHERE n_nationkey % 3 = 0")
 def v3_unlabelled(spark: SparkSession, sf_dir: str) -> DataFrame:
     n = table(spark, sf_dir, "nation").select("n_nationkey", F.when(F.col("n_nationkey") % 3 != 0, F.col("n_name")).otherwise("").alias("label"))

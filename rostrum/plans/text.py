@@ -7,7 +7,9 @@ from pyspark.sql import functions as F
 
 from ..functions import strings as S
 from ..operators import entities as E
+from ..operators import fusion
 from ..operators import textmining as T
+from ..sources.tables import stored
 from .common import SENTENCES, table
 
 QUERIES: dict = {}
@@ -73,7 +75,15 @@ def f3_contains_longest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return E.find_within(table(spark, sf_dir, "part").select("p_partkey", "p_name"), "p_partkey", "p_name", names, normalise=False).select("p_partkey", "name", "code")
 
 
-QUERIES["j5_theta_as_equi"], ORACLES["j5_theta_as_equi"] = QUERIES["f3_contains_longest"], ORACLES["f3_contains_longest"]
+@query("""WITH s AS (SELECT s_suppkey, 'the office of ' || lower(replace(n_name, '_', ' ')) || CASE WHEN s_suppkey % 2 = 0 THEN '' ELSE ' abroad' END AS t, lower(replace(n_name, '_', ' ')) AS n FROM supplier JOIN nation ON s_nationkey = n_nationkey)
+SELECT s_suppkey, CASE WHEN s_suppkey % 2 = 0 THEN n END AS at_end, n AS within FROM s""")
+def j5_theta_as_equi(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Names at the end of a text, and anywhere in it, both as equality joins: of "nation 2" and "nation 21" the right one."""
+    n = table(spark, sf_dir, "nation").select("n_nationkey", F.lower(F.replace("n_name", F.lit("_"), F.lit(" "))).alias("name"))
+    names = n.select("name", F.col("name").alias("code"))
+    s = table(spark, sf_dir, "supplier").join(n, F.col("s_nationkey") == F.col("n_nationkey")).select("s_suppkey", F.concat(F.lit("the office of "), "name", F.when(F.col("s_suppkey") % 2 == 0, "").otherwise(" abroad")).alias("t"))
+    ends = E.resolve_suffix(s, "s_suppkey", "t", names, normalise=False).select("s_suppkey", F.col("code").alias("at_end"))
+    return E.find_within(s, "s_suppkey", "t", names, normalise=False).join(ends, "s_suppkey").select("s_suppkey", "at_end", F.col("code").alias("within"))
 
 
 @query(f"""WITH n AS (SELECT upper(n_name[1]) || lower(n_name[2:]) AS base, 'N' || n_nationkey AS code FROM nation),
@@ -228,9 +238,13 @@ def f28_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _docs(spark, sf_dir).select("doc_id", S.french_or_english(F.col("text")).alias("language"))
 
 
-@query("SELECT p_partkey, regexp_matches(p_brand, '(?i)brand#1|\\bonline\\b') AS online FROM part")
+_ONLINE = S.ONLINE.removeprefix("(?i)")
+
+
+@query(f"SELECT page_id, regexp_matches(host, '(?i){_ONLINE}') AS address, regexp_matches(split_part(host, '.', 1), '(?i){_ONLINE}') OR page_id % 3 = 0 AS name FROM (SELECT page_id, regexp_extract(url, '://([^/?#]+)', 1) AS host FROM pages)")
 def f30_brand_online(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "part").select("p_partkey", F.col("p_brand").rlike(r"(?i)brand#1|\bonline\b").alias("online"))
+    p = table(spark, sf_dir, "pages").select("page_id", F.regexp_extract("url", "://([^/?#]+)", 1).alias("host"))
+    return p.select("page_id", S.is_online(F.col("host")).alias("address"), S.is_online(F.concat(F.element_at(F.split("host", r"\."), 1), F.when(F.col("page_id") % 3 == 0, " Online").otherwise(" Gazette"))).alias("name"))
 
 
 @query("SELECT n_nationkey, CASE WHEN n_nationkey + 20 >= 31 THEN 'A/' || (n_nationkey + 20) || '/PV.' || n_nationkey ELSE 'A/PV.' || n_nationkey END AS symbol, n_nationkey + 20 + 1945 AS yr FROM nation")
@@ -239,7 +253,17 @@ def f31_symbols(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "nation").select("n_nationkey", S.meeting_symbol(s, F.col("n_nationkey")).alias("symbol"), S.session_year(s).alias("yr"))
 
 
-QUERIES["m1_session_year"], ORACLES["m1_session_year"] = QUERIES["f31_symbols"], ORACLES["f31_symbols"]
+@query("SELECT s_suppkey, s_nationkey + 1945 AS yr FROM supplier")
+def m1_session_year(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return table(spark, sf_dir, "supplier").select("s_suppkey", S.session_year(F.col("s_nationkey")).alias("yr"))
+
+
+@query(r"""SELECT DISTINCT p_type, p_brand, replace(replace(replace(p_type, 'O', 'o'), 'E', 'e'), ' ', '') || ' defence treaty' AS readable FROM part""")
+def f29_readable(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Patterns made of a part's type: word ends, a class for every O and E, an alternation of two endings."""
+    t = F.regexp_replace(F.regexp_replace(F.replace("p_type", F.lit(" "), F.lit("")), "O", "[oO]"), "E", "[eE]")
+    pattern = F.concat(F.lit(r"\b"), t, F.lit(r" defen[cs]e\b treat(y|ies)"))
+    return table(spark, sf_dir, "part").select("p_type", "p_brand", S.readable_pattern(pattern).alias("readable")).distinct()
 
 
 @query("SELECT event_id, strftime(ts, '%Y-%m-%d') AS day FROM events")
@@ -268,7 +292,22 @@ def t11_shingle_agreement(spark: SparkSession, sf_dir: str) -> DataFrame:
     return d.join(b, "doc_id").select("doc_id", T.shingle_agreement(F.col("x"), F.col("y")).alias("agreement"))
 
 
-QUERIES["m10_set_algebra"], ORACLES["m10_set_algebra"] = QUERIES["t11_shingle_agreement"], ORACLES["t11_shingle_agreement"]
+@query(r"""WITH w AS (SELECT conv_id, role = 'assistant' AS a, unnest(regexp_extract_all(lower(text), '\p{L}+')) AS w FROM conversations), s AS (SELECT conv_id, coalesce(list(DISTINCT w) FILTER (a), []) AS x, coalesce(list(DISTINCT w) FILTER (NOT a), []) AS y FROM w GROUP BY 1)
+SELECT conv_id, len(list_intersect(x, y)) AS both, len(x) - len(list_intersect(x, y)) AS only_x, len(list_distinct(x || y)) AS either, CASE WHEN len(x) > 0 AND len(y) > 0 THEN round(len(list_intersect(x, y)) / least(len(x), len(y)), 3) END AS containment FROM s""")
+def m10_set_algebra(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words of the answers and of the other turns of a conversation as sets."""
+    w = table(spark, sf_dir, "conversations").select("conv_id", (F.col("role") == "assistant").alias("a"), F.explode(F.regexp_extract_all(F.lower("text"), F.lit(r"\p{L}+"), F.lit(0))).alias("w"))
+    s = w.groupBy("conv_id").agg(F.collect_set(F.when(F.col("a"), F.col("w"))).alias("x"), F.collect_set(F.when(~F.col("a"), F.col("w"))).alias("y"))
+    both = F.size(F.array_intersect("x", "y"))
+    share = F.when((F.size("x") > 0) & (F.size("y") > 0), F.round(both / F.least(F.size("x"), F.size("y")), 3))
+    return s.select("conv_id", both.cast("long").alias("both"), F.size(F.array_except("x", "y")).cast("long").alias("only_x"), F.size(F.array_union("x", "y")).cast("long").alias("either"), share.alias("containment"))
+
+
+@query("SELECT doc_id, list_reduce(list_transform(string_split(text, chr(10)), lambda l: [trim(l)]), lambda a, b: CASE WHEN list_contains(a, b[1]) THEN a ELSE a || b END) AS l FROM documents".replace("SELECT doc_id, ", "SELECT doc_id, len(l)::INT AS n, sha256(array_to_string(l, chr(10))) AS digest FROM (SELECT doc_id, ", 1) + ")")
+def x5_first_seen(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The lines of a text, each where it is first seen."""
+    d = _docs(spark, sf_dir).select("doc_id", F.array_distinct(F.transform(F.split("text", "\n", -1), lambda x: F.btrim(x))).alias("l"))
+    return d.select("doc_id", F.size("l").alias("n"), F.sha2(F.array_join("l", "\n"), 256).alias("digest"))
 
 
 @query(r"""SELECT event_id, regexp_extract(props, '"k"\s*:\s*(-?[0-9]+)', 1)::BIGINT AS k FROM events""")
@@ -292,18 +331,40 @@ def t1_tfidf_top_terms(spark: SparkSession, sf_dir: str) -> DataFrame:
     return w.withColumn("place", F.row_number().over(o)).where("place <= 3").select("doc_id", "token", F.round("weight", 6).alias("weight"), "place")
 
 
-QUERIES["t7_top_words"], ORACLES["t7_top_words"] = QUERIES["t1_tfidf_top_terms"], ORACLES["t1_tfidf_top_terms"]
+@query(f"WITH {_TF}, p AS (SELECT doc_id, token, row_number() OVER (PARTITION BY doc_id ORDER BY round(weight, 9) DESC, token DESC) AS place FROM x WHERE weight > 0) SELECT doc_id, string_agg(token, ',' ORDER BY place) AS words FROM p WHERE place <= 8 GROUP BY 1")
+def t7_top_words(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return T.top_tokens(_weights(spark, sf_dir), "doc_id", 8).select("doc_id", F.array_join("words", ",").alias("words"))
+
+
+def _weights(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return stored(T.tfidf(_docs(spark, sf_dir), "doc_id", _tokens()))
+
+
+@query(f"""WITH {_TF}, s AS (SELECT a.doc_id AS a, b.doc_id AS b, sum(a.weight * b.weight) AS s FROM x a JOIN x b ON a.token = b.token AND a.doc_id <> b.doc_id GROUP BY ALL HAVING sum(a.weight * b.weight) >= 0.3)
+SELECT a AS doc_id, b AS other, round(s, 6) AS similarity, place::INT AS place FROM (SELECT *, row_number() OVER (PARTITION BY a ORDER BY round(s, 9) DESC, b DESC) AS place FROM s) WHERE place <= 3""")
+def t7_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return T.nearest(_weights(spark, sf_dir), "doc_id", 0.3).select("doc_id", "other", F.round("similarity", 6).alias("similarity"), "place")
+
+
+@query(f"""WITH {_TF}, a AS (SELECT token, sum(weight) AS a FROM x GROUP BY 1), m AS (SELECT doc_id, round(coalesce(sum(weight * a) - sum(weight * weight), 0) / (SELECT count(*) - 1 FROM documents), 6) AS s FROM documents LEFT JOIN (x JOIN a USING (token)) USING (doc_id) GROUP BY 1),
+p AS (SELECT a.doc_id AS a, b.doc_id AS b, round(sum(a.weight * b.weight), 6) AS s FROM x a JOIN x b ON a.token = b.token AND a.doc_id < b.doc_id GROUP BY ALL HAVING sum(a.weight * b.weight) >= 0.6),
+u AS (SELECT 'most_distinctive' AS kind, row_number() OVER (ORDER BY s, doc_id) AS place, doc_id AS a, NULL AS b, s FROM m UNION ALL SELECT 'most_typical', row_number() OVER (ORDER BY s DESC, doc_id DESC), doc_id, NULL, s FROM m UNION ALL SELECT 'similar_pairs', row_number() OVER (ORDER BY s DESC, a DESC, b DESC), a, b, s FROM p)
+SELECT kind, place::INT AS place, a, b, s AS similarity FROM u WHERE place <= 5""")
+def t18_extremes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return T.extremes(_weights(spark, sf_dir), _docs(spark, sf_dir), "doc_id")
 
 
 @query(f"WITH {_TF} SELECT a.doc_id AS a, b.doc_id AS b, round(sum(a.weight * b.weight), 6) AS similarity FROM x a JOIN x b ON a.token = b.token AND a.doc_id < b.doc_id GROUP BY ALL HAVING sum(a.weight * b.weight) >= 0.6")
 def t3_cosine_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from ..sources.tables import stored
-
-    w = stored(T.tfidf(_docs(spark, sf_dir), "doc_id", _tokens()))
-    return T.cosine_pairs(w, "doc_id", 0.6).select("a", "b", F.round("similarity", 6).alias("similarity"))
+    return T.cosine_pairs(_weights(spark, sf_dir), "doc_id", 0.6).select("a", "b", F.round("similarity", 6).alias("similarity"))
 
 
-QUERIES["j14_unordered_pairs"], ORACLES["j14_unordered_pairs"] = QUERIES["t3_cosine_pairs"], ORACLES["t3_cosine_pairs"]
+@query("WITH l AS (SELECT DISTINCT l_orderkey, p_brand FROM lineitem JOIN part ON l_partkey = p_partkey) SELECT x.p_brand AS a, y.p_brand AS b, count(*) AS n FROM l x JOIN l y ON x.l_orderkey = y.l_orderkey AND x.p_brand < y.p_brand GROUP BY ALL")
+def j14_unordered_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pairs of brands in one order, each pair once."""
+    l = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey").join(table(spark, sf_dir, "part").select("p_partkey", "p_brand"), F.col("l_partkey") == F.col("p_partkey")).select("l_orderkey", "p_brand").distinct()
+    other = l.withColumnRenamed("p_brand", "b")
+    return l.join(other, "l_orderkey").where("p_brand < b").groupBy(F.col("p_brand").alias("a"), "b").agg(F.count(F.lit(1)).alias("n"))
 
 
 @query(f"""WITH t AS (SELECT lang, unnest({TOK}) AS token FROM documents), c AS (SELECT lang, token, count(*) AS y FROM t GROUP BY ALL), g AS (SELECT lang, sum(y) AS ng FROM c GROUP BY 1), p AS (SELECT token, sum(y) AS p FROM c GROUP BY 1), j AS (SELECT lang, token, y, p, ng, (SELECT sum(y) FROM c) AS tp FROM c JOIN p USING (token) JOIN g USING (lang) WHERE p >= 10 AND y >= 5),
@@ -329,7 +390,21 @@ def a10_naming_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
     return E.naming_totals(m.select(F.col("doc_id").alias("from_code"), F.col("code").alias("to_code"), F.col("n").alias("times")))
 
 
-QUERIES["j13_paragraph_mentions"], ORACLES["j13_paragraph_mentions"] = QUERIES["t14_mentions"], ORACLES["t14_mentions"]
+_PEOPLE = (("THA", "Than"), ("THA", "The"), ("FRO", "Ther"), ("DER", "Und"), ("DER", "Dieses"))
+
+
+def _word(w: str, case: str = "") -> str:
+    return rf"{case}(?:^|[^\p{{L}}\p{{N}}_-]){w}(?:$|[^\p{{L}}\p{{N}}_-])"
+
+
+@query(f"""WITH p AS (SELECT doc_id AS article, unnest(string_split(text, chr(10))) AS text, generate_subscripts(string_split(text, chr(10)), 1) - 1 AS p FROM documents), n AS (SELECT * FROM (VALUES ('that', 'THA'), ('from', 'FRO'), ('der', 'DER')) v(name, code)),
+c AS (SELECT article, p, code FROM p, n WHERE CASE code WHEN 'THA' THEN regexp_matches(text, '{_word("that", "(?i)")}') WHEN 'FRO' THEN regexp_matches(text, '{_word("from", "(?i)")}') ELSE regexp_matches(text, '{_word("der", "(?i)")}') END),
+s AS (SELECT DISTINCT article, p, code FROM (SELECT article, p, unnest(['THA', 'FRO']) AS code, [regexp_matches(text, '{_word("Than")}'), regexp_matches(text, '{_word("Ther")}')] AS hit, unnest([1, 2]) AS k FROM p) WHERE hit[k] UNION SELECT article, p, 'DER' FROM p WHERE regexp_matches(text, '{_word("Dieses")}')),
+w AS (SELECT s.* FROM s SEMI JOIN c ON c.article = s.article AND c.code = s.code) SELECT article, p::INT AS p, code, 'country' AS how FROM c UNION ALL SELECT article, p::INT, code, 'person' FROM w ANTI JOIN c ON c.article = w.article AND c.p = w.p AND c.code = w.code""")
+def j13_paragraph_mentions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Paragraphs (lines) that name a code's country, or a person of it in a document that names the country; surnames of under four letters do not count."""
+    p = _docs(spark, sf_dir).select(F.col("doc_id").alias("article"), F.posexplode(F.split("text", "\n", -1)).alias("p", "text"))
+    return E.paragraph_matches(p, {"that": "THA", "from": "FRO", "der": "DER"}, spark.createDataFrame(_PEOPLE, "code string, surname string"))
 
 
 @query(r"""SELECT doc_id, length(text) >= 300 AS long_enough, round(len(regexp_extract_all(text, '[\p{L}\p{M}]')) / nullif(len(regexp_extract_all(text, '\S')), 0), 6) AS letters FROM documents""")
@@ -372,29 +447,47 @@ def p11_having_share(spark: SparkSession, sf_dir: str) -> DataFrame:
     return l.groupBy("l_suppkey").agg(F.avg((F.col("p_size") > 25).cast("double")).alias("s")).where("s >= 0.5").select("l_suppkey")
 
 
-@query("""SELECT doc_id FROM documents d JOIN labels l USING (doc_id) WHERE quality = 1 OR d.n_chars < 500""")
+_SHINGLES = "list_distinct(list_transform(generate_series(1, greatest(len({0}) - 4, 0)), lambda i: array_to_string({0}[i : i + 4], ' ')))"
+
+
+@query(rf"""WITH d AS (SELECT doc_id, {_PLAIN} AS w FROM documents), c AS (SELECT item_id AS doc_id, CASE WHEN item_id % 4 = 0 THEN d.text ELSE b.text END AS text FROM benchmark b LEFT JOIN documents d ON d.doc_id = b.item_id WHERE item_id % 5 <> 0), e AS (SELECT doc_id, {_PLAIN} AS v FROM c),
+s AS (SELECT d.doc_id, e.doc_id IS NOT NULL AS has, {_SHINGLES.format('w')} AS x, {_SHINGLES.format('v')} AS y FROM d LEFT JOIN e USING (doc_id))
+SELECT doc_id, has AS in_corpus FROM s WHERE NOT has OR (len(x) > 0 AND len(y) > 0 AND round(len(list_intersect(x, y)) / least(len(x), len(y)), 3) >= 0.5)""")
 def p8_gate(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _docs(spark, sf_dir).join(table(spark, sf_dir, "labels"), "doc_id").where("quality = 1 OR n_chars < 500").select("doc_id")
+    """Scans (documents) that are kept: no text in the corpus, or agreement with it. Here the corpus has items, some of which are the scan's own text."""
+    d = _docs(spark, sf_dir).select("doc_id", "text")
+    own = d.select(F.col("doc_id").alias("item_id"), F.col("text").alias("own"))
+    i = F.col("item_id")
+    corpus = table(spark, sf_dir, "benchmark").where(i % 5 != 0).join(own, "item_id", "left").select(i.alias("doc_id"), F.when(i % 4 == 0, F.col("own")).otherwise(F.col("text")).alias("corpus_text"))
+    j = d.join(corpus, "doc_id", "left").withColumn("agreement", T.shingle_agreement(F.col("text"), F.col("corpus_text")))
+    return j.where(fusion.kept_scan(F.col("text"), F.col("corpus_text"), F.col("agreement"))).select("doc_id", F.col("corpus_text").isNotNull().alias("in_corpus"))
 
 
-@query("""WITH q AS (SELECT doc_id, substr(text, 1, 40) AS quote FROM documents WHERE doc_id % 7 = 0) SELECT q.doc_id FROM q JOIN documents d ON d.doc_id = q.doc_id + 1 WHERE NOT contains(d.text, q.quote)""")
+@query("SELECT q.doc_id FROM documents q JOIN documents d ON d.doc_id = q.doc_id + 1 WHERE NOT contains(d.text, q.text)")
 def j15_quote_containment(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Quotes that their source does not hold: here every seventh document's opening against the next document."""
+    """Every document's whole text as a quote from the next document."""
     from ..operators.checks import missing_quotes
 
-    q = _docs(spark, sf_dir).where("doc_id % 7 = 0").select("doc_id", F.substring("text", 1, 40).alias("quote"), (F.col("doc_id") + 1).alias("source_id"))
+    q = _docs(spark, sf_dir).select("doc_id", F.col("text").alias("quote"), (F.col("doc_id") + 1).alias("source_id"))
     s = _docs(spark, sf_dir).select(F.col("doc_id").alias("source_id"), F.col("text").alias("source_text"))
     return missing_quotes(q, s, "source_id", "quote", "source_text").select("doc_id")
 
 
-QUERIES["v1_quotes"], ORACLES["v1_quotes"] = QUERIES["j15_quote_containment"], ORACLES["j15_quote_containment"]
+@query(_DENSE + """, q AS (SELECT doc_id, CASE WHEN doc_id % 10 = 0 THEN 'They said: ' || sentence ELSE sentence END AS quote FROM b) SELECT q.doc_id FROM q JOIN documents d USING (doc_id) WHERE NOT contains(trim(regexp_replace(d.text, '\\s+', ' ', 'g')), quote)""")
+def v1_quotes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quotes that are no part of their text: each document's densest sentence, of which every tenth was given a beginning that it does not have."""
+    from ..operators.checks import missing_quotes
 
+    b = T.densest_sentence(_docs(spark, sf_dir), "doc_id", S.sentences(F.col("text")), r"(?iu)tion|ing", not_with="(?i)rights reserved")
+    q = b.select("doc_id", F.concat(F.when(F.col("doc_id") % 10 == 0, "They said: ").otherwise(""), "sentence").alias("quote"))
+    return missing_quotes(q, _docs(spark, sf_dir).select("doc_id", S.collapse(F.col("text")).alias("source")), "doc_id", "quote", "source").select("doc_id")
 
-@query("SELECT q.doc_id FROM documents q JOIN documents d ON d.doc_id = q.doc_id + 1 WHERE NOT contains(d.text, q.text)")
-def j15_whole_quotes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every document's whole text as a quote from the next document; j15_quote_containment is bound to its SQL twin, which cuts both."""
-    from ..operators.checks import missing_quotes
 
-    q = _docs(spark, sf_dir).select("doc_id", F.col("text").alias("quote"), (F.col("doc_id") + 1).alias("source_id"))
-    s = _docs(spark, sf_dir).select(F.col("doc_id").alias("source_id"), F.col("text").alias("source_text"))
-    return missing_quotes(q, s, "source_id", "quote", "source_text").select("doc_id")
+@query(r"""SELECT doc_id FROM documents WHERE regexp_matches(text, '(?i)\bthat\b') AND doc_id % 7 = 0""")
+def v2_excerpts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Evidence that is in no text of its source: every document's first mention, cut by the operator, is found; those of every seventh document were altered."""
+    from ..operators.checks import excerpts_missing
+
+    e = T.first_evidence(_docs(spark, sf_dir), "doc_id", F.col("text"), r"(?iu)\bthat\b", S.SENTENCE)
+    e = e.select("doc_id", F.concat("text", F.when(F.col("doc_id") % 7 == 0, " (altered)").otherwise("")).alias("excerpt"))
+    return excerpts_missing(e, _docs(spark, sf_dir), "doc_id", "excerpt", "text").select("doc_id")

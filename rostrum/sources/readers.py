@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.strings import site
+
 
 def files(spark: SparkSession, path: str) -> DataFrame:
     """path, sha256, modified, size of every file: what a download's record would say. Contents are hashed where they are read."""
@@ -87,6 +89,31 @@ def rating(df: DataFrame, html: str, fields: dict[str, str]) -> DataFrame:
     return df.withColumn("_p", plain).select(*df.columns, *[F.nullif(F.btrim(F.regexp_extract("_p", p, 1)), F.lit("")).alias(n) for n, p in fields.items()])
 
 
+# --- Fixed values: where a rating page has its values, and the sites that all such pages link to. ---
+RATING = {"bias": r'"name":"Bias Rating","value":"([^"]+)"', "factual": r'"name":"Factual Reporting","value":"([^"]+)"', "updated": r'"dateModified":"(\d{4}-\d{2}-\d{2})'}
+RATED = r'(?i)Source:\s*<a[^>]+href="https?://([^"/]+)'
+LINKED = r'<a[^>]+href="https?://([^"/:]+)'
+NOT_RATED = ("mediabiasfactcheck.com", "facebook.com", "twitter.com", "x.com", "youtube.com", "instagram.com", "linkedin.com", "pinterest.com", "reddit.com", "google.com", "wikipedia.org", "archive.org", "archive.ph", "patreon.com", "wordpress.org", "gravatar.com", "w.org", "ko-fi.com", "tumblr.com", "tiktok.com", "threads.net", "bsky.app", "paypal.com")
+# --- End of fixed values. ---
+
+
+def rated_site(pages: DataFrame, keys: list[str], html: str) -> DataFrame:
+    """keys and site: the site that a page names as its source, else the one it links to most, of equally frequent ones the first by name."""
+    links = F.filter(F.transform(F.regexp_extract_all(F.col(html), F.lit(LINKED), F.lit(1)), lambda x: site(x)), lambda s: ~s.isin(*NOT_RATED))
+    p = pages.select(*keys, F.nullif(F.regexp_extract(html, RATED, 1), F.lit("")).alias("_named"), links.alias("_links"))
+    counted = p.where("_named IS NULL").select(*keys, F.explode("_links").alias("_link")).groupBy(*keys, "_link").agg(F.count(F.lit(1)).alias("n"))
+    most = counted.groupBy(*keys).agg(F.min_by("_link", F.struct(-F.col("n"), F.col("_link"))).alias("_most"))
+    return p.join(most, keys, "left").select(*keys, F.coalesce(site(F.col("_named")), F.col("_most")).alias("site"))
+
+
+def own_rating(pages: DataFrame, outlets: DataFrame, fields: dict[str, str] = RATING) -> DataFrame:
+    """outlet, the fields of its rating, and site: of the candidate pages (outlet, place, html) the first that rates the outlet's own site (outlet, domain)."""
+    values = pages.select("outlet", "place", *[F.regexp_extract("html", p, 1).alias(n) for n, p in fields.items()])
+    own = outlets.select("outlet", site(F.col("domain")).alias("site"))
+    hit = values.join(rated_site(pages, ["outlet", "place"], "html"), ["outlet", "place"]).join(own, ["outlet", "site"])
+    return hit.groupBy("outlet").agg(F.min_by(F.struct(*fields, "site"), "place").alias("r")).select("outlet", "r.*")
+
+
 def aliased(df: DataFrame, aliases: dict[str, str], required: list[str]) -> DataFrame:
     """df with its headers made alike (trimmed, lower case) and renamed by an alias table; an error if a required column is missing."""
     names = {c: aliases.get(c.strip().lower(), c.strip().lower()) for c in df.columns}

@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions.strings import escape_markdown, yaml_scalar
+from .tables import below
 
 
 def parquet(df: DataFrame, path: str, by: list[str] = ()) -> None:
@@ -39,7 +40,38 @@ def markdown(df: DataFrame, head: dict[str, str], title: str, text: str):
     return F.concat_ws("\n", F.lit("---"), *meta, F.lit("---"), F.lit(""), F.concat(F.lit("# "), escape_markdown(F.col(title))), F.lit(""), escape_markdown(F.col(text)), F.lit(""))
 
 
+def report(df: DataFrame, title: str, intro: str, order: list[str]) -> DataFrame:
+    """line and its text: a Markdown report with a table of all columns, a row each in an order; an empty cell for null."""
+    cells = lambda cs: F.concat(F.lit("| "), F.array_join(F.array(*cs), " | "), F.lit(" |"))
+    n = len(df.columns)
+    head = [f"# {title}", "", intro, "", "| " + " | ".join(df.columns) + " |", "| " + " | ".join(["---"] * n) + " |"]
+    body = df.select(F.row_number().over(Window.orderBy(*order)).alias("_n"), cells([F.coalesce(F.col(c).cast("string"), F.lit("")) for c in df.columns]).alias("text"))
+    top = df.sparkSession.createDataFrame(list(enumerate(head, 1)), "line int, text string")
+    return top.unionByName(body.select((F.col("_n") + len(head)).alias("line"), "text"))
+
+
+def tar_gz(members: dict[str, bytes], path: str) -> str:
+    """Write a small archive of files by name, whole in memory, to any file system that Hadoop knows; returns its path."""
+    import io
+    import tarfile
+
+    from pyspark.sql import SparkSession
+
+    held = io.BytesIO()
+    with tarfile.open(fileobj=held, mode="w:gz") as t:
+        for name, content in members.items():
+            info = tarfile.TarInfo(name)
+            info.size = len(content)
+            t.addfile(info, io.BytesIO(content))
+    sc = SparkSession.getActiveSession().sparkContext
+    p = sc._jvm.org.apache.hadoop.fs.Path(path)
+    out = p.getFileSystem(sc._jsc.hadoopConfiguration()).create(p)
+    out.write(bytearray(held.getvalue()))
+    out.close()
+    return path
+
+
 def checksums(spark: SparkSession, path: str) -> DataFrame:
-    """file and sha256 of every file, sorted by name."""
+    """file (its path below path) and sha256 of every file, sorted by name."""
     d = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
-    return d.select(F.element_at(F.split("path", "/"), -1).alias("file"), F.sha2("content", 256).alias("sha256")).orderBy("file")
+    return d.select(below(F.col("path"), path).alias("file"), F.sha2("content", 256).alias("sha256")).orderBy("file")

@@ -28,7 +28,7 @@ DOCS = [(1, "nothing of it"), (2, f"before {LONG} after"), (3, LONG[:-1] + "z"),
 
 def test_quotes_are_looked_for_whole_in_all_documents(tables, spark):
     sf = tables(documents=(DOCS, "doc_id long, text string"), benchmark=(ITEMS, "item_id long, text string"))
-    got = {r.item_id: r.quoted_by for r in reports.d16_whole_quotes(spark, sf).collect()}
+    got = {r.item_id: r.quoted_by for r in reports.d16_context_quotes(spark, sf).collect()}
     assert got == {i: sum(q in t for _, t in DOCS) for i, q in ITEMS}
     assert got[1] == got[2] == got[3] == 1 and got[6] == 2
 
@@ -64,12 +64,12 @@ def test_tokens_of_whole_documents_by_language(tables, spark):
 def test_every_quote_is_checked_to_its_end(tables, spark):
     same = "s" * 60
     sf = tables(documents=([(1, same + "a"), (2, same + "b"), (3, same + "b" + "c"), (4, "d")], "doc_id long, text string"))
-    assert sorted(r.doc_id for r in text.j15_whole_quotes(spark, sf).collect()) == [1, 3]
+    assert sorted(r.doc_id for r in text.j15_quote_containment(spark, sf).collect()) == [1, 3]
 
 
 def test_outer_join_of_all_documents(tables, spark):
     sf = tables(documents=([(i, "en") for i in range(7)], "doc_id long, lang string"), labels=([(3, 1), (4, 0), (9, 1)], "doc_id long, quality int"))
-    got = {r.doc_id: r.origin for r in relational.j1_whole_outer(spark, sf).collect()}
+    got = {r.doc_id: r.origin for r in relational.j1_outer_indicator(spark, sf).collect()}
     assert got == {0: "left_only", 1: "left_only", 2: "left_only", 3: "both", 4: "both", 5: "left_only", 6: "left_only", 9: "right_only"}
 
 
