@@ -86,7 +86,8 @@ def counts(text: Column, pats: Mapping[str, str]) -> dict[str, Column]:
 
 def rates(text: Column, pats: Mapping[str, str], per: int = 1000, digits: int = 2) -> dict[str, Column]:
     """Matches per so many words, a text without words counting as one word."""
-    return {n: F.round(per * c / F.greatest(word_count(text), F.lit(1)), digits) for n, c in counts(text, pats).items()}
+    words = F.greatest(word_count(text), F.lit(1))
+    return {n: F.round(per * c / words, digits) for n, c in counts(text, pats).items()}
 
 
 def headline(text: Column, tones: Mapping[str, str] = TONES) -> tuple[Column, Column]:

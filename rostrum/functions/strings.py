@@ -85,8 +85,9 @@ def chunks(items: Column, size: int) -> Column:
 
 
 def word_count(text: Column) -> Column:
-    """Runs of characters between white space."""
-    return F.regexp_count(F.coalesce(text, F.lit("")), F.lit(r"\S+"))
+    """Runs of characters between white space. Each with the white space around it becomes one character, so that no array of words is made."""
+    t = F.coalesce(text, F.lit(""))
+    return F.when(t.rlike(r"\S"), F.length(F.regexp_replace(t, r"\s*+\S++\s*+", "x"))).otherwise(F.lit(0))
 
 
 URL = r"https?://\S+|www\.\S+"
@@ -95,10 +96,20 @@ TOKEN = r"\p{L}+(?:[-'’]\p{L}+)*"
 CONTRACTION = r"['’](?:s|t|re|ve|ll|d|m)$"
 
 
+def raw_tokens(text: Column) -> Column:
+    """Lower-case words without addresses, in order; contractions and short and common words are among them."""
+    plain = F.when(text.rlike(URL), F.regexp_replace(text, URL, " ")).otherwise(text)
+    return F.regexp_extract_all(F.lower(plain), F.lit(TOKEN), F.lit(0))
+
+
+def keeps(token: Column, stop: list[str] | tuple[str, ...] = (), least: int = 3) -> Column:
+    """Whether a word counts: long enough, no contraction, not stopped."""
+    return (F.length(token) >= least) & ~token.rlike(CONTRACTION) & (~token.isin(*stop) if stop else F.lit(True))
+
+
 def word_tokens(text: Column, stop: list[str] | tuple[str, ...] = (), least: int = 3) -> Column:
     """Lower-case words of some letters at least, without addresses, contractions and stop words, in order."""
-    words = F.regexp_extract_all(F.lower(F.regexp_replace(text, URL, " ")), F.lit(TOKEN), F.lit(0))
-    return F.filter(words, lambda w: (F.length(w) >= least) & ~w.rlike(CONTRACTION) & (~w.isin(*stop) if stop else F.lit(True)))
+    return F.filter(raw_tokens(text), lambda w: keeps(w, stop, least))
 
 
 def is_menu(text: Column, share: float = 0.6) -> Column:

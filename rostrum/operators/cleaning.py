@@ -6,6 +6,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from .sequences import transcript_body
+from .textmining import let
 
 # --- Fixed values: lines that are no part of a speech. ---
 PAGE_MARK = r"(?i)^(page\s*)?\d{1,3}(\s*(of|/|de|из)\s*\d{1,3})?$|^-\s*\d{1,3}\s*-$"
@@ -21,17 +22,19 @@ def lines_of(text: Column) -> Column:
 
 
 def drop_repeated(lines: Column, least: int = 3, longest: int = 80) -> Column:
-    """Lines without the short ones that occur so often in the same text."""
-    return F.filter(lines, lambda x: (x == "") | (F.length(x) >= longest) | (F.size(F.filter(lines, lambda y: y == x)) < least))
+    """Lines without the short ones that occur so often in the same text: in sorted order, those that are met again so many places on."""
+    short = F.array_sort(F.filter(lines, lambda x: (x != "") & (F.length(x) < longest)))
+    often = lambda s: F.array_distinct(F.filter(s, lambda x, i: F.get(s, i + (least - 1)) == x))
+    without = lambda gone: F.filter(lines, lambda x: ~F.array_contains(gone, x))
+    return let(let(short, often), without)
 
 
 def trim_presiding(lines: Column, opening: int = 10) -> Column:
     """Lines after the last presiding line among the first few, without presiding or blank lines at the end."""
-    first = F.slice(lines, 1, opening)
-    start = F.coalesce(F.array_max(F.filter(F.sequence(F.lit(1), F.greatest(F.size(first), F.lit(1))), lambda i: F.get(first, i - 1).rlike(PRESIDING))), F.lit(0))
-    rest = F.slice(lines, start + 1, F.greatest(F.size(lines) - start, F.lit(0)))
-    good = F.filter(F.sequence(F.lit(1), F.greatest(F.size(rest), F.lit(1))), lambda i: (F.get(rest, i - 1) != "") & ~F.get(rest, i - 1).rlike(PRESIDING))
-    return F.slice(rest, 1, F.coalesce(F.array_max(good), F.lit(0)))
+    last = lambda xs, test: F.coalesce(F.array_max(F.filter(F.transform(xs, lambda x, i: F.when(test(x), i + 1)), lambda i: i.isNotNull())), F.lit(0))
+    start = last(F.slice(lines, 1, opening), lambda x: x.rlike(PRESIDING))
+    rest = let(start, lambda s: F.slice(lines, s + 1, F.greatest(F.size(lines) - s, F.lit(0))))
+    return let(rest, lambda r: F.slice(r, F.lit(1), last(r, lambda x: (x != "") & ~x.rlike(PRESIDING))))
 
 
 def join_lines(text: Column) -> Column:
@@ -44,17 +47,18 @@ def join_lines(text: Column) -> Column:
 
 def regroup(lines: Column) -> Column:
     """Paragraphs from lines: a new one after a sentence's end before a blank line, a capital or what is no letter; blank lines inside sentences vanish."""
-    def step(state: Column, x: Column) -> Column:
-        ended = state["last"].rlike(SENTENCE_END)
-        new = (state["last"] != "") & ended & (state["blank"] | x.rlike(r"^\p{Lu}") | ~x.rlike(r"^\p{L}"))
-        glue = F.when(state["out"] == "", "").when(new, "\n\n").otherwise("\n")
-        on = F.struct(F.concat(state["out"], glue, x).alias("out"), x.alias("last"), F.lit(False).alias("blank"))
-        skip = F.struct(state["out"].alias("out"), state["last"].alias("last"), F.lit(True).alias("blank"))
-        return F.when(x == "", skip).otherwise(on)
-
-    start = F.struct(F.lit("").alias("out"), F.lit("").alias("last"), F.lit(False).alias("blank"))
-    whole = F.aggregate(lines, start, step, lambda s: s["out"])
-    return F.btrim(F.array_join(F.transform(F.split(whole, "\n\n", -1), join_lines), "\n\n"))
+    solid = F.filter(F.transform(lines, lambda x, i: F.struct(x.alias("x"), i.alias("i"))), lambda e: e["x"] != "")
+
+    def joined(e: Column) -> Column:
+        def glue(now: Column, k: Column) -> Column:
+            before = F.get(e, k - 1)
+            blank = now["i"] - before["i"] > 1
+            new = before["x"].rlike(SENTENCE_END) & (blank | now["x"].rlike(r"^\p{Lu}") | ~now["x"].rlike(r"^\p{L}"))
+            return F.concat(F.when(k == 0, "").when(new, "\n\n").otherwise("\n"), now["x"])
+
+        return F.array_join(F.transform(e, glue), "")
+
+    return F.btrim(F.array_join(F.transform(F.split(let(solid, joined), "\n\n", -1), join_lines), "\n\n"))
 
 
 def clean(df, text: str, kind: str, out: str = "clean"):

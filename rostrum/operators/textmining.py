@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -26,10 +26,15 @@ def ngrams(tokens: Column, n: int) -> Column:
     return F.transform(starts, lambda i: F.array_join(F.slice(tokens, i, n), " "))
 
 
-def common(df: DataFrame, doc: str, tokens: Column, k: int) -> DataFrame:
+#: A condition on a token, asked once for each of a document's or group's distinct tokens instead of at every occurrence.
+Keep = Callable[[Column], Column]
+ALL: Keep = lambda token: F.lit(True)
+
+
+def common(df: DataFrame, doc: str, tokens: Column, k: int, keep: Keep = ALL) -> DataFrame:
     """token, n, docs: the k most frequent tokens with the number of documents that have them; ties by the token."""
     t = df.select(doc, F.explode(tokens).alias("token")).groupBy("token", doc).agg(F.count(F.lit(1)).alias("c"))
-    return t.groupBy("token").agg(F.sum("c").cast("long").alias("n"), F.count(F.lit(1)).alias("docs")).orderBy(F.desc("n"), "token").limit(k)
+    return t.groupBy("token").agg(F.sum("c").cast("long").alias("n"), F.count(F.lit(1)).alias("docs")).where(keep(F.col("token"))).orderBy(F.desc("n"), "token").limit(k)
 
 
 def vocabulary(df: DataFrame, words: Column, least: int) -> DataFrame:
@@ -44,7 +49,7 @@ def vocabulary_share(df: DataFrame, doc: str, words: Column, known: DataFrame, d
     return df.select(doc).join(s, doc, "left").select(doc, F.round(F.coalesce("s", F.lit(0.0)), digits).alias("share"))
 
 
-def tfidf(df: DataFrame, doc: str, tokens: Column, *, min_df: int = 2, max_df: float = 0.5) -> DataFrame:
+def tfidf(df: DataFrame, doc: str, tokens: Column, *, min_df: int = 2, max_df: float = 0.5, keep: Keep = ALL) -> DataFrame:
     """doc, token, weight: (1 + ln tf) * (ln((1 + n) / (1 + df)) + 1), rows of length 1.
 
     Tokens in fewer than min_df documents or more than the max_df share of them are left out; n counts all documents.
@@ -52,7 +57,7 @@ def tfidf(df: DataFrame, doc: str, tokens: Column, *, min_df: int = 2, max_df: f
     # used three times: texts are split into tokens once
     tf = stored(df.select(doc, F.explode(tokens).alias("token")).groupBy(doc, "token").agg(F.count(F.lit(1)).alias("tf")))
     n = df.agg(F.count(F.lit(1)).alias("docs"))
-    dfs = tf.groupBy("token").agg(F.count(F.lit(1)).alias("df"))
+    dfs = tf.groupBy("token").agg(F.count(F.lit(1)).alias("df")).where(keep(F.col("token")))
     kept = dfs.join(F.broadcast(n), F.lit(True)).where((F.col("df") >= min_df) & (F.col("df") <= max_df * F.col("docs")))
     w = tf.join(kept, "token").select(doc, "token", ((1 + F.log("tf")) * (F.log((1 + F.col("docs")) / (1 + F.col("df"))) + 1)).alias("w"))
     norm = w.groupBy(doc).agg(F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("norm"))
@@ -79,9 +84,9 @@ def cosine_pairs(weights: DataFrame, doc: str, least: float) -> DataFrame:
     return dots.where(F.col("similarity") >= least)
 
 
-def log_odds(df: DataFrame, group: str, tokens: Column, *, least_prior: int = 10, least: int = 5, k: int = 10) -> DataFrame:
+def log_odds(df: DataFrame, group: str, tokens: Column, *, least_prior: int = 10, least: int = 5, k: int = 10, keep: Keep = ALL) -> DataFrame:
     """group, token, n, z, place: each group's k most distinctive tokens by weighted log-odds with the corpus as prior; ties to the larger token."""
-    c = stored(df.select(group, F.explode(tokens).alias("token")).groupBy(group, "token").agg(F.count(F.lit(1)).alias("y")))
+    c = stored(df.select(group, F.explode(tokens).alias("token")).groupBy(group, "token").agg(F.count(F.lit(1)).alias("y")).where(keep(F.col("token"))))
     totals = c.groupBy(group).agg(F.sum("y").alias("n_g"))
     prior = c.groupBy("token").agg(F.sum("y").alias("p"))
     whole = c.agg(F.sum("y").alias("n_all"))

@@ -32,6 +32,10 @@ TOK = rf"list_filter(regexp_extract_all(lower(text), '\p{{L}}+(?:[-''’]\p{{L}}
 _PLAIN = r"regexp_extract_all(lower(text), '[\p{L}\p{N}_]+')"
 
 
+def _kept(token: "F.Column") -> "F.Column":
+    return S.keeps(token, STOP)
+
+
 def _tokens() -> "F.Column":
     return S.word_tokens(F.col("text"), STOP)
 
@@ -103,7 +107,7 @@ def f14_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(f"SELECT t AS token, count(*) AS n, count(DISTINCT doc_id) AS docs FROM (SELECT doc_id, unnest({TOK}) AS t FROM documents) GROUP BY 1 ORDER BY n DESC, token LIMIT 30")
 def a7_common_words(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return T.common(_docs(spark, sf_dir), "doc_id", _tokens(), 30)
+    return T.common(_docs(spark, sf_dir), "doc_id", S.raw_tokens(F.col("text")), 30, _kept)
 
 
 @query(f"""WITH w AS (SELECT doc_id, {TOK} AS w FROM documents), g AS (SELECT doc_id, unnest(list_transform(generate_series(1, len(w) - 1), lambda i: w[i] || ' ' || w[i + 1])) AS t FROM w WHERE len(w) >= 2)
@@ -326,7 +330,7 @@ w AS (SELECT doc_id, token, (1 + ln(tf)) * (ln((1 + n) / (1 + df)) + 1) AS w FRO
 
 @query(f"WITH {_TF} SELECT doc_id, token, round(weight, 6) AS weight, place::INT AS place FROM (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY round(weight, 9) DESC, token DESC) AS place FROM x) WHERE place <= 3")
 def t1_tfidf_top_terms(spark: SparkSession, sf_dir: str) -> DataFrame:
-    w = T.tfidf(_docs(spark, sf_dir), "doc_id", _tokens())
+    w = T.tfidf(_docs(spark, sf_dir), "doc_id", S.raw_tokens(F.col("text")), keep=_kept)
     o = Window.partitionBy("doc_id").orderBy(F.desc(F.round("weight", 9)), F.desc("token"))
     return w.withColumn("place", F.row_number().over(o)).where("place <= 3").select("doc_id", "token", F.round("weight", 6).alias("weight"), "place")
 
@@ -337,7 +341,7 @@ def t7_top_words(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _weights(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return stored(T.tfidf(_docs(spark, sf_dir), "doc_id", _tokens()))
+    return stored(T.tfidf(_docs(spark, sf_dir), "doc_id", S.raw_tokens(F.col("text")), keep=_kept))
 
 
 @query(f"""WITH {_TF}, s AS (SELECT a.doc_id AS a, b.doc_id AS b, sum(a.weight * b.weight) AS s FROM x a JOIN x b ON a.token = b.token AND a.doc_id <> b.doc_id GROUP BY ALL HAVING sum(a.weight * b.weight) >= 0.3)
@@ -371,7 +375,7 @@ def j14_unordered_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
 z AS (SELECT lang, token, y::BIGINT AS n, (ln((y + p) / (ng + tp - (y + p))) - ln((2 * p - y) / (tp - ng + tp - (2 * p - y)))) / sqrt(1 / (y + p) + 1 / (2 * p - y)) AS z FROM j)
 SELECT lang, token, n, round(z, 6) AS z, place::INT AS place FROM (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY z DESC, token DESC) AS place FROM z) WHERE place <= 10""")
 def t8_log_odds(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return T.log_odds(_docs(spark, sf_dir), "lang", _tokens()).withColumn("z", F.round("z", 6))
+    return T.log_odds(_docs(spark, sf_dir), "lang", S.raw_tokens(F.col("text")), keep=_kept).withColumn("z", F.round("z", 6))
 
 
 _NAMES = {"thing": "THI", "the thing": "TTH", "that": "THA", "from": "FRO", "nation": "", "der": "DER"}
