@@ -50,7 +50,7 @@ HINTS = {
     "email": r"(?i)(?:mail|contact|write|kontakt|correo|courriel)",
     "ip": r"(?i)(?:\bip\b|host|server|addr|client|from)",
     "card": r"(?i)(?:card|visa|master|amex|karte|carte|tarjeta|pay)",
-    "phone": r"(?i)(?:tel|phone|call|fax|mobil|\+|fon)",
+    "phone": r"(?i)(?:tel|phone|call|fax|mobil|\+|fon|\bring|\bdial|\bsms|\bwhatsapp)",
 }
 
 
@@ -99,12 +99,50 @@ def place(text: Column, got: Column, kind: str, pattern: str, keep) -> Column:
         span = F.struct(F.lit(k).alias("k"), start.alias("s"), end.alias("e"), x["match"].alias("m"))
         return F.struct(end.alias("at"), F.when(keep(x["match"]), F.concat(state["out"], F.array(span))).otherwise(state["out"]).alias("out"))
 
+    def join(state: Column, b: Column) -> Column:
+        moved = F.transform(b["out"], lambda x: F.struct(x["k"].alias("k"), (x["s"] + state["at"]).alias("s"), (x["e"] + state["at"]).alias("e"), x["m"].alias("m")))
+        return F.struct((state["at"] + b["at"]).alias("at"), F.concat(state["out"], moved).alias("out"))
+
+    begin = F.struct(F.lit(0).alias("at"), none.alias("out"))
     gaps = F.slice(F.split(text, pattern, -1), 1, F.size(got))
     pairs = F.arrays_zip(gaps.alias("gap"), got.alias("match"))
-    spans = F.aggregate(pairs, F.struct(F.lit(0).alias("at"), none.alias("out")), step, lambda s: s["out"])
+    # offsets within blocks first, so that no long array is copied for every span
+    local = F.transform(blocks(pairs), lambda b: F.aggregate(b, begin, step))
+    spans = F.aggregate(local, begin, join, lambda s: s["out"])
     return F.when(F.size(got) > 0, spans).otherwise(none)
 
 
+#: Spans of a block.
+BLOCK = 256
+
+
+def let(value: Column, use) -> Column:
+    """use(value) with value worked out once."""
+    return F.get(F.transform(F.array(value), use), 0)
+
+
+def blocks(items: Column) -> Column:
+    """An array cut into arrays of BLOCK items, the last of what is left; none for an empty one."""
+    cut = lambda xs: F.transform(F.sequence(F.lit(0), F.floor(F.greatest(F.size(xs) - 1, F.lit(0)) / BLOCK).cast("int")), lambda i: F.slice(xs, i * BLOCK + 1, F.lit(BLOCK)))
+    return F.filter(let(items, cut), lambda b: F.size(b) > 0)
+
+
+def meets(a: Column, b: Column) -> Column:
+    return (a["s"] < b["e"]) & (b["s"] < a["e"])
+
+
+def indexed(spans: Column) -> Column:
+    """Spans in order of place, in blocks with the places that each covers, so that a search passes over most of them."""
+    placed = F.array_sort(F.transform(spans, lambda x: F.struct(x["s"].alias("s"), x["e"].alias("e"), x["k"].alias("k"))))
+    return F.transform(blocks(placed), lambda b: F.struct(F.get(b, 0)["s"].alias("s"), F.array_max(F.transform(b, lambda x: x["e"])).alias("e"), b.alias("spans")))
+
+
+def meets_any(a: Column, index: Column, but_itself: bool = False) -> Column:
+    """Whether a span meets any of an index's, itself left out if it is one of them."""
+    other = lambda b: meets(a, b) & ~((a["s"] == b["s"]) & (a["e"] == b["e"]) & (a["k"] == b["k"])) if but_itself else meets(a, b)
+    return F.exists(index, lambda k: meets(a, k) & F.exists(k["spans"], other))
+
+
 FEATURES = ("kind", "digits", "length", "groups", "luhn", "valid", "lead", "plus", "parens", "colons", "hint", "sign_before", "letter_touches", "long_run", "distinct", "letters", "tail")
 
 
@@ -161,11 +199,13 @@ def _examples(seed: int = 7) -> list[tuple[int, str, str, str, int]]:
             if not good and r.random() < 0.3:
                 m = n(r.randint(13, 19))
         elif good:
-            m = r.choice((f"({n(3)}) 555-{n(4)}", f"+1 ({n(3)}) {n(3)}-{n(4)}", f"{n(3)}-{n(3)}-{n(4)}", f"+{n(2)} {n(3)} {n(3)} {n(4)}", f"0049 {n(3)} {n(4)} {n(4)}"))
-            if not m.startswith(("+", "(")):
-                left = f"{word()} {word()} {hints[3]} "
+            m = r.choice((f"({n(3)}) 555-{n(4)}", f"+1 ({n(3)}) {n(3)}-{n(4)}", f"{r.choice('23456789')}{n(2)}{(x := r.choice('-. '))}{n(3)}{x}{n(4)}", f"+{n(2)} {n(3)} {n(3)} {n(4)}", f"0049 {n(3)} {n(4)} {n(4)}", f"0{n(2)} {n(4)} {n(4)}"))
+            if not m.startswith(("+", "(")) and r.random() < 0.75:
+                left = f"{word()} {word()} {r.choice(('tel.', 'call', 'ring us on', 'dial'))} "
         else:
-            m = r.choice((f"{n(2)}.{n(3)}.{n(3)}", f"{n(4)} {n(4)} {n(4)}", f"{n(4)}-{n(3)}-{n(3)}", f"{n(2)} {n(3)} {n(3)}"))
+            m = r.choice((f"{n(2)}.{n(3)}.{n(3)}", f"{n(4)} {n(4)} {n(4)}", f"{n(4)}-{n(3)}-{n(3)}", f"{n(2)} {n(3)} {n(3)}", f"{r.choice('123456789')}{n(3)}-{n(3)}-{n(4)}", f"{n(2)}.{n(3)}.{n(4)}"))
+            if r.random() < 0.3:
+                right = r.choice("abcx") + right
             left = f"{word()} {word()} {r.choice(('$', '#', '= ', 'v', 'no ', 'sum '))}"
         if r.random() < 0.15 and k in (2, 3):
             right = f" {n(3)}{right}"
@@ -269,20 +309,22 @@ def _with_spans(docs: DataFrame, text: Column) -> DataFrame:
     d = d.withColumns({f"_got_{k}": matches(F.col("_text"), BASE[k]) for k in KINDS} | {f"_maybe_{k}": matches(F.col("_text"), LOOSE[k]) for k in KINDS})
     d = d.withColumns({f"_{k}": place(F.col("_text"), F.col(f"_got_{k}"), k, BASE[k], lambda m, k=k: _valid(k, m)) for k in KINDS} | {f"_loose_{k}": place(F.col("_text"), F.col(f"_maybe_{k}"), k, LOOSE[k], lambda m: F.lit(True)) for k in KINDS})
     d = d.withColumns({"_base": F.concat(*[F.col(f"_{k}") for k in KINDS]), "_loose": F.concat(*[F.col(f"_loose_{k}") for k in KINDS])})
-    meets = lambda a, b: (a["s"] < b["e"]) & (b["s"] < a["e"])
-    # the position breaks the tie of what starts alike: a longer candidate comes first
-    new = F.filter("_loose", lambda a: ~F.exists("_base", lambda b: meets(a, b)))
-    d = d.withColumn("_new", F.when(F.size("_loose") > 0, new).otherwise(F.array().cast(SPAN)))
+    d = d.withColumn("_new", F.when(F.size("_loose") > 0, let(indexed(F.col("_base")), lambda held: F.filter("_loose", lambda a: ~meets_any(a, held)))).otherwise(F.array().cast(SPAN)))
     context = lambda a: F.struct(a["k"].alias("k"), a["s"].alias("s"), a["e"].alias("e"), a["m"].alias("m"), F.substring(F.col("_text"), F.greatest(a["s"] - CONTEXT, F.lit(0)) + 1, F.least(a["s"], F.lit(CONTEXT))).alias("l"), F.substring(F.col("_text"), a["e"] + 1, F.lit(CONTEXT)).alias("r"))
     d = d.withColumn("_seen", F.transform("_new", context))
     d = d.withColumn("_values", F.transform("_seen", lambda a: F.array(*features(a))))
     d = d.withColumn("_p", F.transform("_values", lambda v: trained.probability([F.get(v, F.lit(i)) for i in range(len(FEATURES))])))
     limit = lambda k: F.get(F.array(*[F.lit(t) for t in trained.thresholds]), k)
-    scored = F.transform(F.arrays_zip(F.col("_new").alias("a"), F.col("_p").alias("p")), lambda x: F.struct((-x["p"]).alias("q"), x["a"]["s"].alias("s"), (-x["a"]["e"]).alias("t"), x["a"].alias("a")))
-    chosen = F.array_sort(F.filter(scored, lambda x: -x["q"] >= limit(x["a"]["k"])))
+    likely = F.filter(F.arrays_zip(F.col("_new").alias("a"), F.col("_p").alias("p")), lambda x: x["p"] >= limit(x["a"]["k"]))
+    d = d.withColumn("_likely", F.when(F.size("_new") > 0, likely).otherwise(F.array().cast(f"array<struct<a:{SPAN[6:-1]},p:double>>")))
+    alone = lambda held: F.transform("_likely", lambda x: F.struct(x["a"].alias("a"), x["p"].alias("p"), (~meets_any(x["a"], held, True)).alias("alone")))
+    d = d.withColumn("_told", let(indexed(F.transform("_likely", lambda x: x["a"])), alone))
+    # of those that meet others, the likelier comes first; the position breaks the tie of what starts alike: a longer candidate comes first
+    ranked = F.array_sort(F.transform(F.filter("_told", lambda x: ~x["alone"]), lambda x: F.struct((-x["p"]).alias("q"), x["a"]["s"].alias("s"), (-x["a"]["e"]).alias("t"), x["a"].alias("a"))))
     none = F.array().cast(SPAN)
-    added = F.aggregate(chosen, none, lambda out, x: F.when(F.exists(out, lambda b: meets(x["a"], b)), out).otherwise(F.concat(out, F.array(x["a"]))))
-    return d.withColumn("_added", F.when(F.size("_new") > 0, added).otherwise(none))
+    won = F.aggregate(ranked, none, lambda out, x: F.when(F.exists(out, lambda b: meets(x["a"], b)), out).otherwise(F.concat(out, F.array(x["a"]))))
+    free = F.transform(F.filter("_told", lambda x: x["alone"]), lambda x: x["a"])
+    return d.withColumn("_added", F.when(F.size("_likely") > 0, F.concat(free, won)).otherwise(none))
 
 
 def _listed(spans: Column) -> Column:

@@ -204,6 +204,97 @@ def test_added_spans(spark):
     assert [bool(a) for a in added[3:]] == [False] * 4
 
 
+def luhn_card(r, first):
+    d = first + "".join(r.choice("0123456789") for _ in range(14))
+    return next(d + c for c in "0123456789" if luhn(d + c))
+
+
+def planted(each):
+    """Personal data in forms and contexts that the trees were not trained on, and look-alikes: (kind or None, text, start, end)."""
+    r = random.Random(77)
+    n = lambda k: "".join(r.choice("0123456789") for _ in range(k))
+    words = "the report was sent to our office before noon and nobody answered until friday because of weather in town".split()
+    said = lambda k: " ".join(r.choice(words) for _ in range(k))
+    name, site, end = (lambda: r.choice(["anna", "j.smith", "maria_lopez", "k99", "o-brien"])), (lambda: r.choice(["example", "uni-bonn", "mail.firm", "post.gov"])), (lambda: r.choice(["org", "de", "co.uk", "net", "io"]))
+    forms = {
+        "email": [lambda: f"{name()} (at) {site()}.{end()}", lambda: f"{name()}[at]{site()}.{end()}", lambda: f"{name()} [at] acme [dot] {r.choice(['org', 'com', 'de'])}", lambda: f"{name()} {{at}} {site()}.{end()}"],
+        "ip": [lambda: ":".join(f"{r.randrange(65536):x}" for _ in range(8)), lambda: f"2001:db8:{r.randrange(1, 9999):x}:{r.randrange(1, 9999):x}:0:0:0:{r.randrange(1, 99):x}"],
+        "card": [lambda: f"{n(3)}-{n(4)} {luhn_card(r, r.choice('345'))}"],
+        "phone": [lambda: f"({n(3)}) 555-{n(4)}", lambda: f"{r.randrange(201, 989)}-{n(3)}-{n(4)}", lambda: f"{r.randrange(201, 989)}.{n(3)}.{n(4)}", lambda: f"020 {n(4)} {n(4)}", lambda: f"0044 {n(3)} {n(3)} {n(4)}"],
+    }
+    before = {"email": ["reach me under", "write to", "contact:", "his address is"], "ip": ["server", "traffic from", "host"], "card": ["paid with card", "visa"], "phone": ["call", "tel.", "phone:", "fax", "ring us on", "mobile"]}
+    alike = [
+        lambda: f"version {r.randrange(9)}.{n(2)}.{n(3)}.{n(4)}x", lambda: f"order {n(4)} {n(4)} {n(4)}", lambda: f"on 2024-0{r.randrange(1, 9)}-1{r.randrange(9)} at 12:30:45", lambda: f"pages {n(3)}-{n(3)}", lambda: "ratio 16:9:4:3 and 10:20:30",
+        lambda: f"ISBN 978-{n(1)}-{n(4)}-{n(4)}-{n(1)}", lambda: f"$ {n(3)} {n(3)} {n(4)} in all", lambda: "meet at noon [at the office].", lambda: f"part no. {n(4)}-{n(3)}-{n(4)}",
+    ]
+    out = []
+    for kind, fs in forms.items():
+        for f in fs:
+            for _ in range(each):
+                x = f()
+                t = f"{said(5)} {r.choice(before[kind]) if r.random() < 0.7 else said(2)} {x} {said(5)}."
+                out.append((kind, t, t.index(x), t.index(x) + len(x)))
+    return out + [(None, f"{said(5)} {f()} {said(5)}.", 0, 0) for f in alike for _ in range(each)]
+
+
+def test_recall_and_precision_on_other_forms(spark):
+    cases = planted(40)
+    got = {r.doc_id: r for r in pii.spans(spark.createDataFrame([(i, c[1]) for i, c in enumerate(cases)], "doc_id long, text string")).collect()}
+    spans_of = lambda i: [x.split(":") for x in got[i].spans.split(",") if x]
+    hit = [any(int(e) > a and int(s) < b for _, s, e in spans_of(i)) for i, (k, _, a, b) in enumerate(cases) if k]
+    wrong = [got[i].n_added for i, (k, *_) in enumerate(cases) if not k]
+    assert np.mean(hit) >= 0.9 and sum(wrong) <= 0.02 * len(wrong)
+
+
+def brute_added(text, trained, base):
+    """The added spans by plain Python: all matches of the loose patterns that meet no base span, scored by the trees, the likelier first."""
+    out = []
+    for k, kind in enumerate(pii.KINDS):
+        for m in re.finditer(pii.LOOSE[kind], text):
+            a, b = m.span()
+            if any(a < e and s < b for _, s, e in base):
+                continue
+            x, l, r = m[0], text[max(0, a - pii.CONTEXT) : a], text[b : b + pii.CONTEXT]
+            d = re.sub("[^0-9]", "", x)
+            letter = lambda c: bool(c) and c.isalpha()
+            valid = {"ip": re.fullmatch(r"(?:0*(?:25[0-5]|2[0-4][0-9]|1?[0-9]{1,2}))(?:\.(?:0*(?:25[0-5]|2[0-4][0-9]|1?[0-9]{1,2}))){3}", x) is not None, "card": 13 <= len(d) <= 19 and luhn(d), "phone": 9 <= len(d) <= 15, "email": False}[kind]
+            f = [
+                k, len(d), len(x), len(re.findall("[0-9A-Za-z]+", x)), 12 <= len(d) <= 19 and luhn(d), valid, int(d[0]) if d else -1, x.startswith("+"), "(" in x, x.count(":"), bool(re.search(pii.HINTS[kind], l)),
+                bool(re.search(r"[#$€£=v/][ ]?$", l)), letter(l[-1:]) or letter(r[:1]), bool(re.search(r"[0-9][ .-]?$", l) or re.search(r"^[ .-]?[0-9]", r)), max(1, len(set(d))), len(re.findall("[A-Za-z]", x)), len(re.search("[A-Za-z0-9]*$", x)[0]),
+            ]
+            v = np.array([f], float)
+            p = pii._sigmoid(trained.a * sum(pii._apply(t, v)[0] for t in trained.trees) + trained.b)
+            if p >= trained.thresholds[k]:
+                out.append((-p, a, -b, kind))
+    kept = []
+    for _, a, b, kind in sorted(out):
+        if not any(a < e and s < -b for _, s, e in kept):
+            kept.append((kind, a, -b))
+    return kept
+
+
+def test_added_spans_against_brute_force(spark):
+    texts = [c[1] for c in planted(6)] + [f"{a[1]} {b[1]}" for a, b in zip(planted(3), planted(3)[::-1])] + [t for t in odd_pii(200)] + [" ".join(c[1] for c in planted(8))]
+    trained = pii.model(spark)
+    rows = {r.doc_id: r for r in pii.spans(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()}
+    some = 0
+    for i, t in enumerate(texts):
+        base = brute_base(t)
+        added = brute_added(t, trained, base)
+        some += len(added)
+        want = sorted((pii.KINDS.index(k), a, b) for k, a, b in base + added)
+        assert rows[i].spans == ",".join(f"{pii.KINDS[k]}:{a}:{b}" for k, a, b in want), repr(t)
+    assert some > 100
+
+
+def test_spans_beyond_a_block(spark):
+    t = " ".join(f"a{i}@x.org or tel. 212-555-{i % 10000:04d}" for i in range(3 * pii.BLOCK))
+    r = pii.spans(spark.createDataFrame([(1, t)], "doc_id long, text string")).first()
+    got = [x.split(":") for x in r.spans.split(",")]
+    assert r.n_email == 3 * pii.BLOCK and all(t[int(a) : int(b)] == f"a{i}@x.org" for i, (k, a, b) in enumerate(x for x in got if x[0] == "email"))
+    assert r.n_added == 3 * pii.BLOCK and all(t[int(a) : int(b)] == f"212-555-{i % 10000:04d}" for i, (k, a, b) in enumerate(x for x in got if x[0] == "phone"))
+
+
 def test_redact(docs):
     out = {r.doc_id: r for r in pii.redact(docs).collect()}
     assert out[14].text == "mail [EMAIL] or [IP], card [CARD], tel [PHONE]." and out[14].n_chars == len(out[14].text)
