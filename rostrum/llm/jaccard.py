@@ -158,8 +158,11 @@ class Forest:
         return a != b
 
 
-def search(sets: list[np.ndarray], known: list, percent: int) -> list[tuple[int, int]]:
-    """Links (numbers of sets) that connect, with what is known (equal labels, not None), all that link among the sets."""
+def search(sets: list[np.ndarray], known: list, percent: int, found_by: Counter | None = None) -> list[tuple[int, int]]:
+    """Links (numbers of sets) that connect, with what is known (equal labels, not None), all that link among the sets.
+
+    found_by counts the links that a comparison with one member of a large component found ("member"), and those of DivideSkip ("lists").
+    """
     n = len(sets)
     order = sorted(range(n), key=lambda i: len(sets[i]))
     sizes = [len(sets[i]) for i in order]
@@ -178,7 +181,9 @@ def search(sets: list[np.ndarray], known: list, percent: int) -> list[tuple[int,
     def overlap_of(a: int, b: int) -> int:
         return -(-percent * (sizes[a] + sizes[b]) // (100 + percent))
 
-    def link(a: int, b: int) -> None:
+    def link(a: int, b: int, way: str) -> None:
+        if found_by is not None:
+            found_by[way] += 1
         ra, rb = forest.root(a), forest.root(b)
         if forest.join(a, b):
             links.append((order[a], order[b]))
@@ -195,14 +200,14 @@ def search(sets: list[np.ndarray], known: list, percent: int) -> list[tuple[int,
             for root in sorted(members, key=lambda r: -len(members[r]))[:4]:
                 near = members[root][-1] if root in members else None
                 if near is not None and near >= low and forest.root(q) != forest.root(near) and len(whole & bags[near]) >= overlap_of(q, near):
-                    link(q, near)
+                    link(q, near, "member")
             root = forest.root(q)
             own = frozenset(x for x in members.get(root, ()) if x >= low)
             if q - low > len(own) and len(bag) >= (need := overlap_of(q, low)):
                 others = [[x for x in lists[h][bisect_left(lists[h], low) :] if x not in own] for h in bag]
                 for x, total in divide_skip(others, need):
                     if total >= overlap_of(q, x) and forest.root(x) != forest.root(q):
-                        link(q, x)
+                        link(q, x, "lists")
         members[forest.root(q)].append(q)
         bags.append(whole)
         for h in bag:
@@ -315,7 +320,11 @@ def jaccard_components(docs: DataFrame, *, k: int = 5, percent: int = 80, id_col
 
 
 def deduplicate(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", **params) -> DataFrame:
-    """docs, all columns, with one document of each component: that of the smallest id. Rows without shingles or id stay."""
+    """docs, all columns, with one document of each component: that of the smallest id. Rows without shingles or id stay.
+
+    Rows of one id are one document, so all of them stay or go together: of an id that occurs twice, equal rows or not, both rows stay if the
+    document does. Null texts, empty ones and null ids link with nothing; an empty table stays empty.
+    """
     found = jaccard_components(docs, id_col=id_col, text_col=text_col, **params)
     gone = written(found.where(F.col("doc_id") != F.col("component_id")).select(F.col("doc_id").alias("gone_id")).distinct(), "gone")
     return docs.join(F.broadcast(gone) if gone.count() <= 300_000 else gone, docs[id_col] == gone["gone_id"], "left_anti")

@@ -77,6 +77,36 @@ def test_deduplicate_keeps_columns_and_one_of_each_group(docs):
     assert 1 in ids and 2 not in ids and 9 not in ids and {5, 6, 7, 8}.issubset(ids)
 
 
+def test_deduplicate_of_repeated_rows_and_empty_tables(spark, docs, no_docs):
+    text = prose(1, 60)
+    d = spark.createDataFrame([(1, text, "a"), (1, text, "a"), (2, text, "b"), (3, prose(3, 60), "c"), (3, prose(4, 60), "d"), (None, text, "e"), (5, None, "f")], "doc_id long, text string, gone_id string")
+    kept = jaccard.deduplicate(d)
+    assert kept.columns == d.columns and sorted(r.gone_id for r in kept.collect()) == ["a", "a", "c", "d", "e", "f"]
+    assert jaccard.deduplicate(no_docs).count() == 0 and jaccard.deduplicate(no_docs).columns == docs.columns
+
+
+def test_search_agrees_however_links_are_found(monkeypatch):
+    rows = near_copies(9, groups=3, size=40)
+    sets = [jaccard.shingles(t, 5) for _, t in rows]
+    count = Counter()
+    links = jaccard.search(sets, [None] * len(sets), 80, count)
+    up = {i: i for i in range(len(sets))}
+
+    def root(i):
+        while up[i] != i:
+            i = up[i]
+        return i
+
+    for a, b in links:
+        up[root(a)] = root(b)
+    for i in range(len(sets)):
+        for j in range(i):
+            inter = len(np.intersect1d(sets[i], sets[j]))
+            if len(sets[i]) and 100 * inter >= 80 * (len(sets[i]) + len(sets[j]) - inter):
+                assert root(i) == root(j)
+    assert sum(count.values()) == len(links)
+
+
 def test_divide_skip_counts():
     r = random.Random(2)
     for _ in range(200):
@@ -153,6 +183,15 @@ def test_the_number_of_passes_changes_nothing(spark, part):
     assert left["x4"] == "" and left["x0"] == same and left["x1"] == rows[1][1] and left["x6"] is None
 
 
+def test_empty_tables_stay_empty(spark, docs, no_docs):
+    items = spark.createDataFrame(ITEMS, "item_id long, text string")
+    for mode in ("documents", "spans"):
+        for part in (200_000, 3):
+            assert decontam.decontaminate(no_docs, items, remove=mode, part_windows=part).count() == 0
+        assert decontam.decontaminate(docs, items.where("false"), remove=mode).count() == len(TEXTS)
+    assert pii.redact(no_docs).count() == 0
+
+
 def test_decontaminate(spark, docs):
     items = spark.createDataFrame(ITEMS, "item_id long, text string")
     kept = decontam.decontaminate(docs, items)

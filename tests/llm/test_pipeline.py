@@ -60,3 +60,19 @@ def test_ids_are_the_library_s(spark, stages):
 
 def test_run_gives_the_last_stage(spark, stages):
     assert sorted(map(tuple, corpus_pipeline.run(spark, SF).collect())) == sorted(map(tuple, stages[5].collect()))
+
+
+def test_odd_rows_go_through_all_stages(spark, tmp_path):
+    """Null and empty texts, repeated rows, a long line, columns whose names the operators use, then no rows at all."""
+    good = spark.read.parquet(f"{SF}/documents.parquet").limit(0).schema
+    rows = [(1, "plain words of a document that is written well enough. " * 4, "en", "s", 0), (1, "plain words of a document that is written well enough. " * 4, "en", "s", 0), (2, None, "en", "s", 0), (3, "", None, None, None), (None, "text without an id, which is still a text.", "en", "s", 1), (4, "abc " * 40_000, "en", "s", 160_000)]
+    odd = spark.createDataFrame(rows, good).selectExpr("*", "'x' AS label", "1 AS row", "'y' AS spans", "2.0D AS score", "'z' AS _text")
+    spark.createDataFrame([(1, 1, 0), (4, 0, 0)], "doc_id long, quality long, toxic long").write.parquet(f"{tmp_path}/labels.parquet")
+    spark.createDataFrame([(1, "some ten words of a benchmark that no document here has")], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    for name, docs in (("rows", odd), ("none", odd.where("false"))):
+        for stage, f in corpus_pipeline.STAGES:
+            before = docs
+            docs = corpus_pipeline.written(f(spark, docs, str(tmp_path)), f"{name}-{stage}")
+            if stage != "byte_bpe":
+                assert docs.columns == before.columns
+            assert docs.count() <= before.count() and (name == "rows" or docs.count() == 0)
