@@ -20,7 +20,7 @@ def shares_by_group(df: DataFrame, names: Column, group: str, digits: int = 3) -
     """For rows with an array of names: name, group, n, share of the group's rows. Groups without a name are not listed."""
     sizes = df.groupBy(group).agg(F.count(F.lit(1)).alias("size"))
     hits = df.select(group, F.explode(F.array_distinct(names)).alias("name")).groupBy("name", group).agg(F.count(F.lit(1)).alias("n"))
-    return hits.join(F.broadcast(sizes), group).select("name", group, "n", F.round(F.col("n") / F.col("size"), digits).alias("share"))
+    return hits.join(sizes, group).select("name", group, "n", F.round(F.col("n") / F.col("size"), digits).alias("share"))
 
 
 def membership_shares(df: DataFrame, names: Column, group: str, digits: int = 3) -> DataFrame:

@@ -79,12 +79,20 @@ def _held(edges: DataFrame) -> list[tuple]:
     return sorted((r.src, r.dst) for r in rows)
 
 
+def _rows(nodes: DataFrame) -> list:
+    """Rows of the nodes' table, which has no more of them than the graph may have edges."""
+    rows = nodes.limit(ADJACENCY_EDGES + 1).collect()
+    if len(rows) > ADJACENCY_EDGES:
+        raise ValueError(f"more than {ADJACENCY_EDGES} nodes; this measure holds them in each task")
+    return rows
+
+
 def betweenness(edges: DataFrame, nodes: DataFrame) -> DataFrame:
     """node, betweenness: unweighted, directed, divided by (n - 1)(n - 2). Each task walks from its share of the sources (Brandes); the sums meet in Spark."""
     spark = edges.sparkSession
     ship(spark)
     held = _held(edges)
-    names = sorted({r.node for r in nodes.select("node").collect()} | {x for e in held for x in e})
+    names = sorted({r.node for r in _rows(nodes.select("node"))} | {x for e in held for x in e})
     number = {v: i for i, v in enumerate(names)}
     out: list[list[int]] = [[] for _ in names]
     for a, b in held:
@@ -129,7 +137,7 @@ def homophily(edges: DataFrame, labels: DataFrame, *, draws: int = 1000, seed: i
     """
     spark = edges.sparkSession
     ship(spark)
-    by = {r.node: r.label for r in labels.where("label IS NOT NULL").collect()}
+    by = {r.node: r.label for r in _rows(labels.where("label IS NOT NULL"))}
     held = [(a, b) for a, b in _held(edges) if a in by and b in by]
     nodes = sorted(by)
     number, kinds = {v: i for i, v in enumerate(nodes)}, {k: i for i, k in enumerate(sorted(set(by.values()), key=str))}

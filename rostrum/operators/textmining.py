@@ -90,7 +90,7 @@ def log_odds(df: DataFrame, group: str, tokens: Column, *, least_prior: int = 10
     totals = c.groupBy(group).agg(F.sum("y").alias("n_g"))
     prior = c.groupBy("token").agg(F.sum("y").alias("p"))
     whole = c.agg(F.sum("y").alias("n_all"))
-    j = c.where(F.col("y") >= least).join(prior.where(F.col("p") >= least_prior), "token").join(F.broadcast(totals), group).join(F.broadcast(whole), F.lit(True))
+    j = c.where(F.col("y") >= least).join(prior.where(F.col("p") >= least_prior), "token").join(totals, group).join(F.broadcast(whole), F.lit(True))
     a, b = F.col("y") + F.col("p"), F.col("p") - F.col("y") + F.col("p")
     delta = F.log(a / (F.col("n_g") + F.col("n_all") - a)) - F.log(b / (F.col("n_all") - F.col("n_g") + F.col("n_all") - b))
     z = j.select(group, "token", F.col("y").alias("n"), (delta / F.sqrt(1 / a + 1 / b)).alias("z"))

@@ -183,14 +183,20 @@ def t2_tfidf_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
     return textmining.tfidf(d, "doc_id", F.concat("w", textmining.ngrams(F.col("w"), 2)), min_df=5).withColumn("weight", F.round("weight", 6))
 
 
+def _phrase_weights(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words and pairs of words in five documents at least."""
+    d = table(spark, sf_dir, "documents").select("doc_id", S.word_tokens(F.col("text"), STOP).alias("w"))
+    return stored(textmining.tfidf(d, "doc_id", F.concat("w", textmining.ngrams(F.col("w"), 2)), min_df=5))
+
+
 @query()
 def t4_topics(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return topics.topics(_weights(spark, sf_dir), "doc_id", k=4)[0]
+    return topics.topics(_phrase_weights(spark, sf_dir), "doc_id")[0]
 
 
 @query()
 def t5_topic_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
-    terms = topics.topics(_weights(spark, sf_dir), "doc_id", k=4)[1].orderBy("topic").collect()
+    terms = topics.topics(_phrase_weights(spark, sf_dir), "doc_id")[1].orderBy("topic").collect()
     anchors = {"English": ("that", "with", "from"), "French": ("pour", "avec", "dans"), "German": ("nicht", "auf", "mit"), "Spanish": ("con", "para", "que")}
     names = topics.assign_labels([r.terms for r in terms], anchors)
     return spark.createDataFrame([(r.topic, n) for r, n in zip(terms, names)], "topic int, label string")

@@ -279,7 +279,7 @@ def d7_leaning_gap(spark: SparkSession, sf_dir: str) -> DataFrame:
     _, m, _ = _panel(spark, sf_dir)
     j = m.join(table(spark, sf_dir, "supplier").select(F.col("s_suppkey").alias("outlet"), F.when(F.col("s_acctbal") > 4000, "right").otherwise("left").alias("leaning")), "outlet")
     t = j.groupBy("leaning").agg(F.sum("n").alias("total"))
-    s = j.groupBy("leaning", "subject").agg(F.sum("n").alias("n")).join(F.broadcast(t), "leaning").withColumn("share", F.col("n") / F.col("total"))
+    s = j.groupBy("leaning", "subject").agg(F.sum("n").alias("n")).join(t, "leaning").withColumn("share", F.col("n") / F.col("total"))
     side = lambda x: F.coalesce(F.max(F.when(F.col("leaning") == x, F.col("share"))), F.lit(0.0))
     return s.groupBy("subject").agg(F.round(side("left") - side("right"), 9).alias("gap")).orderBy(F.desc(F.abs("gap")), "subject").limit(2)
 
@@ -331,7 +331,7 @@ def d18_label_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("WITH m AS (SELECT lang, source, count(*) AS n FROM documents GROUP BY ALL), b AS (SELECT lang, min_by(source, struct_pack(a := -n, b := source)) AS item FROM m GROUP BY 1) SELECT doc_id, item FROM documents JOIN b USING (lang)")
 def d19_learnt_item(spark: SparkSession, sf_dir: str) -> DataFrame:
     d = table(spark, sf_dir, "documents").select("doc_id", "lang", "source")
-    return d.join(F.broadcast(aggregates.mode(d, ["lang"], "source").select("lang", F.col("source").alias("item"))), "lang").select("doc_id", "item")
+    return d.join(aggregates.mode(d, ["lang"], "source").select("lang", F.col("source").alias("item")), "lang").select("doc_id", "item")
 
 
 @query("SELECT s_suppkey, CASE WHEN s_nationkey % 4 = 0 THEN 'Left' WHEN s_nationkey % 4 = 1 THEN 'Right' ELSE 'Not rated' END AS leaning, s_nationkey % 5 = 0 AS state_media FROM supplier")

@@ -1,6 +1,8 @@
 """Operators on small frames whose answers are worked out by hand or by plain Python."""
 
 import math
+import random
+import re
 
 import numpy as np
 import pytest
@@ -296,3 +298,86 @@ def test_checks(spark):
     checks.assert_empty(spark.range(0), "nothing")
     with pytest.raises(AssertionError):
         checks.assert_empty(spark.range(1), "something")
+
+
+# --- cleaning and factors against plain versions ---
+
+
+def brute_clean(text, kind):
+    """The cleaned text, line after line."""
+    search = lambda p, x: re.search(p, x) is not None
+    t = re.sub(r"(?ms)\A.*?^‏?\[.*?\][^\S\n]*$", "", text or "", count=1) if kind == "transcript" else text or ""
+    lines = [x.strip(" \t‏") for x in t.replace("\r", "").split("\n")]
+    if kind == "transcript":
+        start = max((i + 1 for i, x in enumerate(lines[:10]) if search(cleaning.PRESIDING, x)), default=0)
+        lines = lines[start:]
+        while lines and (not lines[-1] or search(cleaning.PRESIDING, lines[-1])):
+            lines.pop()
+        if lines:
+            lines[-1] = re.sub(cleaning.CLOSING, "", lines[-1])
+    elif kind == "statement":
+        lines = [x for x in lines if not x or len(x) >= 80 or lines.count(x) < 3]
+    lines = [x for x in lines if not search(cleaning.PAGE_MARK, x) and not search(cleaning.DELIVERY_NOTE, x)]
+    paragraphs, last, blank = [], "", False
+    for x in lines:
+        if not x:
+            blank = True
+            continue
+        ends = search(r"[.!?:;\"”’»)\]]$|[。！？]$", last)
+        if last and ends and (blank or x[0].isupper() or not x[0].isalpha()) or not paragraphs:
+            paragraphs.append([x])
+        else:
+            paragraphs[-1].append(x)
+        last, blank = x, False
+    out = []
+    for p in paragraphs:
+        j = re.sub("(?<=[^\\W\\d_])[‐­]\n(?=[a-zà-ÿ])", "", "\n".join(p))
+        j = re.sub("(?<=[^\\W\\d_]-)\n", "", j)
+        out.append(re.sub(r"[ \t]+", " ", j.replace("\n", " ")))
+    return "\n\n".join(out).strip(" ")
+
+
+def test_clean_against_a_plain_version(spark):
+    r = random.Random(4)
+    pool = ["", "", "Mr. President, we meet today.", "and so on", "Page 3 of 9", "- 12 -", "Check against delivery", "Statement by the Minister", "The end of well-", "known things", "an inter‐", "national order", "Thank you.", "(b) a point", "We hope that", "it will hold.", "The Assembly will now hear an address.", "x" * 90, "Then he said:", "“Yes.”", "\ttabs  and blanks \t"]
+    rows = []
+    for i in range(300):
+        n = r.randrange(0, 30)
+        body = "\n".join(r.choice(pool) for _ in range(n))
+        kind = ("statement", "transcript", "other")[i % 3]
+        rows.append((i, "Heading\n[Translated]\n" + body if kind == "transcript" and i % 2 else body, kind))
+    rows += [(900, None, "statement"), (901, "", "transcript"), (902, None, None)]
+    got = {x.i: x.clean for x in cleaning.clean(spark.createDataFrame(rows, "i int, t string, k string"), "t", "k").collect()}
+    for i, t, k in rows:
+        assert got[i] == brute_clean(t, k), (k, t)
+
+
+def test_sparse_factors_settle_near_the_best_error():
+    r = np.random.default_rng(2)
+    true = r.random((60, 4)) * (r.random((60, 4)) < 0.4)
+    x = (true @ (r.random((4, 200)) * (r.random((4, 200)) < 0.3))) + (r.random((60, 200)) < 0.01) * 0.1
+    u, s, vt = np.linalg.svd(x, full_matrices=False)
+    gu, gs, gvt = topics.leading(topics.Sparse.of(x), 4)
+    assert np.allclose(gs, s[:4], rtol=1e-6) and np.allclose(np.abs((gu * u[:, :4]).sum(axis=0)), 1, atol=1e-4)
+    w, h = topics.nmf(x, 4)
+    assert (w >= 0).all() and (h >= 0).all()
+    best = np.sqrt((s[4:] ** 2).sum())
+    assert np.linalg.norm(x - w @ h) <= 1.25 * best
+
+
+def test_words_are_counted(spark):
+    texts = ["", " \n\t ", "one", " two words ", "a b c", "x  y\n\nz.", None, "w " * 5000, "é-è ’s \t end"]
+    got = {r.i: r.n for r in spark.createDataFrame(list(enumerate(texts)), "i int, t string").select("i", S.word_count(F.col("t")).alias("n")).collect()}
+    assert got == {i: len(re.findall(r"[^ \t\n\x0b\f\r]+", t or "")) for i, t in enumerate(texts)}
+
+
+def test_lowest_and_highest_places(spark):
+    from rostrum.functions import numbers
+
+    r = random.Random(1)
+    values = [r.randrange(40) / 4 for _ in range(333)] + [None] * 3
+    d = spark.createDataFrame([(v,) for v in values], "v double")
+    got = {x.v: x.spread_v for x in numbers.spread(d, "v").collect()}
+    ordered = sorted(v for v in values if v is not None)
+    low, high = ordered[int(len(ordered) * (1 - 0.97))], ordered[int(len(ordered) * 0.97) - 1]
+    assert all(abs(got[v] - min(1, max(0, (v - low) / (high - low)))) < 1e-12 for v in ordered)
