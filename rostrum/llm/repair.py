@@ -441,7 +441,7 @@ def _read(batches: Iterator[pa.RecordBatch], *, ids: bool) -> Iterator[pa.Record
             while at < s.head["n_docs"]:
                 to = max(at + 1, int(np.searchsorted(ends, ends[at] + READ_TOKENS, "right")) - 1)
                 parts = np.split(s.expand(s.symbols(at, to)).astype("<u4"), ends[at + 1 : to] - ends[at])
-                cols = [s.doc_ids[at:to], (start + ends[at:to]).tolist(), np.diff(ends[at : to + 1]).tolist(), [zlib.crc32(x.tobytes()) for x in parts], [x.tolist() for x in parts]]
+                cols = [s.doc_ids[at:to], start + ends[at:to], np.diff(ends[at : to + 1]), [zlib.crc32(x) for x in parts]] + [[x.tolist() for x in parts]] * ids
                 yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds)], names=["doc_id", "start", "n_tokens", "ids_crc32", "ids"][: len(kinds)])
                 at = to
             s.close()
