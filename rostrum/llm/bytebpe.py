@@ -27,7 +27,7 @@ from .tokencount import PATTERN
 
 #: Pieces in a recursive query; squared bytes of a chunk's pieces (the recursion keeps the rows of each round);
 #: bytes from which a piece is merged by a heap, with the same result, since its rounds would be too many.
-CHUNK_PIECES, CHUNK_SQUARES, LONG = 20_000, 4_000_000, 512
+CHUNK_PIECES, CHUNK_SQUARES, LONG = 20_000, 4_000_000, 2048
 #: Pieces that a worker remembers before it starts anew (about 200 bytes each), and ids in all for each of them.
 MEMORY, IDS_A_PIECE = 1_200_000, 10
 #: Tokens of a decoding query.
