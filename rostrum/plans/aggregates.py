@@ -104,7 +104,7 @@ _Z = ", ".join(f"round(({n} - avg({n}) OVER ()) / coalesce(nullif(stddev_pop({n}
 SELECT doc_id, z_northern, z_southern, z_central, CASE WHEN greatest(z_northern, z_southern, z_central) < 0.5 THEN 'No clear lean'
   WHEN z_northern = greatest(z_northern, z_southern, z_central) THEN 'northern' WHEN z_southern = greatest(z_northern, z_southern, z_central) THEN 'southern' ELSE 'central' END AS lean FROM z""")
 def m5_zscore_lean(spark: SparkSession, sf_dir: str) -> DataFrame:
-    z = numbers.z_scores(_rates(spark, sf_dir), list(FRAMES)).select("doc_id", *[F.round(f"z_{n}", 6).alias(f"z_{n}") for n in FRAMES])
+    z = numbers.z_scores(stored(_rates(spark, sf_dir)), list(FRAMES)).select("doc_id", *[F.round(f"z_{n}", 6).alias(f"z_{n}") for n in FRAMES])
     return z.withColumn("lean", numbers.lean({n: F.col(f"z_{n}") for n in FRAMES}))
 
 

@@ -129,20 +129,20 @@ def q1_p_value(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("""WITH d AS (SELECT source, sum(quality)::BIGINT AS k, count(*) AS n, 0.85 AS before FROM documents JOIN labels USING (doc_id) GROUP BY 1), i AS (SELECT source, k, n, unnest(range(n + 1)) AS i FROM d),
 l AS (SELECT source, i = k AS own, lgamma(n + 1) - lgamma(i + 1) - lgamma(n - i + 1) + i * ln(0.85) + (n - i) * ln(0.15) AS x FROM i), m AS (SELECT source, max(x) FILTER (own) AS mine FROM l GROUP BY 1),
-s AS (SELECT source, least(1, sum(exp(x)) FILTER (x <= mine + 1e-7)) AS p FROM l JOIN m USING (source) GROUP BY 1) SELECT source, k, n, before, round(p, 8) AS p_value FROM d JOIN s USING (source)""")
+s AS (SELECT source, least(1, sum(exp(x)) FILTER (x <= mine + 1e-7)) AS p FROM l JOIN m USING (source) GROUP BY 1) SELECT source, k, n, before, round(p, 6) AS p_value FROM d JOIN s USING (source)""")
 def q2_binomial(spark: SparkSession, sf_dir: str) -> DataFrame:
     d = table(spark, sf_dir, "documents").join(table(spark, sf_dir, "labels"), "doc_id").groupBy("source").agg(F.sum("quality").alias("k"), F.count(F.lit(1)).alias("n")).withColumn("before", F.lit(0.85))
-    return stats.binomial_tests(d, "k", "n", "before").withColumn("p_value", F.round("p_value", 8))
+    return stats.binomial_tests(d, "k", "n", "before").withColumn("p_value", F.round("p_value", 6))
 
 
 @query("""WITH t AS (SELECT lang, count(*) FILTER (quality = 1 AND toxic = 1) AS a, count(*) FILTER (quality = 1 AND toxic = 0) AS b, count(*) FILTER (quality = 0 AND toxic = 1) AS c, count(*) FILTER (quality = 0 AND toxic = 0) AS d FROM documents JOIN labels USING (doc_id) GROUP BY 1),
 i AS (SELECT *, a + b AS r, c + d AS s, a + c AS k, unnest(generate_series(greatest(0, a + c - (c + d)), least(a + c, a + b))) AS i FROM t),
 l AS (SELECT lang, i = a AS own, lgamma(r + 1) - lgamma(i + 1) - lgamma(r - i + 1) + lgamma(s + 1) - lgamma(k - i + 1) - lgamma(s - k + i + 1) - lgamma(r + s + 1) + lgamma(k + 1) + lgamma(r + s - k + 1) AS x FROM i), m AS (SELECT lang, max(x) FILTER (own) AS mine FROM l GROUP BY 1),
-p AS (SELECT lang, least(1, sum(exp(x)) FILTER (x <= mine + 1e-7)) AS p FROM l JOIN m USING (lang) GROUP BY 1) SELECT t.*, round(p, 8) AS p_value FROM t JOIN p USING (lang)""")
+p AS (SELECT lang, least(1, sum(exp(x)) FILTER (x <= mine + 1e-7)) AS p FROM l JOIN m USING (lang) GROUP BY 1) SELECT t.*, round(p, 6) AS p_value FROM t JOIN p USING (lang)""")
 def q3_fisher(spark: SparkSession, sf_dir: str) -> DataFrame:
     d = table(spark, sf_dir, "documents").join(table(spark, sf_dir, "labels"), "doc_id")
     c = lambda q, t: F.count_if((F.col("quality") == q) & (F.col("toxic") == t))
-    return stats.fisher_tests(d.groupBy("lang").agg(c(1, 1).alias("a"), c(1, 0).alias("b"), c(0, 1).alias("c"), c(0, 0).alias("d")), "a", "b", "c", "d").withColumn("p_value", F.round("p_value", 8))
+    return stats.fisher_tests(d.groupBy("lang").agg(c(1, 1).alias("a"), c(1, 0).alias("b"), c(0, 1).alias("c"), c(0, 0).alias("d")), "a", "b", "c", "d").withColumn("p_value", F.round("p_value", 6))
 
 
 @query()
