@@ -541,10 +541,10 @@ def d3_top_two(spark: SparkSession, sf_dir: str) -> DataFrame:
     return relational.top_per_key(c, ["r_name"], [F.desc("n"), F.col("n_name")], 2).drop("rank")
 
 
-@query("WITH t AS (SELECT p_brand, r_name, count(*) AS n FROM lineitem JOIN part ON l_partkey = p_partkey JOIN supplier ON l_suppkey = s_suppkey JOIN nation ON s_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey GROUP BY ALL), s AS (SELECT *, n / sum(n) OVER (PARTITION BY p_brand) AS share FROM t) SELECT p_brand, r_name, round(share, 6) AS share FROM s WHERE share > 0.3")
+@query("WITH t AS (SELECT p_brand, r_name, count(*) AS n FROM lineitem JOIN part ON l_partkey = p_partkey JOIN supplier ON l_suppkey = s_suppkey JOIN nation ON s_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey GROUP BY ALL), s AS (SELECT *, n / sum(n) OVER (PARTITION BY p_brand) AS share FROM t) SELECT p_brand, r_name, round(share, 6) AS share FROM s WHERE share > 0.21")
 def d4_regional_topics(spark: SparkSession, sf_dir: str) -> DataFrame:
     l = table(spark, sf_dir, "lineitem").join(table(spark, sf_dir, "part"), F.col("l_partkey") == F.col("p_partkey")).join(table(spark, sf_dir, "supplier"), F.col("l_suppkey") == F.col("s_suppkey")).join(table(spark, sf_dir, "nation"), F.col("s_nationkey") == F.col("n_nationkey")).join(table(spark, sf_dir, "region"), F.col("n_regionkey") == F.col("r_regionkey"))
-    return relational.crosstab_shares(l, "p_brand", "r_name").where("share > 0.3").select("p_brand", "r_name", F.round("share", 6).alias("share"))
+    return relational.crosstab_shares(l, "p_brand", "r_name").where("share > 0.21").select("p_brand", "r_name", F.round("share", 6).alias("share"))
 
 
 @query("SELECT o_orderpriority, max_by(yr, struct_pack(n := n, y := -yr)) AS peak FROM (SELECT o_orderpriority, year(o_orderdate)::INT AS yr, count(*) AS n FROM orders GROUP BY ALL) GROUP BY 1")
