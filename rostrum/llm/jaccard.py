@@ -6,8 +6,8 @@
    order is exact; this one keeps a common passage or line from drawing all its documents together.
 3. Classes that share a prefix shingle and are of like size gather around the smallest of them, in chunks of a fixed number of documents.
 4. In a chunk, each document searches those before it: of the inverted lists of its shingles, the short ones are merged by a heap, the
-   long ones are probed by bisection, and what reaches the required overlap links. Documents already known to be connected
-   are not compared again, so that a group of near copies costs about one comparison a document.
+   long ones are probed by bisection, and what reaches the required overlap links. The lists of one member of each group found so far are
+   searched first; documents that are connected by then are not searched again, so that a group of near copies costs little more than its size.
 5. Of gatherings of several chunks, members outside the largest component found so far meet every other chunk, so no pair is left out.
 6. Links, at most one a document and chunk, become components.
 
@@ -158,10 +158,11 @@ class Forest:
         return a != b
 
 
-def search(sets: list[np.ndarray], known: list, percent: int, found_by: Counter | None = None) -> list[tuple[int, int]]:
+def search(sets: list[np.ndarray], known: list, percent: int) -> list[tuple[int, int]]:
     """Links (numbers of sets) that connect, with what is known (equal labels, not None), all that link among the sets.
 
-    found_by counts the links that a comparison with one member of a large component found ("member"), and those of DivideSkip ("lists").
+    Each set searches those before it twice, both times by DivideSkip: first the inverted lists of one member of each component so far, which
+    are short, so that near copies find their group at once; then the lists of all, without the components it belongs to by now.
     """
     n = len(sets)
     order = sorted(range(n), key=lambda i: len(sets[i]))
@@ -175,43 +176,58 @@ def search(sets: list[np.ndarray], known: list, percent: int, found_by: Counter
     for s in sets:
         df.update(s.tolist())
     lists: dict[int, list[int]] = {h: [] for h, c in df.items() if c > 1}
-    bags: list[set] = []
+    bags: list[list[int]] = []
     links = []
+    # one member of each component of several, by its root, and the lists of these members alone
+    stands: dict[int, int] = {}
+    short: dict[int, list[int]] = defaultdict(list)
 
     def overlap_of(a: int, b: int) -> int:
         return -(-percent * (sizes[a] + sizes[b]) // (100 + percent))
 
-    def link(a: int, b: int, way: str) -> None:
-        if found_by is not None:
-            found_by[way] += 1
+    def stand_down(root: int) -> None:
+        if root in stands:
+            x = stands.pop(root)
+            for h in bags[x]:
+                short[h].remove(x)
+
+    def link(a: int, b: int) -> None:
         ra, rb = forest.root(a), forest.root(b)
         if forest.join(a, b):
             links.append((order[a], order[b]))
             keep = forest.root(a)
             gone = rb if keep == ra else ra
+            stand_down(gone)
             members[keep] += members.pop(gone, [])
 
+    def found(q: int, bag: list[int], among: dict[int, list[int]], low: int, skip: frozenset) -> None:
+        need = overlap_of(q, low)
+        if len(bag) < need:
+            return
+        others = [y for h in bag if h in among and (y := [x for x in among[h][bisect_left(among[h], low) :] if x not in skip])]
+        for x, total in divide_skip(others, need):
+            if total >= overlap_of(q, x) and forest.root(x) != forest.root(q):
+                link(q, x)
+
     for q in range(n):
         bag = [h for h in sets[order[q]].tolist() if h in lists]
-        whole = set(bag)
         low = bisect_left(sizes, -(-percent * sizes[q] // 100), 0, q)
         if sizes[q]:
-            # near copies of one group find each other here, by one comparison with a member of each large component
-            for root in sorted(members, key=lambda r: -len(members[r]))[:4]:
-                near = members[root][-1] if root in members else None
-                if near is not None and near >= low and forest.root(q) != forest.root(near) and len(whole & bags[near]) >= overlap_of(q, near):
-                    link(q, near, "member")
-            root = forest.root(q)
-            own = frozenset(x for x in members.get(root, ()) if x >= low)
-            if q - low > len(own) and len(bag) >= (need := overlap_of(q, low)):
-                others = [[x for x in lists[h][bisect_left(lists[h], low) :] if x not in own] for h in bag]
-                for x, total in divide_skip(others, need):
-                    if total >= overlap_of(q, x) and forest.root(x) != forest.root(q):
-                        link(q, x, "lists")
-        members[forest.root(q)].append(q)
-        bags.append(whole)
+            if stands:
+                found(q, bag, short, low, frozenset())
+            own = frozenset(x for x in members.get(forest.root(q), ()) if x >= low)
+            if q - low > len(own):
+                found(q, bag, lists, low, own)
+        bags.append(bag)
+        root = forest.root(q)
+        members[root].append(q)
         for h in bag:
             lists[h].append(q)
+        if len(members[root]) > 1:
+            stand_down(root)
+            stands[root] = q
+            for h in bag:
+                short[h].append(q)
     return links
 
 

@@ -85,11 +85,12 @@ def test_deduplicate_of_repeated_rows_and_empty_tables(spark, docs, no_docs):
     assert jaccard.deduplicate(no_docs).count() == 0 and jaccard.deduplicate(no_docs).columns == docs.columns
 
 
-def test_search_agrees_however_links_are_found(monkeypatch):
+@pytest.mark.parametrize("labels", [False, True])
+def test_search_connects_all_that_links(labels):
     rows = near_copies(9, groups=3, size=40)
     sets = [jaccard.shingles(t, 5) for _, t in rows]
-    count = Counter()
-    links = jaccard.search(sets, [None] * len(sets), 80, count)
+    known = [i % 11 if labels and i % 2 else None for i in range(len(sets))]
+    links = jaccard.search(sets, known, 80)
     up = {i: i for i in range(len(sets))}
 
     def root(i):
@@ -98,13 +99,19 @@ def test_search_agrees_however_links_are_found(monkeypatch):
         return i
 
     for a, b in links:
+        inter = len(np.intersect1d(sets[a], sets[b]))
+        assert 100 * inter >= 80 * (len(sets[a]) + len(sets[b]) - inter) and root(a) != root(b)
         up[root(a)] = root(b)
+    assert links
+    for label in set(known) - {None}:
+        same = [i for i in range(len(sets)) if known[i] == label]
+        for i in same[1:]:
+            up[root(i)] = root(same[0])
     for i in range(len(sets)):
         for j in range(i):
             inter = len(np.intersect1d(sets[i], sets[j]))
             if len(sets[i]) and 100 * inter >= 80 * (len(sets[i]) + len(sets[j]) - inter):
                 assert root(i) == root(j)
-    assert sum(count.values()) == len(links)
 
 
 def test_divide_skip_counts():
