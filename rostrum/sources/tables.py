@@ -30,6 +30,12 @@ def exists(spark: SparkSession, path: str) -> bool:
     return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
 
 
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a folder if it exists."""
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
+
+
 def below(path: Column, base: str) -> Column:
     """What a file's path has after the folder base."""
     return F.substring_index(path, f"/{base.rstrip('/').rpartition('/')[2]}/", -1)

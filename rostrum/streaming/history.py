@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..operators.history import apply_batch
+from ..sources.tables import exists, remove, stored
 
 
 def windowed_counts(events: DataFrame, at: str, kind: str, *, width: str = "1 day", slide: str | None = None, late: str = "2 days") -> DataFrame:
@@ -29,11 +30,11 @@ def keep_history(spark: SparkSession, source: str, schema: T.StructType, target:
     """A query that applies each new file of observations to a history, once, and ends when all files are read (available now).
 
     Versions go to folders target/v=<batch>; the newest complete one is the history, so a batch that runs twice writes the same version again.
+    A batch's days are applied in order, each to a stored table, so that plans do not grow with the days; versions before the last two are deleted.
     """
     def newest(before: int) -> DataFrame | None:
         for v in range(before - 1, -1, -1):
-            p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{target}/v={v}/_SUCCESS")
-            if p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p):
+            if exists(spark, f"{target}/v={v}/_SUCCESS"):
                 return spark.read.parquet(f"{target}/v={v}")
         return None
 
@@ -44,8 +45,9 @@ def keep_history(spark: SparkSession, source: str, schema: T.StructType, target:
             empty = T.StructType([schema[c] for c in (key, *tracked, *overwrite)])
             history = spark.createDataFrame([], empty).select("*", *[F.lit(None).cast(schema[observed].dataType).alias(c) for c in ("valid_from", "valid_to")], F.lit(None).cast("boolean").alias("is_current"), F.lit(None).cast(schema[observed].dataType).alias("last_checked"))
         for day in days:
-            history = apply_batch(history, df.where(F.col(observed) == F.lit(day)), key, tracked, F.lit(day), list(overwrite))
+            history = stored(apply_batch(history, df.where(F.col(observed) == F.lit(day)), key, tracked, F.lit(day), list(overwrite)))
         history.write.mode("overwrite").parquet(f"{target}/v={number}")
+        remove(spark, f"{target}/v={number - 2}")
 
     stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(source)
     return stream.writeStream.foreachBatch(batch).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
