@@ -89,7 +89,7 @@ class Coder:
                 if a is not None and b is not None:
                     pairs.append(a * PLACES + b)
                     ids.append(rank)
-        self.pairs = dict(zip(pairs, ids))
+        self.words = {rank: word for word, rank in ranks.items()}
         self.byte = np.array([ranks[bytes([b])] for b in range(256)], np.int32)
         self.con = duckdb.connect(config={"threads": 1, "memory_limit": "200MB", "temp_directory": ""})
         self.con.register("given", pa.table({"pair": pa.array(pairs, pa.int64()), "rank": pa.array(ids, pa.int32())}))
@@ -108,9 +108,14 @@ class Coder:
 
     def _heap(self, piece: bytes) -> list[int]:
         """The ids of a long piece: lowest rank first, leftmost first, with lists of neighbours."""
-        ids, get, n = [int(x) for x in self.byte[np.frombuffer(piece, np.uint8)]], self.pairs.get, len(piece)
+        ids, n = [int(x) for x in self.byte[np.frombuffer(piece, np.uint8)]], len(piece)
+        ranks, words = self.ranks, self.words
+
+        def get(a: int, b: int) -> int | None:
+            return ranks.get(words[a] + words[b])
+
         after, before = list(range(1, n + 1)), list(range(-1, n - 1))
-        now = [get(a * PLACES + b) for a, b in zip(ids, ids[1:])] + [None]
+        now = [get(a, b) for a, b in zip(ids, ids[1:])] + [None]
         heap = [(r, i) for i, r in enumerate(now) if r is not None]
         heapify(heap)
         while heap:
@@ -121,13 +126,13 @@ class Coder:
             ids[i], after[i], now[j] = r, after[j], None
             ids[j] = -1
             k = after[i]
-            now[i] = get(r * PLACES + ids[k]) if k < n else None
+            now[i] = get(r, ids[k]) if k < n else None
             if k < n:
                 before[k] = i
             if now[i] is not None:
                 heappush(heap, (now[i], i))
             if (h := before[i]) >= 0:
-                now[h] = get(ids[h] * PLACES + r)
+                now[h] = get(ids[h], r)
                 if now[h] is not None:
                     heappush(heap, (now[h], h))
         return [x for x in ids if x >= 0]
@@ -235,7 +240,11 @@ def coder(path: str) -> Coder:
 held(__name__, coder.cache_clear)
 
 
-def _groups(texts: list[str], chars: int = 2 << 20) -> Iterator[list[str]]:
+#: Characters of texts that are worked on at once, unless one text alone has more.
+GROUP_CHARS = 2 << 20
+
+
+def _groups(texts: list[str], chars: int = GROUP_CHARS) -> Iterator[list[str]]:
     """Runs of texts of about so many characters, so that ids of a whole batch are never held at once."""
     run, n = [], 0
     for t in texts:
@@ -248,12 +257,12 @@ def _groups(texts: list[str], chars: int = 2 << 20) -> Iterator[list[str]]:
         yield run
 
 
-def _digests(batches: Iterator[pa.RecordBatch], *, path: str, memory: int) -> Iterator[pa.RecordBatch]:
+def _digests(batches: Iterator[pa.RecordBatch], *, path: str, memory: int, chars: int) -> Iterator[pa.RecordBatch]:
     c = coder(path)
     c.memory = memory
     for b in batches:
         n, ids_sha, out_sha = [], [], []
-        for texts in _groups([x or "" for x in b.column(1).to_pylist()]):
+        for texts in _groups([x or "" for x in b.column(1).to_pylist()], chars):
             numbers = c.numbers(texts)
             docs = [c.ids_of(x) for x in numbers]
             n += map(len, docs)
@@ -294,13 +303,14 @@ def decode(encoded: DataFrame, ranks: str, *, id_col: str = "doc_id", ids_col: s
     return arrow_map(_pick(encoded, id_col, ids_col, "array<int>"), _texts, struct("doc_id long, bytes binary"), path=ranks)
 
 
-def digests(docs: DataFrame, ranks: str, *, id_col: str = "doc_id", text_col: str = "text", memory: int = MEMORY) -> DataFrame:
+def digests(docs: DataFrame, ranks: str, *, id_col: str = "doc_id", text_col: str = "text", memory: int = MEMORY, chars: int = GROUP_CHARS) -> DataFrame:
     """Encode and decode every row in one pass: doc_id, n_tokens, ids_sha256 (of decimal ids joined by commas), decoded_sha256.
 
-    memory is the number of pieces that a worker remembers; fewer take less memory and more time, with the same result.
+    memory is the number of pieces that a worker remembers, chars the length of texts that it works on at once; fewer take less memory and
+    more time, with the same result.
 
     A null text counts as empty: 0 tokens and the digests of nothing. Repeated rows and null ids give a row each, an empty
     table none. Other columns are not read, so their names cannot clash.
     """
     schema = struct("doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string")
-    return arrow_map(_pick(docs, id_col, text_col, "string"), _digests, schema, path=ranks, memory=memory)
+    return arrow_map(_pick(docs, id_col, text_col, "string"), _digests, schema, path=ranks, memory=memory, chars=chars)

@@ -126,19 +126,26 @@ def only(module: str) -> None:
         for f in others:
             f()
         gc.collect()
-        try:
-            ctypes.CDLL("libc.so.6").malloc_trim(0)
-        except (OSError, AttributeError):  # another C library
-            pass
+        give_back()
     _LAST[:] = [module]
 
 
+def give_back() -> None:
+    """Return memory that is free to the system, so that a worker that waits for its next task holds little more than what it remembers."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+    except (OSError, AttributeError):  # another C library
+        pass
+
+
 _LAST: list[str] = []
 
 
 def _alone(batches: Iterator[pa.RecordBatch], *, fn: Callable[..., Iterator[pa.RecordBatch]], **fixed) -> Iterator[pa.RecordBatch]:
     only(fn.__module__)
     yield from fn(batches, **fixed)
+    give_back()
 
 
 def arrow_map(df: DataFrame, fn: Callable[..., Iterator[pa.RecordBatch]], schema: T.StructType, **fixed) -> DataFrame:
