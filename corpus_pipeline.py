@@ -17,6 +17,8 @@ from rostrum.llm.common import table, written
 
 #: Pieces that a worker of the last stage remembers: fewer than alone, as the stages before it leave an executor's heap grown.
 CODER_MEMORY = 300_000
+#: Characters of texts that it works on at once, for the same reason.
+CODER_CHARS = 1 << 19
 
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -43,7 +45,7 @@ def redact_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 def encode_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token counts and digests of what is left, encoded and decoded again."""
-    return bytebpe.digests(docs, public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), memory=CODER_MEMORY)
+    return bytebpe.digests(docs, public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), memory=CODER_MEMORY, chars=CODER_CHARS)
 
 
 STAGES = [
