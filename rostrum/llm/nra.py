@@ -192,10 +192,11 @@ def top_k(vectors: DataFrame, *, k: int = 20, query_every: int = 20, scale: int
     q = pack(v.where(F.pmod("vec_id", F.lit(query_every)) == 0), query_block, "nra-queries")
     # every block of queries meets every block of candidates of its length: an equi join of a few large rows
     named = lambda df, s: df.select("dims", F.col("n").alias(f"{s}_n"), F.col("ids").alias(f"{s}_ids"), F.col("values").alias(f"{s}_values"))
-    n = max(1, int(vectors.sparkSession.conf.get("spark.sql.shuffle.partitions")))
-    # a block of candidates goes to one of n places, a block of queries to all
+    n = max(1, min(int(vectors.sparkSession.conf.get("spark.sql.shuffle.partitions")), x.count()))
+    # a block of candidates goes to one of n places, a block of queries to all; merged, since Spark judges the copied queries by
+    # their file before it is copied and compressed, and would broadcast them through the driver. The right side of a merge is held.
     salted = named(x, "x").withColumn("salt", F.pmod(F.xxhash64("x_ids"), F.lit(n)))
-    met = salted.join(named(q, "q").withColumn("salt", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(n - 1).cast("long")))), ["dims", "salt"])
+    met = named(q, "q").withColumn("salt", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(n - 1).cast("long")))).join(salted.hint("merge"), ["dims", "salt"])
     found = arrow_map(met, _search, struct("query_id long, vec_id long, score long"), k=k)
     found = found.groupBy("query_id", "vec_id").agg(F.max("score").alias("score"))
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), F.asc("vec_id"))

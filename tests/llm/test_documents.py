@@ -531,3 +531,18 @@ def test_ties_at_the_last_place_and_rows_of_one_id(spark):
     got = nra.top_k(spark.createDataFrame(rows, "vec_id long, embedding array<double>"), k=20, candidate_block=64).where("query_id = 0").orderBy("rank").collect()
     want = [(300, 3 * 64 * 64)] + [(i, 2 * 64 * 64) for i in (100, 101, 102, 103, 104, 301)] + [(161 + i, 64 * 64) for i in range(13)]
     assert [(r.vec_id, r.score) for r in got] == want
+
+
+def test_copies_of_the_queries_never_pass_the_driver(spark):
+    r = np.random.default_rng(6)
+    df = spark.createDataFrame([(i, [float(x) for x in r.normal(size=4)]) for i in range(300)], "vec_id long, embedding array<double>")
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "50")
+    try:
+        out = nra.top_k(df, candidate_block=100)
+        assert out.count() == 300
+        plan = out._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    # three blocks of candidates are three places, for each of which the queries are copied
+    assert "SortMergeJoin" in plan and "BroadcastExchange" not in plan and "xxhash64(ids#" in plan and ", 42), 3) AS salt" in plan
