@@ -430,6 +430,31 @@ def test_scores_against_brute_force(spark):
         assert abs(got[i] - want) < 2e-4, (i, got[i], want)
 
 
+def test_all_labelled_rows_and_all_pairs_are_learnt_from(spark):
+    r = random.Random(12)
+    rows = []
+    for i in range(8340):
+        t = f"w{i} " + prose(i, r.randrange(3, 9)) + "."
+        rows.append((i, t.replace(" ", " $ ", r.randrange(4)).upper() if i < 40 or r.random() < 0.05 else t))
+    x, y = np.array([ranker.features(t) for _, t in rows]), np.array([int(i >= 40) for i, _ in rows])
+    z = (x - x.mean(axis=0)) / (x.std(axis=0) + 1e-9)
+    d = (z[y == 1][:, None] - z[y == 0][None, :]).reshape(-1, z.shape[1])
+    w = np.zeros(z.shape[1])
+    for _ in range(12):
+        p = 1 / (1 + np.exp(-d @ w))
+        w += np.linalg.solve((d * (p * (1 - p))[:, None]).T @ d / len(d) + ranker.RIDGE * np.eye(len(w)), d.T @ (1 - p) / len(d) - ranker.RIDGE * w)
+    s = z @ w
+    cuts = np.quantile(s, np.linspace(0.002, 0.998, 499))
+    c = cuts[np.argmax([((s >= c) == (y == 1)).mean() + 1e-9 * (s[y == 1] >= c).mean() for c in cuts])]
+    docs, labels = spark.createDataFrame(rows, "doc_id long, text string"), spark.createDataFrame(list(enumerate(y.tolist())), "doc_id long, quality int")
+    for size in (ranker.BLOCK, 500):
+        got = ranker.train(docs.repartition(3), labels, block=size)
+        assert np.abs(got.w - w).max() < 1e-6 and abs(got.slope * s[y == 1].std() - 1) < 1e-6
+        assert abs(got.cut - (s[s < c].max() + s[s >= c].min()) / 2) < 1e-5
+    again = ranker.train(docs.repartition(7), labels.repartition(5), block=500)
+    assert (again.w == got.w).all() and (again.cut, again.slope) == (got.cut, got.slope)
+
+
 def test_a_long_line_is_one_line():
     line = "abc " * 65_536
     assert ranker.features(line) == pytest.approx(brute_features(line)) and ranker.features(line)[ranker.NAMES.index("repeated_lines")] == 0
