@@ -6,6 +6,7 @@ import re
 
 import numpy as np
 import pytest
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from rostrum.operators import aggregates, attention, checks, cleaning, entities, history, network, relational, sequences, stats, textmining, topics, turns, wording
@@ -125,6 +126,38 @@ def test_tfidf_rows_have_length_one_and_cosine_pairs_lose_none(spark):
     assert {(x.a, x.b) for x in textmining.cosine_pairs(w, "doc", 0.5).collect()} == want and want
 
 
+def test_pairs_and_nearest_over_several_blocks(spark):
+    """All pairs and each row's nearest, over blocks, dense and other columns and laid-out parts that are small, equal brute force; copies tie, the larger id first."""
+    from rostrum.operators import blocks
+
+    r = np.random.default_rng(5)
+    x = r.random((47, 40)) * (r.random((47, 40)) < 0.2)
+    x[30:34] = x[3]
+    x[:, 0] += 0.05
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    entries = [(f"d{i:03}", f"t{j}", float(x[i, j])) for i in range(47) for j in range(40) if x[i, j]]
+    w = spark.createDataFrame(entries, "doc string, token string, weight double").repartition(3)
+    s = x @ x.T
+    sizes = {"rows": 5, "dense": 4}
+    got = {(p.a, p.b): p.similarity for p in blocks.pairs_at_least(w, "doc", 0.3, **sizes).collect()}
+    want = {(f"d{i:03}", f"d{j:03}"): s[i, j] for i in range(47) for j in range(i + 1, 47) if s[i, j] >= 0.3}
+    assert got.keys() == want.keys() and len(want) > 20 and all(abs(got[k] - want[k]) < 1e-12 for k in want)
+    order = Window.partitionBy("doc").orderBy(F.desc(F.round("similarity", 9)), F.desc("other"))
+    near = blocks.nearest_rows(w, "doc", 0.3, 3, **sizes).withColumn("place", F.row_number().over(order)).where("place <= 3")
+    best = {f"d{i:03}": [f"d{j:03}" for j in sorted((j for j in range(47) if j != i and s[i, j] >= 0.3), key=lambda j: (-round(s[i, j], 9), -j))[:3]] for i in range(47)}
+    assert {(n.doc, n.place): n.other for n in near.collect()} == {(d, k + 1): o for d, others in best.items() for k, o in enumerate(others)}
+    held, _ = blocks.packed(w, "doc", **sizes)
+    a, b = (blocks.Loaded(y, held.dense) for y in held.blocks[:2])
+    assert np.allclose(blocks.product(a, b, products=3), s[:5, 5:10]) and np.allclose(blocks.product(a, a), s[:5, :5])
+    i, j, v = blocks.reaching(a, b, 0.2, products=3)
+    assert set(zip(i, j)) == set(zip(*np.nonzero(s[:5, 5:10] >= 0.2))) and np.allclose(v, s[:5, 5:10][i, j])
+
+
+def test_pairs_of_nothing(spark):
+    w = spark.createDataFrame([], "doc long, token string, weight double")
+    assert textmining.cosine_pairs(w, "doc", 0.5).count() == textmining.nearest(w, "doc", 0.5).count() == 0
+
+
 def test_shingle_agreement(spark):
     d = spark.createDataFrame([("a b c d e f", "b c d e f g h"), ("a b", "a b c d e f"), (None, "x")], "x string, y string")
     assert [r[0] for r in d.select(textmining.shingle_agreement(F.col("x"), F.col("y"))).collect()] == [0.5, None, None]
