@@ -149,3 +149,9 @@ def test_tar_texts(spark, tmp_path):
             t.addfile(i, io.BytesIO(raw))
     got = sorted(map(tuple, readers.tar_texts(spark, f"file://{tmp_path}/c.tar.gz").collect()))
     assert got == [("FRA", 2, 1947, "été"), ("USA", 1, 1946, "hello �")]
+
+
+def test_only_named_references_are_resolved(spark):
+    d = spark.createDataFrame([("a &amp;lt; &lt; &quot;b &amp &#39;", ), (None,)], "t string")
+    assert [r[0] for r in d.select(html.unescaped(F.col("t"), ("lt", "amp"))).collect()] == ["a &lt; < &quot;b &amp &#39;", None]
+    assert d.select(html.unescaped(F.col("t"))).first()[0] == "a &lt; < \"b & '"
