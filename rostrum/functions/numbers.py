@@ -65,13 +65,22 @@ def spread(df: DataFrame, column: str, inner: float = 0.97) -> DataFrame:
     return df.join(F.broadcast(at_places(df, column, ends)), F.lit(True), "left").withColumn(f"spread_{column}", F.greatest(F.lit(0.0), F.least(F.lit(1.0), value))).drop("_q")
 
 
+def rounded(value: Column, digits: int) -> Column:
+    """A double to some places as SQL engines round it: the shifted value to the nearest whole number, halves away from zero, signs kept.
+
+    F.round goes by the shortest decimals that stand for the double, and differs where shifting makes a half of what is just below one.
+    """
+    shifted = F.round(F.abs(value) * 10.0**digits) / 10.0**digits
+    return F.when(value < 0, -shifted).otherwise(shifted)
+
+
 def grade_level(words: Column, sentences: Column, syllables: Column) -> Column:
     """Flesch-Kincaid grade, one decimal."""
-    return F.round(0.39 * words / sentences + 11.8 * syllables / words - 15.59, 1)
+    return rounded(0.39 * words / sentences + 11.8 * syllables / words - 15.59, 1)
 
 
 def reading_ease(words: Column, sentences: Column, syllables: Column) -> Column:
-    return F.round(206.835 - 1.015 * words / sentences - 84.6 * syllables / words, 1)
+    return rounded(206.835 - 1.015 * words / sentences - 84.6 * syllables / words, 1)
 
 
 def syllable_count(text: Column) -> Column:

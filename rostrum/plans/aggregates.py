@@ -140,7 +140,7 @@ n AS (SELECT doc_id, greatest(w0, 1) AS w, s, coalesce(y0, 0) AS y FROM d) SELEC
 def m9_readability(spark: SparkSession, sf_dir: str) -> DataFrame:
     d = table(spark, sf_dir, "documents").select("doc_id", S.word_count(F.col("text")).alias("words"), F.greatest(F.lit(1), F.size(S.sentences(F.col("text")))).alias("sents"), numbers.syllable_count(F.col("text")).alias("syllables"))
     w, s, y = F.greatest(F.col("words"), F.lit(1)), F.col("sents"), F.col("syllables")
-    return d.select("doc_id", numbers.grade_level(w, s, y).alias("grade"), numbers.reading_ease(w, s, y).alias("ease"), F.round(w / s, 1).alias("words_per_sentence"))
+    return d.select("doc_id", numbers.grade_level(w, s, y).alias("grade"), numbers.reading_ease(w, s, y).alias("ease"), numbers.rounded(w / s, 1).alias("words_per_sentence"))
 
 
 @query("SELECT lang, map_from_entries(list(struct_pack(k := source, v := n) ORDER BY source))::VARCHAR AS sources FROM (SELECT lang, source, count(*) AS n FROM documents GROUP BY ALL) GROUP BY lang".replace("map_from_entries(list(struct_pack(k := source, v := n) ORDER BY source))::VARCHAR", "string_agg(source || '=' || n, ',' ORDER BY source)"))
