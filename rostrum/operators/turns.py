@@ -14,7 +14,9 @@ GENERAL = r"(?i:g\s?e\s?n\s?e\s?r\s?a\s?[l1I]\s+(?:debate|discussion))"
 TITLE = r"(?:Mr|Mrs|Miss|Ms|Sir|Dame|Lord|Lady|Prince|Princess|Sheikh|Shaikh|King|Queen|Emir|General|Marshal|Archbishop|Cardinal|Baron|Count|Dr|U|Mgr|Monsignor|President|Vice-President|Prime\s+Minister|Chancellor|Emperor|Grand\s+Duke|Crown\s+Prince)"
 START = r"(?:^|\n|(?<=[.!?:;\"”)])\s)"
 _LANG = r"(?:\(((?:translated|interpretation|spoke)[^)]*)\))?\s*"
-LABEL = rf"{START}\s*(?:\d{{1,3}}\s*[.,]\s*)?({TITLE}[.•,]?\s+[^():]{{1,60}}?)\s*\(([^()]{{2,70}})\)\s*{_LANG}:"
+#: No name goes on over a line that begins with a courtesy title: there another label begins.
+_ON = r"(?!\n\s*(?:\d{1,3}\s*[.,]\s*)?(?:Mr|Mrs|Miss|Ms)[.•,]?\s)"
+LABEL = rf"{START}\s*(?:\d{{1,3}}\s*[.,]\s*)?({TITLE}[.•,]?(?:{_ON}\s)+(?:{_ON}[^():]){{1,60}}?)\s*\(([^()]{{2,70}})\)\s*{_LANG}:"
 CAPS_LABEL = rf"{START}\s*(?:\d{{1,3}}\s*[.,]\s*)?(?:[A-Za-z][a-z]{{0,8}}[.•,]?\s+){{0,2}}([A-Z][A-Z~!'’\-.]{{2,}}(?:\s+[A-Z][A-Z~!'’\-.]{{1,}}){{0,4}})\s*\(([^()]{{2,70}})\)\s*{_LANG}[:;]"
 HEAD_LABEL = rf"{START}\s*((?:President|Prime\s+Minister|King|Queen|Emir|Sultan|Chairman|General|Prince|Grand\s+Duke)\s+[A-Z][^():]{{1,50}}?)\s*{_LANG}:"
 CHAIR = r"(?i)(?:^|\n)\s*(?:\d{1,3}\s*[.,]\s*)?The\s+(?:ACTING\s+|TEMPORARY\s+)?PRESIDENT\b[^:\n]{0,70}:"

@@ -414,3 +414,20 @@ def test_lowest_and_highest_places(spark):
     ordered = sorted(v for v in values if v is not None)
     low, high = ordered[int(len(ordered) * (1 - 0.97))], ordered[int(len(ordered) * 0.97) - 1]
     assert all(abs(got[v] - min(1, max(0, (v - low) / (high - low)))) < 1e-12 for v in ordered)
+
+def test_numbers_round_as_sql_does(spark):
+    import duckdb
+
+    from rostrum.functions import numbers
+
+    # what is just below a half may shift to one; -0.04 keeps its sign
+    values = [17.85, 53.35, 2.5, -2.25, -0.04, 0.0, *(float(np.nextafter(i / 20, 0)) for i in range(1, 400)), *(w / s for w in range(1, 60) for s in range(1, 60))]
+    d = spark.createDataFrame(list(enumerate(values)), "i int, v double").orderBy("i")
+    got, plain = ([str(r[0]) for r in d.select(c).collect()] for c in (numbers.rounded(F.col("v"), 1), F.round("v", 1)))
+    assert got == [str(duckdb.execute("SELECT round(?::DOUBLE, 1)", [v]).fetchone()[0]) for v in values] and got != plain
+
+
+def test_a_name_ends_before_a_line_with_a_title(spark):
+    text = "Mr. User (Spain) (translated from Spanish): One two three four five. Queen sails on.\nMr. Assistant (Spain) (translated from Spanish): Six seven eight nine ten.\nMr.\nLong\nName (Peru): One two three four five."
+    got = turns.scanned_turns(spark.createDataFrame([(1, text)], "k int, t string"), "k", "t", least_words=5).orderBy("n").collect()
+    assert [r.name for r in got] == ["Mr. User", "Mr. Assistant", "Mr.\nLong\nName"] and got[0].body.endswith("Queen sails on.")
