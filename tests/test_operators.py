@@ -431,3 +431,16 @@ def test_a_name_ends_before_a_line_with_a_title(spark):
     text = "Mr. User (Spain) (translated from Spanish): One two three four five. Queen sails on.\nMr. Assistant (Spain) (translated from Spanish): Six seven eight nine ten.\nMr.\nLong\nName (Peru): One two three four five."
     got = turns.scanned_turns(spark.createDataFrame([(1, text)], "k int, t string"), "k", "t", least_words=5).orderBy("n").collect()
     assert [r.name for r in got] == ["Mr. User", "Mr. Assistant", "Mr.\nLong\nName"] and got[0].body.endswith("Queen sails on.")
+
+
+def test_evidence_and_chunks_split_a_long_text_once(spark):
+    """A text of 20,000 sentences takes seconds; split again for every sentence, it took hours."""
+    import time
+
+    n = 20_000
+    text = "Nothing is said here at all. " * (n - 1) + "Here is that word at last."
+    d = spark.createDataFrame([(1, text), (2, None), (3, "None.")], "i int, t string")
+    began = time.time()
+    r = textmining.first_evidence(d, "i", F.col("t"), r"(?iu)\bthat\b", S.SENTENCE).collect()
+    c = d.select(F.size(S.chunks(S.sentences(F.col("t")), 3)).alias("n")).where("n > 0").collect()
+    assert [x.text for x in r] == ["Here is that word at last."] and [x.n for x in c] == [-(-n // 3), 1] and time.time() - began < 60
