@@ -155,3 +155,19 @@ def test_only_named_references_are_resolved(spark):
     d = spark.createDataFrame([("a &amp;lt; &lt; &quot;b &amp &#39;", ), (None,)], "t string")
     assert [r[0] for r in d.select(html.unescaped(F.col("t"), ("lt", "amp"))).collect()] == ["a &lt; < &quot;b &amp &#39;", None]
     assert d.select(html.unescaped(F.col("t"))).first()[0] == "a &lt; < \"b & '"
+
+
+def test_pages_reach_python_in_small_batches(spark):
+    """A worker holds some hundred rows at a time, not ten thousand; what the session sets itself stays."""
+    import pandas as pd
+
+    from rostrum import session
+
+    new = spark.newSession()
+    html.articles(new.createDataFrame([(1, "<p>x</p>")], "i int, h string"), F.col("h"))
+    seen = F.pandas_udf(lambda x: pd.Series([len(x)] * len(x)), "int")
+    assert new.range(0, 3000, 1, 1).select(seen("id").alias("n")).agg(F.max("n")).first()[0] <= int(session.BATCH_ROWS)
+    own = spark.newSession()
+    own.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "77")
+    session.ship(own)
+    assert own.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch") == "77"
