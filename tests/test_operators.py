@@ -444,3 +444,29 @@ def test_evidence_and_chunks_split_a_long_text_once(spark):
     r = textmining.first_evidence(d, "i", F.col("t"), r"(?iu)\bthat\b", S.SENTENCE).collect()
     c = d.select(F.size(S.chunks(S.sentences(F.col("t")), 3)).alias("n")).where("n > 0").collect()
     assert [x.text for x in r] == ["Here is that word at last."] and [x.n for x in c] == [-(-n // 3), 1] and time.time() - began < 60
+
+
+def test_factors_in_blocks_equal_those_in_memory(spark, monkeypatch):
+    """Topics of a table larger than a block, and than what the driver once held at most."""
+    from rostrum.operators import factors
+
+    r = np.random.default_rng(2)
+    x = (r.random((60, 4)) * (r.random((60, 4)) < 0.4)) @ (r.random((4, 90)) * (r.random((4, 90)) < 0.3)) + (r.random((60, 90)) < 0.02) * 0.1
+    entries = [(i, f"t{j:02}", float(x[i, j])) for i in range(60) for j in range(90) if x[i, j]]
+    weights = spark.createDataFrame(entries, "doc long, token string, weight double").repartition(3)
+    w, h = topics.nmf(x[x.any(axis=1)][:, x.any(axis=0)], 3, rounds=20)
+    monkeypatch.setattr(factors, "SLICE", 32)
+    monkeypatch.setattr(topics, "HELD", 100)
+    whole = factors.factors
+    monkeypatch.setattr(factors, "factors", lambda *a: whole(*a, rounds=20, rows=17))
+    made = factors.factors(weights, "doc", 3)
+    left, right = (np.concatenate([factors.load(u)["x"] for u in f]) for f in (made.left, made.right))
+    assert len(made.rows.blocks) > 3 and np.allclose(left @ right.T.sum(axis=1), w @ h.sum(axis=1), rtol=1e-3, atol=1e-4)
+    shares, terms = topics.topics(weights, "doc", k=3, terms=4)
+    got = {}
+    for s in shares.collect():
+        got.setdefault(s.doc, {})[s.topic] = s.share
+    want = w / w.sum(axis=1, keepdims=True)
+    assert np.allclose([[got[d][t] for t in range(3)] for d in sorted(got)], want, atol=2e-3)
+    names = [f"t{j:02}" for j in np.flatnonzero(x.any(axis=0))]
+    assert [set(t.terms) for t in terms.orderBy("topic").collect()] == [{names[i] for i in np.argsort(-h[j])[:4]} for j in range(3)]
