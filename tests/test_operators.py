@@ -470,3 +470,15 @@ def test_factors_in_blocks_equal_those_in_memory(spark, monkeypatch):
     assert np.allclose([[got[d][t] for t in range(3)] for d in sorted(got)], want, atol=2e-3)
     names = [f"t{j:02}" for j in np.flatnonzero(x.any(axis=0))]
     assert [set(t.terms) for t in terms.orderBy("topic").collect()] == [{names[i] for i in np.argsort(-h[j])[:4]} for j in range(3)]
+
+
+def test_tokens_are_counted_within_rows(spark):
+    d = spark.createDataFrame([(1, ["b", "a", "b"]), (2, []), (3, None), (4, ["c"])], "i int, w array<string>")
+    counts = textmining.token_counts(d, "i", F.col("w"))
+    assert rows(counts) == [(1, "a", 1), (1, "b", 2), (4, "c", 1)]
+    assert "Exchange" not in counts._jdf.queryExecution().executedPlan().toString()
+    twice = d.union(spark.createDataFrame([(1, ["b", "z"])], "i int, w array<string>"))
+    assert rows(textmining.token_counts(twice, "i", F.col("w"))) == [(1, "a", 1), (1, "b", 3), (1, "z", 1), (4, "c", 1)]
+    assert [tuple(r) for r in textmining.common(twice, "i", F.col("w"), 2).collect()] == [("b", 3, 1), ("a", 1, 1)]
+    plan = textmining.tfidf(d, "i", F.col("w"))._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("hashpartitioning") == 2, plan
